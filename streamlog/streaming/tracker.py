@@ -1,0 +1,66 @@
+"""Watching batches in flight: sent, confirmed, sent again, backing off.
+
+Input is a stream ``group_id, batch_no, kind, offsets`` where ``kind`` is
+``deliver`` or ``confirm`` and ``offsets`` identifies the batch content. Time
+limits run on the clock and need a processing-time trigger; there is no
+watermark, since late partitions would lose rows to it.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from streamlog.model import struct_of
+from streamlog.operators.delivery import MAX_REDELIVERIES, UNCONFIRMED_TIMEOUT_MS
+
+OUTPUT_SCHEMA = struct_of(
+    group_id=T.StringType(), batch_no=T.LongType(), event=T.StringType(), redelivery_count=T.IntegerType()
+)
+STATE_SCHEMA = struct_of(
+    offsets=T.StringType(), redelivery_count=T.IntegerType(), deadline_ms=T.LongType()
+)
+
+
+def track(
+    events: DataFrame,
+    timeout_ms: int = UNCONFIRMED_TIMEOUT_MS,
+    max_redeliveries: int = MAX_REDELIVERIES,
+) -> DataFrame:
+    """Stream of what happens to every batch.
+
+    ``delivered``; ``confirmed`` if the offsets are exactly those delivered,
+    else ``ignored``; on each time-out ``redelivered`` up to the maximum, then
+    ``backing_off`` with the count so far. A time-out of 0 never fires.
+    """
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        out: list[tuple] = []
+        now = state.getCurrentProcessingTimeMs()
+        if state.hasTimedOut:
+            offsets, count, _ = state.get
+            out.append((*key, "redelivered" if count < max_redeliveries else "backing_off", count))
+            state.update((offsets, count + 1, now + timeout_ms))
+        else:
+            rows = pd.concat(list(batches))
+            for kind, offsets in sorted(zip(rows["kind"], rows["offsets"]), key=lambda r: r[0] != "deliver"):
+                if kind == "deliver":
+                    state.update((offsets, 0, now + timeout_ms))
+                    out.append((*key, "delivered", 0))
+                elif state.exists and state.get[0] == offsets:
+                    out.append((*key, "confirmed", state.get[1]))
+                    state.remove()
+                else:
+                    out.append((*key, "ignored", state.get[1] if state.exists else 0))
+        if state.exists and timeout_ms > 0:
+            # A confirmation that does not fit must not put off the time-out.
+            state.setTimeoutDuration(max(1, state.get[2] - now))
+        yield pd.DataFrame(out, columns=OUTPUT_SCHEMA.names)
+
+    return events.groupBy("group_id", "batch_no").applyInPandasWithState(
+        step, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.ProcessingTimeTimeout
+    )
