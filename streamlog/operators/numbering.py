@@ -1,19 +1,26 @@
 """Offsets and neighbours over sorted data without a task per group.
 
 A window over (topic, partition) sorts each partition of the log in one task,
-which breaks when one of them holds a large share of all rows. Here the rows
-are range-partitioned on the full sort key, so a hot group is cut into as many
-pieces as it needs, and only one small row per piece is combined afterwards.
+which breaks when one of them holds a large share of all rows. Offsets are
+therefore counted in time buckets of about equal size, and whatever still does
+not fit a bucket (a burst, or one timestamp shared by very many rows) is cut by
+range on the full sort key. Both ways give the same, exact numbers.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import WindowSpec
 
 from streamlog.model import TOPIC_PARTITION
+from streamlog.operators.offsets import join_small
 from streamlog.session import materialize
 
+BUCKET_ROWS = 2_000_000
+HOT_FACTOR = 4
+
 SPLIT = "_split"
 POSITION = "_position"
 
@@ -35,43 +42,117 @@ def range_split(df: DataFrame, sort_by: list[str], splits: int | None = None) ->
     return materialize(tagged, "split")
 
 
+def _as_number(df: DataFrame, name: str) -> Column | None:
+    """A column as a number that never sorts the other way round, None if there is no such form."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("double")
+    return F.col(name).cast("double") if isinstance(kind, T.IntegralType) else None
+
+
+def _require_addresses(table: DataFrame) -> DataFrame:
+    """Fail if a record has no topic or no partition; a join would silently lose it."""
+    if not table.filter(F.col("topic").isNull() | F.col("partition").isNull()).isEmpty():
+        raise ValueError("every record needs a topic and a partition")
+    return table
+
+
+def _before(*groups: str, order: str) -> WindowSpec:
+    return Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _in_buckets(df: DataFrame, order_by: str, bucket_rows: int) -> DataFrame:
+    """Tag rows with a bucket that grows with the sort key, about ``bucket_rows`` rows each.
+
+    Every partition gets its own bucket width from its row count and span.
+    The tag depends on the row alone, so counting and numbering may run apart.
+    """
+    at = _as_number(df, order_by)
+    if at is None:
+        return df.withColumn("_bucket", F.lit(0).cast("long"))
+    spans = df.groupBy(*TOPIC_PARTITION).agg(
+        F.min(at).alias("_low"), F.max(at).alias("_high"), F.count(F.lit(1)).alias("_rows")
+    )
+    width = (F.col("_high") - F.col("_low") + 1) * F.lit(float(bucket_rows)) / F.col("_rows")
+    spans = materialize(spans.select(*TOPIC_PARTITION, "_low", width.alias("_width")), "spans")
+    _require_addresses(spans)
+    # NULL sorts before everything else, hence a bucket of its own in front.
+    bucket = F.coalesce(F.floor((at - F.col("_low")) / F.col("_width")), F.lit(-1))
+    return join_small(df, spans).withColumn("_bucket", bucket.cast("long")).drop("_low", "_width")
+
+
 def assign_offsets(
     df: DataFrame,
     order_by: list[str],
     start: DataFrame | None = None,
+    bucket_rows: int = BUCKET_ROWS,
     splits: int | None = None,
 ) -> DataFrame:
     """Add ``offset``: 0, 1, 2, ... per (topic, partition) in the given order.
 
-    ``start`` is an offsets table; its partitions are continued from there.
-    One row per piece and partition is counted, summed up over the earlier
-    pieces, and joined back; Spark broadcasts that table only if its written
-    size is below ``spark.sql.autoBroadcastJoinThreshold``.
+    ``order_by`` must identify a row within its partition. ``start`` is an
+    offsets table; its partitions are continued from there.
+
+    Only the sort columns are read to count the buckets. The records then move
+    once, by (topic, partition, bucket), and are numbered from the bucket's base.
     """
-    rows = range_split(df, [*TOPIC_PARTITION, *order_by], splits)
-    runs = rows.groupBy(SPLIT, *TOPIC_PARTITION).agg(
-        F.min(POSITION).alias("_first"), F.count(F.lit(1)).alias("_n")
-    )
-    earlier = Window.partitionBy(*TOPIC_PARTITION).orderBy(SPLIT).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    base = runs.select(
-        SPLIT, *TOPIC_PARTITION, "_first",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"),
-    )
+    rows = _in_buckets(df, order_by[0], bucket_rows)
+    groups = [*TOPIC_PARTITION, "_bucket"]
+    counts = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    base = F.coalesce(F.sum("_n").over(_before(*TOPIC_PARTITION, order="_bucket")), F.lit(0))
+    bases = counts.select(*groups, "_n", base.alias("_base"))
     if start is not None:
         begin = start.select(*TOPIC_PARTITION, F.col("offset").alias("_start"))
-        base = base.join(begin, TOPIC_PARTITION, "left").select(
-            SPLIT, *TOPIC_PARTITION, "_first",
-            (F.col("_base") + F.coalesce("_start", F.lit(0))).alias("_base"),
+        bases = bases.join(begin, TOPIC_PARTITION, "left").select(
+            *groups, "_n", (F.col("_base") + F.coalesce("_start", F.lit(0))).alias("_base")
+        )
+    bases = _require_addresses(materialize(bases, "bases"))
+    hot = bases.filter(F.col("_n") > HOT_FACTOR * bucket_rows).select(*groups, "_base")
+
+    if hot.isEmpty():
+        numbered = _number_in_window(rows, bases, groups, order_by)
+    else:
+        cold = _number_in_window(rows.join(hot, groups, "left_anti"), bases, groups, order_by)
+        numbered = cold.unionByName(
+            _number_by_range(rows.join(hot, groups, "left_semi"), hot, groups, order_by, splits)
         )
-    base = materialize(base, "base")
-    numbered = rows.join(base, [SPLIT, *TOPIC_PARTITION]).withColumn(
-        "offset", F.col("_base") + F.col(POSITION) - F.col("_first")
-    )
     return numbered.select(*TOPIC_PARTITION, "offset", *[c for c in df.columns if c not in TOPIC_PARTITION])
 
 
+def _number_in_window(rows: DataFrame, bases: DataFrame, groups: list[str], order_by: list[str]) -> DataFrame:
+    """Number rows whose groups are small enough to be sorted in one task."""
+    rank = F.row_number().over(Window.partitionBy(*groups).orderBy(*order_by))
+    ranked = rows.withColumn("_rank", rank)
+    return ranked.join(bases.select(*groups, "_base"), groups).withColumn(
+        "offset", F.col("_base") + F.col("_rank") - 1
+    ).drop("_rank", "_base")
+
+
+def _number_by_range(
+    rows: DataFrame, bases: DataFrame, groups: list[str], order_by: list[str], splits: int | None
+) -> DataFrame:
+    """Number rows of groups of any size: count each piece of a global sort, sum up the earlier ones.
+
+    Spark broadcasts the table of pieces only if its written size is below
+    ``spark.sql.autoBroadcastJoinThreshold``.
+    """
+    sorted_rows = range_split(rows, [*groups, *order_by], splits)
+    pieces = sorted_rows.groupBy(SPLIT, *groups).agg(
+        F.min(POSITION).alias("_first"), F.count(F.lit(1)).alias("_n")
+    )
+    earlier = F.coalesce(F.sum("_n").over(_before(*groups, order=SPLIT)), F.lit(0))
+    pieces = pieces.select(SPLIT, *groups, "_first", earlier.alias("_earlier")).join(bases, groups)
+    pieces = materialize(
+        pieces.select(SPLIT, *groups, (F.col("_base") + F.col("_earlier") - F.col("_first")).alias("_shift")),
+        "pieces",
+    )
+    return sorted_rows.join(pieces, [SPLIT, *groups]).withColumn(
+        "offset", F.col(POSITION) + F.col("_shift")
+    ).drop(SPLIT, POSITION, "_shift")
+
+
 def with_next(
     df: DataFrame,
     group_by: list[str],

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from streamlog.model import ACKS_SCHEMA, TOPIC_PARTITION
 from streamlog.operators.numbering import assign_offsets
-from streamlog.sources.topic_log import FOLDER_FIELDS, META_SCHEMA, SEGMENT_ROWS, TopicLog
+from streamlog.sources.topic_log import FOLDER_FIELDS, SEGMENT_ROWS, TopicLog
 
 
 def create_log(spark: SparkSession, path: str, schema: T.StructType, segment_rows: int = SEGMENT_ROWS) -> TopicLog:
@@ -16,9 +16,11 @@ def create_log(spark: SparkSession, path: str, schema: T.StructType, segment_row
     folder = {field.name for field in FOLDER_FIELDS}
     fields = [field for field in schema.fields if field.name not in folder]
     schema = T.StructType(fields + FOLDER_FIELDS)
-    meta = spark.createDataFrame([(segment_rows, schema.json())], META_SCHEMA)
-    meta.coalesce(1).write.json(f"{path}/meta")
-    empty = spark.createDataFrame([], schema)
+    meta = [F.lit(segment_rows).alias("segment_rows"), F.lit(schema.json()).alias("fields")]
+    spark.range(1).coalesce(1).select(*meta).write.json(f"{path}/meta")
+    empty = spark.range(0).select(
+        *[F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
+    )
     empty.write.partitionBy(*[field.name for field in FOLDER_FIELDS]).parquet(f"{path}/data")
     return TopicLog(spark, path, schema, segment_rows)
 

@@ -19,7 +19,7 @@ from streamlog.model import TOPIC_PARTITION, struct_of
 from streamlog.operators import offsets as off
 from streamlog.operators.records import expect_at_least
 
-SEGMENT_ROWS = 4_000_000
+SEGMENT_ROWS = 2_000_000
 META_SCHEMA = struct_of(segment_rows=T.LongType(), fields=T.StringType())
 
 FOLDER_FIELDS = struct_of(topic=T.StringType(), partition=T.IntegerType(), segment=T.LongType()).fields
