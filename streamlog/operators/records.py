@@ -6,9 +6,9 @@ NULL partition leaves the choice to the sink.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 OUTPUT_COLUMNS = ["topic", "partition", "timestamp", "key", "value"]
@@ -38,6 +38,23 @@ def from_pairs(pairs: DataFrame, topic: str, partition: int) -> DataFrame:
     return pairs.select(F.lit(topic).alias("topic"), F.lit(partition).cast("int").alias("partition"), "*")
 
 
+def from_map(
+    spark: SparkSession,
+    partitions: Mapping[tuple[str, int], Sequence[tuple]],
+    key_type: str = "string",
+    value_type: str = "string",
+) -> DataFrame:
+    """Records from ``{(topic, partition): [(key, value), ...]}``, for tests; offsets are list positions."""
+    data = [
+        (topic, partition, offset, key, value)
+        for (topic, partition), pairs in partitions.items()
+        for offset, (key, value) in enumerate(pairs)
+    ]
+    return spark.createDataFrame(
+        data, f"topic string, partition int, offset bigint, key {key_type}, value {value_type}"
+    )
+
+
 def _as_column(topic: str | Column) -> Column:
     return F.lit(topic) if isinstance(topic, str) else topic
 

@@ -53,20 +53,20 @@ def subscribe_topics(spark, sf_dir):
 @query
 def subscribe_committed(spark, sf_dir):
     log = fx.event_log(spark, sf_dir)
-    return log.subscribe(["click", "purchase"], fx.user_store(log), reset="latest").select(*PLACE, "value")
+    return log.subscribe(["click", "purchase"], fx.user_store(log.end_offsets()), reset="latest").select(*PLACE, "value")
 
 
 @query
 def resume_committed(spark, sf_dir):
     log = fx.event_log(spark, sf_dir)
-    return log.subscribe(["click"], fx.user_store(log), reset="earliest").select(*PLACE)
+    return log.subscribe(["click"], fx.user_store(log.end_offsets()), reset="earliest").select(*PLACE)
 
 
 @query
 def resume_from_offset_store(spark, sf_dir):
     log = fx.event_log(spark, sf_dir)
     return (
-        log.resume(fx.user_store(log), reset="earliest")
+        log.resume(fx.user_store(log.end_offsets()), reset="earliest")
         .groupBy(*TOPIC_PARTITION)
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -82,6 +82,13 @@ def assign_partitions(spark, sf_dir):
     return log.assign([("click", 0), ("click", 2), ("view", 1)]).select(*PLACE, "value")
 
 
+@query
+def assign_committed(spark, sf_dir):
+    log = fx.event_log(spark, sf_dir)
+    chosen = [("click", 0), ("click", 3), ("view", 1)]
+    return log.assign(chosen, fx.user_store(log.end_offsets()), reset="earliest").select(*PLACE)
+
+
 @query
 def seek_offsets(spark, sf_dir):
     log = fx.event_log(spark, sf_dir)
@@ -100,8 +107,8 @@ def seek_timestamp(spark, sf_dir):
 
 @query
 def reset_latest(spark, sf_dir):
-    log = fx.event_log(spark, sf_dir)
-    return off.start_offsets(log.end_offsets(), fx.user_store(log), reset="latest")
+    ends = fx.event_log(spark, sf_dir).end_offsets()
+    return off.start_offsets(ends, fx.user_store(ends), reset="latest")
 
 
 @query
@@ -247,14 +254,14 @@ def offsets_text(spark, sf_dir):
 
 @query
 def offsets_keep_only(spark, sf_dir):
-    log = fx.event_log(spark, sf_dir)
-    return off.keep_only(log.end_offsets(), fx.user_store(log))
+    ends = fx.event_log(spark, sf_dir).end_offsets()
+    return off.keep_only(ends, fx.user_store(ends))
 
 
 @query
 def offsets_remove(spark, sf_dir):
-    log = fx.event_log(spark, sf_dir)
-    return off.remove(log.end_offsets(), fx.user_store(log))
+    ends = fx.event_log(spark, sf_dir).end_offsets()
+    return off.remove(ends, fx.user_store(ends))
 
 
 @query
@@ -290,21 +297,21 @@ def confirm_match(spark, sf_dir):
 
 @query
 def commit_clip(spark, sf_dir):
-    log = fx.event_log(spark, sf_dir)
-    return delivery.commit_clip(log.end_offsets(), fx.user_store(log))
+    ends = fx.event_log(spark, sf_dir).end_offsets()
+    return delivery.commit_clip(ends, fx.user_store(ends))
 
 
 @query
 def commit_upsert(spark, sf_dir):
-    log = fx.event_log(spark, sf_dir)
-    return delivery.commit_upsert(fx.user_store(log), log.end_offsets().filter(F.col("topic") != "error"))
+    ends = fx.event_log(spark, sf_dir).end_offsets()
+    return delivery.commit_upsert(fx.user_store(ends), ends.filter(F.col("topic") != "error"))
 
 
 @query
 def commit_confirmed(spark, sf_dir):
     log = fx.event_log(spark, sf_dir)
     delivered = fx.deliveries(log.records())
-    stored = fx.user_store(log).withColumn("offset", F.lit(0).cast("long"))
+    stored = fx.user_store(log.end_offsets()).withColumn("offset", F.lit(0).cast("long"))
     return delivery.commit_confirmed(stored, delivered, fx.confirmations(delivered))
 
 
@@ -332,14 +339,14 @@ def redelivery_timeline(spark, sf_dir):
 
 @query
 def resume_plan_group(spark, sf_dir):
-    log = fx.event_log(spark, sf_dir)
-    return delivery.resume_plan("auto_partition", log.end_offsets(), committed=fx.user_store(log))
+    ends = fx.event_log(spark, sf_dir).end_offsets()
+    return delivery.resume_plan("auto_partition", ends, committed=fx.user_store(ends))
 
 
 @query
 def resume_plan_manual(spark, sf_dir):
-    log = fx.event_log(spark, sf_dir)
-    return delivery.resume_plan("manual_offset", log.end_offsets(), confirmed=fx.user_store(log))
+    ends = fx.event_log(spark, sf_dir).end_offsets()
+    return delivery.resume_plan("manual_offset", ends, confirmed=fx.user_store(ends))
 
 
 # -- writing --------------------------------------------------------------

@@ -34,6 +34,9 @@ STATEMENTS = {
     "resume_from_offset_store": """WITH $LOG, $OFFS, $STORE SELECT l.topic, l."partition", count(*) AS n, min(l."offset") AS first_offset, max(l."offset") + 1 AS next_offset
   FROM log l LEFT JOIN store s ON l.topic = s.topic AND l."partition" = s."partition" WHERE l."offset" >= coalesce(s."offset", 0) GROUP BY l.topic, l."partition" """,
     "assign_partitions": """WITH $LOG SELECT topic, "partition", "offset", "value" FROM log WHERE (topic = 'click' AND "partition" IN (0, 2)) OR (topic = 'view' AND "partition" = 1)""",
+    "assign_committed": """WITH $LOG, $OFFS, $STORE SELECT l.topic, l."partition", l."offset" FROM log l
+  LEFT JOIN store s ON l.topic = s.topic AND l."partition" = s."partition"
+  WHERE ((l.topic = 'click' AND l."partition" IN (0, 3)) OR (l.topic = 'view' AND l."partition" = 1)) AND l."offset" >= coalesce(s."offset", 0)""",
     "seek_offsets": """WITH $LOG SELECT topic, "partition", "offset", "value" FROM log WHERE (topic = 'click' AND "partition" = 0 AND "offset" >= 25) OR (topic = 'click' AND "partition" = 1 AND "offset" >= 40)""",
     "offsets_for_times": """WITH $LOG SELECT topic, "partition", min("offset") FILTER (WHERE "timestamp" >= TIMESTAMP '2024-01-10 00:00:00') AS "offset" FROM log GROUP BY topic, "partition" """,
     "seek_timestamp": """WITH $LOG, st AS (SELECT topic, "partition", min("offset") AS o FROM log WHERE "timestamp" >= TIMESTAMP '2024-01-10 00:00:00' GROUP BY topic, "partition")

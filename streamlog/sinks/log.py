@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from streamlog.model import ACKS_SCHEMA, TOPIC_PARTITION
 from streamlog.operators.numbering import assign_offsets
+from streamlog.session import materialize
 from streamlog.sources.topic_log import FOLDER_FIELDS, SEGMENT_ROWS, TopicLog
 
 
@@ -73,7 +74,8 @@ def send(
     """Append output records after the present end of the log; returns one acknowledgement each.
 
     Rows with a non-NULL ``error`` column are not written and acknowledged as
-    failed. One writer at a time: the end offsets are read first.
+    failed. One writer at a time: the end offsets are read first, and again
+    after the write to tell which records were added.
     """
     spark = records.sparkSession
     failed = None
@@ -81,9 +83,10 @@ def send(
         failed = records.filter(F.col("error").isNotNull())
         records = records.filter(F.col("error").isNull()).drop("error")
     addressed = records.withColumn("partition", choose_partition(partitions))
-    numbered = assign_offsets(addressed, order_by, log.end_offsets())
-    write_numbered(numbered, log)
-    acks = numbered.select(
+    start = materialize(log.end_offsets(), "ends")
+    write_numbered(assign_offsets(addressed, order_by, start), log)
+    # Read back what was written rather than number the records a second time.
+    acks = log.between(start, log.end_offsets()).select(
         F.lit(batch_id).cast("long").alias("batch_id"), *TOPIC_PARTITION, "offset",
         F.lit("success").alias("status"), F.lit(None).cast("string").alias("error"),
     )

@@ -10,6 +10,8 @@ import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
 
+from pyspark.sql import DataFrame, SparkSession
+
 from streamlog.operators.offsets import EARLIEST, LATEST, starting_offsets_json
 
 # The default settings of a consumer, as property texts.
@@ -164,3 +166,26 @@ def seek_times(times_ms: Mapping[tuple[str, int], int], strategy: str = "error")
         "startingOffsetsByTimestamp": starting_offsets_json(times_ms),
         "startingOffsetsByTimestampStrategy": strategy,
     }
+
+
+def read(spark: SparkSession, conf: ConsumerConf, subscription: Mapping[str, str], **options) -> DataFrame:
+    """Bounded read of what the topics hold now."""
+    settings = {**conf.source_options(), "startingOffsets": "earliest", **subscription, **_texts(options)}
+    return spark.read.format("kafka").options(**settings).load()
+
+
+def read_stream(
+    spark: SparkSession,
+    conf: ConsumerConf,
+    subscription: Mapping[str, str],
+    max_offsets_per_trigger: int | None = None,
+    **options,
+) -> DataFrame:
+    """Stream of the subscription. Keys and values are bytes, to be decoded by a codec."""
+    settings = {**conf.source_options(max_offsets_per_trigger), **subscription, **_texts(options)}
+    return spark.readStream.format("kafka").options(**settings).load()
+
+
+def write(records: DataFrame, conf: ProducerConf) -> None:
+    """Blocking write of output records."""
+    records.write.format("kafka").options(**conf.sink_options()).save()

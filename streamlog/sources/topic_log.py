@@ -19,7 +19,7 @@ from streamlog.model import TOPIC_PARTITION, struct_of
 from streamlog.operators import offsets as off
 from streamlog.operators.records import expect_at_least
 
-SEGMENT_ROWS = 2_000_000
+SEGMENT_ROWS = 10_000_000
 META_SCHEMA = struct_of(segment_rows=T.LongType(), fields=T.StringType())
 
 FOLDER_FIELDS = struct_of(topic=T.StringType(), partition=T.IntegerType(), segment=T.LongType()).fields
@@ -151,21 +151,30 @@ class TopicLog:
         Without a commit table the whole topics are read. With one, partitions
         that are not in it start where ``reset`` says.
         """
-        topics = list(topics)
-        chosen = self._stored().filter(F.col("topic").isin(topics))
+        return self._start(F.col("topic").isin(list(topics)), committed, reset)
+
+    def assign(
+        self,
+        partitions: Iterable[tuple[str, int]],
+        committed: DataFrame | None = None,
+        reset: str = "latest",
+    ) -> DataFrame:
+        """Named partitions only; commits and ``reset`` as for :meth:`subscribe`."""
+        return self._start(_any_of(self._is(t, p) for t, p in partitions), committed, reset)
+
+    def _start(self, mine: Column, committed: DataFrame | None, reset: str) -> DataFrame:
+        chosen = self._stored().filter(mine)
         if committed is None:
             return self._present(chosen)
-        return self._resume(chosen, committed, reset, topics)
+        return self._resume(chosen, committed.filter(mine), reset)
 
     def resume(self, stored: DataFrame, reset: str = "earliest") -> DataFrame:
         """All topics, from offsets of the user's own store; partitions not in it follow ``reset``."""
-        return self._resume(self._stored(), stored, reset, None)
+        return self._resume(self._stored(), stored, reset)
 
-    def _resume(self, chosen: DataFrame, stored: DataFrame, reset: str, topics: list[str] | None) -> DataFrame:
+    def _resume(self, chosen: DataFrame, stored: DataFrame, reset: str) -> DataFrame:
         if reset not in ("earliest", "latest"):
             raise ValueError(f"unknown reset policy {reset!r}")
-        if topics is not None:
-            stored = stored.filter(F.col("topic").isin(topics))
         rows = off.bounded_rows(stored.select(*TOPIC_PARTITION, "offset"), off.LITERAL_LIMIT)
         if rows is None:
             start = stored.select(*TOPIC_PARTITION, F.col("offset").alias("_start"))
@@ -188,10 +197,6 @@ class TopicLog:
             return (F.col("offset") >= offset) & (F.col("segment") >= F.floor(offset / self.segment_rows))
         return (F.col("segment") >= offset // self.segment_rows) & (F.col("offset") >= offset)
 
-    def assign(self, partitions: Iterable[tuple[str, int]]) -> DataFrame:
-        """Named partitions only."""
-        return self._present(self._stored().filter(_any_of(self._is(t, p) for t, p in partitions)))
-
     def seek(self, offsets: Mapping[tuple[str, int], int] | DataFrame) -> DataFrame:
         """Only the partitions in ``offsets``, each from its offset on."""
         if isinstance(offsets, DataFrame):
@@ -234,6 +239,25 @@ class TopicLog:
             self._stored().filter(_any_of(self._is(t, p) & window(o) for (t, p), o in start.items()))
         )
 
+    def between(self, begin: DataFrame, end: DataFrame) -> DataFrame:
+        """Per partition the offsets from ``begin`` (0 if it is not there) up to before ``end``."""
+        first = begin.select(*TOPIC_PARTITION, F.col("offset").alias("_begin"))
+        ranges = end.select(*TOPIC_PARTITION, F.col("offset").alias("_end")).join(first, TOPIC_PARTITION, "left")
+        ranges = ranges.select(*TOPIC_PARTITION, F.coalesce("_begin", F.lit(0)).alias("_begin"), "_end")
+        rows = off.bounded_rows(ranges, off.LITERAL_LIMIT)
+        if rows is None:
+            inside = self._from(F.col("_begin")) & (F.col("offset") < F.col("_end"))
+            return self._present(off.join_small(self._stored(), ranges).filter(inside))
+        return self._present(
+            self._stored().filter(
+                _any_of(
+                    self._is(r["topic"], r["partition"]) & self._from(r["_begin"])
+                    & (F.col("segment") <= r["_end"] // self.segment_rows) & (F.col("offset") < r["_end"])
+                    for r in rows
+                )
+            )
+        )
+
     def consume(self, topic: str, expected: int) -> DataFrame:
         """Bounded read of a topic as pairs; raises if it has fewer records than expected."""
         return expect_at_least(self.subscribe([topic]), expected).select("key", "value")

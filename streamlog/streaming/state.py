@@ -44,27 +44,43 @@ class StateStore:
         self.update = dict(update)
 
     def _current(self):
+        """The last marker: batch and slot."""
         log = read_or_empty(self.spark, f"{self.path}/current", CURRENT_SCHEMA)
         return log.orderBy(F.desc("batch_id")).first()
 
+    def _slot_of(self, batch_id: int) -> int | None:
+        folder = f"{self.path}/current/batch_id={batch_id}"
+        row = read_or_empty(self.spark, folder, struct_of(slot=T.IntegerType())).first()
+        return None if row is None else row["slot"]
+
     def read(self) -> DataFrame:
         """State after the last applied batch."""
         current = self._current()
-        if current is None:
+        return self._snapshot(None if current is None else current["slot"])
+
+    def _snapshot(self, slot: int | None) -> DataFrame:
+        if slot is None:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/slot={current['slot']}")
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/slot={slot}")
 
     def apply(self, records: DataFrame, batch_id: int) -> bool:
         """Merge one batch into the state; False if it had been applied before."""
-        current = self._current()
-        if current is not None and current["batch_id"] >= batch_id:
+        if self._slot_of(batch_id) is not None:
             return False
-        slot = 0 if current is None else 1 - current["slot"]
+        # Batches come one after the other, so the marker before this one is
+        # nearly always the current one and the others need not be listed.
+        old = self._slot_of(batch_id - 1)
+        if old is None:
+            current = self._current()
+            if current is not None and current["batch_id"] > batch_id:
+                return False
+            old = None if current is None else current["slot"]
+        slot = 0 if old is None else 1 - old
         fresh = records.groupBy(*self.keys).agg(
             *[aggregate.alias(name) for name, (aggregate, _) in self.update.items()]
         )
         merged = (
-            self.read().unionByName(fresh)
+            self._snapshot(old).unionByName(fresh)
             .groupBy(*self.keys)
             .agg(*[merge(name).alias(name) for name, (_, merge) in self.update.items()])
         )

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from streamlog.operators.delivery import MAX_REDELIVERIES, SCHEDULE_INTERVAL_MS, UNCONFIRMED_TIMEOUT_MS
 from streamlog.sources import kafka
@@ -71,3 +72,15 @@ def test_delivery_options():
         SCHEDULE_INTERVAL_MS, UNCONFIRMED_TIMEOUT_MS, MAX_REDELIVERIES
     )
     assert conf.with_conf({"unconfirmed.timeout": 5000, "other": 1}) == kafka.DeliveryConf(1000, 5000, 3)
+
+
+def test_reads_and_writes_go_to_the_connector(spark):
+    """Without the connector Spark names the missing source; nothing else can be seen here."""
+    conf, out = kafka.ConsumerConf.create("g"), kafka.ProducerConf.create()
+    for job in (
+        lambda: kafka.read(spark, conf, kafka.subscribe(["t"])),
+        lambda: kafka.read_stream(spark, conf, kafka.assign([("t", 0)]), 100),
+        lambda: kafka.write(spark.range(0).selectExpr("'t' topic", "'v' value"), out),
+    ):
+        with pytest.raises(AnalysisException, match="kafka"):
+            job()

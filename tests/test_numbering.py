@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from streamlog.operators import offsets as off
 from streamlog.operators.numbering import assign_offsets, range_split, with_next
-from streamlog.operators.records import from_pairs, from_values
+from streamlog.operators.records import from_map, from_pairs, from_values
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -97,3 +97,9 @@ def test_next_row_of_the_group_across_pieces(events, splits):
     expected = data.withColumn("next", F.lead("timestamp").over(window))
     actual = with_next(data, ["user"], ["timestamp", "event_id"], F.col("timestamp"), "next", splits)
     assert rows(actual) == rows(expected)
+
+
+def test_records_from_a_map_of_partitions(spark):
+    log = from_map(spark, {("t", 0): [("foo", 1), (None, 2)], ("t", 1): [], ("u", 3): [("bar", 3)]}, value_type="int")
+    assert rows(log) == [("t", 0, 0, "foo", 1), ("t", 0, 1, None, 2), ("u", 3, 0, "bar", 3)]
+    assert rows(off.positions(log)) == [("t", 0, 2), ("u", 3, 1)]
