@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streamlog.functions.numbers import whole_div
 from streamlog.model import TOPIC_PARTITION
 from streamlog.operators import offsets as off
 
@@ -87,9 +88,7 @@ def redelivery_plan(
     result = deliveries.withColumn("delay_ms", delay_ms)
     if timeout_ms <= 0:
         return result.withColumns({"sends": F.lit(1).cast("long"), "backoffs": F.lit(0).cast("long")})
-    fired = F.when(F.col("delay_ms") <= 0, F.lit(0).cast("long")).otherwise(
-        F.floor((F.col("delay_ms") - 1) / F.lit(timeout_ms))
-    )
+    fired = F.when(F.col("delay_ms") <= 0, 0).otherwise(whole_div(F.col("delay_ms") - 1, timeout_ms))
     most = F.lit(max_redeliveries).cast("long")
     return (
         result.withColumn("_fired", F.when(F.col("delay_ms").isNotNull(), fired))

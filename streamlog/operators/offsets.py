@@ -8,7 +8,9 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from streamlog.functions.numbers import whole_div
 from streamlog.model import OFFSETS_SCHEMA, TOPIC_PARTITION
+from streamlog.session import materialize
 
 LITERAL_LIMIT = 256
 BROADCAST_LIMIT = 200_000
@@ -117,26 +119,25 @@ def batch_positions(
     """Positions carried with every batch, for all assigned partitions.
 
     A partition without rows in a batch keeps its last position, 0 before its
-    first record. Batch numbers are integers. The running maximum is taken
-    inside chunks of batch numbers and completed with the maximum of the
-    earlier chunks, so no task holds the whole history of a partition.
+    first record. Batch numbers are integers. The log is read once, into a table
+    of the positions reached by each batch. The running maximum is taken inside
+    chunks of batch numbers and completed with the maximum of the earlier
+    chunks, so no task holds the whole history of a partition.
     """
+    reached = records.groupBy(batch, *TOPIC_PARTITION).agg((F.max("offset") + 1).alias("_next"))
+    reached = materialize(reached, "reached")
     tps = F.array(*[F.struct(F.lit(t).alias("topic"), F.lit(p).alias("partition")) for t, p in assigned])
     wanted = (
-        records.select(batch).distinct()
+        reached.select(batch).distinct()
         .select(batch, F.explode(tps).alias("tp"))
         .select(batch, "tp.topic", "tp.partition", F.lit(None).cast("long").alias("_next"), F.lit(True).alias("_listed"))
     )
-    reached = (
-        records.groupBy(batch, *TOPIC_PARTITION).agg((F.max("offset") + 1).alias("_next"))
-        .withColumn("_listed", F.lit(False))
-    )
     grid = (
-        wanted.unionByName(reached)
+        wanted.unionByName(reached.withColumn("_listed", F.lit(False)))
         .groupBy(batch, *TOPIC_PARTITION)
         .agg(F.max("_next").alias("_next"), F.max("_listed").alias("_listed"))
         .filter("_listed")
-        .withColumn("_chunk", F.floor(F.col(batch) / F.lit(chunk)))
+        .withColumn("_chunk", whole_div(batch, chunk))
     )
     per_chunk = grid.groupBy(*TOPIC_PARTITION, "_chunk").agg(F.max("_next").alias("_top"))
     before = Window.partitionBy(*TOPIC_PARTITION).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

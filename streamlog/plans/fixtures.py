@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamlog.functions.numbers import whole_div
 from streamlog.model import TOPIC_PARTITION
-from streamlog.session import scratch_path
+from streamlog.session import materialize, scratch_path
 from streamlog.sinks.log import publish
 from streamlog.sources.topic_log import TopicLog
 
@@ -72,20 +73,17 @@ def user_store(ends: DataFrame) -> DataFrame:
 
 
 def in_batches(records: DataFrame) -> DataFrame:
-    return records.withColumn("batch_no", F.floor(F.col("event_id") / BATCH_EVENTS))
+    return records.withColumn("batch_no", whole_div("event_id", BATCH_EVENTS))
 
 
 def in_transactions(records: DataFrame) -> DataFrame:
-    return records.withColumn("transaction", F.floor(F.col("event_id") / TRANSACTION_EVENTS))
+    return records.withColumn("transaction", whole_div("event_id", TRANSACTION_EVENTS))
 
 
 def deliveries(records: DataFrame) -> DataFrame:
-    """Offsets delivered with each batch."""
-    return (
-        in_batches(records)
-        .groupBy("batch_no", *TOPIC_PARTITION)
-        .agg((F.max("offset") + 1).alias("offset"))
-    )
+    """Offsets delivered with each batch, stored: they are asked for more than once."""
+    reached = in_batches(records).groupBy("batch_no", *TOPIC_PARTITION)
+    return materialize(reached.agg((F.max("offset") + 1).alias("offset")), "deliveries")
 
 
 def confirmations(delivered: DataFrame) -> DataFrame:

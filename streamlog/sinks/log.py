@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamlog.functions.numbers import whole_div
 from streamlog.model import ACKS_SCHEMA, TOPIC_PARTITION
 from streamlog.operators.numbering import assign_offsets
 from streamlog.session import materialize
@@ -42,7 +43,7 @@ def write_numbered(numbered: DataFrame, log: TopicLog) -> None:
     """
     columns = [*log.schema.names]
     (
-        numbered.withColumn("segment", F.floor(F.col("offset") / F.lit(log.segment_rows)))
+        numbered.withColumn("segment", whole_div("offset", log.segment_rows))
         .select(*columns)
         .sortWithinPartitions(*TOPIC_PARTITION, "segment", "offset")
         .write.mode("append")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamlog.functions.numbers import whole_div
 from streamlog.model import TOPIC_PARTITION, struct_of
 from streamlog.operators import offsets as off
 from streamlog.operators.records import expect_at_least
@@ -194,7 +195,7 @@ class TopicLog:
 
     def _from(self, offset: int | Column) -> Column:
         if isinstance(offset, Column):
-            return (F.col("offset") >= offset) & (F.col("segment") >= F.floor(offset / self.segment_rows))
+            return (F.col("offset") >= offset) & (F.col("segment") >= whole_div(offset, self.segment_rows))
         return (F.col("segment") >= offset // self.segment_rows) & (F.col("offset") >= offset)
 
     def seek(self, offsets: Mapping[tuple[str, int], int] | DataFrame) -> DataFrame:
