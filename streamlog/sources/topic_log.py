@@ -8,9 +8,11 @@ predicates on these folders, so a seek opens only the files it needs.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,8 @@ from streamlog.operators import offsets as off
 from streamlog.operators.records import expect_at_least
 
 SEGMENT_ROWS = 10_000_000
+# Names whose folder is called like the topic itself.
+PLAIN_NAME = re.compile(r"[A-Za-z0-9._-]+")
 META_SCHEMA = struct_of(segment_rows=T.LongType(), fields=T.StringType())
 
 FOLDER_FIELDS = struct_of(topic=T.StringType(), partition=T.IntegerType(), segment=T.LongType()).fields
@@ -42,6 +46,10 @@ def _any_of(conditions: Iterable[Column]) -> Column:
     return terms[0]
 
 
+def _is(topic: str, partition: int) -> Column:
+    return (F.col("topic") == topic) & (F.col("partition") == partition)
+
+
 class TopicLog:
     """A stored log; every read method returns a lazy DataFrame of records."""
 
@@ -61,9 +69,23 @@ class TopicLog:
     def data_path(self) -> str:
         return f"{self.path}/data"
 
-    def _stored(self) -> DataFrame:
+    def _stored(self, topics: Iterable[str] | None = None) -> DataFrame:
+        """Stored rows; with ``topics`` only their folders are listed, if that is possible."""
         # Types are given: a topic named "007" must not be read as a number.
-        return self.spark.read.schema(self.schema).parquet(self.data_path)
+        reader = self.spark.read.schema(self.schema).option("basePath", self.data_path)
+        names = None if topics is None else sorted(set(topics))
+        if names and all(PLAIN_NAME.fullmatch(name) for name in names):
+            try:
+                return reader.parquet(*[f"{self.data_path}/topic={name}" for name in names])
+            except AnalysisException as problem:
+                # A topic without records has no folder.
+                if problem.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        return reader.parquet(self.data_path)
+
+    def _source(self, topics: Iterable[str] | None = None) -> DataFrame:
+        """What the subscriptions below read from."""
+        return self._stored(topics)
 
     def _present(self, stored: DataFrame) -> DataFrame:
         columns = [c for c in self.schema.names if c not in (*TOPIC_PARTITION, "segment")]
@@ -71,7 +93,7 @@ class TopicLog:
 
     def records(self) -> DataFrame:
         """All records."""
-        return self._present(self._stored())
+        return self._present(self._source())
 
     def is_empty(self) -> bool:
         """Whether nothing was ever written; a log does not become empty again."""
@@ -106,18 +128,15 @@ class TopicLog:
             listed = listed.filter(F.col("topic") == topic)
         edge = listed.groupBy(*TOPIC_PARTITION).agg(segment.alias("segment"))
         rows = off.bounded_rows(edge, off.LITERAL_LIMIT)
+        stored = self._stored(None if topic is None else [topic])
         if rows is None:
             # Too many for a predicate: the join prunes folders while running.
             keys = [*TOPIC_PARTITION, "segment"]
             fits = edge.limit(off.BROADCAST_LIMIT + 1).count() <= off.BROADCAST_LIMIT
             edge = edge.filter("segment >= 0")
-            return self._stored().join(F.broadcast(edge) if fits else edge, keys, "left_semi")
-        return self._stored().filter(
-            _any_of(
-                (F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"])
-                & (F.col("segment") == r["segment"])
-                for r in rows
-            )
+            return stored.join(F.broadcast(edge) if fits else edge, keys, "left_semi")
+        return stored.filter(
+            _any_of(_is(r["topic"], r["partition"]) & (F.col("segment") == r["segment"]) for r in rows)
         )
 
     def end_offsets(self) -> DataFrame:
@@ -135,9 +154,8 @@ class TopicLog:
 
     def offsets_for_times(self, times: Column | DataFrame) -> DataFrame:
         """First offset at or after a time per partition, NULL past the end."""
-        return off.offsets_for_times(
-            self.records(), times, None if isinstance(times, DataFrame) else self.partitions()
-        )
+        partitions = None if isinstance(times, DataFrame) else self.partitions()
+        return off.offsets_for_times(self._present(self._stored()), times, partitions)
 
     # -- subscriptions ----------------------------------------------------
 
@@ -152,7 +170,8 @@ class TopicLog:
         Without a commit table the whole topics are read. With one, partitions
         that are not in it start where ``reset`` says.
         """
-        return self._start(F.col("topic").isin(list(topics)), committed, reset)
+        topics = list(topics)
+        return self._start(F.col("topic").isin(topics), topics, committed, reset)
 
     def assign(
         self,
@@ -161,17 +180,19 @@ class TopicLog:
         reset: str = "latest",
     ) -> DataFrame:
         """Named partitions only; commits and ``reset`` as for :meth:`subscribe`."""
-        return self._start(_any_of(self._is(t, p) for t, p in partitions), committed, reset)
+        partitions = list(partitions)
+        mine = _any_of(_is(topic, partition) for topic, partition in partitions)
+        return self._start(mine, [topic for topic, _ in partitions], committed, reset)
 
-    def _start(self, mine: Column, committed: DataFrame | None, reset: str) -> DataFrame:
-        chosen = self._stored().filter(mine)
+    def _start(self, mine: Column, topics: list[str], committed: DataFrame | None, reset: str) -> DataFrame:
+        chosen = self._source(topics).filter(mine)
         if committed is None:
             return self._present(chosen)
         return self._resume(chosen, committed.filter(mine), reset)
 
     def resume(self, stored: DataFrame, reset: str = "earliest") -> DataFrame:
         """All topics, from offsets of the user's own store; partitions not in it follow ``reset``."""
-        return self._resume(self._stored(), stored, reset)
+        return self._resume(self._source(), stored, reset)
 
     def _resume(self, chosen: DataFrame, stored: DataFrame, reset: str) -> DataFrame:
         if reset not in ("earliest", "latest"):
@@ -180,36 +201,43 @@ class TopicLog:
         if rows is None:
             start = stored.select(*TOPIC_PARTITION, F.col("offset").alias("_start"))
             how = "left" if reset == "earliest" else "inner"
-            from_start = self._from(F.coalesce("_start", F.lit(0)))
+            from_start = self._inside(F.coalesce("_start", F.lit(0)))
             return self._present(off.join_small(chosen, start, how).filter(from_start))
-        known = _any_of(self._is(r["topic"], r["partition"]) for r in rows)
-        wanted = _any_of(
-            self._is(r["topic"], r["partition"]) & self._from(r["offset"]) for r in rows
-        )
+        wanted = _any_of(_is(r["topic"], r["partition"]) & self._inside(r["offset"]) for r in rows)
+        known = _any_of(_is(r["topic"], r["partition"]) for r in rows)
         # A partition reset to latest has nothing to read yet.
         return self._present(chosen.filter(wanted | ~known if reset == "earliest" else wanted))
 
-    @staticmethod
-    def _is(topic: str, partition: int) -> Column:
-        return (F.col("topic") == topic) & (F.col("partition") == partition)
+    def _inside(self, begin: int | Column, end: int | Column | None = None) -> Column:
+        """Offsets from ``begin`` up to before ``end``, with the segments that can hold them."""
+        begin = begin if isinstance(begin, Column) else F.lit(begin)
+        inside = (F.col("segment") >= whole_div(begin, self.segment_rows)) & (F.col("offset") >= begin)
+        if end is None:
+            return inside
+        end = end if isinstance(end, Column) else F.lit(end)
+        return inside & (F.col("segment") <= whole_div(end, self.segment_rows)) & (F.col("offset") < end)
+
+    def _ranges(self, ranges: DataFrame) -> DataFrame:
+        """Records of a table ``topic, partition, _begin, _end``; no end if that is NULL."""
+        rows = off.bounded_rows(ranges.select(*TOPIC_PARTITION, "_begin", "_end"), off.LITERAL_LIMIT)
+        if rows is None:
+            unbounded = F.lit(2**63 - 1)
+            inside = self._inside(F.col("_begin"), F.coalesce("_end", unbounded))
+            return self._present(off.join_small(self._source(), ranges).filter(inside))
+        wanted = _any_of(
+            _is(r["topic"], r["partition"]) & self._inside(r["_begin"], r["_end"]) for r in rows
+        )
+        return self._present(self._source([r["topic"] for r in rows]).filter(wanted))
 
-    def _from(self, offset: int | Column) -> Column:
-        if isinstance(offset, Column):
-            return (F.col("offset") >= offset) & (F.col("segment") >= whole_div(offset, self.segment_rows))
-        return (F.col("segment") >= offset // self.segment_rows) & (F.col("offset") >= offset)
+    def offsets_table(self, offsets: Mapping[tuple[str, int], int] | DataFrame) -> DataFrame:
+        return offsets if isinstance(offsets, DataFrame) else off.of(self.spark, offsets)
 
     def seek(self, offsets: Mapping[tuple[str, int], int] | DataFrame) -> DataFrame:
         """Only the partitions in ``offsets``, each from its offset on."""
-        if isinstance(offsets, DataFrame):
-            rows = off.bounded_rows(offsets.select(*TOPIC_PARTITION, "offset"), off.LITERAL_LIMIT)
-            if rows is None:
-                start = offsets.select(*TOPIC_PARTITION, F.col("offset").alias("_start"))
-                return self._present(
-                    off.join_small(self._stored(), start).filter(self._from(F.col("_start")))
-                )
-            offsets = {(r["topic"], r["partition"]): r["offset"] for r in rows}
-        return self._present(
-            self._stored().filter(_any_of(self._is(t, p) & self._from(o) for (t, p), o in offsets.items()))
+        return self._ranges(
+            self.offsets_table(offsets).select(
+                *TOPIC_PARTITION, F.col("offset").alias("_begin"), F.lit(None).cast("long").alias("_end")
+            )
         )
 
     def seek_times(self, times: Column | DataFrame, strategy: str = "latest") -> DataFrame:
@@ -223,39 +251,24 @@ class TopicLog:
             raise ValueError(f"unknown strategy {strategy!r}")
         return self.seek(found.filter(F.col("offset").isNotNull()))
 
-    def bounded(self, max_records: int, start: Mapping[tuple[str, int], int] | None = None) -> DataFrame:
+    def bounded(
+        self, max_records: int, start: Mapping[tuple[str, int], int] | DataFrame | None = None
+    ) -> DataFrame:
         """One bounded batch: at most ``max_records`` per partition from ``start`` (default 0)."""
-
-        def window(begin: int) -> Column:
-            end = begin + max_records
-            return (
-                (F.col("segment") >= begin // self.segment_rows)
-                & (F.col("segment") <= (end - 1) // self.segment_rows)
-                & (F.col("offset") >= begin) & (F.col("offset") < end)
-            )
-
         if start is None:
-            return self._present(self._stored().filter(window(0)))
-        return self._present(
-            self._stored().filter(_any_of(self._is(t, p) & window(o) for (t, p), o in start.items()))
+            return self._present(self._source().filter(self._inside(0, max_records)))
+        begin = F.col("offset")
+        return self._ranges(
+            self.offsets_table(start).select(*TOPIC_PARTITION, begin.alias("_begin"), (begin + max_records).alias("_end"))
         )
 
     def between(self, begin: DataFrame, end: DataFrame) -> DataFrame:
         """Per partition the offsets from ``begin`` (0 if it is not there) up to before ``end``."""
-        first = begin.select(*TOPIC_PARTITION, F.col("offset").alias("_begin"))
-        ranges = end.select(*TOPIC_PARTITION, F.col("offset").alias("_end")).join(first, TOPIC_PARTITION, "left")
-        ranges = ranges.select(*TOPIC_PARTITION, F.coalesce("_begin", F.lit(0)).alias("_begin"), "_end")
-        rows = off.bounded_rows(ranges, off.LITERAL_LIMIT)
-        if rows is None:
-            inside = self._from(F.col("_begin")) & (F.col("offset") < F.col("_end"))
-            return self._present(off.join_small(self._stored(), ranges).filter(inside))
-        return self._present(
-            self._stored().filter(
-                _any_of(
-                    self._is(r["topic"], r["partition"]) & self._from(r["_begin"])
-                    & (F.col("segment") <= r["_end"] // self.segment_rows) & (F.col("offset") < r["_end"])
-                    for r in rows
-                )
+        first = begin.select(*TOPIC_PARTITION, F.col("offset").alias("_first"))
+        ranges = end.join(first, TOPIC_PARTITION, "left")
+        return self._ranges(
+            ranges.select(
+                *TOPIC_PARTITION, F.coalesce("_first", F.lit(0)).alias("_begin"), F.col("offset").alias("_end")
             )
         )
 
@@ -263,11 +276,38 @@ class TopicLog:
         """Bounded read of a topic as pairs; raises if it has fewer records than expected."""
         return expect_at_least(self.subscribe([topic]), expected).select("key", "value")
 
+    def as_stream(self, max_files: int | None = None, max_bytes: str | int | None = None) -> "StreamedLog":
+        """The same log to be read as streams, with the same subscriptions.
+
+        One micro-batch takes at most ``max_files`` files or ``max_bytes`` bytes.
+        """
+        return StreamedLog(self, max_files, max_bytes)
+
     def stream(self, max_files: int | None = None, max_bytes: str | int | None = None) -> DataFrame:
-        """The log as a stream; one batch takes at most ``max_files`` files or ``max_bytes``."""
+        """All records as a stream."""
+        return self.as_stream(max_files, max_bytes).records()
+
+
+class StreamedLog(TopicLog):
+    """A log whose subscriptions give streaming DataFrames; offsets are still looked up in the table.
+
+    The start of a stream must not change when it is restarted from its
+    checkpoint. ``reset="latest"`` would, so it is refused: fix the start once
+    with :func:`streamlog.operators.offsets.start_offsets` and pass that table.
+    """
+
+    def __init__(self, log: TopicLog, max_files: int | None, max_bytes: str | int | None):
+        super().__init__(log.spark, log.path, log.schema, log.segment_rows)
+        self.options = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
+
+    def _source(self, topics: Iterable[str] | None = None) -> DataFrame:
         reader = self.spark.readStream.schema(self.schema)
-        if max_files is not None:
-            reader = reader.option("maxFilesPerTrigger", max_files)
-        if max_bytes is not None:
-            reader = reader.option("maxBytesPerTrigger", max_bytes)
-        return self._present(reader.parquet(self.data_path))
+        for name, value in self.options.items():
+            if value is not None:
+                reader = reader.option(name, value)
+        return reader.parquet(self.data_path)
+
+    def _resume(self, chosen: DataFrame, stored: DataFrame, reset: str) -> DataFrame:
+        if reset == "latest":
+            raise ValueError("a stream needs a fixed start; resolve 'latest' with start_offsets")
+        return super()._resume(chosen, stored, reset)

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from streamlog.model import ACKS_SCHEMA, TOPIC_PARTITION
 from streamlog.operators.offsets import positions
 from streamlog.streaming import consume
-from streamlog.streaming.transactions import write_once
+from streamlog.streaming.transactions import claim, write_once
 
 
 def relay(
@@ -24,6 +24,8 @@ def relay(
 ) -> StreamingQuery:
     """Forward every record once: output and source offsets are published together per batch."""
 
+    claim(stream.sparkSession, path, checkpoint)
+
     def forward(batch: DataFrame, offsets: DataFrame, batch_id: int) -> None:
         write_once(to_output(batch), offsets, path, batch_id)
 

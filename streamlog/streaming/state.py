@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from streamlog.model import TOPIC_PARTITION, struct_of
 from streamlog.streaming import consume
-from streamlog.streaming.transactions import read_or_empty
+from streamlog.streaming.transactions import claim, read_or_empty
 
 CURRENT_SCHEMA = struct_of(slot=T.IntegerType(), batch_id=T.LongType())
 
@@ -42,40 +42,38 @@ class StateStore:
         self.schema = schema
         self.keys = keys
         self.update = dict(update)
+        self._known: tuple[int, int] | None = None
 
-    def _current(self):
-        """The last marker: batch and slot."""
-        log = read_or_empty(self.spark, f"{self.path}/current", CURRENT_SCHEMA)
-        return log.orderBy(F.desc("batch_id")).first()
+    def _current(self) -> tuple[int, int]:
+        """Number of the last applied batch and the slot of its snapshot; -1 and -1 before the first."""
+        markers = read_or_empty(self.spark, f"{self.path}/current", CURRENT_SCHEMA)
+        last = markers.orderBy(F.desc("batch_id")).first()
+        return (-1, -1) if last is None else (last["batch_id"], last["slot"])
 
-    def _slot_of(self, batch_id: int) -> int | None:
-        folder = f"{self.path}/current/batch_id={batch_id}"
-        row = read_or_empty(self.spark, folder, struct_of(slot=T.IntegerType())).first()
-        return None if row is None else row["slot"]
+    def _snapshot(self, slot: int) -> DataFrame:
+        if slot < 0:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/slot={slot}")
 
     def read(self) -> DataFrame:
         """State after the last applied batch."""
-        current = self._current()
-        return self._snapshot(None if current is None else current["slot"])
+        return self._snapshot(self._current()[1])
 
-    def _snapshot(self, slot: int | None) -> DataFrame:
-        if slot is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/slot={slot}")
+    def next_id(self) -> int:
+        """A batch number no batch has had yet, for updates that may be repeated."""
+        self._known = self._known or self._current()
+        return self._known[0] + 1
 
     def apply(self, records: DataFrame, batch_id: int) -> bool:
-        """Merge one batch into the state; False if it had been applied before."""
-        if self._slot_of(batch_id) is not None:
+        """Merge one batch into the state; False if it had been applied before.
+
+        Batch numbers grow, and there is one writer, so the markers are listed
+        only at its start and after a failure.
+        """
+        last, old = self._known = self._known or self._current()
+        if batch_id <= last:
             return False
-        # Batches come one after the other, so the marker before this one is
-        # nearly always the current one and the others need not be listed.
-        old = self._slot_of(batch_id - 1)
-        if old is None:
-            current = self._current()
-            if current is not None and current["batch_id"] > batch_id:
-                return False
-            old = None if current is None else current["slot"]
-        slot = 0 if old is None else 1 - old
+        slot = 0 if old < 0 else 1 - old
         fresh = records.groupBy(*self.keys).agg(
             *[aggregate.alias(name) for name, (aggregate, _) in self.update.items()]
         )
@@ -84,9 +82,11 @@ class StateStore:
             .groupBy(*self.keys)
             .agg(*[merge(name).alias(name) for name, (_, merge) in self.update.items()])
         )
+        self._known = None
         merged.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/slot={slot}")
         row = self.spark.range(1).select(F.lit(slot).alias("slot")).coalesce(1)
         row.write.mode("overwrite").parquet(f"{self.path}/current/batch_id={batch_id}")
+        self._known = (batch_id, slot)
         return True
 
 
@@ -102,6 +102,8 @@ def counts_store(spark: SparkSession, path: str) -> StateStore:
 def run(stream: DataFrame, store: StateStore, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Apply every micro-batch of a stream to the store."""
 
+    claim(stream.sparkSession, store.path, checkpoint)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         store.apply(batch, batch_id)
 

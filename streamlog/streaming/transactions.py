@@ -27,6 +27,20 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         raise
 
 
+def claim(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Tie an output path to one checkpoint.
+
+    Batch numbers start again with a new checkpoint; on the same path its first
+    batches would be taken for ones already written, and be lost.
+    """
+    owner = struct_of(checkpoint=T.StringType())
+    found = read_or_empty(spark, f"{path}/owner", owner).first()
+    if found is None:
+        spark.range(1).coalesce(1).select(F.lit(checkpoint).alias("checkpoint")).write.parquet(f"{path}/owner")
+    elif found["checkpoint"] != checkpoint:
+        raise ValueError(f"{path} belongs to the checkpoint {found['checkpoint']}")
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """The committed batches."""
     return read_or_empty(spark, f"{path}/manifest", MANIFEST_SCHEMA)

@@ -95,6 +95,17 @@ def test_relay_writes_every_record_once_despite_a_failure(spark, log, monkeypatc
     assert rows(transactions.committed_offsets(spark, path)) == rows(log.end_offsets())
 
 
+def test_a_path_keeps_to_its_checkpoint(spark, log):
+    path, checkpoint = scratch_path(spark, "relay"), scratch_path(spark, "checkpoint")
+    relay.relay(log.stream(), to_output, path, checkpoint).awaitTermination()
+    with pytest.raises(ValueError, match="belongs to the checkpoint"):
+        relay.relay(log.stream(), to_output, path, scratch_path(spark, "checkpoint"))
+    store = state.counts_store(spark, scratch_path(spark, "state"))
+    state.run(log.stream(), store, checkpoint).awaitTermination()
+    with pytest.raises(ValueError, match="belongs to the checkpoint"):
+        state.run(log.stream(), store, scratch_path(spark, "checkpoint"))
+
+
 def test_transactions(spark):
     path = scratch_path(spark, "transactions")
     one = spark.createDataFrame([("t", "key", "value")], "topic string, key string, value string")
