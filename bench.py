@@ -21,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from streamlog.operators import delivery, offsets, records  # noqa: E402
 from streamlog.plans import catalogue  # noqa: E402
 from streamlog.plans import fixtures as fx  # noqa: E402
-from streamlog.session import local_session, scratch_path  # noqa: E402
+from streamlog.session import drop_scratch, local_session, scratch_path  # noqa: E402
 from streamlog.streaming import relay  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -90,6 +90,7 @@ def main() -> None:
         "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
         "records_per_sec": rates,
     }))
+    drop_scratch(spark)
     spark.stop()
 
 

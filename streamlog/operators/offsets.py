@@ -126,7 +126,10 @@ def batch_positions(
     """
     reached = records.groupBy(batch, *TOPIC_PARTITION).agg((F.max("offset") + 1).alias("_next"))
     reached = materialize(reached, "reached")
-    tps = F.array(*[F.struct(F.lit(t).alias("topic"), F.lit(p).alias("partition")) for t, p in assigned])
+    entries = ", ".join(
+        f"struct(CAST(X'{t.encode().hex()}' AS STRING) AS topic, {int(p)} AS partition)" for t, p in assigned
+    )
+    tps = F.expr(f"array({entries})")
     wanted = (
         reached.select(batch).distinct()
         .select(batch, F.explode(tps).alias("tp"))

@@ -50,6 +50,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/streamlog/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove everything this application wrote under the shared folder; call it when it is done."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_root(spark)}/streamlog/{spark.sparkContext.applicationId}"
+    )
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

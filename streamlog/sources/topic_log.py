@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,16 +37,14 @@ class PastTheEnd(LookupError):
     """A partition has no record at or after the asked time."""
 
 
-def _any_of(conditions: Iterable[Column]) -> Column:
-    """OR of the conditions, halved at each step to keep the expression shallow."""
-    terms = list(conditions) or [F.lit(False)]
-    while len(terms) > 1:
-        terms = [reduce(lambda a, b: a | b, terms[i:i + 2]) for i in range(0, len(terms), 2)]
-    return terms[0]
+def _any_of(conditions: Iterable[str]) -> Column:
+    """OR of SQL conditions; one expression, since hundreds of Column calls take seconds to build."""
+    return F.expr(" OR ".join(f"({condition})" for condition in conditions) or "false")
 
 
-def _is(topic: str, partition: int) -> Column:
-    return (F.col("topic") == topic) & (F.col("partition") == partition)
+def _is(topic: str, partition: int) -> str:
+    # Written in hex, a name needs no quoting whatever it contains.
+    return f"topic = CAST(X'{topic.encode().hex()}' AS STRING) AND partition = {int(partition)}"
 
 
 class TopicLog:
@@ -136,7 +133,7 @@ class TopicLog:
             edge = edge.filter("segment >= 0")
             return stored.join(F.broadcast(edge) if fits else edge, keys, "left_semi")
         return stored.filter(
-            _any_of(_is(r["topic"], r["partition"]) & (F.col("segment") == r["segment"]) for r in rows)
+            _any_of(f"{_is(r['topic'], r['partition'])} AND segment = {r['segment']}" for r in rows)
         )
 
     def end_offsets(self) -> DataFrame:
@@ -197,48 +194,68 @@ class TopicLog:
     def _resume(self, chosen: DataFrame, stored: DataFrame, reset: str) -> DataFrame:
         if reset not in ("earliest", "latest"):
             raise ValueError(f"unknown reset policy {reset!r}")
+        stored = stored.filter(F.col("offset").isNotNull())
         rows = off.bounded_rows(stored.select(*TOPIC_PARTITION, "offset"), off.LITERAL_LIMIT)
         if rows is None:
-            start = stored.select(*TOPIC_PARTITION, F.col("offset").alias("_start"))
-            how = "left" if reset == "earliest" else "inner"
-            from_start = self._inside(F.coalesce("_start", F.lit(0)))
-            return self._present(off.join_small(chosen, start, how).filter(from_start))
-        wanted = _any_of(_is(r["topic"], r["partition"]) & self._inside(r["offset"]) for r in rows)
+            start = stored.select(
+                *TOPIC_PARTITION, F.col("offset").alias("_begin"), F.lit(None).cast("long").alias("_end")
+            )
+            inside = self._joined_inside()
+            if reset == "earliest":
+                return self._present(
+                    off.join_small(chosen, start, "left").filter(F.col("_begin").isNull() | inside)
+                )
+            return self._present(off.join_small(chosen, start).filter(inside))
+        wanted = _any_of(f"{_is(r['topic'], r['partition'])} AND {self._inside(r['offset'])}" for r in rows)
         known = _any_of(_is(r["topic"], r["partition"]) for r in rows)
         # A partition reset to latest has nothing to read yet.
         return self._present(chosen.filter(wanted | ~known if reset == "earliest" else wanted))
 
-    def _inside(self, begin: int | Column, end: int | Column | None = None) -> Column:
+    def _inside(self, begin: int, end: int | None = None) -> str:
         """Offsets from ``begin`` up to before ``end``, with the segments that can hold them."""
-        begin = begin if isinstance(begin, Column) else F.lit(begin)
-        inside = (F.col("segment") >= whole_div(begin, self.segment_rows)) & (F.col("offset") >= begin)
-        if end is None:
-            return inside
-        end = end if isinstance(end, Column) else F.lit(end)
-        return inside & (F.col("segment") <= whole_div(end, self.segment_rows)) & (F.col("offset") < end)
+        inside = f"segment >= {begin // self.segment_rows} AND offset >= {begin}"
+        if end is not None:
+            inside += f" AND segment <= {end // self.segment_rows} AND offset < {end}"
+        return inside
+
+    def _joined_inside(self) -> Column:
+        """The same for the columns ``_begin`` and ``_end`` of a joined table."""
+        begin, end = F.col("_begin"), F.col("_end")
+        return (
+            (F.col("segment") >= whole_div(begin, self.segment_rows)) & (F.col("offset") >= begin)
+            & (end.isNull() | (F.col("offset") < end))
+        )
 
     def _ranges(self, ranges: DataFrame) -> DataFrame:
         """Records of a table ``topic, partition, _begin, _end``; no end if that is NULL."""
         rows = off.bounded_rows(ranges.select(*TOPIC_PARTITION, "_begin", "_end"), off.LITERAL_LIMIT)
         if rows is None:
-            unbounded = F.lit(2**63 - 1)
-            inside = self._inside(F.col("_begin"), F.coalesce("_end", unbounded))
-            return self._present(off.join_small(self._source(), ranges).filter(inside))
-        wanted = _any_of(
-            _is(r["topic"], r["partition"]) & self._inside(r["_begin"], r["_end"]) for r in rows
-        )
-        return self._present(self._source([r["topic"] for r in rows]).filter(wanted))
+            return self._present(off.join_small(self._source(), ranges).filter(self._joined_inside()))
+        return self._literal_ranges(rows)
+
+    def _literal_ranges(self, rows: Iterable[tuple[str, int, int, int | None]]) -> DataFrame:
+        rows = list(rows)
+        wanted = _any_of(f"{_is(topic, partition)} AND {self._inside(begin, end)}" for topic, partition, begin, end in rows)
+        return self._present(self._source([row[0] for row in rows]).filter(wanted))
+
+    def _from_offsets(self, offsets: Mapping[tuple[str, int], int] | DataFrame, length: int | None) -> DataFrame:
+        """Records from each offset on, at most ``length`` per partition."""
+        if isinstance(offsets, Mapping) and len(offsets) <= off.LITERAL_LIMIT:
+            return self._literal_ranges(
+                (topic, partition, begin, None if length is None else begin + length)
+                for (topic, partition), begin in offsets.items()
+            )
+        begin = F.col("offset")
+        end = F.lit(None).cast("long") if length is None else begin + length
+        table = self.offsets_table(offsets)
+        return self._ranges(table.select(*TOPIC_PARTITION, begin.alias("_begin"), end.alias("_end")))
 
     def offsets_table(self, offsets: Mapping[tuple[str, int], int] | DataFrame) -> DataFrame:
         return offsets if isinstance(offsets, DataFrame) else off.of(self.spark, offsets)
 
     def seek(self, offsets: Mapping[tuple[str, int], int] | DataFrame) -> DataFrame:
         """Only the partitions in ``offsets``, each from its offset on."""
-        return self._ranges(
-            self.offsets_table(offsets).select(
-                *TOPIC_PARTITION, F.col("offset").alias("_begin"), F.lit(None).cast("long").alias("_end")
-            )
-        )
+        return self._from_offsets(offsets, None)
 
     def seek_times(self, times: Column | DataFrame, strategy: str = "latest") -> DataFrame:
         """From the first record at or after a time; ``strategy`` tells what to do past the end."""
@@ -256,11 +273,8 @@ class TopicLog:
     ) -> DataFrame:
         """One bounded batch: at most ``max_records`` per partition from ``start`` (default 0)."""
         if start is None:
-            return self._present(self._source().filter(self._inside(0, max_records)))
-        begin = F.col("offset")
-        return self._ranges(
-            self.offsets_table(start).select(*TOPIC_PARTITION, begin.alias("_begin"), (begin + max_records).alias("_end"))
-        )
+            return self._present(self._source().filter(_any_of([self._inside(0, max_records)])))
+        return self._from_offsets(start, max_records)
 
     def between(self, begin: DataFrame, end: DataFrame) -> DataFrame:
         """Per partition the offsets from ``begin`` (0 if it is not there) up to before ``end``."""
