@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
+from streamlog.functions.numbers import epoch_micros
 from streamlog.model import TOPIC_PARTITION
 from streamlog.operators.offsets import join_small
 from streamlog.session import materialize
@@ -46,7 +47,7 @@ def _as_number(df: DataFrame, name: str) -> Column | None:
     """A column as a number that never sorts the other way round, None if there is no such form."""
     kind = df.schema[name].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+        return epoch_micros(name, kind).cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(name).cast("double")
     return F.col(name).cast("double") if isinstance(kind, T.IntegralType) else None

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamlog.functions import serde
+from streamlog.functions.numbers import epoch_micros, whole_div
 from streamlog.model import TOPIC_PARTITION, struct_of
 from streamlog.operators import delivery
 from streamlog.operators import offsets as off
@@ -319,7 +320,7 @@ def _redeliveries(spark, sf_dir):
     """Every event as a delivery that the same user's next event confirms."""
     sent = fx.events(spark, sf_dir).select("event_id", "user_id", "ts")
     paired = with_next(sent, ["user_id"], ["ts", "event_id"], F.col("ts"), "next_ts")
-    millis = {name: F.unix_millis(F.col(name).cast("timestamp")) for name in ("ts", "next_ts")}
+    millis = {name: whole_div(epoch_micros(name, sent.schema["ts"].dataType), 1_000) for name in ("ts", "next_ts")}
     return delivery.redelivery_plan(
         paired.select("event_id", "ts", "next_ts"), millis["next_ts"] - millis["ts"], REDELIVERY_TIMEOUT_MS
     )
