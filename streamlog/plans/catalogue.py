@@ -18,8 +18,8 @@ from streamlog.operators.numbering import with_next
 from streamlog.plans import fixtures as fx
 from streamlog.session import scratch_path
 from streamlog.sinks.log import create_log, send
+from streamlog.streaming import commits, consume, state, tracker, transactions
 from streamlog.streaming import relay as relays
-from streamlog.streaming import state, transactions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -296,6 +296,20 @@ def confirm_match(spark, sf_dir):
     return delivery.confirm_match(delivered, fx.confirmations(delivered))
 
 
+@query
+def tracked_batches(spark, sf_dir):
+    delivered = fx.deliveries(fx.event_log(spark, sf_dir).records())
+    messages = fx.as_messages(delivered, "deliver").unionByName(
+        fx.as_messages(fx.confirmations(delivered), "confirm")
+    )
+    path = scratch_path(spark, "in-flight")
+    messages.write.parquet(f"{path}/messages")
+    events = tracker.track(spark.readStream.schema(messages.schema).parquet(f"{path}/messages"), timeout_ms=0)
+    writer = events.writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint")
+    writer.trigger(availableNow=True).start(f"{path}/events").awaitTermination()
+    return spark.read.schema(tracker.OUTPUT_SCHEMA).parquet(f"{path}/events")
+
+
 @query
 def commit_clip(spark, sf_dir):
     ends = fx.event_log(spark, sf_dir).end_offsets()
@@ -422,6 +436,27 @@ def stateful_counts_stream(spark, sf_dir):
     return store.read()
 
 
+@query
+def committed_stream(spark, sf_dir):
+    path = scratch_path(spark, "commits")
+    store = commits.commits_store(spark, path)
+    stream = fx.event_log(spark, sf_dir).stream()
+    commits.start(stream, lambda batch, offsets, batch_id: True, store, "group-1", f"{path}/checkpoint").awaitTermination()
+    return store.read().select("group_id", *PLACE)
+
+
+@query
+def acknowledged_stream(spark, sf_dir):
+    path = scratch_path(spark, "acknowledged")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rec.to_producer_records(batch, "copy").write.mode("overwrite").parquet(f"{path}/data/batch_id={batch_id}")
+
+    handler = relays.acknowledged_writer(write, f"{path}/acks")
+    consume.start(fx.event_log(spark, sf_dir).stream(), handler, f"{path}/checkpoint").awaitTermination()
+    return relays.read_acks(spark, f"{path}/acks")
+
+
 @query
 def partition_state(spark, sf_dir):
     log = fx.event_log(spark, sf_dir)

@@ -91,3 +91,11 @@ def confirmations(delivered: DataFrame) -> DataFrame:
     altered = (F.col("batch_no") % 3 == 0) & (F.col("partition") == 0)
     missing = (F.col("batch_no") % 5 == 1) & (F.col("partition") == 3)
     return delivered.filter(~missing).withColumn("offset", F.col("offset") + F.when(altered, 1).otherwise(0))
+
+
+def as_messages(offsets: DataFrame, kind: str) -> DataFrame:
+    """One ``deliver`` or ``confirm`` message per batch; a batch has one offset per assigned partition."""
+    listed = F.array_sort(F.collect_list(F.struct(*TOPIC_PARTITION, "offset")))
+    return offsets.groupBy("batch_no").agg(F.to_json(listed).alias("offsets")).select(
+        F.lit("group-1").alias("group_id"), "batch_no", F.lit(kind).alias("kind"), "offsets"
+    )

@@ -78,6 +78,8 @@ STATEMENTS = {
   FROM g LEFT JOIN d ON g.batch_no = d.batch_no AND g.topic = d.topic AND g."partition" = d."partition" """,
     "commit_map": """WITH $LOG, $OFFS SELECT 'group-1' AS group_id, topic, "partition", "offset", TIMESTAMP '2024-02-01 00:00:00' AS committed_at FROM pos""",
     "confirm_match": """WITH $LOG, $DELIVERED SELECT batch_no, confirmed FROM ok""",
+    "tracked_batches": """WITH $LOG, $DELIVERED SELECT 'group-1' AS group_id, batch_no, 'delivered' AS event, CAST(0 AS INT) AS redelivery_count FROM ok
+  UNION ALL SELECT 'group-1', batch_no, CASE WHEN confirmed THEN 'confirmed' ELSE 'ignored' END, CAST(0 AS INT) FROM ok""",
     "commit_clip": """WITH $LOG, $OFFS, $STORE SELECT p.topic, p."partition", p."offset", s.topic IS NOT NULL AS committed FROM pos p
   LEFT JOIN store s ON p.topic = s.topic AND p."partition" = s."partition" """,
     "commit_upsert": """WITH $LOG, $OFFS, $STORE SELECT coalesce(p.topic, s.topic) AS topic, coalesce(p."partition", s."partition") AS "partition", coalesce(p."offset", s."offset") AS "offset"
@@ -102,6 +104,8 @@ STATEMENTS = {
   FROM (SELECT * FROM log UNION ALL SELECT * FROM log WHERE "partition" = 1) u GROUP BY topic, "partition", "offset" """,
     "stateful_counts": """WITH $LOG SELECT topic, "partition", count(*) AS n, max("offset") + 1 AS "offset" FROM log GROUP BY topic, "partition" """,
     "stateful_counts_stream": """WITH $LOG SELECT topic, "partition", count(*) AS n, max("offset") + 1 AS "offset" FROM log GROUP BY topic, "partition" """,
+    "committed_stream": """WITH $LOG, $OFFS SELECT 'group-1' AS group_id, topic, "partition", "offset" FROM pos""",
+    "acknowledged_stream": """WITH $LOG, $OFFS SELECT CAST(0 AS BIGINT) AS batch_id, topic, "partition", "offset", 'success' AS status, CAST(NULL AS STRING) AS error FROM pos""",
     "partition_state": """WITH $LOG SELECT topic, "partition", count(*) AS n, max("offset") + 1 AS "offset" FROM log WHERE "partition" = 2 GROUP BY topic, "partition" """,
 }
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from streamlog.model import ACKS_SCHEMA, TOPIC_PARTITION
 from streamlog.operators.offsets import positions
 from streamlog.streaming import consume
-from streamlog.streaming.transactions import claim, write_once
+from streamlog.streaming.transactions import claim, read_or_empty, write_once
 
 
 def relay(
@@ -74,17 +74,21 @@ def acknowledged_writer(
                     time.sleep(retry_wait_ms(attempt, interval_ms) / 1000)
         status = "success" if problem is None else "failure"
         acks = positions(batch).select(
-            F.lit(batch_id).cast("long").alias("batch_id"), *TOPIC_PARTITION, "offset",
-            F.lit(status).alias("status"),
+            *TOPIC_PARTITION, "offset", F.lit(status).alias("status"),
             F.lit(None if problem is None else str(problem)).cast("string").alias("error"),
         )
-        acks.select(*ACKS_SCHEMA.names).write.mode("overwrite").parquet(f"{acks_path}/reply={batch_id}")
+        acks.write.mode("overwrite").parquet(f"{acks_path}/batch_id={batch_id}")
         if problem is not None and stop_on_failure:
             raise problem
 
     return handle
 
 
+def read_acks(spark: SparkSession, acks_path: str) -> DataFrame:
+    """The replies so far."""
+    return read_or_empty(spark, acks_path, ACKS_SCHEMA).select(*ACKS_SCHEMA.names)
+
+
 def retry_wait_ms(redelivery_count: int, interval_ms: int) -> int:
     """Wait before the next attempt: one interval more per failed one."""
     return (redelivery_count + 1) * interval_ms

@@ -35,13 +35,15 @@ def track(
 
     ``delivered``; ``confirmed`` if the offsets are exactly those delivered,
     else ``ignored``; on each time-out ``redelivered`` up to the maximum, then
-    ``backing_off`` with the count so far. A time-out of 0 never fires.
+    ``backing_off`` with the count so far. A time-out of 0 never fires; only
+    then the stream can end by itself.
     """
+    timed = timeout_ms > 0
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         out: list[tuple] = []
-        now = state.getCurrentProcessingTimeMs()
-        if state.hasTimedOut:
+        now = state.getCurrentProcessingTimeMs() if timed else 0
+        if timed and state.hasTimedOut:
             offsets, count, _ = state.get
             out.append((*key, "redelivered" if count < max_redeliveries else "backing_off", count))
             state.update((offsets, count + 1, now + timeout_ms))
@@ -56,11 +58,12 @@ def track(
                     state.remove()
                 else:
                     out.append((*key, "ignored", state.get[1] if state.exists else 0))
-        if state.exists and timeout_ms > 0:
+        if timed and state.exists:
             # A confirmation that does not fit must not put off the time-out.
             state.setTimeoutDuration(max(1, state.get[2] - now))
         yield pd.DataFrame(out, columns=OUTPUT_SCHEMA.names)
 
     return events.groupBy("group_id", "batch_no").applyInPandasWithState(
-        step, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.ProcessingTimeTimeout
+        step, OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+        GroupStateTimeout.ProcessingTimeTimeout if timed else GroupStateTimeout.NoTimeout,
     )

@@ -192,7 +192,7 @@ def test_batch_writer_replies_success_or_failure(spark, log):
     handler = relay.acknowledged_writer(write, acks, retries=1)
     consume.start(log.stream(max_files=30), handler, checkpoint).awaitTermination()
     assert tries.count(0) == 2 and tries.count(1) == 2
-    replies = spark.read.parquet(acks)
+    replies = relay.read_acks(spark, acks)
     assert rows(replies.select("batch_id", "status", "error").distinct())[:2] == [
         (0, "success", None), (1, "failure", "disk full"),
     ]
