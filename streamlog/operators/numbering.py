@@ -16,7 +16,7 @@ from pyspark.sql.window import WindowSpec
 
 from streamlog.functions.numbers import epoch_micros
 from streamlog.model import TOPIC_PARTITION
-from streamlog.operators.offsets import join_small
+from streamlog.operators.offsets import BROADCAST_LIMIT
 from streamlog.session import materialize
 
 BUCKET_ROWS = 2_000_000
@@ -53,11 +53,16 @@ def _as_number(df: DataFrame, name: str) -> Column | None:
     return F.col(name).cast("double") if isinstance(kind, T.IntegralType) else None
 
 
-def _require_addresses(table: DataFrame) -> DataFrame:
-    """Fail if a record has no topic or no partition; a join would silently lose it."""
-    if not table.filter(F.col("topic").isNull() | F.col("partition").isNull()).isEmpty():
+def _summary(table: DataFrame, large: Column) -> tuple[int, int]:
+    """Number of rows and of ``large`` ones in a small table of groups.
+
+    Fails if a record has no topic or no partition; a join would silently lose it.
+    """
+    unaddressed = F.col("topic").isNull() | F.col("partition").isNull()
+    rows, lost, found = table.agg(F.count(F.lit(1)), F.count_if(unaddressed), F.count_if(large)).first()
+    if lost:
         raise ValueError("every record needs a topic and a partition")
-    return table
+    return rows, found
 
 
 def _before(*groups: str, order: str) -> WindowSpec:
@@ -78,10 +83,11 @@ def _in_buckets(df: DataFrame, order_by: str, bucket_rows: int) -> DataFrame:
     )
     width = (F.col("_high") - F.col("_low") + 1) * F.lit(float(bucket_rows)) / F.col("_rows")
     spans = materialize(spans.select(*TOPIC_PARTITION, "_low", width.alias("_width")), "spans")
-    _require_addresses(spans)
+    groups, _ = _summary(spans, F.lit(False))
     # NULL sorts before everything else, hence a bucket of its own in front.
     bucket = F.coalesce(F.floor((at - F.col("_low")) / F.col("_width")), F.lit(-1))
-    return join_small(df, spans).withColumn("_bucket", bucket.cast("long")).drop("_low", "_width")
+    spans = F.broadcast(spans) if groups <= BROADCAST_LIMIT else spans
+    return df.join(spans, TOPIC_PARTITION).withColumn("_bucket", bucket.cast("long")).drop("_low", "_width")
 
 
 def assign_offsets(
@@ -109,10 +115,11 @@ def assign_offsets(
         bases = bases.join(begin, TOPIC_PARTITION, "left").select(
             *groups, "_n", (F.col("_base") + F.coalesce("_start", F.lit(0))).alias("_base")
         )
-    bases = _require_addresses(materialize(bases, "bases"))
-    hot = bases.filter(F.col("_n") > HOT_FACTOR * bucket_rows).select(*groups, "_base")
+    bases = materialize(bases, "bases")
+    too_large = F.col("_n") > HOT_FACTOR * bucket_rows
+    hot = bases.filter(too_large).select(*groups, "_base")
 
-    if hot.isEmpty():
+    if _summary(bases, too_large)[1] == 0:
         numbered = _number_in_window(rows, bases, groups, order_by)
     else:
         cold = _number_in_window(rows.join(hot, groups, "left_anti"), bases, groups, order_by)

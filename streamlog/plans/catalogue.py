@@ -385,6 +385,20 @@ def relay_stream(spark, sf_dir):
     return transactions.read(spark, path, OUTPUT_SCHEMA)
 
 
+@query
+def relay_log(spark, sf_dir):
+    source = fx.event_log(spark, sf_dir)
+    target = create_log(spark, scratch_path(spark, "relayed"), source.schema)
+
+    def to_output(batch: DataFrame) -> DataFrame:
+        return batch.drop("offset").withColumns({"topic": F.lit("topic2"), "value": F.concat("value", F.lit("."))})
+
+    path = scratch_path(spark, "checkpoint")
+    clicks = source.as_stream().subscribe(["click"])
+    relays.relay_to_log(clicks, to_output, target, ["timestamp", "event_id"], path).awaitTermination()
+    return target.subscribe(["topic2"]).select(*PLACE, "key", "value")
+
+
 @query
 def send_acks(spark, sf_dir):
     source = fx.event_log(spark, sf_dir)

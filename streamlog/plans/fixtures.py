@@ -54,15 +54,19 @@ def event_log(spark: SparkSession, sf_dir: str) -> TopicLog:
 def publish_lines(spark: SparkSession, sf_dir: str) -> TopicLog:
     """Order lines as wide records: the row as JSON, 16 partitions by order."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    records = lines.select(
-        F.lit("lines").alias("topic"),
-        (F.col("l_orderkey") % 16).cast("int").alias("partition"),
-        F.col("l_shipdate").alias("timestamp"),
-        F.col("l_orderkey").cast("string").alias("key"),
-        F.to_json(F.struct("*")).alias("value"),
-        "l_orderkey", "l_linenumber",
-    )
-    return publish(records, scratch_path(spark, "lines"), ["timestamp", "l_orderkey", "l_linenumber"])
+    partition = (F.col("l_orderkey") % 16).cast("int")
+    records = lines.select(F.lit("lines").alias("topic"), partition.alias("partition"), "*")
+
+    def encode(numbered: DataFrame) -> DataFrame:
+        return numbered.select(
+            *TOPIC_PARTITION, "offset",
+            F.col("l_shipdate").alias("timestamp"),
+            F.col("l_orderkey").cast("string").alias("key"),
+            F.to_json(F.struct(*lines.columns)).alias("value"),
+        )
+
+    order_by = ["l_shipdate", "l_orderkey", "l_linenumber"]
+    return publish(records, scratch_path(spark, "lines"), order_by, encode=encode)
 
 
 def user_store(ends: DataFrame) -> DataFrame:

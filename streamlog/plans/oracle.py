@@ -96,6 +96,7 @@ STATEMENTS = {
     "resume_plan_manual": """WITH $LOG, $OFFS, $STORE SELECT topic, "partition", "offset" FROM store""",
     "relay": """WITH $LOG SELECT 'topic2' AS topic, "key", "value" || '.' AS "value" FROM log WHERE topic = 'click'""",
     "relay_stream": """WITH $LOG SELECT 'topic2' AS topic, "key", "value" || '.' AS "value" FROM log WHERE topic = 'click'""",
+    "relay_log": """WITH $LOG SELECT 'topic2' AS topic, "partition", "offset", "key", "value" || '.' AS "value" FROM log WHERE topic = 'click'""",
     "send_acks": """WITH $LOG, $OFFS SELECT CAST(CASE WHEN l.topic = 'click' THEN 0 ELSE 1 END AS BIGINT) AS batch_id, 'out' AS topic, l."partition",
   l."offset" + CASE WHEN l.topic = 'click' THEN 0 ELSE coalesce(p."offset", 0) END AS "offset", 'success' AS status, CAST(NULL AS STRING) AS error
   FROM log l LEFT JOIN pos p ON p.topic = 'click' AND p."partition" = l."partition" WHERE l.topic IN ('click', 'purchase')""",

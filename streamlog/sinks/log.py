@@ -2,35 +2,56 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamlog.functions.numbers import whole_div
+from streamlog.functions.serde import split_failed
 from streamlog.model import ACKS_SCHEMA, TOPIC_PARTITION
 from streamlog.operators.numbering import assign_offsets
 from streamlog.session import materialize
 from streamlog.sources.topic_log import FOLDER_FIELDS, SEGMENT_ROWS, TopicLog
 
 
-def create_log(spark: SparkSession, path: str, schema: T.StructType, segment_rows: int = SEGMENT_ROWS) -> TopicLog:
-    """An empty log whose records have the given columns."""
+def _describe(spark: SparkSession, path: str, schema: T.StructType, segment_rows: int) -> TopicLog:
+    """Write what a reader has to know about a log."""
     folder = {field.name for field in FOLDER_FIELDS}
     fields = [field for field in schema.fields if field.name not in folder]
     schema = T.StructType(fields + FOLDER_FIELDS)
     meta = [F.lit(segment_rows).alias("segment_rows"), F.lit(schema.json()).alias("fields")]
     spark.range(1).coalesce(1).select(*meta).write.json(f"{path}/meta")
+    return TopicLog(spark, path, schema, segment_rows)
+
+
+def create_log(spark: SparkSession, path: str, schema: T.StructType, segment_rows: int = SEGMENT_ROWS) -> TopicLog:
+    """An empty log whose records have the given columns."""
+    log = _describe(spark, path, schema, segment_rows)
     empty = spark.range(0).select(
-        *[F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
+        *[F.lit(None).cast(field.dataType).alias(field.name) for field in log.schema.fields]
     )
-    empty.write.partitionBy(*[field.name for field in FOLDER_FIELDS]).parquet(f"{path}/data")
-    return TopicLog(spark, path, schema, segment_rows)
+    empty.write.partitionBy(*[field.name for field in FOLDER_FIELDS]).parquet(log.data_path)
+    return log
 
 
-def publish(records: DataFrame, path: str, order_by: list[str], segment_rows: int = SEGMENT_ROWS) -> TopicLog:
-    """Write ``topic, partition, ...`` records as a new log, numbered in the given order."""
+def publish(
+    records: DataFrame,
+    path: str,
+    order_by: list[str],
+    segment_rows: int = SEGMENT_ROWS,
+    encode: Callable[[DataFrame], DataFrame] | None = None,
+) -> TopicLog:
+    """Write ``topic, partition, ...`` records as a new log, numbered in the given order.
+
+    ``encode`` may build keys and values from the numbered records. It then
+    runs after they were moved, so the shuffle carries the plain columns and
+    not the larger encoded ones.
+    """
     numbered = assign_offsets(records, order_by)
-    log = create_log(records.sparkSession, path, numbered.schema, segment_rows)
+    numbered = numbered if encode is None else encode(numbered)
+    log = _describe(records.sparkSession, path, numbered.schema, segment_rows)
     write_numbered(numbered, log)
     return log
 
@@ -65,6 +86,17 @@ def choose_partition(partitions: int) -> Column:
     )
 
 
+def append(records: DataFrame, log: TopicLog, order_by: list[str], partitions: int = 1) -> DataFrame:
+    """Append output records after the present end of the log; returns the end offsets before.
+
+    One writer at a time: the end offsets are read first.
+    """
+    start = materialize(log.end_offsets(), "ends")
+    addressed = records.withColumn("partition", choose_partition(partitions))
+    write_numbered(assign_offsets(addressed, order_by, start), log)
+    return start
+
+
 def send(
     records: DataFrame,
     log: TopicLog,
@@ -72,30 +104,25 @@ def send(
     partitions: int = 1,
     batch_id: int = 0,
 ) -> DataFrame:
-    """Append output records after the present end of the log; returns one acknowledgement each.
+    """Append output records like :func:`append`; returns one acknowledgement each.
 
-    Rows with a non-NULL ``error`` column are not written and acknowledged as
-    failed. One writer at a time: the end offsets are read first, and again
-    after the write to tell which records were added.
+    Rows with a non-NULL ``error`` column are not written and acknowledged as failed.
     """
-    spark = records.sparkSession
+    number = F.lit(batch_id).cast("long").alias("batch_id")
     failed = None
     if "error" in records.columns:
-        failed = records.filter(F.col("error").isNotNull())
-        records = records.filter(F.col("error").isNull()).drop("error")
-    addressed = records.withColumn("partition", choose_partition(partitions))
-    start = materialize(log.end_offsets(), "ends")
-    write_numbered(assign_offsets(addressed, order_by, start), log)
+        records, failed = split_failed(records)
+    start = append(records, log, order_by, partitions)
     # Read back what was written rather than number the records a second time.
     acks = log.between(start, log.end_offsets()).select(
-        F.lit(batch_id).cast("long").alias("batch_id"), *TOPIC_PARTITION, "offset",
+        number, *TOPIC_PARTITION, "offset",
         F.lit("success").alias("status"), F.lit(None).cast("string").alias("error"),
     )
     if failed is not None:
         acks = acks.unionByName(
             failed.select(
-                F.lit(batch_id).cast("long").alias("batch_id"), "topic", F.col("partition").cast("int"),
-                F.lit(None).cast("long").alias("offset"), F.lit("failure").alias("status"), "error",
+                number, "topic", F.col("partition").cast("int"), F.lit(None).cast("long").alias("offset"),
+                F.lit("failure").alias("status"), "error",
             )
         )
     return acks.select(*ACKS_SCHEMA.names)

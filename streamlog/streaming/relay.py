@@ -11,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from streamlog.model import ACKS_SCHEMA, TOPIC_PARTITION
 from streamlog.operators.offsets import positions
+from streamlog.sinks.log import append
+from streamlog.sources.topic_log import TopicLog
 from streamlog.streaming import consume
 from streamlog.streaming.transactions import claim, read_or_empty, write_once
 
@@ -46,6 +48,27 @@ def relay_to_sink(
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
+def relay_to_log(
+    stream: DataFrame,
+    to_output: Callable[[DataFrame], DataFrame],
+    log: TopicLog,
+    order_by: list[str],
+    checkpoint: str,
+    partitions: int = 1,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Forward records to a topic log, where they get the next offsets; at least once.
+
+    A batch that failed after it was written is written again under new
+    offsets. :func:`relay` writes each record once, without offsets.
+    """
+
+    def forward(batch: DataFrame, batch_id: int) -> None:
+        append(to_output(batch), log, order_by, partitions)
+
+    return consume.start(stream, forward, checkpoint, interval)
+
+
 def acknowledged_writer(
     write: Callable[[DataFrame, int], None],
     acks_path: str,
