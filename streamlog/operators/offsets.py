@@ -13,7 +13,7 @@ from streamlog.model import OFFSETS_SCHEMA, TOPIC_PARTITION
 from streamlog.session import materialize
 
 LITERAL_LIMIT = 256
-BROADCAST_LIMIT = 200_000
+BROADCAST_LIMIT = 500_000
 
 EARLIEST = -2
 LATEST = -1

@@ -47,6 +47,15 @@ def _is(topic: str, partition: int) -> str:
     return f"topic = CAST(X'{topic.encode().hex()}' AS STRING) AND partition = {int(partition)}"
 
 
+def _range_holds() -> Column:
+    """Whether a row lies between the joined ``_begin`` and ``_end``; no end if that is NULL."""
+    return (F.col("offset") >= F.col("_begin")) & (F.col("_end").isNull() | (F.col("offset") < F.col("_end")))
+
+
+def _folder_key() -> Column:
+    return F.concat_ws("/", "topic", "partition", "segment")
+
+
 class TopicLog:
     """A stored log; every read method returns a lazy DataFrame of records."""
 
@@ -127,11 +136,7 @@ class TopicLog:
         rows = off.bounded_rows(edge, off.LITERAL_LIMIT)
         stored = self._stored(None if topic is None else [topic])
         if rows is None:
-            # Too many for a predicate: the join prunes folders while running.
-            keys = [*TOPIC_PARTITION, "segment"]
-            fits = edge.limit(off.BROADCAST_LIMIT + 1).count() <= off.BROADCAST_LIMIT
-            edge = edge.filter("segment >= 0")
-            return stored.join(F.broadcast(edge) if fits else edge, keys, "left_semi")
+            return self._in_segments(stored, edge)
         return stored.filter(
             _any_of(f"{_is(r['topic'], r['partition'])} AND segment = {r['segment']}" for r in rows)
         )
@@ -200,12 +205,7 @@ class TopicLog:
             start = stored.select(
                 *TOPIC_PARTITION, F.col("offset").alias("_begin"), F.lit(None).cast("long").alias("_end")
             )
-            inside = self._joined_inside()
-            if reset == "earliest":
-                return self._present(
-                    off.join_small(chosen, start, "left").filter(F.col("_begin").isNull() | inside)
-                )
-            return self._present(off.join_small(chosen, start).filter(inside))
+            return self._present(self._joined(chosen, start, "left" if reset == "earliest" else "inner"))
         wanted = _any_of(f"{_is(r['topic'], r['partition'])} AND {self._inside(r['offset'])}" for r in rows)
         known = _any_of(_is(r["topic"], r["partition"]) for r in rows)
         # A partition reset to latest has nothing to read yet.
@@ -218,19 +218,39 @@ class TopicLog:
             inside += f" AND segment <= {end // self.segment_rows} AND offset < {end}"
         return inside
 
-    def _joined_inside(self) -> Column:
-        """The same for the columns ``_begin`` and ``_end`` of a joined table."""
-        begin, end = F.col("_begin"), F.col("_end")
-        return (
-            (F.col("segment") >= whole_div(begin, self.segment_rows)) & (F.col("offset") >= begin)
-            & (end.isNull() | (F.col("offset") < end))
+    def _joined(self, source: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
+        """Rows of ``source`` inside the ranges, for more of them than fit a predicate.
+
+        The ranges are first joined to the folder listing, so that the log is
+        joined to the folders it has to open. ``left`` keeps partitions without
+        a range whole.
+        """
+        begin, end = F.coalesce("_begin", F.lit(0)), F.col("_end")
+        folders = self.segments().distinct().join(ranges, TOPIC_PARTITION, how).filter(
+            (F.col("segment") >= whole_div(begin, self.segment_rows))
+            & (end.isNull() | (F.col("segment") <= whole_div(end, self.segment_rows)))
         )
+        return self._in_segments(source, folders.select(*TOPIC_PARTITION, "segment", begin.alias("_begin"), "_end")).filter(
+            _range_holds()
+        )
+
+    @staticmethod
+    def _in_segments(source: DataFrame, folders: DataFrame) -> DataFrame:
+        """Join rows to ``topic, partition, segment, ...``; other folders are skipped while running.
+
+        One key made of all three folder names lets Spark prune by their combination.
+        """
+        folders = folders.withColumn("_folder", _folder_key())
+        fits = folders.limit(off.BROADCAST_LIMIT + 1).count() <= off.BROADCAST_LIMIT
+        # Spark prunes by a table only if it is filtered.
+        folders = folders.filter("segment >= 0").drop(*TOPIC_PARTITION, "segment")
+        return source.join(F.broadcast(folders) if fits else folders, _folder_key() == F.col("_folder"))
 
     def _ranges(self, ranges: DataFrame) -> DataFrame:
         """Records of a table ``topic, partition, _begin, _end``; no end if that is NULL."""
         rows = off.bounded_rows(ranges.select(*TOPIC_PARTITION, "_begin", "_end"), off.LITERAL_LIMIT)
         if rows is None:
-            return self._present(off.join_small(self._source(), ranges).filter(self._joined_inside()))
+            return self._present(self._joined(self._source(), ranges, "inner"))
         return self._literal_ranges(rows)
 
     def _literal_ranges(self, rows: Iterable[tuple[str, int, int, int | None]]) -> DataFrame:
@@ -321,6 +341,11 @@ class StreamedLog(TopicLog):
                 reader = reader.option(name, value)
         return reader.parquet(self.data_path)
 
+    def _joined(self, source: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
+        # Folders of later batches are not there yet, so the ranges are joined as they are.
+        inside = F.col("_begin").isNull() | _range_holds()
+        return off.join_small(source, ranges, how).filter(inside)
+
     def _resume(self, chosen: DataFrame, stored: DataFrame, reset: str) -> DataFrame:
         if reset == "latest":
             raise ValueError("a stream needs a fixed start; resolve 'latest' with start_offsets")

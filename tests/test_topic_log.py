@@ -66,6 +66,20 @@ def test_seek_gives_the_same_with_a_join(log, plain, spark, monkeypatch):
         assert rows(log.partitions_for("click")) == click
 
 
+def test_many_ranges_prune_folders_while_running(log, spark, monkeypatch):
+    monkeypatch.setattr(off, "LITERAL_LIMIT", 1)
+    start = off.of(spark, {("click", 0): 45, ("view", 1): 30})
+    found = log.seek(start)
+    expected = "(topic='click' and partition=0 and offset>=45) or (topic='view' and partition=1 and offset>=30)"
+    assert rows(found.select(*PLACE)) == rows(log.records().filter(expected).select(*PLACE))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 20_000)
+    plan = log.seek(start)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "dynamicpruningexpression(concat_ws(/, topic" in plan
+    bounded = log.bounded(5, start)
+    assert bounded.count() == 10
+
+
 def test_resume_reset_policies(log, spark):
     stored = off.of(spark, {("click", 0): 55})
     latest = log.resume(stored, "latest")
