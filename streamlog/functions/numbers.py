@@ -27,3 +27,12 @@ def epoch_micros(column: Column | str, kind: T.DataType) -> Column:
         F.unix_date(column.cast("date")).cast("long") * 86_400 + F.hour(column) * 3_600 + F.minute(column) * 60
     )
     return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), column) * 1_000_000).cast("long")
+
+
+def from_epoch_micros(micros: Column, kind: T.DataType) -> Column:
+    """The timestamp of the given type that :func:`epoch_micros` turns into ``micros``."""
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(micros)
+    zero = F.lit(0)
+    seconds = micros.cast("decimal(20,0)") / F.lit(1_000_000)
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))

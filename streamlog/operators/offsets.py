@@ -8,7 +8,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from streamlog.functions.numbers import whole_div
+from streamlog.functions.numbers import epoch_micros, from_epoch_micros, whole_div
 from streamlog.model import OFFSETS_SCHEMA, TOPIC_PARTITION
 from streamlog.session import materialize
 
@@ -87,7 +87,11 @@ def offsets_for_times(records: DataFrame, times: Column | DataFrame, partitions:
     """
     if isinstance(times, DataFrame):
         asked = times.select(*TOPIC_PARTITION, F.col("timestamp").alias("_asked"))
-        late = join_small(records, asked).filter(F.col("timestamp") >= F.col("_asked"))
+        kind = times.schema["timestamp"].dataType
+        # The earliest time is a literal, which reaches the scan; the exact ones are joined.
+        earliest = times.agg(F.min(epoch_micros("timestamp", kind))).first()[0]
+        late = records.filter(F.col("timestamp") >= from_epoch_micros(F.lit(earliest).cast("long"), kind))
+        late = join_small(late, asked).filter(F.col("timestamp") >= F.col("_asked"))
         partitions = times if partitions is None else partitions
     else:
         late = records.filter(F.col("timestamp") >= times)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamlog.functions.numbers import from_epoch_micros
 from streamlog.model import struct_of
 from streamlog.sources import kafka
 from streamlog.sources.topic_log import TopicLog
@@ -113,10 +114,8 @@ class ManualOffsetForTimes:
     def read(self, log: TopicLog) -> DataFrame:
         rows = [(topic, partition, ms) for (topic, partition), ms in self.times_ms.items()]
         times = log.spark.createDataFrame(rows, TIMES_SCHEMA)
-        at = F.timestamp_millis("millis")
-        if isinstance(log.schema["timestamp"].dataType, T.TimestampNTZType):
-            # A log without time zones is taken as UTC, whatever the session's zone is.
-            at = F.expr("timestamp_ntz'1970-01-01' + make_dt_interval(0, 0, 0, CAST(millis AS DECIMAL(18, 0)) / 1000)")
+        # A log without time zones is taken as UTC, whatever the session's zone is.
+        at = from_epoch_micros(F.col("millis") * 1_000, log.schema["timestamp"].dataType)
         return log.seek_times(times.select("topic", "partition", at.alias("timestamp")), self.strategy)
 
     def kafka_options(self) -> dict[str, str]:

@@ -156,8 +156,14 @@ class TopicLog:
 
     def offsets_for_times(self, times: Column | DataFrame) -> DataFrame:
         """First offset at or after a time per partition, NULL past the end."""
-        partitions = None if isinstance(times, DataFrame) else self.partitions()
-        return off.offsets_for_times(self._present(self._stored()), times, partitions)
+        if not isinstance(times, DataFrame):
+            return off.offsets_for_times(self._present(self._stored()), times, self.partitions())
+        asked = off.bounded_rows(times.select(*TOPIC_PARTITION), off.LITERAL_LIMIT)
+        stored = self._stored()
+        if asked is not None:
+            stored = self._stored([row["topic"] for row in asked])
+            stored = stored.filter(_any_of(_is(row["topic"], row["partition"]) for row in asked))
+        return off.offsets_for_times(self._present(stored), times)
 
     # -- subscriptions ----------------------------------------------------
 

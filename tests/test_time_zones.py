@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
-from streamlog.functions.numbers import epoch_micros, whole_div
+from streamlog.functions.numbers import epoch_micros, from_epoch_micros, whole_div
 from streamlog.operators.numbering import assign_offsets
 from streamlog.plans import fixtures as fx
 from streamlog.session import scratch_path
@@ -32,6 +32,8 @@ def test_micros_of_both_kinds(spark, berlin):
     }
     found = [r[0] for r in data.select(epoch_micros("t", T.TimestampNTZType())).collect()]
     assert found == list(expected.values())
+    back = data.withColumn("back", from_epoch_micros(epoch_micros("t", T.TimestampNTZType()), T.TimestampNTZType()))
+    assert back.filter("t <> back or back is null").isEmpty()
     instant = spark.sql("select timestamp_micros(1234567890123456) t")
     assert instant.select(epoch_micros("t", T.TimestampType())).first()[0] == 1234567890123456
 
