@@ -21,11 +21,19 @@ from streamlog.session import materialize
 
 BUCKET_ROWS = 2_000_000
 HOT_FACTOR = 4
+# About as many rows as one task should sort.
+TASK_ROWS = 2_000_000
 
 SPLIT = "_split"
 POSITION = "_position"
 
 
+def _tasks_beyond_default(df: DataFrame, rows: int) -> int | None:
+    """Tasks needed for that many rows, None if the session's shuffle partitions are enough."""
+    needed = -(-rows // TASK_ROWS)
+    return needed if needed > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def range_split(df: DataFrame, sort_by: list[str], splits: int | None = None) -> DataFrame:
     """Sort ``df`` globally and tag each row with its piece and its position.
 
@@ -53,16 +61,16 @@ def _as_number(df: DataFrame, name: str) -> Column | None:
     return F.col(name).cast("double") if isinstance(kind, T.IntegralType) else None
 
 
-def _summary(table: DataFrame, large: Column) -> tuple[int, int]:
-    """Number of rows and of ``large`` ones in a small table of groups.
+def _summary(table: DataFrame, *aggregates: Column) -> list:
+    """Aggregates over a small table of groups.
 
     Fails if a record has no topic or no partition; a join would silently lose it.
     """
     unaddressed = F.col("topic").isNull() | F.col("partition").isNull()
-    rows, lost, found = table.agg(F.count(F.lit(1)), F.count_if(unaddressed), F.count_if(large)).first()
+    lost, *found = table.agg(F.count_if(unaddressed), *aggregates).first()
     if lost:
         raise ValueError("every record needs a topic and a partition")
-    return rows, found
+    return found
 
 
 def _before(*groups: str, order: str) -> WindowSpec:
@@ -83,7 +91,7 @@ def _in_buckets(df: DataFrame, order_by: str, bucket_rows: int) -> DataFrame:
     )
     width = (F.col("_high") - F.col("_low") + 1) * F.lit(float(bucket_rows)) / F.col("_rows")
     spans = materialize(spans.select(*TOPIC_PARTITION, "_low", width.alias("_width")), "spans")
-    groups, _ = _summary(spans, F.lit(False))
+    [groups] = _summary(spans, F.count(F.lit(1)))
     # NULL sorts before everything else, hence a bucket of its own in front.
     bucket = F.coalesce(F.floor((at - F.col("_low")) / F.col("_width")), F.lit(-1))
     spans = F.broadcast(spans) if groups <= BROADCAST_LIMIT else spans
@@ -118,19 +126,25 @@ def assign_offsets(
     bases = materialize(bases, "bases")
     too_large = F.col("_n") > HOT_FACTOR * bucket_rows
     hot = bases.filter(too_large).select(*groups, "_base")
+    total, crowded = _summary(bases, F.sum("_n"), F.sum(F.when(too_large, F.col("_n"))))
 
-    if _summary(bases, too_large)[1] == 0:
-        numbered = _number_in_window(rows, bases, groups, order_by)
+    tasks = _tasks_beyond_default(df, (total or 0) - (crowded or 0))
+    if not crowded:
+        numbered = _number_in_window(rows, bases, groups, order_by, tasks)
     else:
-        cold = _number_in_window(rows.join(hot, groups, "left_anti"), bases, groups, order_by)
+        cold = _number_in_window(rows.join(hot, groups, "left_anti"), bases, groups, order_by, tasks)
+        splits = splits or _tasks_beyond_default(df, crowded)
         numbered = cold.unionByName(
             _number_by_range(rows.join(hot, groups, "left_semi"), hot, groups, order_by, splits)
         )
     return numbered.select(*TOPIC_PARTITION, "offset", *[c for c in df.columns if c not in TOPIC_PARTITION])
 
 
-def _number_in_window(rows: DataFrame, bases: DataFrame, groups: list[str], order_by: list[str]) -> DataFrame:
+def _number_in_window(
+    rows: DataFrame, bases: DataFrame, groups: list[str], order_by: list[str], tasks: int | None
+) -> DataFrame:
     """Number rows whose groups are small enough to be sorted in one task."""
+    rows = rows.repartition(tasks, *groups) if tasks else rows
     rank = F.row_number().over(Window.partitionBy(*groups).orderBy(*order_by))
     ranked = rows.withColumn("_rank", rank)
     return ranked.join(bases.select(*groups, "_base"), groups).withColumn(
@@ -175,6 +189,7 @@ def with_next(
     for groups of any size: neighbours are looked up inside a piece, and the
     last row of a piece takes the first row of the following one.
     """
+    splits = splits or _tasks_beyond_default(df, df.count())
     head = F.struct(*group_by, value.alias("_value"))
     rows = range_split(df, [*group_by, *order_by], splits).withColumn("_head", head)
     firsts = rows.groupBy(SPLIT).agg(F.min_by("_head", POSITION).alias("_head"))
@@ -182,6 +197,7 @@ def with_next(
     edges = materialize(
         firsts.select(SPLIT, F.lead("_head").over(Window.orderBy(SPLIT)).alias("_edge")), "edge"
     )
+    rows = rows.repartition(splits, SPLIT) if splits else rows
     within = Window.partitionBy(SPLIT).orderBy(POSITION)
     following = F.coalesce(F.lead("_head").over(within), F.col("_edge"))
     same_group = [F.col(f"_next.{g}").eqNullSafe(F.col(g)) for g in group_by]

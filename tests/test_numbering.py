@@ -3,6 +3,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
+from streamlog.operators import numbering
 from streamlog.operators import offsets as off
 from streamlog.operators.numbering import assign_offsets, range_split, with_next
 from streamlog.operators.records import from_map, from_pairs, from_values
@@ -45,6 +46,23 @@ def test_offsets_equal_row_numbers_whatever_the_bucket_size(events, bucket_rows)
     assert dict(actual.dtypes)["offset"] == "bigint"
 
 
+def test_more_tasks_than_the_session_has_by_default(events, monkeypatch):
+    monkeypatch.setattr(numbering, "TASK_ROWS", 90)
+    data = crowded(events)
+    expected = data.select("event_id", plain_offset())
+    for bucket_rows in (40, 10_000):
+        assert rows(assign_offsets(data, ["timestamp", "event_id"], bucket_rows=bucket_rows).select("event_id", "offset")) == rows(expected)
+    window = Window.partitionBy("topic").orderBy("timestamp", "event_id")
+    following = with_next(data, ["topic"], ["timestamp", "event_id"], F.col("event_id"), "next").select("event_id", "next")
+    assert rows(following) == rows(data.select("event_id", F.lead("event_id").over(window).alias("next")))
+
+
+def test_no_records_at_all(events):
+    for key in ("timestamp", "topic"):
+        assert assign_offsets(events.filter("false"), [key]).isEmpty()
+    assert with_next(events.filter("false"), ["topic"], ["event_id"], F.col("event_id"), "next").isEmpty()
+
+
 def test_hot_bucket_is_cut_into_several_pieces(events):
     pieces = range_split(crowded(events), ["topic", "partition", "timestamp", "event_id"], splits=8)
     hot = pieces.filter("topic = 'hot'").groupBy("_split").count()

@@ -205,10 +205,11 @@ def test_send_chooses_partitions_by_key(spark):
     assert log.records().filter("key is null").select("partition").distinct().count() == 4
 
 
-def test_stream_of_the_log_is_the_log(log, spark):
+@pytest.mark.parametrize("bound", [{"max_files": 20}, {"max_bytes": "60k"}])
+def test_stream_of_the_log_is_the_log(log, spark, bound):
     seen = []
     path = scratch_path(spark, "checkpoint")
-    stream = log.stream(max_files=20)
+    stream = log.stream(**bound)
     query = (
         stream.writeStream.foreachBatch(lambda b, i: seen.append(b.count()))
         .option("checkpointLocation", path).trigger(availableNow=True).start()
