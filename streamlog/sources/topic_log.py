@@ -316,14 +316,14 @@ class TopicLog:
         """Bounded read of a topic as pairs; raises if it has fewer records than expected."""
         return expect_at_least(self.subscribe([topic]), expected).select("key", "value")
 
-    def as_stream(self, max_files: int | None = None, max_bytes: str | int | None = None) -> "StreamedLog":
+    def as_stream(self, max_files: int | None = None, max_bytes: int | None = None) -> "StreamedLog":
         """The same log to be read as streams, with the same subscriptions.
 
         One micro-batch takes at most ``max_files`` files or ``max_bytes`` bytes.
         """
         return StreamedLog(self, max_files, max_bytes)
 
-    def stream(self, max_files: int | None = None, max_bytes: str | int | None = None) -> DataFrame:
+    def stream(self, max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
         """All records as a stream."""
         return self.as_stream(max_files, max_bytes).records()
 
@@ -336,7 +336,7 @@ class StreamedLog(TopicLog):
     with :func:`streamlog.operators.offsets.start_offsets` and pass that table.
     """
 
-    def __init__(self, log: TopicLog, max_files: int | None, max_bytes: str | int | None):
+    def __init__(self, log: TopicLog, max_files: int | None, max_bytes: int | None):
         super().__init__(log.spark, log.path, log.schema, log.segment_rows)
         self.options = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
 

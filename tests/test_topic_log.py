@@ -205,7 +205,7 @@ def test_send_chooses_partitions_by_key(spark):
     assert log.records().filter("key is null").select("partition").distinct().count() == 4
 
 
-@pytest.mark.parametrize("bound", [{"max_files": 20}, {"max_bytes": "60k"}])
+@pytest.mark.parametrize("bound", [{"max_files": 20}, {"max_bytes": 60_000}])
 def test_stream_of_the_log_is_the_log(log, spark, bound):
     seen = []
     path = scratch_path(spark, "checkpoint")
