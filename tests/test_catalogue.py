@@ -8,9 +8,10 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as driver
+from streamlog.plans import catalogue, oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = catalogue.QUERIES, oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -54,6 +55,7 @@ def test_query_equals_its_sql(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries())
 
 
 def test_entry(spark):
