@@ -26,7 +26,7 @@ from streamlog.session import materialize
 #: Bytes of text in a block. A task holds some 40 bytes for each byte of one block at a time.
 BLOCK_BYTES = 4 << 20
 #: Blocks whose keys of one range meet in one group.
-BLOCKS_PER_RANGE = 4
+BLOCKS_PER_RANGE = 2
 FILTER_BITS = 12
 #: A null doc_id ranks after every other.
 NULL_RANK = np.iinfo(np.int64).max

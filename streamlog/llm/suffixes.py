@@ -41,7 +41,7 @@ from streamlog.llm import text as tx
 SIZE = 50
 ANCHOR = 24
 #: Segments sorted at a time; bounds the arrays of a group.
-SORT_SEGMENTS = 1 << 16
+SORT_SEGMENTS = 1 << 13
 _PLACE = np.uint64((1 << 21) - 1)
 
 
