@@ -89,12 +89,13 @@ def write_blocks(
 ) -> DataFrame:
     """Write the documents as blocks to the shared folder; ``carry`` keeps all other columns."""
     rest = [c for c in docs.columns if c != text_col] if carry else [id_col]
+    own_text, own_rank = tx.fresh(rest, "_text"), tx.fresh(rest, "_rank")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pressed, number = zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId() << 32
         for batch in batches:
-            data, bounds = tx.buffers(batch.column("_text"))
-            ids = batch.column("_rank").fill_null(NULL_RANK).to_numpy()
+            data, bounds = tx.buffers(batch.column(own_text))
+            ids = batch.column(own_rank).fill_null(NULL_RANK).to_numpy()
             for a, b in tx.slices(bounds, block_bytes):
                 others = batch.select(rest).slice(a, b - a)
                 sink = pa.BufferOutputStream()
@@ -109,7 +110,7 @@ def write_blocks(
                 number += 1
 
     columns = [F.col(f"`{c}`") for c in rest]
-    narrow = docs.select(*columns, F.col(f"`{id_col}`").cast("long").alias("_rank"), F.col(f"`{text_col}`").cast("string").alias("_text"))
+    narrow = docs.select(*columns, F.col(f"`{id_col}`").cast("long").alias(own_rank), F.col(f"`{text_col}`").cast("string").alias(own_text))
     return materialize(narrow.mapInArrow(cut, BLOCK_SCHEMA), "blocks")
 
 

@@ -248,16 +248,16 @@ def _sliced(index: Index, texts: pa.Array) -> Iterator[tuple[int, dict]]:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The documents without a verified hit, with all their columns."""
-    names = docs.columns
+    names, own_text = docs.columns, tx.fresh(docs.columns, "_text")
     for index in shards(items, id_col=item_col, text_col=item_text_col):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 stays = np.ones(batch.num_rows, dtype=bool)
-                for a, hits in _sliced(shared.value, batch.column("_text")):
+                for a, hits in _sliced(shared.value, batch.column(own_text)):
                     stays[[a + d for d, _ in hits]] = False
                 yield batch.select(names).filter(pa.array(stays))
 
-        docs = docs.withColumn("_text", F.col(f"`{text_col}`").cast("string")).mapInArrow(keep, docs.schema)
+        docs = docs.withColumn(own_text, F.col(f"`{text_col}`").cast("string")).mapInArrow(keep, docs.schema)
     return docs

@@ -43,6 +43,7 @@ ANCHOR = 24
 #: Segments sorted at a time; bounds the arrays of a group.
 SORT_SEGMENTS = 1 << 13
 _PLACE = np.uint64((1 << 21) - 1)
+_ANCHORS = np.uint64(0xA0761D6478BD642F)
 
 
 def _lowest(values: np.ndarray, width: int) -> np.ndarray:
@@ -79,7 +80,9 @@ class _Segments:
             new = np.ones(len(at), dtype=bool)
             new[1:] = (np.diff(at) != 1) | (np.diff(place) != 0)
             head = np.flatnonzero(new)
-            found.append((at[head] + a, np.diff(head, append=len(at)), place[head] - at[head], hashes[place[head]]))
+            # The lowest hashes crowd at the low end; mixed again they deal out evenly.
+            anchors = tx.mix(hashes[place[head]] ^ _ANCHORS)
+            found.append((at[head] + a, np.diff(head, append=len(at)), place[head] - at[head], anchors))
         self.first, self.strings, self.offset, self.anchor = (
             (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
         )
@@ -116,17 +119,22 @@ class Suffixes:
 
     def __init__(self, data: np.ndarray, limit: int):
         self.data, self.limit, self.hashes = data, limit, tx.PrefixHashes(data)
+        # Most suffixes compared are equal on the whole limit: one look tells.
+        self.whole = self.hashes.of(np.arange(len(data) - limit + 1), limit)
 
     def common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Length of the common extension of suffixes i and j, up to the limit."""
-        length = np.zeros(len(i), dtype=np.int64)
+        length = np.where(self.whole[i] == self.whole[j], self.limit, 0)
+        rest = np.flatnonzero(length == 0)
+        i, j, found = i[rest], j[rest], np.zeros(len(rest), dtype=np.int64)
         step = 1 << (self.limit.bit_length() - 1)
         while step:
-            fits = length + step <= self.limit
-            a, b = (i + length)[fits], (j + length)[fits]
+            fits = found + step <= self.limit
+            a, b = (i + found)[fits], (j + found)[fits]
             fits[fits] = self.hashes.of(a, step) == self.hashes.of(b, step)
-            length[fits] += step
+            found[fits] += step
             step >>= 1
+        length[rest] = found
         return length
 
     def before(self, i: np.ndarray, j: np.ndarray, or_equal: np.ndarray) -> np.ndarray:
@@ -342,7 +350,8 @@ def cut_repeats(docs: DataFrame, *, size: int = SIZE, id_col: str = "doc_id", te
 
     A character goes only if all its bytes go, so texts stay valid. A null text stays null.
     """
-    marked = docs.withColumn("__no_text", F.col(f"`{text_col}`").isNull())
+    no_text = tx.fresh(docs.columns, "_no_text")
+    marked = docs.withColumn(no_text, F.col(f"`{text_col}`").isNull())
     known = repeated_strings(bl.write_blocks(marked, id_col=id_col, text_col=text_col, carry=True), size)
     names = docs.columns
 
@@ -355,7 +364,7 @@ def cut_repeats(docs: DataFrame, *, size: int = SIZE, id_col: str = "doc_id", te
             count = np.concatenate(([0], np.cumsum(gone)))[block.bounds]
             body, at = block.data[~gone].tobytes(), block.bounds - count
             rest = block.rest()
-            empty = rest.column("__no_text").to_pylist()
+            empty = rest.column(no_text).to_pylist()
             texts = pa.array([None if e else body[a:b].decode() for e, a, b in zip(empty, at[:-1], at[1:], strict=True)], pa.string())
             yield pa.RecordBatch.from_arrays([texts if c == text_col else rest.column(c) for c in names], names=names)
 

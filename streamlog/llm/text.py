@@ -90,6 +90,14 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """A column name that none of ``columns`` has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def slices(bounds: np.ndarray, most: int) -> list[tuple[int, int]]:
     """Cut texts into runs [a, b) of about ``most`` bytes, at least one text each."""
     out, a, n = [], 0, len(bounds) - 1

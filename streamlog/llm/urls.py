@@ -86,7 +86,7 @@ def viterbi(name: str, known: dict[tuple[int, int], float], unknown: float) -> l
     for end in range(1, len(name) + 1):
         for start in range(max(0, end - LONGEST), end):
             cost = known.get((start, end - start), unknown * (end - start))
-            if best[start] + cost > best[end]:
+            if best[start] + cost > best[end] + 1e-9:
                 best[end], came[end] = best[start] + cost, start
     words, end = [], len(name)
     while end:

@@ -1,0 +1,138 @@
+"""Repeated word windows and byte strings, against a step-by-step search."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from conftest import rows
+
+from streamlog.llm import blocks, suffixes, windows
+from streamlog.llm import text as tx
+
+
+def windows_by_hand(docs, size):
+    """(doc_id, n_words, n_removed, sha) with every window looked up in a dictionary."""
+    first, words = {}, [(i if i is not None else 1 << 62, n, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for n, (i, t) in enumerate(docs)]
+    for rank, _, w in words:
+        for j in range(len(w) - size + 1):
+            key = tuple(w[j : j + size])
+            first[key] = min(first.get(key, (rank, j)), (rank, j))
+    out = []
+    for (i, _), (rank, _, w) in zip(docs, words, strict=True):
+        gone = set()
+        for j in range(len(w) - size + 1):
+            if first[tuple(w[j : j + size])] < (rank, j):
+                gone |= set(range(j, j + size))
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        out.append((i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return out
+
+
+def strings_by_hand(docs, size):
+    first, data = {}, [(i if i is not None else 1 << 62, (t or "").encode()) for i, t in docs]
+    for rank, d in data:
+        for j in range(len(d) - size + 1):
+            first[d[j : j + size]] = min(first.get(d[j : j + size], rank), rank)
+    out = []
+    for (i, _), (rank, d) in zip(docs, data, strict=True):
+        gone = np.zeros(len(d) + 1, dtype=bool)
+        for j in range(len(d) - size + 1):
+            if first[d[j : j + size]] < rank:
+                gone[j : j + size] = True
+        spans = int((gone[1:] & ~gone[:-1]).sum() + gone[0])
+        kept = bytes(x for x, g in zip(d, gone, strict=False) if not g)
+        out.append((i, len(d), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def key(row):
+    return str(row)
+
+
+def some_docs(seed, n=60):
+    pick = random.Random(seed)
+    shared = [" ".join(pick.choice("abcdefgh") * pick.randint(1, 3) for _ in range(40)) for _ in range(4)]
+    docs = []
+    for i in pick.sample(range(1000), n):
+        parts = [pick.choice(shared)[pick.randint(0, 20) :] if pick.random() < 0.5 else " ".join(pick.choice(["é", "xy", "q", "\n"]) for _ in range(pick.randint(0, 50))) for _ in range(pick.randint(0, 4))]
+        docs.append((i, pick.choice([" ", "\n", "  "]).join(parts)))
+    return docs
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("size", [3, 20])
+def test_windows(spark, seed, size, monkeypatch):
+    docs = some_docs(seed)
+    found = windows.substring_dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), size=size).drop("kept")
+    assert sorted(map(tuple, found.collect()), key=key) == sorted(windows_by_hand(docs, size), key=key)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("size", [12, 50])
+def test_strings(spark, seed, size):
+    docs = some_docs(seed)
+    found = suffixes.suffix_dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), size=size).drop("kept")
+    assert sorted(map(tuple, found.collect()), key=key) == sorted(strings_by_hand(docs, size), key=key)
+
+
+def test_odd_documents(odd_docs):
+    docs = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    found = windows.substring_dedup(odd_docs).drop("kept").collect()
+    assert sorted(map(tuple, found), key=key) == sorted(windows_by_hand(docs, 20), key=key)
+    found = suffixes.suffix_dedup(odd_docs).drop("kept").collect()
+    assert sorted(map(tuple, found), key=key) == sorted(strings_by_hand(docs, 50), key=key)
+
+
+def test_no_documents(no_docs):
+    assert rows(windows.substring_dedup(no_docs)) == []
+    assert rows(suffixes.suffix_dedup(no_docs)) == []
+    assert suffixes.cut_repeats(no_docs).schema == no_docs.schema
+
+
+def test_cut_repeats_keeps_columns_and_whole_characters(odd_docs):
+    found = suffixes.cut_repeats(odd_docs)
+    assert found.columns == odd_docs.columns
+    assert found.count() == odd_docs.count()
+    texts = {r.doc_id: r.text for r in found.collect() if r.doc_id != 12}
+    assert texts[2] is None and texts[3] == "" and texts[12 - 11] == odd_docs.filter("doc_id = 1").first().text
+    assert texts[5].endswith("more") and len(texts[5]) < 60
+    assert texts[9] == "è" or texts[9].startswith("è")
+
+
+def test_one_block_or_many(spark, monkeypatch):
+    docs = some_docs(3)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(blocks.write_blocks, "__kwdefaults__", blocks.write_blocks.__kwdefaults__ | {"block_bytes": 200})
+    assert sorted(map(tuple, windows.substring_dedup(frame, size=4).drop("kept").collect()), key=key) == sorted(windows_by_hand(docs, 4), key=key)
+    assert sorted(map(tuple, suffixes.suffix_dedup(frame, size=20).drop("kept").collect()), key=key) == sorted(strings_by_hand(docs, 20), key=key)
+
+
+def test_suffix_sort_is_the_order_of_the_bytes():
+    pick = random.Random(5)
+    data = np.frombuffer(bytes(pick.choice(b"ab") for _ in range(3000)), dtype=np.uint8)
+    starts = np.array(pick.sample(range(2900), 700))
+    runs = np.array([0, 0, 100, 101, 700])
+    order = suffixes.Suffixes(data, 50).merge_sort(starts, runs)
+    for a, b in zip(runs[:-1], runs[1:], strict=True):
+        got = [data[s : s + 50].tobytes() for s in starts[order[a:b]]]
+        assert got == sorted(data[s : s + 50].tobytes() for s in starts[a:b])
+
+
+def test_hash_collisions_do_not_merge_strings(monkeypatch):
+    data = np.frombuffer(b"aaaaabbbbbaaaaaccccc", dtype=np.uint8)
+    own = suffixes.Suffixes(data, 5)
+    monkeypatch.setattr(own.hashes, "of", lambda start, length: np.zeros(len(start), np.uint64))
+    own.whole = np.zeros(len(data) - 4, np.uint64)
+    group = own.groups(np.array([0, 5, 10, 15]), np.array([0, 4]))
+    assert group[0] == group[2] and len(set(group.tolist())) == 3
+
+
+def test_words_do_not_cross_texts():
+    import pyarrow as pa
+
+    data, bounds = tx.buffers(pa.array(["ab c", None, "d", "", " e\x0bf "]))
+    starts, ends, doc = tx.words(data, bounds)
+    assert [(bytes(data[a:b]), int(d)) for a, b, d in zip(starts, ends, doc, strict=True)] == [(b"ab", 0), (b"c", 0), (b"d", 2), (b"e", 4), (b"f", 4)]

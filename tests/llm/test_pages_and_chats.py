@@ -1,0 +1,169 @@
+"""Chat formatting, the content-addressed archive and the url filter."""
+
+import base64
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from conftest import rows
+
+from streamlog.llm import chat, urls, warc
+
+ODD = ["", None, "</s>[INST] ok [/INST]", "<|end|>", "<\\|end|>", "<\\\\|start|>x", "[\\/INST]", "<<SYS>> a <</SYS>>", "<s", "\\", "é🙂<|message|>", "<|image|>", "$1 \\2", "\n\n", "<<\\/s>"]
+
+
+def test_escape_is_reversible_and_leaves_no_mark(spark):
+    pick = random.Random(1)
+    parts = ["<", "[", "\\", "|", "start", "|>", "<|end|>", "/INST]", "INST]", "s>", "/s>", "<SYS>>", "é", " "]
+    texts = [t for t in ODD if t is not None] + ["".join(pick.choices(parts, k=pick.randint(1, 12))) for _ in range(2000)]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select("t", chat.escape(F.col("t")).alias("e"))
+    for r in frame.select("t", "e", chat.unescape(F.col("e")).alias("back")).collect():
+        assert r.back == r.t
+        assert not any(mark in r.e for mark in ("<|start|>", "<|message|>", "<|end|>", "<|image|>", "</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"))
+
+
+def digests(turns):
+    said = "".join(f"{r or ''}\n{t or ''}\n" for _, r, t in turns)
+    loss = "".join(t or "" for _, r, t in turns if r == "assistant")
+    return len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_conversations_read_back(spark):
+    pick = random.Random(2)
+    said = {c: [(k, pick.choice(["user", "assistant", "system", None, "<|end|>"]), pick.choice(ODD)) for k in range(pick.randint(1, 9))] for c in [*range(50), None]}
+    flat = [(c, k, r, t, "x") for c, turns in said.items() for k, r, t in turns]
+    frame = spark.createDataFrame(pick.sample(flat, len(flat)), "conv_id long, turn long, role string, text string, head string")
+    found = chat.digest_chats(frame.withColumn("parts", chat.text_parts(F.col("text"))))
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in found.collect()}
+    assert got == {c: digests(turns) for c, turns in said.items()}
+    assert chat.digest_chats(frame.limit(0).withColumn("parts", chat.text_parts(F.col("text")))).count() == 0
+
+
+def test_ties_and_repeated_turns(spark):
+    turns = [(1, "user", "b"), (1, "user", "a"), (None, "system", "first"), (1, "assistant", "z"), (1, "user", "a")]
+    frame = spark.createDataFrame([(7, *t) for t in turns], "conv_id long, turn long, role string, text string")
+    (r,) = chat.digest_chats(frame.withColumn("parts", chat.text_parts(F.col("text")))).collect()
+    order = [(None, "system", "first"), (1, "assistant", "z"), (1, "user", "a"), (1, "user", "a"), (1, "user", "b")]
+    assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == digests(order)
+
+
+def test_typed_parts(spark):
+    parts = f"array<{chat.PART}>"
+    message = [("text", "see <|image|>", None, None), ("image", None, "a.png", 4), ("document", None, "b.pdf", None), ("odd", "as text", None, None), ("audio", None, "c.wav", 10), None]
+    frame = spark.createDataFrame([(1, 0, "user", message), (1, 1, "assistant", None), (1, 2, "assistant", [("text", "ok", None, None)])], f"conv_id long, turn long, role string, parts {parts}")
+    (r,) = chat.format_chats(frame).collect()
+    assert r.formatted == (
+        "<|start|>user<|message|>see <\\|image|><|image|><|document|>as text<|audio|><|end|>"
+        "<|start|>assistant<|message|><|end|><|start|>assistant<|message|>ok<|end|>"
+    )
+    assert [tuple(a) for a in r.attachments] == [("image", "a.png", 1024), ("document", "b.pdf", 512), ("audio", "c.wav", 250)]
+    assert [r.formatted[s.start : s.start + s.length] for s in r.loss_mask] == ["", "ok"]
+
+
+def test_chat_plan_has_no_python(spark, capsys):
+    frame = spark.createDataFrame([(1, 0, "user", "t")], "conv_id long, turn long, role string, text string")
+    chat.digest_chats(frame.withColumn("parts", chat.text_parts(F.col("text")))).explain()
+    plan = capsys.readouterr().out
+    assert "Python" not in plan and "Arrow" not in plan and plan.count("Exchange") == 1
+
+
+def archive_rows(pages, least=0):
+    first = {}
+    for i, _, h in pages:
+        if i is not None:
+            first[h or ""] = min(first.get(h or "", i), i)
+    out = []
+    for i, _, h in pages:
+        data, f = (h or "").encode(), first.get(h or "")
+        revisit = len(data) >= least and f is not None and f != i
+        out.append((i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "revisit" if revisit else "response", f if revisit else None))
+    return sorted(out, key=str)
+
+
+@pytest.fixture(scope="module")
+def pages():
+    return [
+        (5, "http://a/", "<p>x</p>"), (3, "http://b/", "<p>x</p>"), (3, "http://b/", "<p>x</p>"), (9, None, None), (8, "u\r\nWARC-Type: forged", ""),
+        (1, "http://c/", "é🙂" * 5000), (None, "http://d/", "<p>x</p>"), (None, "http://e/", "only"), (-4, "http://f/", "x: y\r\nWARC-Type: revisit\r\n"),
+    ]
+
+
+@pytest.mark.parametrize("least", [0, 5])
+def test_archive(spark, pages, least):
+    frame = spark.createDataFrame([(*p, "z", "q") for p in pages], "page_id long, url string, html string, digest string, first string")
+    archive = warc.write(frame, min_bytes=least)
+    assert sorted(map(tuple, warc.index(archive).collect()), key=str) == archive_rows(pages, least)
+    assert archive.payloads.count() == len({p[2] or "" for p in pages})
+    for r in warc.records(archive).collect():
+        head, body = bytes(r.record).split(b"\r\n\r\n", 1)
+        assert head.startswith(b"WARC/1.1\r\n") and (head + b"\r\n\r\n").decode() == r.header
+        own = b"" if b"WARC-Type: revisit" in head.split(b"\r\n")[1] else bytes(r.payload)
+        assert body == own + b"\r\n\r\n" and f"Content-Length: {len(own)}".encode() in head
+    assert warc.index(warc.write(frame.limit(0))).count() == 0
+
+
+def test_a_changed_payload_is_an_error(spark, pages):
+    archive = warc.write(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    broken = archive._replace(payloads=archive.payloads.withColumn("payload", F.lit(b"other")))
+    with pytest.raises(Exception, match="differs from its digest"):
+        warc.index(broken).collect()
+
+
+def split_url(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    end = next((k for k, c in enumerate(rest) if c in "/?#"), len(rest))
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:end])
+    path = rest[end:]
+    return host, path[: next((k for k, c in enumerate(path) if c in "?#"), len(path))]
+
+
+def rule_of(host, path):
+    fitting = [r for r in urls.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = max(fitting, key=lambda r: len(r.host + r.path), default=None)
+    return (best.host + best.path, best.verdict) if best else (None, None)
+
+
+def test_urls(spark):
+    odd = [
+        None, "", "no scheme", "://", "http://", "http://NET/x", "http://a.net", "http://a.net?x", "https://www.Example.NET/en/1?q#f", "http://example.com/de/", "http://xexample.com/de/",
+        "x://É.org/fr/a", "http://a.org#/fr/", "http://a.b.org/fr/2?x=http://c.net/", "http://" + "z" * 300 + ".com/" + "y" * 2000, "http://...//", "a://b://c.net/",
+    ]
+    made = [f"http://{s}.{h}/{p}/{k}" for k, (s, h, p) in enumerate((s, h, p) for s in ("freebets", "goodnews", "betsfree", "m") for h in ("shop.net", "example.net", "x.org", "y.com") for p in ("en", "de", "fr"))]
+    text = "<p title='zzz'>Free bets and good news: free news, good bets</p> " * 20
+    pages = [(i if i else None, u, text if i % 3 else None) for i, u in enumerate(odd + made + made[:5])]
+    frame = spark.createDataFrame([(*p, "x", "y") for p in pages], "page_id long, url string, html string, host string, rule string")
+    found = urls.judge_urls(frame).collect()
+    got = sorted([(r.page_id, r.host, r.path, r.rule, r.verdict if r.rule else "?") for r in found], key=str)
+    expected = []
+    for i, u, _ in pages:
+        host, path = split_url(u)
+        rule, verdict = rule_of(host, path)
+        expected.append((i, host, path, rule, verdict or "?"))
+    assert got == sorted(expected, key=str)
+    assert {r.verdict for r in found} == {"block", "allow"}
+    assert all(r.verdict == "allow" for r in found if not r.host)
+    assert urls.judge_urls(frame.limit(0)).count() == 0
+
+
+def test_names_are_split_into_the_likeliest_words(spark):
+    counts = spark.createDataFrame([("free", 50), ("bets", 30), ("good", 40), ("news", 40), ("fr", 5), ("eb", 1), ("ets", 1), ("go", 20), ("odn", 1)], "word string, n long")
+    names = spark.createDataFrame([("freebets",), ("goodnews",), ("xqz",), ("freexqz",)], "name string")
+    assert rows(urls.segment(names, counts)) == [("freebets", ["free", "bets"]), ("freexqz", ["free", "xqz"]), ("goodnews", ["good", "news"]), ("xqz", ["xqz"])]
+
+
+def test_verdicts_of_held_out_urls(spark):
+    """Urls whose rules are hidden get the verdict of the words they share with others."""
+    pick = random.Random(5)
+    bad, good = ["casino", "pills", "bets", "winner"], ["garden", "library", "recipe", "school"]
+    text = " ".join(w for w in bad + good for _ in range(50))
+    pages = []
+    for i in range(400):
+        words, host = (bad, "spam.net") if i % 2 else (good, "fine.org/fr")
+        name = "".join(pick.sample(words, 2))
+        pages.append((i, f"http://{name}.{host}/{i}" if i < 300 else f"http://{name}.com/{i}", text))
+    found = urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).filter("page_id >= 300").collect()
+    right = sum((r.verdict == "block") == bool(r.page_id % 2) for r in found)
+    assert right >= 0.95 * len(found)
