@@ -120,11 +120,11 @@ def _tables(bits: Column) -> Column:
 def fingerprint_links(distinct: DataFrame) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints (column bits) differing in at most two bits.
 
-    Buckets of two are compared. In larger buckets each member names all values
-    within one bit of itself that fall into the bucket: members that name one
-    value are within two bits of each other, and two members within two bits
-    share such a value. A link from each to the smallest keeps them connected;
-    no pairs within a bucket are made, so the work grows with its members.
+    Buckets of two are compared. The members of larger buckets name all values
+    within one bit of themselves: members that name one value are within two
+    bits of each other, and two members within two bits share such a value. A
+    link from each to the smallest keeps them connected; no pairs within a
+    bucket are made, so the work grows with its members.
     """
     keyed = distinct.select("bits", F.explode(_tables(F.col("bits"))).alias("x")).select("bits", "x.t", "x.key")
     buckets = materialize(
@@ -132,17 +132,12 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
         "buckets",
     )
     pairs = buckets.filter("n = 2").filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS).select("a", "b")
-    flips = F.array(*[
-        F.struct(F.lit(t).alias("t"), F.array(F.lit(0).cast("long"), *[
-            F.lit((1 << i) - (1 << 64) if i == 63 else 1 << i) for i in range(64) if not m >> i & 1
-        ]).alias("flips"))
-        for t, m in enumerate(masks())
-    ])
+    flips = F.array(F.lit(0).cast("long"), *[F.lit(-(1 << 63) if i == 63 else 1 << i).cast("long") for i in range(64)])
     near = (
         keyed.join(buckets.filter("n > 2").select("t", "key"), ["t", "key"], "left_semi")
-        .select("bits", "t", F.explode(F.get(flips, F.col("t"))["flips"]).alias("flip"))
+        .select("bits").distinct()
+        .select("bits", F.explode(flips).alias("flip"))
         .select("bits", F.col("bits").bitwiseXOR(F.col("flip")).alias("centre"))
-        .distinct()
     )
     least = near.groupBy("centre").agg(F.min("bits").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
     stars = near.join(least, "centre").filter("bits <> a").select("a", F.col("bits").alias("b"))
