@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from streamlog.model import struct_of
 
@@ -34,18 +35,34 @@ def bytes_codec() -> Codec:
 
 
 def long_codec() -> Codec:
-    """Eight bytes, big-endian."""
+    """Eight bytes, big-endian; other lengths are an error."""
     return Codec(
         lambda c: F.unhex(F.lpad(F.hex(c.cast("long")), 16, "0")),
-        lambda c: F.conv(F.hex(c), 16, -10).cast("long"),
+        lambda c: F.conv(F.hex(_of_length(c, 8)), 16, -10).cast("long"),
     )
 
 
+def _of_length(c: Column, n: int) -> Column:
+    wrong = F.raise_error(F.format_string(f"{n} bytes expected, got %d", F.octet_length(c))).cast("binary")
+    return F.when(c.isNull() | (F.octet_length(c) == n), c).otherwise(wrong)
+
+
+def fixed_length_or_error(decode: Callable[[Column], Column], n: int) -> Callable[[Column], Column]:
+    """A decoder for ``encode_or_error``: bytes of another length become an error row, not a failed job."""
+
+    def run(c: Column) -> Column:
+        fits = F.octet_length(c) == n
+        text = F.when(c.isNotNull() & ~fits, F.format_string(f"{n} bytes expected, got %d", F.octet_length(c)))
+        return F.struct(decode(F.when(fits, c)).alias("result"), text.alias("error"))
+
+    return run
+
+
 def int_codec() -> Codec:
-    """Four bytes, big-endian."""
+    """Four bytes, big-endian; other lengths are an error."""
 
     def decode(c: Column) -> Column:
-        unsigned = F.conv(F.hex(c), 16, 10).cast("long")
+        unsigned = F.conv(F.hex(_of_length(c, 4)), 16, 10).cast("long")
         return F.when(unsigned >= 2**31, unsigned - 2**32).otherwise(unsigned).cast("int")
 
     return Codec(lambda c: F.unhex(F.right(F.lpad(F.hex(c.cast("long")), F.lit(16), F.lit("0")), F.lit(8))), decode)
@@ -58,18 +75,33 @@ def json_codec(schema: T.StructType) -> Codec:
     )
 
 
-def _each(function: Callable) -> Callable[[pd.Series], pd.Series]:
-    def run(column: pd.Series) -> pd.Series:
-        return column.map(function, na_action="ignore").astype(object)
+def _each(function: Callable, result: pa.DataType) -> Callable[[pa.Array], pa.Array]:
+    # Arrow keeps integers and nested values as they are; pandas would turn integers with NULL into floats.
+    def run(column: pa.Array) -> pa.Array:
+        return pa.array([None if value is None else function(value) for value in column.to_pylist()], result)
 
     return run
 
 
+def _data_type(kind: T.DataType | str) -> T.DataType:
+    return T.DataType.fromDDL(kind) if isinstance(kind, str) else kind
+
+
 def function_codec(encode: Callable, decode: Callable, value_type: T.DataType | str) -> Codec:
     """Codec from two Python functions, value to bytes and bytes to value. NULL stays NULL."""
+    kind = _data_type(value_type)
     return Codec(
-        F.pandas_udf(_each(encode), returnType=T.BinaryType()),
-        F.pandas_udf(_each(decode), returnType=value_type),
+        F.arrow_udf(_each(encode, pa.binary()), returnType=T.BinaryType()),
+        F.arrow_udf(_each(decode, to_arrow_type(kind)), returnType=kind),
+    )
+
+
+def column_codec(
+    encode: Callable[[pa.Array], pa.Array], decode: Callable[[pa.Array], pa.Array], value_type: T.DataType | str
+) -> Codec:
+    """Codec from two functions of whole Arrow columns."""
+    return Codec(
+        F.arrow_udf(encode, returnType=T.BinaryType()), F.arrow_udf(decode, returnType=_data_type(value_type))
     )
 
 
@@ -110,17 +142,23 @@ def decode_records(records: DataFrame, key: Codec, value: Codec) -> DataFrame:
 def try_function(function: Callable, result_type: T.DataType) -> Callable[[Column], Column]:
     """A Python function whose exceptions become data: ``struct<result, error>``."""
 
+    kind = to_arrow_type(result_type)
+
     def attempt(value):
+        if value is None:
+            return None, None
         try:
-            return {"result": function(value), "error": None}
+            # Building the result here makes a value of the wrong type its row's error.
+            return pa.scalar(function(value), kind).as_py(), None
         except Exception as problem:
-            return {"result": None, "error": f"{type(problem).__name__}: {problem}"}
+            return None, f"{type(problem).__name__}: {problem}"
 
-    def run(column: pd.Series) -> pd.DataFrame:
-        rows = [{"result": None, "error": None} if pd.isna(v) else attempt(v) for v in column]
-        return pd.DataFrame(rows, columns=["result", "error"], dtype=object)
+    def run(column: pa.Array) -> pa.Array:
+        rows = [attempt(value) for value in column.to_pylist()]
+        results, errors = pa.array([r for r, _ in rows], kind), pa.array([e for _, e in rows], pa.string())
+        return pa.StructArray.from_arrays([results, errors], names=["result", "error"])
 
-    return F.pandas_udf(run, returnType=struct_of(result=result_type, error=T.StringType()))
+    return F.arrow_udf(run, returnType=struct_of(result=result_type, error=T.StringType()))
 
 
 def encode_or_error(records: DataFrame, column: str, encode: Callable[[Column], Column]) -> DataFrame:

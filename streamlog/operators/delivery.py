@@ -137,17 +137,16 @@ def resume_plan(
 
     Group modes keep their subscription and use the committed offsets, the
     store mode asks the user's store, and partition modes go on from the last
-    confirmed offsets. Whatever has no such offset starts as subscribed. In
-    timestamp mode the confirmed offsets are used as offsets.
+    confirmed offsets. Whatever has no such offset starts as subscribed, so
+    every subscribed partition is in the plan. In timestamp mode the confirmed
+    offsets are used as offsets.
     """
     if mode in GROUP_MODES:
         known = committed
     elif mode in STORE_MODES:
         known = store
     elif mode in MANUAL_MODES:
-        if confirmed is not None and not off.is_empty(confirmed):
-            return confirmed.select(*TOPIC_PARTITION, "offset")
-        return subscribed.select(*TOPIC_PARTITION, "offset")
+        known = confirmed
     else:
         raise ValueError(f"unknown subscription mode {mode!r}")
     start = subscribed.select(*TOPIC_PARTITION, "offset")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -114,54 +114,70 @@ def start_offsets(ends: DataFrame, stored: DataFrame, reset: str = "latest") ->
     )
 
 
-def batch_positions(
-    records: DataFrame,
-    assigned: Iterable[tuple[str, int]],
-    batch: str = "batch_no",
-    chunk: int = 10_000,
-) -> DataFrame:
-    """Positions carried with every batch, for all assigned partitions.
+def position_changes(records: DataFrame, batch: str = "batch_no") -> DataFrame:
+    """The position each batch reached, for the partitions it has records of."""
+    return records.groupBy(batch, *TOPIC_PARTITION).agg((F.max("offset") + 1).alias("offset"))
 
-    A partition without rows in a batch keeps its last position, 0 before its
-    first record. Batch numbers are integers. The log is read once, into a table
-    of the positions reached by each batch. The running maximum is taken inside
-    chunks of batch numbers and completed with the maximum of the earlier
-    chunks, so no task holds the whole history of a partition.
+
+def positions_at(changes: DataFrame, asked: DataFrame, batch: str = "batch_no", chunk: int = 10_000) -> DataFrame:
+    """Positions after the asked batches (``batch, topic, partition``), from the changes up to each.
+
+    A partition without records up to a batch stands at 0. Batch numbers are
+    integers. Rows asked for and changes are stacked; the running maximum is
+    taken inside chunks of batch numbers and completed with the maximum of the
+    earlier chunks, so no task holds the whole history of a partition.
     """
-    reached = records.groupBy(batch, *TOPIC_PARTITION).agg((F.max("offset") + 1).alias("_next"))
-    reached = materialize(reached, "reached")
-    entries = ", ".join(
-        f"struct(CAST(X'{t.encode().hex()}' AS STRING) AS topic, {int(p)} AS partition)" for t, p in assigned
-    )
-    tps = F.expr(f"array({entries})")
-    wanted = (
-        reached.select(batch).distinct()
-        .select(batch, F.explode(tps).alias("tp"))
-        .select(batch, "tp.topic", "tp.partition", F.lit(None).cast("long").alias("_next"), F.lit(True).alias("_listed"))
-    )
-    grid = (
-        wanted.unionByName(reached.withColumn("_listed", F.lit(False)))
-        .groupBy(batch, *TOPIC_PARTITION)
-        .agg(F.max("_next").alias("_next"), F.max("_listed").alias("_listed"))
-        .filter("_listed")
-        .withColumn("_chunk", whole_div(batch, chunk))
-    )
-    per_chunk = grid.groupBy(*TOPIC_PARTITION, "_chunk").agg(F.max("_next").alias("_top"))
+    asked = asked.select(batch, *TOPIC_PARTITION, F.lit(None).cast("long").alias("_next"), F.lit(True).alias("_asked"))
+    reached = changes.select(batch, *TOPIC_PARTITION, F.col("offset").alias("_next"), F.lit(False).alias("_asked"))
+    both = asked.unionByName(reached).groupBy(batch, *TOPIC_PARTITION).agg(
+        F.max("_next").alias("_next"), F.max("_asked").alias("_asked")
+    ).withColumn("_chunk", whole_div(batch, chunk))
+    both = materialize(both, "positions")
+    per_chunk = both.groupBy(*TOPIC_PARTITION, "_chunk").agg(F.max("_next").alias("_top"))
     before = Window.partitionBy(*TOPIC_PARTITION).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_chunk.select(*TOPIC_PARTITION, "_chunk", F.max("_top").over(before).alias("_carried"))
     so_far = Window.partitionBy(*TOPIC_PARTITION, "_chunk").orderBy(batch).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     return (
-        grid.withColumn("_running", F.max("_next").over(so_far))
+        both.withColumn("_running", F.max("_next").over(so_far))
+        .filter("_asked")
         .join(carried, [*TOPIC_PARTITION, "_chunk"])
-        .select(
-            batch, *TOPIC_PARTITION,
-            F.coalesce(F.greatest("_running", "_carried"), F.lit(0)).alias("offset"),
-        )
+        .select(batch, *TOPIC_PARTITION, F.coalesce(F.greatest("_running", "_carried"), F.lit(0)).alias("offset"))
     )
 
 
+def of_group(table: DataFrame, group_id: str | None = None) -> DataFrame:
+    """``topic, partition, offset`` of one group of a commit table; a table of several needs the group's name."""
+    if "group_id" in table.columns:
+        if group_id is not None:
+            table = table.filter(F.col("group_id") == group_id)
+        elif len(table.select("group_id").distinct().take(2)) > 1:
+            raise ValueError("the offsets are of several groups: name one")
+    return table.select(*TOPIC_PARTITION, "offset")
+
+
+def checked_rows(table: DataFrame, limit: int) -> list | None:
+    """The rows of a small table ``topic, partition, offset, ...``, or None if it has more than ``limit``.
+
+    Whatever its size, a table that has a partition twice, or a NULL topic,
+    partition or offset, is refused: it doesn't say where to read.
+    """
+    begin = table.columns[2]
+    rows = bounded_rows(table, limit)
+    if rows is None:
+        bad = (
+            table.groupBy(*TOPIC_PARTITION).agg(F.count(F.lit(1)).alias("_n"), F.count(begin).alias("_set"))
+            .filter((F.col("_n") > 1) | (F.col("_set") == 0) | F.col("topic").isNull() | F.col("partition").isNull()).first()
+        )
+    else:
+        seen: set = set()
+        bad = next((r for r in rows if None in r[:3] or r[:2] in seen or seen.add(r[:2])), None)
+    if bad is not None:
+        raise ValueError(f"offsets need each partition once, without NULL: {bad['topic']}-{bad['partition']}")
+    return rows
+
+
 def bounded_rows(df: DataFrame, limit: int) -> list | None:
     """The rows of a small table, or None if it has more than ``limit``."""
     rows = df.limit(limit + 1).collect()

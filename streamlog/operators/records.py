@@ -130,12 +130,15 @@ def typed(records: DataFrame, key_type: str | None = None, value_type: str | Non
 
 
 def dedup(records: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
-    """One copy per key; if copies differ the greatest value is kept, so a rerun agrees.
+    """One copy per key, with all its columns; if copies differ the greatest value wins, then
+    the other columns in their order, so a rerun agrees.
 
     Copies are folded before the shuffle, so a record sent very often costs
     one row per task.
     """
-    return records.groupBy(*keys).agg(F.max(value).alias(value))
+    others = [value, *(c for c in records.columns if c not in (*keys, value))]
+    folded = records.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_copy"))
+    return folded.select(*keys, "_copy.*").select(*records.columns)
 
 
 def read_committed(records: DataFrame, transaction: str, aborted: DataFrame) -> DataFrame:

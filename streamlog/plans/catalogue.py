@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamlog.functions import serde
 from streamlog.functions.numbers import epoch_micros, whole_div
-from streamlog.model import TOPIC_PARTITION, struct_of
+from streamlog.model import OFFSETS_SCHEMA, TOPIC_PARTITION, struct_of
 from streamlog.operators import delivery
 from streamlog.operators import offsets as off
 from streamlog.operators import records as rec
@@ -134,32 +135,32 @@ def consume_expected(spark, sf_dir):
 
 @query
 def records_pairs(spark, sf_dir):
-    return rec.pairs(fx.event_log(spark, sf_dir).subscribe(["view"]))
+    return rec.pairs(fx.event_log(spark, sf_dir).records())
 
 
 @query
 def records_values(spark, sf_dir):
-    return rec.values(fx.event_log(spark, sf_dir).subscribe(["click"]))
+    return rec.values(fx.event_log(spark, sf_dir).records())
 
 
 @query
 def records_size(spark, sf_dir):
-    return rec.size(fx.event_log(spark, sf_dir).subscribe(["click"]))
+    return rec.size(fx.event_log(spark, sf_dir).records())
 
 
 @query
 def to_producer_records(spark, sf_dir):
-    return rec.to_producer_records(fx.event_log(spark, sf_dir).subscribe(["click"]), "out")
+    return rec.to_producer_records(fx.event_log(spark, sf_dir).records(), "out")
 
 
 @query
 def values_to_producer_records(spark, sf_dir):
-    return rec.values_to_producer_records(fx.event_log(spark, sf_dir).subscribe(["click"]), "out")
+    return rec.values_to_producer_records(fx.event_log(spark, sf_dir).records(), "out")
 
 
 @query
 def values_with_key(spark, sf_dir):
-    return rec.values_with_key(fx.event_log(spark, sf_dir).subscribe(["click"]), "out", "k1")
+    return rec.values_with_key(fx.event_log(spark, sf_dir).records(), "out", "k1")
 
 
 @query
@@ -278,7 +279,8 @@ def partitions_for(spark, sf_dir):
 @query
 def batch_positions(spark, sf_dir):
     log = fx.event_log(spark, sf_dir)
-    return off.batch_positions(fx.in_batches(log.records()), log.assigned())
+    changes = off.position_changes(fx.in_batches(log.records()))
+    return off.positions_at(changes, fx.asked_positions(log, changes))
 
 
 @query
@@ -369,8 +371,7 @@ def resume_plan_manual(spark, sf_dir):
 
 @query
 def relay(spark, sf_dir):
-    clicks = fx.event_log(spark, sf_dir).subscribe(["click"])
-    return rec.to_producer_records(clicks, "topic2").withColumn("value", F.concat("value", F.lit(".")))
+    return rec.to_producer_records(fx.event_log(spark, sf_dir).records(), "topic2").withColumn("value", F.concat("value", F.lit(".")))
 
 
 @query
@@ -380,8 +381,7 @@ def relay_stream(spark, sf_dir):
     def to_output(batch: DataFrame) -> DataFrame:
         return rec.to_producer_records(batch, "topic2").withColumn("value", F.concat("value", F.lit(".")))
 
-    clicks = fx.event_log(spark, sf_dir).stream().filter(F.col("topic") == "click")
-    relays.relay(clicks, to_output, path, f"{path}/checkpoint").awaitTermination()
+    relays.relay(fx.event_log(spark, sf_dir).stream(), to_output, path, f"{path}/checkpoint").awaitTermination()
     return transactions.read(spark, path, OUTPUT_SCHEMA)
 
 
@@ -391,12 +391,13 @@ def relay_log(spark, sf_dir):
     target = create_log(spark, scratch_path(spark, "relayed"), source.schema)
 
     def to_output(batch: DataFrame) -> DataFrame:
-        return batch.drop("offset").withColumns({"topic": F.lit("topic2"), "value": F.concat("value", F.lit("."))})
+        return batch.drop("offset").withColumns({
+            "topic": F.concat("topic", F.lit("2")), "value": F.concat("value", F.lit(".")),
+        })
 
     path = scratch_path(spark, "checkpoint")
-    clicks = source.as_stream().subscribe(["click"])
-    relays.relay_to_log(clicks, to_output, target, ["timestamp", "event_id"], path).awaitTermination()
-    return target.subscribe(["topic2"]).select(*PLACE, "key", "value")
+    relays.relay_to_log(source.stream(), to_output, target, ["timestamp", "event_id"], path).awaitTermination()
+    return target.records().select(*PLACE, "key", "value")
 
 
 @query
@@ -471,6 +472,104 @@ def acknowledged_stream(spark, sf_dir):
     return relays.read_acks(spark, f"{path}/acks")
 
 
+def _until_broken(query) -> None:
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        pass
+
+
+@query
+def retried_stream(spark, sf_dir):
+    """The first attempt fails and ends the stream; started again it succeeds. Both are on record."""
+    path = scratch_path(spark, "retried")
+    attempts = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        attempts.append(batch_id)
+        if len(attempts) == 1:
+            raise OSError("receiver is gone")
+        rec.to_producer_records(batch, "copy").write.mode("overwrite").parquet(f"{path}/data/batch_id={batch_id}")
+
+    handler = relays.acknowledged_writer(write, f"{path}/acks")
+    for _ in range(2):
+        _until_broken(consume.start(fx.event_log(spark, sf_dir).stream(), handler, f"{path}/checkpoint"))
+    return relays.read_acks(spark, f"{path}/acks")
+
+
+@query
+def stopped_stream(spark, sf_dir):
+    """A stream that stops after its first batch and is started again: every record once, with its position."""
+    path = scratch_path(spark, "stopped")
+    log = fx.event_log(spark, sf_dir)
+    seen = []
+
+    def keep(batch: DataFrame, offsets: DataFrame, batch_id: int) -> None:
+        if len(seen) == 1:
+            seen.append(batch_id)
+            raise InterruptedError("stopped")
+        batch.join(offsets.withColumnRenamed("offset", "next_offset"), TOPIC_PARTITION).select(
+            *PLACE, (F.col("next_offset") > F.col("offset")).alias("covered")
+        ).write.mode("overwrite").parquet(f"{path}/data/batch={batch_id}")
+        seen.append(batch_id)
+
+    begin = log.partitions().withColumn("offset", F.lit(0).cast("long"))
+    for _ in range(2):
+        _until_broken(consume.start_with_offsets(
+            log.stream(max_files=10), keep, f"{path}/checkpoint", assigned=begin, positions_path=f"{path}/positions",
+        ))
+    return spark.read.parquet(f"{path}/data").select(*PLACE, "covered")
+
+
+@query
+def carried_positions(spark, sf_dir):
+    """Where a stream of one topic stands at its end: all assigned partitions, also those without records."""
+    path = scratch_path(spark, "carried")
+    log = fx.event_log(spark, sf_dir)
+    last = []
+
+    def note(batch: DataFrame, offsets: DataFrame, batch_id: int) -> None:
+        offsets.write.mode("overwrite").parquet(f"{path}/last/{batch_id}")
+        last.append(batch_id)
+
+    begin = log.partitions().withColumn("offset", F.lit(0).cast("long"))
+    purchases = log.stream(max_files=1).filter("topic = 'purchase'")
+    consume.start_with_offsets(
+        purchases, note, f"{path}/checkpoint", assigned=begin, positions_path=f"{path}/positions",
+    ).awaitTermination()
+    return spark.read.schema(OFFSETS_SCHEMA).parquet(f"{path}/last/{max(last)}")
+
+
+@query
+def resume_of_groups(spark, sf_dir):
+    """Two groups in one commit table, each resumed from its own offsets."""
+    log = fx.event_log(spark, sf_dir)
+    ends = log.end_offsets()
+    behind = fx.user_store(ends)
+    table = off.to_commits(ends, "group-1", moment("2024-02-01 00:00:00")).unionByName(
+        off.to_commits(behind, "group-2", moment("2024-02-01 00:00:00"))
+    )
+    found = [
+        log.resume(table, "earliest", group).groupBy(*TOPIC_PARTITION).agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(group).alias("group_id"), *TOPIC_PARTITION, "n") for group in ("group-1", "group-2")
+    ]
+    return found[0].unionByName(found[1])
+
+
+@query
+def serde_nullable_long(spark, sf_dir):
+    """Integers beyond 2^53, some NULL, through a codec of Python functions, and bytes of a wrong length."""
+    records = fx.event_log(spark, sf_dir).records()
+    number = F.when(F.col("event_id") % 5 != 0, F.col("event_id") + 9007199254740993)
+    codec = serde.function_codec(lambda n: str(n).encode(), lambda data: int(data.decode()), T.LongType())
+    number = codec.decode(codec.encode(number))
+    cut = F.when(F.col("event_id") % 3 == 0, F.lit(b"1234")).otherwise(serde.long_codec().encode(F.col("event_id")))
+    decode = serde.fixed_length_or_error(serde.long_codec().decode, 8)
+    return serde.encode_or_error(records.withColumn("value", cut), "value", decode).select(
+        *PLACE, number.cast("string").alias("number"), "value", "error"
+    )
+
+
 @query
 def partition_state(spark, sf_dir):
     log = fx.event_log(spark, sf_dir)

@@ -44,9 +44,11 @@ def event_log(spark: SparkSession, sf_dir: str) -> TopicLog:
     Records are produced once and then read by many subscribers, so the queries
     share the stored log.
     """
-    files = tuple(sorted(events(spark, sf_dir).inputFiles()))
+    # Files are known by name, size and time of change: another input under the same names is published anew.
+    found = spark.read.format("binaryFile").load(f"{sf_dir}/events.parquet").select("path", "length", "modificationTime")
+    files = tuple(sorted(tuple(row) for row in found.collect()))
     owner = (spark.sparkContext.applicationId, files)
-    if owner not in _published:
+    if owner not in _published or not _published[owner].exists():
         _published[owner] = publish_events(spark, sf_dir)
     return _published[owner]
 
@@ -97,6 +99,13 @@ def confirmations(delivered: DataFrame) -> DataFrame:
     return delivered.filter(~missing).withColumn("offset", F.col("offset") + F.when(altered, 1).otherwise(0))
 
 
+def asked_positions(log: TopicLog, changes: DataFrame) -> DataFrame:
+    """Every partition at every batch up to the last one."""
+    last = changes.agg(F.coalesce(F.max("batch_no"), F.lit(-1))).first()[0]
+    batches = F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long")) if last >= 0 else F.array().cast("array<long>")
+    return log.partitions().select(F.explode(batches).alias("batch_no"), *TOPIC_PARTITION)
+
+
 def as_messages(offsets: DataFrame, kind: str) -> DataFrame:
     """One ``deliver`` or ``confirm`` message per batch; a batch has one offset per assigned partition."""
     listed = F.array_sort(F.collect_list(F.struct(*TOPIC_PARTITION, "offset")))

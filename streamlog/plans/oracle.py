@@ -47,12 +47,12 @@ STATEMENTS = {
   WHERE event_id // 100 NOT IN (SELECT event_id // 100 FROM log WHERE topic = 'error' AND event_id % 100 = 0)""",
     "bounded_batch": """WITH $LOG SELECT topic, "partition", "offset" FROM log WHERE "offset" < 50""",
     "consume_expected": """WITH $LOG SELECT "key", "value" FROM log WHERE topic = 'click'""",
-    "records_pairs": """WITH $LOG SELECT "key", "value" FROM log WHERE topic = 'view'""",
-    "records_values": """WITH $LOG SELECT "value" FROM log WHERE topic = 'click'""",
-    "records_size": """WITH $LOG SELECT count(*) AS n FROM log WHERE topic = 'click'""",
-    "to_producer_records": """WITH $LOG SELECT 'out' AS topic, "key", "value" FROM log WHERE topic = 'click'""",
-    "values_to_producer_records": """WITH $LOG SELECT 'out' AS topic, CAST(NULL AS STRING) AS "key", "value" FROM log WHERE topic = 'click'""",
-    "values_with_key": """WITH $LOG SELECT 'out' AS topic, 'k1' AS "key", "value" FROM log WHERE topic = 'click'""",
+    "records_pairs": """WITH $LOG SELECT "key", "value" FROM log""",
+    "records_values": """WITH $LOG SELECT "value" FROM log""",
+    "records_size": """WITH $LOG SELECT count(*) AS n FROM log""",
+    "to_producer_records": """WITH $LOG SELECT 'out' AS topic, "key", "value" FROM log""",
+    "values_to_producer_records": """WITH $LOG SELECT 'out' AS topic, CAST(NULL AS STRING) AS "key", "value" FROM log""",
+    "values_with_key": """WITH $LOG SELECT 'out' AS topic, 'k1' AS "key", "value" FROM log""",
     "destination_record": """WITH $LOG SELECT topic || '.copy' AS topic, CASE WHEN "key" IS NULL THEN 0 ELSE "partition" END AS "partition", "timestamp", "key", "value" FROM log""",
     "records_with_topic": """WITH $LOG SELECT CASE WHEN "partition" = 0 THEN 'even' ELSE 'odd' END AS topic, CAST(NULL AS STRING) AS "key", "value" FROM log""",
     "typed_records": """WITH $LOG SELECT topic, "partition", "offset", CAST("key" AS BIGINT) AS "key", "value" FROM log WHERE TRY_CAST("key" AS BIGINT) IS NOT NULL""",
@@ -93,16 +93,25 @@ STATEMENTS = {
   SELECT event_id, attempt, attempt * 10000000 AS after_ms, (attempt + 1) * 1000 AS poll_interval_ms FROM tries""",
     "resume_plan_group": """WITH $LOG, $OFFS, $STORE SELECT p.topic, p."partition", coalesce(s."offset", p."offset") AS "offset" FROM pos p
   LEFT JOIN store s ON p.topic = s.topic AND p."partition" = s."partition" """,
-    "resume_plan_manual": """WITH $LOG, $OFFS, $STORE SELECT topic, "partition", "offset" FROM store""",
-    "relay": """WITH $LOG SELECT 'topic2' AS topic, "key", "value" || '.' AS "value" FROM log WHERE topic = 'click'""",
-    "relay_stream": """WITH $LOG SELECT 'topic2' AS topic, "key", "value" || '.' AS "value" FROM log WHERE topic = 'click'""",
-    "relay_log": """WITH $LOG SELECT 'topic2' AS topic, "partition", "offset", "key", "value" || '.' AS "value" FROM log WHERE topic = 'click'""",
+    "resume_plan_manual": """WITH $LOG, $OFFS, $STORE SELECT p.topic, p."partition", coalesce(s."offset", p."offset") AS "offset" FROM pos p
+  LEFT JOIN store s ON p.topic = s.topic AND p."partition" = s."partition" """,
+    "retried_stream": """WITH $LOG, $OFFS, tries AS (SELECT unnest(['failure', 'success']) AS status)
+  SELECT CAST(0 AS BIGINT) AS batch_id, topic, "partition", "offset", status, CASE WHEN status = 'failure' THEN 'receiver is gone' END AS error FROM pos, tries""",
+    "stopped_stream": """WITH $LOG SELECT topic, "partition", "offset", true AS covered FROM log""",
+    "carried_positions": """WITH $LOG, $OFFS SELECT topic, "partition", CASE WHEN topic = 'purchase' THEN "offset" ELSE 0 END AS "offset" FROM pos""",
+    "resume_of_groups": """WITH $LOG, $OFFS, $STORE SELECT 'group-2' AS group_id, l.topic, l."partition", count(*) AS n FROM log l
+  LEFT JOIN store s ON l.topic = s.topic AND l."partition" = s."partition" WHERE l."offset" >= coalesce(s."offset", 0) GROUP BY l.topic, l."partition" """,
+    "serde_nullable_long": """WITH $LOG SELECT topic, "partition", "offset", CASE WHEN event_id % 5 <> 0 THEN CAST(event_id + 9007199254740993 AS STRING) END AS number,
+  CASE WHEN event_id % 3 <> 0 THEN event_id END AS "value", CASE WHEN event_id % 3 = 0 THEN '8 bytes expected, got 4' END AS error FROM log""",
+    "relay": """WITH $LOG SELECT 'topic2' AS topic, "key", "value" || '.' AS "value" FROM log""",
+    "relay_stream": """WITH $LOG SELECT 'topic2' AS topic, "key", "value" || '.' AS "value" FROM log""",
+    "relay_log": """WITH $LOG SELECT topic || '2' AS topic, "partition", "offset", "key", "value" || '.' AS "value" FROM log""",
     "send_acks": """WITH $LOG, $OFFS SELECT CAST(CASE WHEN l.topic = 'click' THEN 0 ELSE 1 END AS BIGINT) AS batch_id, 'out' AS topic, l."partition",
   l."offset" + CASE WHEN l.topic = 'click' THEN 0 ELSE coalesce(p."offset", 0) END AS "offset", 'success' AS status, CAST(NULL AS STRING) AS error
   FROM log l LEFT JOIN pos p ON p.topic = 'click' AND p."partition" = l."partition" WHERE l.topic IN ('click', 'purchase')""",
     "transactional_write": """WITH $LOG SELECT topic, "key", "value" FROM log WHERE topic IN ('click', 'purchase')""",
-    "dedup_records": """WITH $LOG SELECT topic, "partition", "offset", max("value") AS "value"
-  FROM (SELECT * FROM log UNION ALL SELECT * FROM log WHERE "partition" = 1) u GROUP BY topic, "partition", "offset" """,
+    "dedup_records": """WITH $LOG SELECT DISTINCT topic, "partition", "offset", "timestamp", "key", "value", event_id
+  FROM (SELECT * FROM log UNION ALL SELECT * FROM log WHERE "partition" = 1) u""",
     "stateful_counts": """WITH $LOG SELECT topic, "partition", count(*) AS n, max("offset") + 1 AS "offset" FROM log GROUP BY topic, "partition" """,
     "stateful_counts_stream": """WITH $LOG SELECT topic, "partition", count(*) AS n, max("offset") + 1 AS "offset" FROM log GROUP BY topic, "partition" """,
     "committed_stream": """WITH $LOG, $OFFS SELECT 'group-1' AS group_id, topic, "partition", "offset" FROM pos""",

@@ -7,7 +7,9 @@ import shutil
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _local_root: str | None = None
 
@@ -50,12 +52,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/streamlog/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a store no longer needs; nothing happens if it isn't there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove everything this application wrote under the shared folder; call it when it is done."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(
-        f"{shared_root(spark)}/streamlog/{spark.sparkContext.applicationId}"
-    )
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, f"{shared_root(spark)}/streamlog/{spark.sparkContext.applicationId}")
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, form: str = "parquet") -> DataFrame:
+    """A stored table; without rows if its folder isn't there."""
+    try:
+        return spark.read.schema(schema).format(form).load(path)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamlog.functions.numbers import whole_div
-from streamlog.model import TOPIC_PARTITION, struct_of
+from streamlog.model import OFFSETS_SCHEMA, TOPIC_PARTITION, struct_of
 from streamlog.operators import offsets as off
 from streamlog.operators.records import expect_at_least
+from streamlog.session import read_or_empty
 
 SEGMENT_ROWS = 10_000_000
 # Names whose folder is called like the topic itself.
@@ -71,6 +72,10 @@ class TopicLog:
         meta = spark.read.schema(META_SCHEMA).json(f"{path}/meta").first()
         return cls(spark, path, T.StructType.fromJson(json.loads(meta["fields"])), meta["segment_rows"])
 
+    def exists(self) -> bool:
+        """Whether the log is still stored."""
+        return not read_or_empty(self.spark, f"{self.path}/meta", META_SCHEMA, "json").isEmpty()
+
     @property
     def data_path(self) -> str:
         return f"{self.path}/data"
@@ -172,41 +177,45 @@ class TopicLog:
         topics: Iterable[str],
         committed: DataFrame | None = None,
         reset: str = "latest",
+        group_id: str | None = None,
     ) -> DataFrame:
         """All partitions of the topics, from the committed offsets on.
 
         Without a commit table the whole topics are read. With one, partitions
-        that are not in it start where ``reset`` says.
+        that are not in it start where ``reset`` says; a table that holds
+        several groups needs ``group_id``.
         """
         topics = list(topics)
-        return self._start(F.col("topic").isin(topics), topics, committed, reset)
+        return self._start(F.col("topic").isin(topics), topics, committed, reset, group_id)
 
     def assign(
         self,
         partitions: Iterable[tuple[str, int]],
         committed: DataFrame | None = None,
         reset: str = "latest",
+        group_id: str | None = None,
     ) -> DataFrame:
         """Named partitions only; commits and ``reset`` as for :meth:`subscribe`."""
         partitions = list(partitions)
         mine = _any_of(_is(topic, partition) for topic, partition in partitions)
-        return self._start(mine, [topic for topic, _ in partitions], committed, reset)
+        return self._start(mine, [topic for topic, _ in partitions], committed, reset, group_id)
 
-    def _start(self, mine: Column, topics: list[str], committed: DataFrame | None, reset: str) -> DataFrame:
+    def _start(
+        self, mine: Column, topics: list[str], committed: DataFrame | None, reset: str, group_id: str | None
+    ) -> DataFrame:
         chosen = self._source(topics).filter(mine)
         if committed is None:
             return self._present(chosen)
-        return self._resume(chosen, committed.filter(mine), reset)
+        return self._resume(chosen, off.of_group(committed, group_id).filter(mine), reset)
 
-    def resume(self, stored: DataFrame, reset: str = "earliest") -> DataFrame:
+    def resume(self, stored: DataFrame, reset: str = "earliest", group_id: str | None = None) -> DataFrame:
         """All topics, from offsets of the user's own store; partitions not in it follow ``reset``."""
-        return self._resume(self._source(), stored, reset)
+        return self._resume(self._source(), off.of_group(stored, group_id), reset)
 
     def _resume(self, chosen: DataFrame, stored: DataFrame, reset: str) -> DataFrame:
         if reset not in ("earliest", "latest"):
             raise ValueError(f"unknown reset policy {reset!r}")
-        stored = stored.filter(F.col("offset").isNotNull())
-        rows = off.bounded_rows(stored.select(*TOPIC_PARTITION, "offset"), off.LITERAL_LIMIT)
+        rows = off.checked_rows(stored, off.LITERAL_LIMIT)
         if rows is None:
             start = stored.select(
                 *TOPIC_PARTITION, F.col("offset").alias("_begin"), F.lit(None).cast("long").alias("_end")
@@ -254,7 +263,7 @@ class TopicLog:
 
     def _ranges(self, ranges: DataFrame) -> DataFrame:
         """Records of a table ``topic, partition, _begin, _end``; no end if that is NULL."""
-        rows = off.bounded_rows(ranges.select(*TOPIC_PARTITION, "_begin", "_end"), off.LITERAL_LIMIT)
+        rows = off.checked_rows(ranges.select(*TOPIC_PARTITION, "_begin", "_end"), off.LITERAL_LIMIT)
         if rows is None:
             return self._present(self._joined(self._source(), ranges, "inner"))
         return self._literal_ranges(rows)
@@ -286,13 +295,17 @@ class TopicLog:
     def seek_times(self, times: Column | DataFrame, strategy: str = "latest") -> DataFrame:
         """From the first record at or after a time; ``strategy`` tells what to do past the end."""
         found = self.offsets_for_times(times)
+        self._require_found(found, strategy)
+        return self.seek(found.filter(F.col("offset").isNotNull()))
+
+    @staticmethod
+    def _require_found(found: DataFrame, strategy: str) -> None:
         if strategy == "error":
             missing = found.filter(F.col("offset").isNull()).first()
             if missing is not None:
                 raise PastTheEnd(f"{missing['topic']}-{missing['partition']} has no record that late")
         elif strategy != "latest":
             raise ValueError(f"unknown strategy {strategy!r}")
-        return self.seek(found.filter(F.col("offset").isNotNull()))
 
     def bounded(
         self, max_records: int, start: Mapping[tuple[str, int], int] | DataFrame | None = None
@@ -304,6 +317,8 @@ class TopicLog:
 
     def between(self, begin: DataFrame, end: DataFrame) -> DataFrame:
         """Per partition the offsets from ``begin`` (0 if it is not there) up to before ``end``."""
+        off.checked_rows(begin.select(*TOPIC_PARTITION, "offset"), off.LITERAL_LIMIT)
+        off.checked_rows(end.select(*TOPIC_PARTITION, "offset"), off.LITERAL_LIMIT)
         first = begin.select(*TOPIC_PARTITION, F.col("offset").alias("_first"))
         ranges = end.join(first, TOPIC_PARTITION, "left")
         return self._ranges(
@@ -352,6 +367,28 @@ class StreamedLog(TopicLog):
         inside = F.col("_begin").isNull() | _range_holds()
         return off.join_small(source, ranges, how).filter(inside)
 
+    def seek_times(
+        self, times: Column | DataFrame, strategy: str = "latest", start_path: str | None = None
+    ) -> DataFrame:
+        """As for the table; partitions past the end begin at their present end.
+
+        Where each partition begins is stored at ``start_path`` when the stream
+        is first started and read from there afterwards: looked up again after
+        a restart, an end would have moved past records not read yet.
+        """
+        if start_path is None:
+            raise ValueError("a stream needs a fixed start: give start_path, a folder to keep it in")
+        stored = read_or_empty(self.spark, start_path, OFFSETS_SCHEMA)
+        if stored.isEmpty():
+            found = self.offsets_for_times(times)
+            self._require_found(found, strategy)
+            ends = self.end_offsets().withColumnRenamed("offset", "_end")
+            found = found.join(ends, TOPIC_PARTITION, "left")
+            start = found.select(*TOPIC_PARTITION, F.coalesce("offset", "_end", F.lit(0)).alias("offset"))
+            start.coalesce(1).write.mode("overwrite").parquet(start_path)
+            stored = read_or_empty(self.spark, start_path, OFFSETS_SCHEMA)
+        return self.seek(stored)
+
     def _resume(self, chosen: DataFrame, stored: DataFrame, reset: str) -> DataFrame:
         if reset == "latest":
             raise ValueError("a stream needs a fixed start; resolve 'latest' with start_offsets")

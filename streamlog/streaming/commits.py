@@ -11,16 +11,17 @@ from pyspark.sql.streaming import StreamingQuery
 from streamlog.model import COMMITS_SCHEMA, OFFSETS_SCHEMA, TOPIC_PARTITION
 from streamlog.operators.offsets import to_commits
 from streamlog.streaming import consume
-from streamlog.streaming.state import StateStore
+from streamlog.streaming.state import FRESH, StateStore
 
 
 def commits_store(spark: SparkSession, path: str) -> StateStore:
-    """Commit table on a shared path with one writer; the latest commit wins, also a lower one."""
+    """Commit table on a shared path with one writer; the last batch's commit wins, also a lower one
+    and whatever the clock says."""
     return StateStore(
         spark, path, COMMITS_SCHEMA, ["group_id", *TOPIC_PARTITION],
         {
-            "offset": (F.max_by("offset", "committed_at"), lambda name: F.max_by(name, "committed_at")),
-            "committed_at": (F.max("committed_at"), F.max),
+            "offset": (F.max_by("offset", "committed_at"), lambda name: F.max_by(name, FRESH)),
+            "committed_at": (F.max("committed_at"), lambda name: F.max_by(name, FRESH)),
         },
     )
 

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from streamlog.model import OFFSETS_SCHEMA
+from streamlog.operators.delivery import commit_upsert
 from streamlog.operators.offsets import positions
+from streamlog.session import read_or_empty, remove
 
 
 def start(
@@ -33,8 +36,32 @@ def start_with_offsets(
     handle: Callable[[DataFrame, DataFrame, int], None],
     checkpoint: str,
     interval: str | None = None,
+    assigned: DataFrame | None = None,
+    positions_path: str | None = None,
 ) -> StreamingQuery:
-    """Like :func:`start`, with the offsets table of each batch as second argument."""
-    return start(
-        stream, lambda batch, batch_id: handle(batch, positions(batch), batch_id), checkpoint, interval
-    )
+    """Like :func:`start`, with the offsets table of each batch as second argument.
+
+    By itself a batch tells the positions of the partitions it has records of.
+    With ``assigned``, an offsets table of where every assigned partition
+    begins, each batch carries the positions of all of them: the last ones, moved
+    on by the batch. They are kept at ``positions_path``, one small table per
+    batch, so a batch that is delivered again gets the same ones.
+    """
+    if assigned is None:
+        return start(
+            stream, lambda batch, batch_id: handle(batch, positions(batch), batch_id), checkpoint, interval
+        )
+    if positions_path is None:
+        raise ValueError("give positions_path, a folder to keep the positions in")
+    spark = stream.sparkSession
+
+    def carry(batch: DataFrame, batch_id: int) -> None:
+        before = assigned if batch_id == 0 else read_or_empty(spark, f"{positions_path}/{batch_id - 1}", OFFSETS_SCHEMA)
+        reached = commit_upsert(before, positions(batch))
+        reached.coalesce(1).write.mode("overwrite").parquet(f"{positions_path}/{batch_id}")
+        handle(batch, read_or_empty(spark, f"{positions_path}/{batch_id}", OFFSETS_SCHEMA), batch_id)
+        # The batch before is needed once more if this one fails, the one before that is not.
+        if batch_id > 1:
+            remove(spark, f"{positions_path}/{batch_id - 2}")
+
+    return start(stream, carry, checkpoint, interval)

@@ -13,8 +13,9 @@ from streamlog.model import ACKS_SCHEMA, TOPIC_PARTITION
 from streamlog.operators.offsets import positions
 from streamlog.sinks.log import append
 from streamlog.sources.topic_log import TopicLog
+from streamlog.session import read_or_empty
 from streamlog.streaming import consume
-from streamlog.streaming.transactions import claim, read_or_empty, write_once
+from streamlog.streaming.transactions import claim, write_once
 
 
 def relay(
@@ -74,14 +75,16 @@ def acknowledged_writer(
     acks_path: str,
     retries: int = 0,
     interval_ms: int = 0,
-    stop_on_failure: bool = False,
+    failed_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A batch handler that writes a whole batch and replies with acknowledgement rows.
 
     One row per topic partition of the batch: ``success`` with its end offset
     or ``failure`` with the error. A failing write is tried ``retries`` times
     more, with a wait that grows by ``interval_ms`` each time. A batch fails as
-    a whole; it is then passed over, or ends the query if ``stop_on_failure``.
+    a whole. It then ends the query, so the source position stays and a restart
+    delivers it again. With ``failed_path`` it is passed over instead, and its
+    records are put there under its batch number.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -100,9 +103,12 @@ def acknowledged_writer(
             *TOPIC_PARTITION, "offset", F.lit(status).alias("status"),
             F.lit(None if problem is None else str(problem)).cast("string").alias("error"),
         )
-        acks.write.mode("overwrite").parquet(f"{acks_path}/batch_id={batch_id}")
-        if problem is not None and stop_on_failure:
-            raise problem
+        # A failure stays on record when a later attempt succeeds.
+        acks.write.mode("overwrite").parquet(f"{acks_path}/batch_id={batch_id}/outcome={status}")
+        if problem is not None:
+            if failed_path is None:
+                raise problem
+            batch.write.mode("overwrite").parquet(f"{failed_path}/batch_id={batch_id}")
 
     return handle
 

@@ -1,8 +1,9 @@
 """State and source offsets kept together in the user's own store.
 
-Two snapshot folders are used in turn. A batch reads the current one, writes
-the other and then adds a row ``batch_id, slot`` that makes it current. A batch
-whose row exists is passed over, so each is applied once.
+Every batch writes a snapshot folder of its own and then adds a row
+``batch_id`` that makes it current. A batch whose row exists is passed over, so
+each is applied once. The last ``keep`` snapshots stay, so that what was read
+from the store can still be read while later batches are applied.
 """
 
 from __future__ import annotations
@@ -15,10 +16,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from streamlog.model import TOPIC_PARTITION, struct_of
+from streamlog.session import read_or_empty, remove
 from streamlog.streaming import consume
-from streamlog.streaming.transactions import claim, read_or_empty
+from streamlog.streaming.transactions import claim
 
-CURRENT_SCHEMA = struct_of(slot=T.IntegerType(), batch_id=T.LongType())
+CURRENT_SCHEMA = struct_of(applied=T.BooleanType(), batch_id=T.LongType())
+#: In an update: whether a row comes from the batch rather than the stored state.
+FRESH = "_fresh"
 
 
 class StateStore:
@@ -26,7 +30,8 @@ class StateStore:
 
     ``update`` maps each state column to an aggregate over new records and the
     aggregate that merges it with the stored one, e.g.
-    ``{"n": (F.count(F.lit(1)), F.sum)}``.
+    ``{"n": (F.count(F.lit(1)), F.sum)}``. The merging aggregate can use the
+    column ``_fresh``, true in the row that comes from the batch.
     """
 
     def __init__(
@@ -36,33 +41,34 @@ class StateStore:
         schema: T.StructType,
         keys: list[str],
         update: Mapping[str, tuple[Column, Callable[[str], Column]]],
+        keep: int = 16,
     ):
         self.spark = spark
         self.path = path
         self.schema = schema
         self.keys = keys
         self.update = dict(update)
-        self._known: tuple[int, int] | None = None
+        self.keep = keep
+        self._known: int | None = None
 
-    def _current(self) -> tuple[int, int]:
-        """Number of the last applied batch and the slot of its snapshot; -1 and -1 before the first."""
-        markers = read_or_empty(self.spark, f"{self.path}/current", CURRENT_SCHEMA)
-        last = markers.orderBy(F.desc("batch_id")).first()
-        return (-1, -1) if last is None else (last["batch_id"], last["slot"])
+    def _current(self) -> int:
+        """Number of the last applied batch; -1 before the first."""
+        last = read_or_empty(self.spark, f"{self.path}/current", CURRENT_SCHEMA).agg(F.max("batch_id")).first()[0]
+        return -1 if last is None else last
 
-    def _snapshot(self, slot: int) -> DataFrame:
-        if slot < 0:
+    def _snapshot(self, batch_id: int) -> DataFrame:
+        if batch_id < 0:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/slot={slot}")
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/state/{batch_id}")
 
     def read(self) -> DataFrame:
         """State after the last applied batch."""
-        return self._snapshot(self._current()[1])
+        return self._snapshot(self._current())
 
     def next_id(self) -> int:
         """A batch number no batch has had yet, for updates that may be repeated."""
-        self._known = self._known or self._current()
-        return self._known[0] + 1
+        self._known = self._current() if self._known is None else self._known
+        return self._known + 1
 
     def apply(self, records: DataFrame, batch_id: int) -> bool:
         """Merge one batch into the state; False if it had been applied before.
@@ -70,25 +76,34 @@ class StateStore:
         Batch numbers grow, and there is one writer, so the markers are listed
         only at its start and after a failure.
         """
-        last, old = self._known = self._known or self._current()
+        last = self._known = self._current() if self._known is None else self._known
         if batch_id <= last:
             return False
-        slot = 0 if old < 0 else 1 - old
         fresh = records.groupBy(*self.keys).agg(
             *[aggregate.alias(name) for name, (aggregate, _) in self.update.items()]
         )
         merged = (
-            self._snapshot(old).unionByName(fresh)
+            self._snapshot(last).withColumn(FRESH, F.lit(False)).unionByName(fresh.withColumn(FRESH, F.lit(True)))
             .groupBy(*self.keys)
             .agg(*[merge(name).alias(name) for name, (_, merge) in self.update.items()])
         )
         self._known = None
-        merged.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/slot={slot}")
-        row = self.spark.range(1).select(F.lit(slot).alias("slot")).coalesce(1)
+        merged.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/state/{batch_id}")
+        row = self.spark.range(1).select(F.lit(True).alias("applied")).coalesce(1)
         row.write.mode("overwrite").parquet(f"{self.path}/current/batch_id={batch_id}")
-        self._known = (batch_id, slot)
+        self._known = batch_id
+        if batch_id % self.keep == 0:
+            self._forget(batch_id)
         return True
 
+    def _forget(self, batch_id: int) -> None:
+        """Remove the snapshots and markers that are older than the last ``keep``."""
+        markers = read_or_empty(self.spark, f"{self.path}/current", CURRENT_SCHEMA)
+        known = sorted(r["batch_id"] for r in markers.select("batch_id").toLocalIterator())
+        for old in known[: -self.keep]:
+            remove(self.spark, f"{self.path}/state/{old}")
+            remove(self.spark, f"{self.path}/current/batch_id={old}")
+
 
 def counts_store(spark: SparkSession, path: str) -> StateStore:
     """Number of records and next offset per topic partition."""

@@ -7,26 +7,17 @@ batch again overwrites what a failed attempt left, so each is there once.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamlog.model import OFFSETS_SCHEMA, TOPIC_PARTITION, struct_of
 from streamlog.operators.offsets import BROADCAST_LIMIT
+from streamlog.session import read_or_empty
 
 MANIFEST_SCHEMA = struct_of(parts=T.IntegerType(), batch_id=T.LongType())
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
-
-
 def claim(spark: SparkSession, path: str, checkpoint: str) -> None:
     """Tie an output path to one checkpoint.
 
@@ -122,11 +113,17 @@ def read(
     return rows.select(*schema.names)
 
 
-def committed_offsets(spark: SparkSession, path: str) -> DataFrame:
-    """Source offsets reached by the committed batches."""
+def committed_offsets(spark: SparkSession, path: str, group_id: str | None = None) -> DataFrame:
+    """``group_id, topic, partition, offset``: source offsets of each group's last committed batch that has them.
+
+    With ``group_id`` the offsets of that group only, without the column.
+    """
     stored = T.StructType(
         [T.StructField("group_id", T.StringType())] + OFFSETS_SCHEMA.fields
         + [T.StructField("batch_id", T.LongType())]
     )
-    rows = read_or_empty(spark, f"{path}/offsets", stored)
-    return _published(rows, spark, path).groupBy(*TOPIC_PARTITION).agg(F.max("offset").alias("offset"))
+    rows = _published(read_or_empty(spark, f"{path}/offsets", stored), spark, path)
+    if group_id is not None:
+        rows = rows.filter(F.col("group_id") == group_id)
+    found = rows.groupBy("group_id", *TOPIC_PARTITION).agg(F.max_by("offset", "batch_id").alias("offset"))
+    return found if group_id is None else found.drop("group_id")

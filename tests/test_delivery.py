@@ -96,6 +96,8 @@ def test_resume_plans(spark):
         assert rows(delivery.resume_plan(mode, subscribed, confirmed, committed, store)) == [("t", 0, 5), ("t", 1, 6)]
         for nothing in (None, off.empty(spark)):
             assert rows(delivery.resume_plan(mode, subscribed, nothing, committed)) == [("t", 0, 0), ("t", 1, 0)]
+        some = off.of(spark, {("t", 1): 9})
+        assert rows(delivery.resume_plan(mode, subscribed, some)) == [("t", 0, 0), ("t", 1, 9)]
     assert rows(delivery.resume_plan("auto_partition", subscribed)) == rows(subscribed)
     with pytest.raises(ValueError):
         delivery.resume_plan("sometimes", subscribed)

@@ -62,6 +62,10 @@ def test_two_values_before_subscribing(spark):
         assert log.join(start, ["topic", "partition"]).filter("offset >= start_offset").count() == expected
 
 
+def asked(spark, batches, partitions):
+    return spark.createDataFrame([(b, "t", p) for b in batches for p in range(partitions)], "batch_no long, topic string, partition int")
+
+
 def test_batch_positions_carry_over_partitions_without_rows(spark):
     log = spark.createDataFrame(
         [(0, "t", 0, 0), (0, "t", 0, 1), (2, "t", 1, 0), (3, "t", 0, 2), (25, "t", 1, 1), (26, "t", 0, 3)],
@@ -71,7 +75,7 @@ def test_batch_positions_carry_over_partitions_without_rows(spark):
         0: (2, 0, 0), 2: (2, 1, 0), 3: (3, 1, 0), 25: (3, 2, 0), 26: (4, 2, 0),
     }
     for chunk in (1, 3, 10, 10_000):
-        found = off.batch_positions(log, [("t", 0), ("t", 1), ("t", 2)], chunk=chunk)
+        found = off.positions_at(off.position_changes(log), asked(spark, expected, 3), chunk=chunk)
         assert rows(found) == sorted((b, "t", p, o) for b, os in expected.items() for p, o in enumerate(os))
 
 
@@ -80,7 +84,7 @@ def test_batch_positions_do_not_go_back_on_a_redelivered_batch(spark):
         [(0, "t", 0, 0), (1, "t", 0, 9), (2, "t", 0, 3)], "batch_no long, topic string, partition int, offset long"
     )
     for chunk in (1, 2, 100):
-        assert rows(off.batch_positions(log, [("t", 0)], chunk=chunk).select("batch_no", "offset")) == [(0, 1), (1, 10), (2, 10)]
+        assert rows(off.positions_at(off.position_changes(log), asked(spark, range(3), 1), chunk=chunk).select("batch_no", "offset")) == [(0, 1), (1, 10), (2, 10)]
 
 
 def test_exact_schema_match(spark):

@@ -11,8 +11,8 @@ from streamlog.operators import offsets as off
 from streamlog.operators import records as rec
 from streamlog.plans import fixtures as fx
 from streamlog.session import scratch_path
-from streamlog.sinks.log import publish
-from streamlog.streaming import consume, relay, state, tracker, transactions
+from streamlog.sinks.log import append, publish
+from streamlog.streaming import commits, consume, relay, state, tracker, transactions
 
 SF_DIR = "/root/testdata/sf0.001"
 OUT = struct_of(topic=T.StringType(), key=T.StringType(), value=T.StringType())
@@ -92,7 +92,7 @@ def test_relay_writes_every_record_once_despite_a_failure(spark, log, monkeypatc
     done = transactions.read(spark, path, schema)
     assert done.count() == 1000
     assert done.select("topic", "partition", "offset").distinct().count() == 1000
-    assert rows(transactions.committed_offsets(spark, path)) == rows(log.end_offsets())
+    assert rows(transactions.committed_offsets(spark, path, "")) == rows(log.end_offsets())
 
 
 def test_a_path_keeps_to_its_checkpoint(spark, log):
@@ -127,7 +127,7 @@ def test_transactions(spark):
     aborted.abort()
     assert transactions.read(spark, path, OUT).count() == 2
     assert transactions.read(spark, path, OUT, "read_uncommitted").count() == 3
-    assert rows(transactions.committed_offsets(spark, path)) == [("s", 0, 5)]
+    assert rows(transactions.committed_offsets(spark, path)) == [("g", "s", 0, 5)]
 
     # The retry has fewer parts than a failed attempt left behind.
     failed = transactions.Transaction(spark, path, 2)
@@ -171,8 +171,8 @@ def test_a_crash_between_state_and_marker_leaves_the_old_state(spark, log):
     clicks, views = log.subscribe(["click"]), log.subscribe(["view"])
     store.apply(clicks, 0)
     before = rows(store.read())
-    # What a crash leaves: the other slot is written, the marker is not.
-    spark.createDataFrame([], store.schema).write.mode("overwrite").parquet(f"{store.path}/slot=1")
+    # What a crash leaves: the snapshot is written, the marker is not.
+    spark.createDataFrame([], store.schema).write.mode("overwrite").parquet(f"{store.path}/state/1")
     assert rows(store.read()) == before
     store.apply(views, 1)
     assert store.read().agg(F.sum("n")).first()[0] == clicks.count() + views.count()
@@ -189,18 +189,90 @@ def test_batch_writer_replies_success_or_failure(spark, log):
         if batch_id == 1:
             raise OSError("disk full")
 
-    handler = relay.acknowledged_writer(write, acks, retries=1)
+    failed = scratch_path(spark, "failed")
+    handler = relay.acknowledged_writer(write, acks, retries=1, failed_path=failed)
     consume.start(log.stream(max_files=30), handler, checkpoint).awaitTermination()
     assert tries.count(0) == 2 and tries.count(1) == 2
     replies = relay.read_acks(spark, acks)
     assert rows(replies.select("batch_id", "status", "error").distinct())[:2] == [
         (0, "success", None), (1, "failure", "disk full"),
     ]
-    stopping = relay.acknowledged_writer(write, scratch_path(spark, "acks"), stop_on_failure=True)
+    assert spark.read.parquet(failed).count() > 0
+    stopping = relay.acknowledged_writer(write, scratch_path(spark, "acks"))
     with pytest.raises(OSError):
         stopping(log.records(), 1)
 
 
+def test_a_failed_batch_is_written_after_a_restart(spark, log):
+    acks, path, checkpoint = scratch_path(spark, "acks"), scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
+    broken = []
+
+    def write(batch, batch_id):
+        if batch_id == 1 and not broken:
+            broken.append(True)
+            raise OSError("disk full")
+        batch.write.mode("overwrite").parquet(f"{path}/{batch_id}")
+
+    handler = relay.acknowledged_writer(write, acks)
+    with pytest.raises(StreamingQueryException):
+        consume.start(log.stream(max_files=30), handler, checkpoint).awaitTermination()
+    consume.start(log.stream(max_files=30), handler, checkpoint).awaitTermination()
+    assert spark.read.parquet(f"{path}/*").count() == 1000
+    assert rows(relay.read_acks(spark, acks).filter("batch_id = 1").select("status").distinct()) == [("failure",), ("success",)]
+
+
+def test_a_stream_by_time_keeps_its_start(spark):
+    """Partitions past the end begin at their end, and go on from there after a restart."""
+    def some(partition, first, n):
+        at = "timestampadd(SECOND, id, timestamp_ntz'2024-01-01 00:00:00')"
+        return spark.range(first, first + n).selectExpr("'t' topic", f"{partition} partition", f"{at} timestamp", "cast(null as string) key", "cast(id as string) value")
+
+    log = publish(some(0, 0, 20).unionByName(some(1, 100, 20)), scratch_path(spark, "timed"), ["timestamp", "value"])
+    at = F.lit("2024-01-01 00:01:50").cast("timestamp_ntz")
+    start, checkpoint, path = (scratch_path(spark, x) for x in ("start", "checkpoint", "out"))
+
+    def run():
+        stream = log.as_stream().seek_times(at, start_path=start)
+        consume.start(stream, lambda b, i: b.write.mode("overwrite").parquet(f"{path}/{i}"), checkpoint).awaitTermination()
+        return rows(spark.read.parquet(f"{path}/*").select("partition", "offset"))
+
+    late = [(1, n) for n in range(10, 20)]
+    assert run() == late
+    append(some(0, 20, 10), log, ["timestamp", "value"])
+    assert run() == [(0, n) for n in range(20, 30)] + late
+
+
+def test_groups_of_a_relay_keep_their_own_offsets(spark):
+    path = scratch_path(spark, "groups")
+    one = spark.createDataFrame([("t", "key", "value")], "topic string, key string, value string")
+    for batch_id, (group, offset) in enumerate([("a", 9), ("b", 5), ("a", 7)]):
+        transactions.write_once(one, off.of(spark, {("s", 0): offset}), path, batch_id, group)
+    assert rows(transactions.committed_offsets(spark, path)) == [("a", "s", 0, 7), ("b", "s", 0, 5)]
+    assert rows(transactions.committed_offsets(spark, path, "b")) == [("s", 0, 5)]
+
+
+def test_what_was_read_from_a_store_stays_readable(spark, log):
+    store = state.counts_store(spark, scratch_path(spark, "state"))
+    clicks = log.subscribe(["click"])
+    store.apply(clicks, 0)
+    early = store.read()
+    expected = rows(early)
+    for n in range(1, 4):
+        store.apply(clicks, n)
+    assert rows(early) == expected
+    store.keep = 2
+    store.apply(clicks, 4)
+    assert store.read().agg(F.sum("n")).first()[0] == 5 * clicks.count()
+    assert [r["batch_id"] for r in spark.read.parquet(f"{store.path}/current").orderBy("batch_id").collect()] == [3, 4]
+
+
+def test_the_last_commit_wins_whatever_the_clock_says(spark):
+    store = commits.commits_store(spark, scratch_path(spark, "commits"))
+    for n, (offset, at) in enumerate([(9, "2024-01-02"), (5, "2024-01-01")]):
+        store.apply(off.to_commits(off.of(spark, {("t", 0): offset}), "g", F.lit(at).cast("timestamp")), n)
+    assert rows(commits.committed(store, "g")) == [("t", 0, 5)]
+
+
 def test_relay_to_any_sink(spark, log):
     path = scratch_path(spark, "files")
     query = relay.relay_to_sink(

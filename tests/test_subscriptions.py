@@ -75,6 +75,20 @@ def test_failures_advance_partition_modes_only():
         assert sub.advance(None) is sub
 
 
+def test_partitions_without_a_confirmation_are_not_lost(log):
+    two = (("click", 0), ("click", 1))
+    assert ManualOffset({("click", 0): 1, ("click", 1): 2}).advance({("click", 0): 50}) == ManualOffset({("click", 0): 50, ("click", 1): 2})
+    clicks = log.records().filter("topic = 'click'")
+    on = ManualPartition(two).advance({("click", 0): 50})
+    assert place(on.read(log)) == place(clicks.filter("partition = 1 or (partition = 0 and offset >= 50)"))
+    assert on.advance({("click", 1): 7}) == ManualOffset({("click", 0): 50, ("click", 1): 7})
+    timed = ManualOffsetForTimes({p: millis("2024-01-20T00:00:00") for p in two}).advance({("click", 0): 50})
+    assert place(timed.read(log)) == place(clicks.filter("(partition = 1 and timestamp >= '2024-01-20') or (partition = 0 and offset >= 50)"))
+    for mixed in (on, timed):
+        with pytest.raises(ValueError, match="advance with all"):
+            mixed.kafka_options()
+
+
 def test_kafka_options_of_each_mode():
     assert AutoPartition(("a", "b")).kafka_options("earliest") == {"subscribe": "a,b", "startingOffsets": "earliest"}
     stored = AutoPartitionWithManualOffset(("a",), lambda tps: {("a", 0): 3}).kafka_options([("a", 0), ("a", 1)])
@@ -94,7 +108,9 @@ def test_streams_take_the_same_subscriptions(spark, log, monkeypatch):
     at = F.lit("2024-01-25 00:00:00").cast("timestamp_ntz")
     timed = place(log.seek_times(at))
     monkeypatch.setattr(off, "LITERAL_LIMIT", 2)
-    assert place(collected(spark, stream.seek_times(at))) == timed
+    assert place(collected(spark, stream.seek_times(at, start_path=scratch_path(spark, "start")))) == timed
+    with pytest.raises(ValueError, match="fixed start"):
+        stream.seek_times(at)
     with pytest.raises(ValueError, match="fixed start"):
         stream.subscribe(["click"], committed, "latest")
 

@@ -216,3 +216,32 @@ def test_stream_of_the_log_is_the_log(log, spark, bound):
     )
     query.awaitTermination()
     assert sum(seen) == 1000 and len(seen) > 1
+
+
+@pytest.mark.parametrize("limit", [0, 256])
+def test_ambiguous_offsets_are_refused_whatever_their_number(log, spark, monkeypatch, limit):
+    monkeypatch.setattr(off, "LITERAL_LIMIT", limit)
+    twice = off.of(spark, {("click", 0): 5}).unionByName(off.of(spark, {("click", 0): 7}))
+    empty = spark.createDataFrame([("click", 0, None)], twice.schema)
+    nameless = spark.createDataFrame([(None, 0, 3)], twice.schema)
+    good = off.of(spark, {("click", 0): 5})
+    for bad in (twice, empty, nameless):
+        for read in (
+            log.seek, log.resume, lambda b: log.subscribe(["click"], b) if bad is not nameless else log.seek(b),
+            lambda b: log.bounded(5, b), lambda b: log.between(b, good), lambda b: log.between(good, b),
+        ):
+            with pytest.raises(ValueError, match="each partition once"):
+                read(bad)
+
+
+@pytest.mark.parametrize("limit", [0, 256])
+def test_groups_of_a_commit_table_are_kept_apart(log, spark, monkeypatch, limit):
+    monkeypatch.setattr(off, "LITERAL_LIMIT", limit)
+    at = F.current_timestamp()
+    table = off.to_commits(off.of(spark, {("click", 0): 50}), "a", at).unionByName(off.to_commits(off.of(spark, {("click", 0): 40}), "b", at))
+    for group, begin in (("a", 50), ("b", 40)):
+        for found in (log.subscribe(["click"], table, group_id=group), log.assign([("click", 0)], table, group_id=group), log.resume(table, "latest", group)):
+            assert found.agg(F.min("offset")).first()[0] == begin
+    with pytest.raises(ValueError, match="several groups"):
+        log.subscribe(["click"], table)
+    assert log.subscribe(["click"], table.filter("group_id = 'a'")).agg(F.min("offset")).first()[0] == 50
