@@ -34,7 +34,7 @@ def _tasks_beyond_default(df: DataFrame, rows: int) -> int | None:
     return needed if needed > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
 
 
-def range_split(df: DataFrame, sort_by: list[str], splits: int | None = None) -> DataFrame:
+def range_split(df: DataFrame, sort_by: list[str], splits: int | None = None, scratch: str = "split") -> DataFrame:
     """Sort ``df`` globally and tag each row with its piece and its position.
 
     ``sort_by`` must identify a row, or the order among equal rows is open. The
@@ -48,7 +48,7 @@ def range_split(df: DataFrame, sort_by: list[str], splits: int | None = None) ->
         F.spark_partition_id().alias(SPLIT),
         F.monotonically_increasing_id().alias(POSITION),
     )
-    return materialize(tagged, "split")
+    return materialize(tagged, scratch)
 
 
 def _as_number(df: DataFrame, name: str) -> Column | None:
@@ -77,7 +77,7 @@ def _before(*groups: str, order: str) -> WindowSpec:
     return Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _in_buckets(df: DataFrame, order_by: str, bucket_rows: int) -> DataFrame:
+def _in_buckets(df: DataFrame, order_by: str, bucket_rows: int, scratch: str) -> DataFrame:
     """Tag rows with a bucket that grows with the sort key, about ``bucket_rows`` rows each.
 
     Every partition gets its own bucket width from its row count and span.
@@ -90,7 +90,7 @@ def _in_buckets(df: DataFrame, order_by: str, bucket_rows: int) -> DataFrame:
         F.min(at).alias("_low"), F.max(at).alias("_high"), F.count(F.lit(1)).alias("_rows")
     )
     width = (F.col("_high") - F.col("_low") + 1) * F.lit(float(bucket_rows)) / F.col("_rows")
-    spans = materialize(spans.select(*TOPIC_PARTITION, "_low", width.alias("_width")), "spans")
+    spans = materialize(spans.select(*TOPIC_PARTITION, "_low", width.alias("_width")), scratch)
     [groups] = _summary(spans, F.count(F.lit(1)))
     # NULL sorts before everything else, hence a bucket of its own in front.
     bucket = F.coalesce(F.floor((at - F.col("_low")) / F.col("_width")), F.lit(-1))
@@ -104,16 +104,18 @@ def assign_offsets(
     start: DataFrame | None = None,
     bucket_rows: int = BUCKET_ROWS,
     splits: int | None = None,
+    scratch: str = "numbering",
 ) -> DataFrame:
     """Add ``offset``: 0, 1, 2, ... per (topic, partition) in the given order.
 
     ``order_by`` must identify a row within its partition. ``start`` is an
-    offsets table; its partitions are continued from there.
+    offsets table; its partitions are continued from there. ``scratch`` names
+    the tables written meanwhile, for a caller that removes them afterwards.
 
     Only the sort columns are read to count the buckets. The records then move
     once, by (topic, partition, bucket), and are numbered from the bucket's base.
     """
-    rows = _in_buckets(df, order_by[0], bucket_rows)
+    rows = _in_buckets(df, order_by[0], bucket_rows, scratch)
     groups = [*TOPIC_PARTITION, "_bucket"]
     counts = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
     base = F.coalesce(F.sum("_n").over(_before(*TOPIC_PARTITION, order="_bucket")), F.lit(0))
@@ -123,7 +125,7 @@ def assign_offsets(
         bases = bases.join(begin, TOPIC_PARTITION, "left").select(
             *groups, "_n", (F.col("_base") + F.coalesce("_start", F.lit(0))).alias("_base")
         )
-    bases = materialize(bases, "bases")
+    bases = materialize(bases, scratch)
     too_large = F.col("_n") > HOT_FACTOR * bucket_rows
     hot = bases.filter(too_large).select(*groups, "_base")
     total, crowded = _summary(bases, F.sum("_n"), F.sum(F.when(too_large, F.col("_n"))))
@@ -135,7 +137,7 @@ def assign_offsets(
         cold = _number_in_window(rows.join(hot, groups, "left_anti"), bases, groups, order_by, tasks)
         splits = splits or _tasks_beyond_default(df, crowded)
         numbered = cold.unionByName(
-            _number_by_range(rows.join(hot, groups, "left_semi"), hot, groups, order_by, splits)
+            _number_by_range(rows.join(hot, groups, "left_semi"), hot, groups, order_by, splits, scratch)
         )
     return numbered.select(*TOPIC_PARTITION, "offset", *[c for c in df.columns if c not in TOPIC_PARTITION])
 
@@ -153,14 +155,14 @@ def _number_in_window(
 
 
 def _number_by_range(
-    rows: DataFrame, bases: DataFrame, groups: list[str], order_by: list[str], splits: int | None
+    rows: DataFrame, bases: DataFrame, groups: list[str], order_by: list[str], splits: int | None, scratch: str
 ) -> DataFrame:
     """Number rows of groups of any size: count each piece of a global sort, sum up the earlier ones.
 
     Spark broadcasts the table of pieces only if its written size is below
     ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    sorted_rows = range_split(rows, [*groups, *order_by], splits)
+    sorted_rows = range_split(rows, [*groups, *order_by], splits, scratch)
     pieces = sorted_rows.groupBy(SPLIT, *groups).agg(
         F.min(POSITION).alias("_first"), F.count(F.lit(1)).alias("_n")
     )
@@ -168,7 +170,7 @@ def _number_by_range(
     pieces = pieces.select(SPLIT, *groups, "_first", earlier.alias("_earlier")).join(bases, groups)
     pieces = materialize(
         pieces.select(SPLIT, *groups, (F.col("_base") + F.col("_earlier") - F.col("_first")).alias("_shift")),
-        "pieces",
+        scratch,
     )
     return sorted_rows.join(pieces, [SPLIT, *groups]).withColumn(
         "offset", F.col(POSITION) + F.col("_shift")

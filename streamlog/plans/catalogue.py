@@ -18,7 +18,7 @@ from streamlog.operators import records as rec
 from streamlog.operators.numbering import with_next
 from streamlog.plans import fixtures as fx
 from streamlog.session import scratch_path
-from streamlog.sinks.log import create_log, send
+from streamlog.sinks.log import LogTransaction, append, create_log, send
 from streamlog.streaming import commits, consume, state, tracker, transactions
 from streamlog.streaming import relay as relays
 
@@ -430,6 +430,45 @@ def transactional_write(spark, sf_dir):
     return transactions.read(spark, path, OUTPUT_SCHEMA)
 
 
+def _purchases_and_errors(spark, sf_dir):
+    """A log with a committed batch, an aborted one and a committed one that is sent twice."""
+    source = fx.event_log(spark, sf_dir)
+    target = create_log(spark, scratch_path(spark, "units"), source.schema)
+    for topic, end in (("click", "commit"), ("error", "abort"), ("purchase", "commit"), ("purchase", "commit")):
+        unit = LogTransaction(target, ["timestamp", "event_id"], topic)
+        unit.send(source.subscribe([topic]).drop("offset").withColumn("topic", F.lit("out")))
+        getattr(unit, end)()
+    return target
+
+
+@query
+def isolated_committed(spark, sf_dir):
+    return _purchases_and_errors(spark, sf_dir).records().select(*PLACE, "key", "value")
+
+
+@query
+def isolated_uncommitted(spark, sf_dir):
+    return _purchases_and_errors(spark, sf_dir).isolated("read_uncommitted").records().select(*PLACE, "key", "value")
+
+
+@query
+def relay_log_restarted(spark, sf_dir):
+    """A relay to a log that breaks off just after a write and starts again: every record once."""
+    source = fx.event_log(spark, sf_dir)
+    target = create_log(spark, scratch_path(spark, "restarted"), source.schema)
+    path, written = scratch_path(spark, "checkpoint"), []
+
+    def forward(batch: DataFrame, batch_id: int) -> None:
+        append(batch.drop("offset"), target, ["timestamp", "event_id"], batch_id=f"{path}#{batch_id}", writer=path)
+        written.append(batch_id)
+        if len(written) == 1:
+            raise OSError("lost after the write")
+
+    for _ in range(2):
+        _until_broken(consume.start(source.stream(), forward, path))
+    return target.records().select(*PLACE, "key", "value")
+
+
 @query
 def dedup_records(spark, sf_dir):
     records = fx.event_log(spark, sf_dir).records()

@@ -17,6 +17,8 @@ SHARED = {
     FROM d WHERE NOT (batch_no % 5 = 1 AND "partition" = 3)),
   ok AS (SELECT d.batch_no, count(*) = count(c."offset") AND bool_and(coalesce(d."offset" = c."offset", false)) AS confirmed
     FROM d LEFT JOIN c ON d.batch_no = c.batch_no AND d.topic = c.topic AND d."partition" = c."partition" GROUP BY d.batch_no)""",
+    "UNITS": """u AS (SELECT CASE topic WHEN 'click' THEN 0 WHEN 'error' THEN 1 ELSE 2 END AS unit, * FROM log WHERE topic IN ('click', 'error', 'purchase')),
+  units AS (SELECT unit, 'out' AS topic, "partition", row_number() OVER (PARTITION BY "partition" ORDER BY unit, "offset") - 1 AS "offset", "key", "value" FROM u)""",
     "PLAN": """dl AS (SELECT event_id, date_diff('millisecond', date_trunc('millisecond', ts), date_trunc('millisecond', nx)) AS delay_ms
     FROM (SELECT event_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nx FROM events) t),
   fd AS (SELECT event_id, delay_ms, CASE WHEN delay_ms IS NULL THEN NULL WHEN delay_ms <= 0 THEN 0 ELSE (delay_ms - 1) // 10000000 END AS fired FROM dl),
@@ -110,6 +112,9 @@ STATEMENTS = {
   l."offset" + CASE WHEN l.topic = 'click' THEN 0 ELSE coalesce(p."offset", 0) END AS "offset", 'success' AS status, CAST(NULL AS STRING) AS error
   FROM log l LEFT JOIN pos p ON p.topic = 'click' AND p."partition" = l."partition" WHERE l.topic IN ('click', 'purchase')""",
     "transactional_write": """WITH $LOG SELECT topic, "key", "value" FROM log WHERE topic IN ('click', 'purchase')""",
+    "isolated_committed": """WITH $LOG, $UNITS SELECT topic, "partition", "offset", "key", "value" FROM units WHERE unit <> 1""",
+    "isolated_uncommitted": """WITH $LOG, $UNITS SELECT topic, "partition", "offset", "key", "value" FROM units""",
+    "relay_log_restarted": """WITH $LOG SELECT topic, "partition", "offset", "key", "value" FROM log""",
     "dedup_records": """WITH $LOG SELECT DISTINCT topic, "partition", "offset", "timestamp", "key", "value", event_id
   FROM (SELECT * FROM log UNION ALL SELECT * FROM log WHERE "partition" = 1) u""",
     "stateful_counts": """WITH $LOG SELECT topic, "partition", count(*) AS n, max("offset") + 1 AS "offset" FROM log GROUP BY topic, "partition" """,

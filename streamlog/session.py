@@ -58,6 +58,14 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def drop_named(spark: SparkSession, name: str) -> None:
+    """Remove all scratch tables of this name."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/streamlog/{spark.sparkContext.applicationId}")
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, f"{name}-*")) or []:
+        files.delete(found.getPath(), True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove everything this application wrote under the shared folder; call it when it is done."""
     remove(spark, f"{shared_root(spark)}/streamlog/{spark.sparkContext.applicationId}")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +15,16 @@ from streamlog.functions.numbers import whole_div
 from streamlog.functions.serde import split_failed
 from streamlog.model import ACKS_SCHEMA, TOPIC_PARTITION
 from streamlog.operators.numbering import assign_offsets
-from streamlog.session import materialize
-from streamlog.sources.topic_log import FOLDER_FIELDS, SEGMENT_ROWS, TopicLog
+from streamlog.session import drop_named, materialize, remove
+from streamlog.sources.topic_log import FOLDER_FIELDS, FOLDERS, SEGMENT_ROWS, TopicLog
+
+#: Appends whose ledger rows are gathered in one file.
+COMPACT_EVERY = 64
 
 
 def _describe(spark: SparkSession, path: str, schema: T.StructType, segment_rows: int) -> TopicLog:
     """Write what a reader has to know about a log."""
-    folder = {field.name for field in FOLDER_FIELDS}
-    fields = [field for field in schema.fields if field.name not in folder]
+    fields = [field for field in schema.fields if field.name not in FOLDERS]
     schema = T.StructType(fields + FOLDER_FIELDS)
     meta = [F.lit(segment_rows).alias("segment_rows"), F.lit(schema.json()).alias("fields")]
     spark.range(1).coalesce(1).select(*meta).write.json(f"{path}/meta")
@@ -32,7 +37,7 @@ def create_log(spark: SparkSession, path: str, schema: T.StructType, segment_row
     empty = spark.range(0).select(
         *[F.lit(None).cast(field.dataType).alias(field.name) for field in log.schema.fields]
     )
-    empty.write.partitionBy(*[field.name for field in FOLDER_FIELDS]).parquet(log.data_path)
+    empty.write.partitionBy(*FOLDERS).parquet(log.data_path)
     return log
 
 
@@ -52,27 +57,45 @@ def publish(
     numbered = assign_offsets(records, order_by)
     numbered = numbered if encode is None else encode(numbered)
     log = _describe(records.sparkSession, path, numbered.schema, segment_rows)
-    write_numbered(numbered, log)
+    write_numbered(numbered, log, 0)
+    counts = records.groupBy(*TOPIC_PARTITION).agg(F.count(F.lit(1)).alias("n"))
+    _enter(log, counts.withColumn("begin", F.lit(0).cast("long")), 0, None, "committed")
     return log
 
 
-def write_numbered(numbered: DataFrame, log: TopicLog) -> None:
-    """Append records that already carry their offsets.
+def write_numbered(numbered: DataFrame, log: TopicLog, append_no: int, tree: str = "data") -> None:
+    """Write records that already carry their offsets as one append; written again it replaces itself.
 
     The rows are sorted by offset inside each file, so that offset and
     timestamp statistics of the row groups are narrow.
     """
-    columns = [*log.schema.names]
     (
-        numbered.withColumn("segment", whole_div("offset", log.segment_rows))
-        .select(*columns)
+        numbered.withColumns({
+            "segment": whole_div("offset", log.segment_rows), "append_no": F.lit(append_no).cast("long"),
+        })
+        .select(*log.schema.names)
         .sortWithinPartitions(*TOPIC_PARTITION, "segment", "offset")
-        .write.mode("append")
-        .partitionBy(*TOPIC_PARTITION, "segment")
-        .parquet(log.data_path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*FOLDERS)
+        .parquet(f"{log.path}/{tree}")
     )
 
 
+def _enter(log: TopicLog, counts: DataFrame, append_no: int, batch_id: str | None, status: str) -> None:
+    """The commit point: ledger rows of ``topic, partition, begin, n``."""
+    rows = counts.select(
+        F.lit(append_no).cast("long").alias("append_no"), F.lit(batch_id).cast("string").alias("batch_id"),
+        *TOPIC_PARTITION, "begin", (F.col("begin") + F.col("n")).alias("end"), F.lit(status).alias("status"),
+    )
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{log.path}/ledger/n={append_no}")
+    if append_no % COMPACT_EVERY == COMPACT_EVERY - 1:
+        log.ledger().coalesce(1).write.mode("overwrite").parquet(f"{log.path}/ledger/n=upto{append_no}")
+        # Rows of this round stay for readers that have listed them; those of the round before go.
+        for old in range(append_no - 2 * COMPACT_EVERY + 1, append_no - COMPACT_EVERY + 1):
+            remove(log.spark, f"{log.path}/ledger/n={old}")
+        remove(log.spark, f"{log.path}/ledger/n=upto{append_no - 2 * COMPACT_EVERY}")
+
+
 def choose_partition(partitions: int) -> Column:
     """Partition of an output record: the given one, else by key, else spread by content.
 
@@ -86,15 +109,103 @@ def choose_partition(partitions: int) -> Column:
     )
 
 
-def append(records: DataFrame, log: TopicLog, order_by: list[str], partitions: int = 1) -> DataFrame:
-    """Append output records after the present end of the log; returns the end offsets before.
+class SecondWriter(RuntimeError):
+    """Another writer is, or was when it broke off, appending to the log."""
+
+
+@contextmanager
+def _only_writer(log: TopicLog, writer: str) -> Iterator[None]:
+    """Hold the log's writer mark; a writer that broke off may take its own mark up again."""
+    spark = log.spark
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{log.path}/writer")
+    files = mark.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.createNewFile(mark):
+        out = files.create(mark, True)
+        out.writeUTF(writer)
+        out.close()
+    else:
+        found = files.open(mark)
+        try:
+            owner = found.readUTF() if files.getFileStatus(mark).getLen() else ""
+        finally:
+            found.close()
+        if owner != writer:
+            raise SecondWriter(f"{log.path} is being written by {owner or 'another writer'}; remove {log.path}/writer if it is gone")
+    yield
+    files.delete(mark, False)
+
+
+def append(
+    records: DataFrame,
+    log: TopicLog,
+    order_by: list[str],
+    partitions: int = 1,
+    batch_id: str | None = None,
+    writer: str | None = None,
+    status: str = "committed",
+) -> DataFrame:
+    """Append output records after the present end of the log.
 
-    One writer at a time: the end offsets are read first.
+    Returns ``topic, partition, begin, end`` of what was appended. The data are
+    written first and the ledger rows last, so an append is there whole or not
+    at all. A ``batch_id`` that is in the ledger already is passed over: its
+    rows are returned and nothing is written. A second writer is refused;
+    ``writer`` names this one over restarts (default: the application).
     """
-    start = materialize(log.end_offsets(), "ends")
-    addressed = records.withColumn("partition", choose_partition(partitions))
-    write_numbered(assign_offsets(addressed, order_by, start), log)
-    return start
+    spark = records.sparkSession
+    with _only_writer(log, writer or spark.sparkContext.applicationId):
+        ledger = log.ledger()
+        if batch_id is not None:
+            known = ledger.filter(F.col("batch_id") == batch_id).select(*TOPIC_PARTITION, "begin", "end")
+            if not known.isEmpty():
+                return known
+        number = log.last_append() + 1
+        name = f"append-{uuid.uuid4().hex}"
+        try:
+            start = materialize(log.end_offsets(), name)
+            addressed = records.withColumn("partition", choose_partition(partitions))
+            write_numbered(assign_offsets(addressed, order_by, start, scratch=name), log, number, TREES[status])
+            begin = start.select(*TOPIC_PARTITION, F.col("offset").alias("_begin"))
+            counts = addressed.groupBy(*TOPIC_PARTITION).agg(F.count(F.lit(1)).alias("n"))
+            counts = counts.join(begin, TOPIC_PARTITION, "left").withColumn("begin", F.coalesce("_begin", F.lit(0)).cast("long"))
+            _enter(log, counts, number, batch_id, status)
+        finally:
+            drop_named(spark, name)
+        return log.ledger().filter(F.col("append_no") == number).select(*TOPIC_PARTITION, "begin", "end")
+
+
+#: Where the records of an append go.
+TREES = {"committed": "data", "aborted": "aborted"}
+
+
+class LogTransaction:
+    """Records sent to a log as one unit; readers of committed records see them after ``commit`` or not at all."""
+
+    def __init__(self, log: TopicLog, order_by: list[str], batch_id: str, partitions: int = 1, writer: str | None = None):
+        self.log, self.order_by, self.batch_id, self.partitions, self.writer = log, order_by, batch_id, partitions, writer
+        self._sent: list[DataFrame] = []
+        self.open = True
+
+    def send(self, records: DataFrame) -> None:
+        if not self.open:
+            raise RuntimeError(f"transaction {self.batch_id} has ended")
+        self._sent.append(records)
+
+    def _end(self, status: str) -> DataFrame | None:
+        if not self.open:
+            raise RuntimeError(f"transaction {self.batch_id} has ended")
+        self.open = False
+        if not self._sent:
+            return None
+        records = reduce(DataFrame.unionByName, self._sent)
+        return append(records, self.log, self.order_by, self.partitions, self.batch_id, self.writer, status)
+
+    def commit(self) -> DataFrame | None:
+        return self._end("committed")
+
+    def abort(self) -> DataFrame | None:
+        """The records keep their offsets, but only readers of uncommitted records see them."""
+        return self._end("aborted")
 
 
 def send(
@@ -112,10 +223,10 @@ def send(
     failed = None
     if "error" in records.columns:
         records, failed = split_failed(records)
-    start = append(records, log, order_by, partitions)
-    # Read back what was written rather than number the records a second time.
-    acks = log.between(start, log.end_offsets()).select(
-        number, *TOPIC_PARTITION, "offset",
+    written = append(records, log, order_by, partitions)
+    # What was written is known from its begin and end.
+    acks = written.filter("end > begin").select(
+        number, *TOPIC_PARTITION, F.explode(F.sequence(F.col("begin"), F.col("end") - 1)).alias("offset"),
         F.lit("success").alias("status"), F.lit(None).cast("string").alias("error"),
     )
     if failed is not None:

@@ -1,12 +1,18 @@
 """A topic log kept as Parquet, read like a subscriber reads a broker.
 
-Layout: ``<path>/data/topic=T/partition=P/segment=S``, where segment S holds
-the offsets from ``S * segment_rows`` on. Reads turn offsets into literal
+Layout: ``<path>/data/topic=T/partition=P/segment=S/append_no=N``, where segment
+S holds the offsets from ``S * segment_rows`` on. Reads turn offsets into literal
 predicates on these folders, so a seek opens only the files it needs.
+
+``<path>/ledger`` is a small table with a row for each append and partition,
+written after the data: the commit point of the append. Ends, partitions and
+segments come from it, without a look at the data. ``<path>/aborted`` has the
+records of aborted transactions, in the same layout.
 """
 
 from __future__ import annotations
 
+import copy
 import json
 import re
 from collections.abc import Iterable, Mapping
@@ -27,11 +33,14 @@ SEGMENT_ROWS = 10_000_000
 PLAIN_NAME = re.compile(r"[A-Za-z0-9._-]+")
 META_SCHEMA = struct_of(segment_rows=T.LongType(), fields=T.StringType())
 
-FOLDER_FIELDS = struct_of(topic=T.StringType(), partition=T.IntegerType(), segment=T.LongType()).fields
-# The fixed columns of Spark's binaryFile source.
-FILE_FIELDS = struct_of(
-    path=T.StringType(), modificationTime=T.TimestampType(), length=T.LongType(), content=T.BinaryType()
+FOLDER_FIELDS = struct_of(
+    topic=T.StringType(), partition=T.IntegerType(), segment=T.LongType(), append_no=T.LongType()
 ).fields
+FOLDERS = [field.name for field in FOLDER_FIELDS]
+LEDGER_SCHEMA = struct_of(
+    append_no=T.LongType(), batch_id=T.StringType(), topic=T.StringType(), partition=T.IntegerType(),
+    begin=T.LongType(), end=T.LongType(), status=T.StringType(),
+)
 
 
 class PastTheEnd(LookupError):
@@ -65,7 +74,7 @@ class TopicLog:
         self.path = path
         self.schema = schema
         self.segment_rows = segment_rows
-        self._filled = False
+        self.isolation = "read_committed"
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> "TopicLog":
@@ -80,26 +89,57 @@ class TopicLog:
     def data_path(self) -> str:
         return f"{self.path}/data"
 
-    def _stored(self, topics: Iterable[str] | None = None) -> DataFrame:
+    def isolated(self, level: str) -> "TopicLog":
+        """The same log read at an isolation level.
+
+        ``read_committed`` gives the records of committed appends,
+        ``read_uncommitted`` also those of aborted and unfinished ones.
+        """
+        if level not in ("read_committed", "read_uncommitted"):
+            raise ValueError(f"unknown isolation level {level!r}")
+        log = copy.copy(self)
+        log.isolation = level
+        return log
+
+    def ledger(self) -> DataFrame:
+        """One row for each append and partition it wrote to."""
+        # A row may be there twice while the ledger is compacted.
+        return read_or_empty(self.spark, f"{self.path}/ledger", LEDGER_SCHEMA).select(*LEDGER_SCHEMA.names).distinct()
+
+    def last_append(self) -> int:
+        """Number of the last append that ended, -1 before the first."""
+        last = self.ledger().agg(F.max("append_no")).first()[0]
+        return -1 if last is None else last
+
+    def _stored(self, topics: Iterable[str] | None = None, tree: str = "data") -> DataFrame:
         """Stored rows; with ``topics`` only their folders are listed, if that is possible."""
         # Types are given: a topic named "007" must not be read as a number.
-        reader = self.spark.read.schema(self.schema).option("basePath", self.data_path)
+        reader = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/{tree}")
         names = None if topics is None else sorted(set(topics))
-        if names and all(PLAIN_NAME.fullmatch(name) for name in names):
+        for folders in ([f"topic={n}" for n in names] if names and all(map(PLAIN_NAME.fullmatch, names)) else [], [""]):
             try:
-                return reader.parquet(*[f"{self.data_path}/topic={name}" for name in names])
+                if folders:
+                    return reader.parquet(*[f"{self.path}/{tree}/{folder}".rstrip("/") for folder in folders])
             except AnalysisException as problem:
-                # A topic without records has no folder.
+                # A topic without records has no folder, a log without aborted records no such tree.
                 if problem.getCondition() != "PATH_NOT_FOUND":
                     raise
-        return reader.parquet(self.data_path)
+        return self.spark.createDataFrame([], self.schema)
 
     def _source(self, topics: Iterable[str] | None = None) -> DataFrame:
         """What the subscriptions below read from."""
-        return self._stored(topics)
+        stored = self._stored(topics)
+        if self.isolation == "read_uncommitted":
+            return stored.unionByName(self._stored(topics, "aborted"))
+        # An append without its ledger rows is not finished, or was broken off.
+        return stored.filter(F.col("append_no") <= self.last_append())
+
+    def _table(self, topics: Iterable[str] | None = None) -> DataFrame:
+        """The source as a table, also for a streamed log."""
+        return TopicLog._source(self, topics)
 
     def _present(self, stored: DataFrame) -> DataFrame:
-        columns = [c for c in self.schema.names if c not in (*TOPIC_PARTITION, "segment")]
+        columns = [c for c in self.schema.names if c not in FOLDERS]
         return stored.select(*TOPIC_PARTITION, *columns)
 
     def records(self) -> DataFrame:
@@ -107,21 +147,19 @@ class TopicLog:
         return self._present(self._source())
 
     def is_empty(self) -> bool:
-        """Whether nothing was ever written; a log does not become empty again."""
-        if not self._filled:
-            self._filled = "topic" in self.spark.read.format("binaryFile").load(self.data_path).columns
-        return not self._filled
+        """Whether nothing was ever written."""
+        return self.last_append() < 0
 
     def segments(self) -> DataFrame:
-        """``topic, partition, segment`` of every file, from the folder listing alone."""
-        if self.is_empty():
-            return self.spark.createDataFrame([], T.StructType(FOLDER_FIELDS))
-        files = self.spark.read.schema(T.StructType(FILE_FIELDS + FOLDER_FIELDS)).format("binaryFile")
-        return files.load(self.data_path).select(*TOPIC_PARTITION, "segment")
+        """``topic, partition, segment`` of all records, from the ledger."""
+        first, last = (whole_div(c, self.segment_rows) for c in (F.col("begin"), F.col("end") - 1))
+        return self.ledger().filter("end > begin").select(
+            *TOPIC_PARTITION, F.explode(F.sequence(first, last)).alias("segment")
+        ).distinct()
 
     def partitions(self) -> DataFrame:
         """The existing topic partitions; no record is read."""
-        return off.topic_partitions(self.segments())
+        return off.topic_partitions(self.ledger())
 
     def assigned(self, topics: Iterable[str] | None = None) -> list[tuple[str, int]]:
         """Partitions as a list, as a consumer knows its assignment."""
@@ -132,41 +170,24 @@ class TopicLog:
 
     # -- where the log begins and ends ------------------------------------
 
-    def _edge(self, segment: Column, topic: str | None) -> DataFrame:
-        """Records of one edge segment per partition."""
-        listed = self.segments()
-        if topic is not None:
-            listed = listed.filter(F.col("topic") == topic)
-        edge = listed.groupBy(*TOPIC_PARTITION).agg(segment.alias("segment"))
-        rows = off.bounded_rows(edge, off.LITERAL_LIMIT)
-        stored = self._stored(None if topic is None else [topic])
-        if rows is None:
-            return self._in_segments(stored, edge)
-        return stored.filter(
-            _any_of(f"{_is(r['topic'], r['partition'])} AND segment = {r['segment']}" for r in rows)
-        )
-
     def end_offsets(self) -> DataFrame:
-        """End of every partition, read from its last segment only."""
-        return off.positions(self._edge(F.max("segment"), None))
+        """End of every partition, from the ledger; what aborted transactions wrote counts."""
+        return self.ledger().groupBy(*TOPIC_PARTITION).agg(F.max("end").alias("offset"))
 
     def partitions_for(self, topic: str) -> DataFrame:
-        """Begin and end offset of each partition of a topic, from its first and last segment."""
-        begin = (
-            self._edge(F.min("segment"), topic)
-            .groupBy(*TOPIC_PARTITION).agg(F.min("offset").alias("begin_offset"))
+        """Begin and end offset of each partition of a topic, from the ledger."""
+        return self.ledger().filter(F.col("topic") == topic).groupBy(*TOPIC_PARTITION).agg(
+            F.min("begin").alias("begin_offset"), F.max("end").alias("end_offset")
         )
-        end = off.positions(self._edge(F.max("segment"), topic)).withColumnRenamed("offset", "end_offset")
-        return begin.join(end, TOPIC_PARTITION)
 
     def offsets_for_times(self, times: Column | DataFrame) -> DataFrame:
         """First offset at or after a time per partition, NULL past the end."""
         if not isinstance(times, DataFrame):
-            return off.offsets_for_times(self._present(self._stored()), times, self.partitions())
+            return off.offsets_for_times(self._present(self._table()), times, self.partitions())
         asked = off.bounded_rows(times.select(*TOPIC_PARTITION), off.LITERAL_LIMIT)
-        stored = self._stored()
+        stored = self._table()
         if asked is not None:
-            stored = self._stored([row["topic"] for row in asked])
+            stored = self._table([row["topic"] for row in asked])
             stored = stored.filter(_any_of(_is(row["topic"], row["partition"]) for row in asked))
         return off.offsets_for_times(self._present(stored), times)
 
@@ -349,10 +370,16 @@ class StreamedLog(TopicLog):
     The start of a stream must not change when it is restarted from its
     checkpoint. ``reset="latest"`` would, so it is refused: fix the start once
     with :func:`streamlog.operators.offsets.start_offsets` and pass that table.
+
+    A stream sees new files when their write job has ended, just before the
+    ledger has them. If the writer dies in between and writes the append again,
+    the stream gets those records twice, with the same offsets.
     """
 
     def __init__(self, log: TopicLog, max_files: int | None, max_bytes: int | None):
         super().__init__(log.spark, log.path, log.schema, log.segment_rows)
+        if log.isolation != "read_committed":
+            raise ValueError("a stream reads committed records")
         self.options = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
 
     def _source(self, topics: Iterable[str] | None = None) -> DataFrame:

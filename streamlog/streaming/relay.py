@@ -58,14 +58,14 @@ def relay_to_log(
     partitions: int = 1,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Forward records to a topic log, where they get the next offsets; at least once.
+    """Forward records to a topic log, where they get the next offsets; each once.
 
-    A batch that failed after it was written is written again under new
-    offsets. :func:`relay` writes each record once, without offsets.
+    A batch is appended under its checkpoint and number, so one that failed
+    after it was written is passed over when it is delivered again.
     """
 
     def forward(batch: DataFrame, batch_id: int) -> None:
-        append(to_output(batch), log, order_by, partitions)
+        append(to_output(batch), log, order_by, partitions, f"{checkpoint}#{batch_id}", checkpoint)
 
     return consume.start(stream, forward, checkpoint, interval)
 

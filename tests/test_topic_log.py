@@ -1,5 +1,3 @@
-import re
-
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +8,8 @@ from streamlog.operators import offsets as off
 from streamlog.operators.records import TooFewRecords
 from streamlog.plans import fixtures as fx
 from streamlog.session import scratch_path
-from streamlog.sinks.log import create_log, publish, send
+from streamlog.sinks import log as sink
+from streamlog.sinks.log import LogTransaction, SecondWriter, append, create_log, publish, send
 from streamlog.sources.topic_log import PastTheEnd, TopicLog
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -31,6 +30,15 @@ def plain(log, spark):
     return spark.createDataFrame(log.records().toPandas(), log.records().schema)
 
 
+def full_plan(df):
+    conf, name = df.sparkSession.conf, "spark.sql.maxMetadataStringLength"
+    conf.set(name, 20_000)
+    try:
+        return df.filter(F.lit(True))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        conf.unset(name)
+
+
 def test_open_restores_schema_and_segment_size(log):
     assert log.segment_rows == 10
     assert log.records().columns == ["topic", "partition", "offset", "timestamp", "key", "value", "event_id"]
@@ -46,8 +54,8 @@ def test_seek_prunes_segments_and_pushes_the_offset(log, plain):
     found = log.seek({("click", 0): 45, ("click", 1): 30})
     expected = plain.filter("(topic='click' and partition=0 and offset>=45) or (topic='click' and partition=1 and offset>=30)")
     assert rows(found.select(*PLACE)) == rows(expected.select(*PLACE))
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(topic" in plan and "segment" in plan.split("PartitionFilters")[1]
+    plan = full_plan(found)
+    assert "topic" in plan.split("PartitionFilters")[1] and "segment" in plan.split("PartitionFilters")[1]
     assert "GreaterThanOrEqual(offset,45)" in plan
 
 
@@ -98,20 +106,18 @@ def test_subscribe_from_commits(log, spark):
     assert log.subscribe(["click"]).count() == log.records().filter("topic = 'click'").count()
 
 
-def test_partitions_come_from_the_folders(log, plain):
+def test_partitions_come_from_the_ledger(log, plain):
     assert rows(log.partitions()) == rows(off.topic_partitions(plain))
     assert log.assigned(["click"]) == [("click", p) for p in range(4)]
-    plan = log.partitions()._jdf.queryExecution().executedPlan().toString()
-    assert "binaryFile" in plan and "ReadSchema: struct<>" in plan
+    plan = full_plan(log.partitions())
+    assert "ledger" in plan and "/data" not in plan
 
 
-def test_end_offsets_read_last_segments_only(log, plain, spark):
+def test_end_offsets_read_the_ledger_only(log, plain, spark):
     ends = log.end_offsets()
     assert rows(ends) == rows(off.positions(plain))
-    spark.conf.set("spark.sql.maxMetadataStringLength", 20_000)
-    plan = log.end_offsets()._jdf.queryExecution().executedPlan().toString()
-    spark.conf.unset("spark.sql.maxMetadataStringLength")
-    assert "segment" in re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan).group(1)
+    plan = full_plan(log.end_offsets())
+    assert "ledger" in plan and "/data" not in plan
     assert rows(log.partitions_for("click")) == rows(off.partitions_for(plain, "click"))
 
 
@@ -245,3 +251,74 @@ def test_groups_of_a_commit_table_are_kept_apart(log, spark, monkeypatch, limit)
     with pytest.raises(ValueError, match="several groups"):
         log.subscribe(["click"], table)
     assert log.subscribe(["click"], table.filter("group_id = 'a'")).agg(F.min("offset")).first()[0] == 50
+
+
+VALUES = struct_of(
+    topic=T.StringType(), partition=T.IntegerType(), offset=T.LongType(), timestamp=T.TimestampType(),
+    key=T.StringType(), value=T.StringType(),
+)
+
+
+def some(spark, *values):
+    return spark.createDataFrame([("t", 0, None, None, v) for v in values], "topic string, partition int, timestamp timestamp, key string, value string")
+
+
+def stored(log):
+    return rows(log.records().select("offset", "value"))
+
+
+def test_a_batch_sent_twice_is_there_once(spark):
+    log = create_log(spark, scratch_path(spark, "once"), VALUES)
+    first = rows(append(some(spark, "a", "b"), log, ["value"], batch_id="one"))
+    assert first == [("t", 0, 0, 2)]
+    assert rows(append(some(spark, "a", "b"), log, ["value"], batch_id="one")) == first
+    assert rows(append(some(spark, "c"), log, ["value"], batch_id="two")) == [("t", 0, 2, 3)]
+    assert stored(log) == [(0, "a"), (1, "b"), (2, "c")]
+
+
+def test_a_broken_append_is_not_seen_and_is_written_again(spark, monkeypatch):
+    log = create_log(spark, scratch_path(spark, "broken"), VALUES)
+    append(some(spark, "a"), log, ["value"])
+    enter = sink._enter
+    monkeypatch.setattr(sink, "_enter", lambda *args: (_ for _ in ()).throw(OSError("lost before the commit")))
+    with pytest.raises(OSError):
+        append(some(spark, "b", "c"), log, ["value"], batch_id="two")
+    monkeypatch.setattr(sink, "_enter", enter)
+    assert stored(log) == [(0, "a")] and rows(log.end_offsets()) == [("t", 0, 1)]
+    assert len(stored(log.isolated("read_uncommitted"))) == 3
+    with pytest.raises(SecondWriter):
+        append(some(spark, "x"), log, ["value"], writer="another")
+    append(some(spark, "b", "c"), log, ["value"], batch_id="two")
+    assert stored(log) == stored(log.isolated("read_uncommitted")) == [(0, "a"), (1, "b"), (2, "c")]
+
+
+def test_transactions_on_a_log(spark):
+    log = create_log(spark, scratch_path(spark, "transactions"), VALUES)
+    for name, values, end in (("one", "ab", "commit"), ("two", "cd", "abort"), ("three", "e", "commit")):
+        unit = LogTransaction(log, ["value"], name)
+        for v in values:
+            unit.send(some(spark, v))
+        getattr(unit, end)()
+        with pytest.raises(RuntimeError, match="has ended"):
+            unit.send(some(spark, "x"))
+    assert stored(log) == [(0, "a"), (1, "b"), (4, "e")]
+    assert [v for _, v in stored(log.isolated("read_uncommitted"))] == list("abcde")
+    assert rows(log.end_offsets()) == [("t", 0, 5)]
+    assert rows(log.seek({("t", 0): 1}).select("value")) == [("b",), ("e",)]
+    with pytest.raises(ValueError):
+        log.isolated("serializable")
+
+
+def test_appends_leave_no_scratch_and_the_ledger_stays_small(spark, monkeypatch):
+    monkeypatch.setattr(sink, "COMPACT_EVERY", 3)
+    log = create_log(spark, scratch_path(spark, "many"), VALUES)
+    for n in range(10):
+        append(some(spark, f"v{n}"), log, ["value"])
+        path = spark._jvm.org.apache.hadoop.fs.Path(log.path)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        left = [f.getPath().getName() for f in files.listStatus(path.getParent())]
+        assert not [x for x in left if x.startswith("append-")]
+    assert stored(log) == [(n, f"v{n}") for n in range(10)]
+    assert log.last_append() == 9
+    ledger = [f.getPath().getName() for f in files.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{log.path}/ledger"))]
+    assert len(ledger) <= 9
