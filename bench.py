@@ -21,7 +21,8 @@ from pyspark.sql import functions as F  # noqa: E402
 from streamlog.operators import delivery, offsets, records  # noqa: E402
 from streamlog.plans import catalogue  # noqa: E402
 from streamlog.plans import fixtures as fx  # noqa: E402
-from streamlog.session import drop_scratch, local_session, scratch_path  # noqa: E402
+from streamlog.session import drop_scratch, local_session, materialize, scratch_path  # noqa: E402
+from streamlog.sinks.log import append  # noqa: E402
 from streamlog.streaming import relay  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -43,13 +44,20 @@ def workloads(spark):
         run(lines["log"].subscribe(["lines"]))
 
     def consume_confirmed():
-        """Read, report the positions of every batch, confirm and move the commit point."""
-        log = lines["log"]
-        run(log.subscribe(["lines"]))
-        ends = log.end_offsets()
-        sent = ends.withColumn("batch_no", F.lit(0).cast("long"))
+        """Read batches of 500 records per partition, take each batch's positions, confirm and commit them."""
+        records = lines["log"].subscribe(["lines"])
+        batches = records.withColumn("batch_no", F.floor(F.col("offset") / 500))
+        # Every column is read, as a receiver of the batches would.
+        seen = batches.filter(F.xxhash64("key", "value", "timestamp").isNotNull())
+        sent = materialize(offsets.position_changes(seen), "bench-sent")
         run(delivery.commit_confirmed(offsets.empty(spark), sent, sent))
 
+    def appended():
+        """A small append to a log of many segments."""
+        log = lines["log"]
+        few = log.seek({("lines", 0): 0}).filter("offset < 1000").drop("offset")
+        run(append(few, log, ["timestamp", "key", "value"]))
+
     def relayed():
         path = scratch_path(spark, "bench-relay")
         relay.relay(
@@ -59,7 +67,7 @@ def workloads(spark):
 
     return {
         "wide_produce": produce, "wide_consume": consume,
-        "wide_consume_confirm": consume_confirmed, "wide_relay": relayed,
+        "wide_consume_confirm": consume_confirmed, "wide_relay": relayed, "wide_append": appended,
     }
 
 
@@ -80,7 +88,7 @@ def main() -> None:
         seconds[name] = round(time.perf_counter() - start, 3)
         print(f"{name:28s} {seconds[name]:8.3f}", file=sys.stderr)
 
-    rates = {name: int(n_lines / seconds[name]) for name in workloads(spark)}
+    rates = {name: int(n_lines / seconds[name]) for name in workloads(spark) if name != "wide_append"}
     rates["publish_events"] = int(n_events / seconds["publish_events"])
     print(json.dumps({
         "metric": "streamlog total query time",

@@ -54,7 +54,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> TopicLog:
 
 
 def publish_lines(spark: SparkSession, sf_dir: str) -> TopicLog:
-    """Order lines as wide records: the row as JSON, 16 partitions by order."""
+    """Order lines as records of 1,007 bytes: the row as JSON, padded, 16 partitions by order."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     partition = (F.col("l_orderkey") % 16).cast("int")
     records = lines.select(F.lit("lines").alias("topic"), partition.alias("partition"), "*")
@@ -64,11 +64,11 @@ def publish_lines(spark: SparkSession, sf_dir: str) -> TopicLog:
             *TOPIC_PARTITION, "offset",
             F.col("l_shipdate").alias("timestamp"),
             F.col("l_orderkey").cast("string").alias("key"),
-            F.to_json(F.struct(*lines.columns)).alias("value"),
+            F.rpad(F.to_json(F.struct(*lines.columns)), 1_007, " ").alias("value"),
         )
 
     order_by = ["l_shipdate", "l_orderkey", "l_linenumber"]
-    return publish(records, scratch_path(spark, "lines"), order_by, encode=encode)
+    return publish(records, scratch_path(spark, "lines"), order_by, segment_rows=5_000, encode=encode)
 
 
 def user_store(ends: DataFrame) -> DataFrame:
