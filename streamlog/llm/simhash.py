@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlog.llm import text as tx
+from streamlog.llm.blocks import pack_sorted, unpack_sorted
 from streamlog.llm.components import components
 from streamlog.session import materialize
 
@@ -31,8 +32,11 @@ RADIUS = 2
 SEED = 42
 #: Bytes of text worked on at a time in a task.
 SLICE = 2 << 20
-#: Wide fingerprints per document, heaviest weight of a word in them.
-FINGERPRINTS, HEAVIEST = 6, 12
+#: Fingerprints per document for near-duplicates, heaviest weight of a word in them, and most bits, of all together,
+#: in which two similar texts differ: those with a similarity of 0.8 differ in about 4 of 64.
+FINGERPRINTS, HEAVIEST, MOST_DIFFERENT = 6, 12, 48
+#: Ids that are broadcast at most.
+BROADCAST_LIMIT = 500_000
 
 
 def masks(radius: int = RADIUS) -> list[int]:
@@ -161,16 +165,28 @@ def fingerprint_components(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     return found.join(named, "bits").select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, whole: digest of the word sequence, n: words, wide: fingerprints of the distinct words)."""
+def _spans(doc: np.ndarray, n_docs: int) -> list[tuple[int, int]]:
+    """First and last (exclusive) word of every document."""
+    docs = np.arange(n_docs)
+    return list(zip(np.searchsorted(doc, docs).tolist(), np.searchsorted(doc, docs, "right").tolist(), strict=True))
+
+
+def _shingles(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray, n_docs: int, shingle: int) -> list[np.ndarray]:
+    """The distinct 32-bit hashes of each document's word shingles; fewer words have none."""
+    hashes = tx.rolling(tx.hash_words(data, starts, ends), shingle) >> np.uint64(32)
+    return [np.unique(hashes[i : max(i, j - shingle + 1)]) for i, j in _spans(doc, n_docs)]
+
+
+def _signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(doc_id, whole: digest of the word sequence, size: distinct shingles, wide: fingerprints of the distinct words)."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = tx.mix(np.arange(1, FINGERPRINTS + 1, dtype=np.uint64))
         for ids, data, starts, ends, doc in _lowered(batches):
             body, place = tx.joined(data, starts, ends)
             n_docs, view = len(ids), memoryview(body)
-            a, b = np.searchsorted(doc, np.arange(n_docs)), np.searchsorted(doc, np.arange(n_docs), "right")
             stop = place + (ends - starts)
-            whole = [xxhash.xxh3_128_digest(view[place[i] : stop[j - 1]] if j > i else b"") for i, j in zip(a, b, strict=True)]
+            whole = [xxhash.xxh3_128_digest(view[place[i] : stop[j - 1]] if j > i else b"") for i, j in _spans(doc, n_docs)]
+            size = [len(x) for x in _shingles(data, starts, ends, doc, n_docs, shingle)]
             weight = np.minimum(ends - starts, HEAVIEST).astype(np.uint64)
             hashes = tx.hash_words(data, starts, ends) >> np.uint64(24)
             # Distinct words of each document: its number, 40 bits of hash, the weight.
@@ -184,21 +200,39 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     part = _majority(words, key & np.uint64(15), own, min(n_docs - low, 1 << 20))
                     wide[low : low + len(part), k] = part
             lists = pa.ListArray.from_arrays(np.arange(0, n_docs * FINGERPRINTS + 1, FINGERPRINTS, dtype=np.int32), wide.view(np.int64).ravel())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(whole, pa.binary()), pa.array(b - a), lists], names=["doc_id", "whole", "n", "wide"])
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(whole, pa.binary()), pa.array(size, pa.int32()), lists], names=["doc_id", "whole", "size", "wide"],
+            )
 
-    return _texts(docs, id_col, text_col).mapInArrow(sketch, f"doc_id {dict(docs.dtypes)[id_col]}, whole binary, n long, wide array<long>")
+    return _texts(docs, id_col, text_col).mapInArrow(sketch, f"doc_id {dict(docs.dtypes)[id_col]}, whole binary, size int, wide array<long>")
 
 
 def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(doc_id, shingles): the distinct hashes of a text's word shingles."""
+    """(doc_id, size, packed): the distinct shingle hashes of a text, compressed."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, data, starts, ends, doc in _lowered(batches):
-            hashes = tx.rolling(tx.hash_words(data, starts, ends), shingle).view(np.int64)
-            a, b = np.searchsorted(doc, np.arange(len(ids))), np.searchsorted(doc, np.arange(len(ids)), "right")
-            sets = [np.unique(hashes[i : max(i, j - shingle + 1)]) for i, j in zip(a, b, strict=True)]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
+            sets = _shingles(data, starts, ends, doc, len(ids), shingle)
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array([len(x) for x in sets], pa.int64()), pa.array([pack_sorted(x) for x in sets], pa.binary())],
+                names=["doc_id", "size", "packed"],
+            )
+
+    return _texts(docs, id_col, text_col).mapInArrow(sketch, f"doc_id {dict(docs.dtypes)[id_col]}, size long, packed binary")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles have at least this Jaccard similarity."""
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for r in batch.select(["a_size", "a_packed", "b_size", "b_packed"]).to_pylist():
+                a, b = (unpack_sorted(r[f"{x}_packed"], r[f"{x}_size"]) for x in "ab")
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                keep.append(bool(common) and common >= similarity * (len(a) + len(b) - common) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return _texts(docs, id_col, text_col).mapInArrow(sketch, f"doc_id {dict(docs.dtypes)[id_col]}, shingles array<long>")
+    a, b = (sets.select(F.col("doc_id").alias(x), F.col("size").alias(f"{x}_size"), F.col("packed").alias(f"{x}_packed")) for x in "ab")
+    return pairs.join(b, "b").join(a, "a").mapInArrow(check, pairs.schema)
 
 
 def near_duplicate_links(
@@ -208,49 +242,48 @@ def near_duplicate_links(
 
     Texts with the same word sequence are linked to the smallest doc_id that has
     it, and only that one is compared further. In every bucket of the covering
-    tables the smallest document leads: each other one is compared with it,
-    those that are not similar enough stay for the next round with the next
-    leader, until no bucket has two left. A bucket of n similar texts costs
-    n comparisons, not n squared.
+    tables the smallest document leads. Each document without a link takes, of
+    the leaders of its up to ``7 * FINGERPRINTS`` buckets that are near enough in
+    size and fingerprints, the nearest, and is compared with it on the full sets
+    of shingles. Then the next smallest lead, until a round finds no link. A
+    bucket of n documents costs n comparisons a round at most, not n squared.
     """
-    signed = materialize(_signatures(docs, id_col, text_col).filter("doc_id IS NOT NULL"), "signatures")
+    signed = materialize(_signatures(docs, id_col, text_col, shingle).filter("doc_id IS NOT NULL"), "signatures")
     distinct = materialize(
-        signed.groupBy("whole").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("wide").alias("wide")), "distinct",
+        signed.groupBy("whole").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("wide").alias("wide")), "distinct",
     )
-    copies = signed.join(distinct.select("whole", F.col("doc_id").alias("a")), "whole").filter("doc_id <> a").select("a", F.col("doc_id").alias("b"))
+    links = signed.select("doc_id", "whole").join(distinct.select("whole", F.col("doc_id").alias("a")), "whole").filter("doc_id <> a").select("a", F.col("doc_id").alias("b"))
     # Texts shorter than a shingle are similar to nothing but their copies.
     keyed = (
-        distinct.filter(F.col("n") >= shingle)
-        .select("doc_id", F.posexplode("wide").alias("k", "bits"))
-        .select("doc_id", "k", F.explode(_tables(F.col("bits"))).alias("x"))
-        .select("doc_id", "k", "x.t", "x.key")
+        distinct.filter("size > 0").select("doc_id", "size", F.posexplode("wide").alias("k", "bits"))
+        .select("doc_id", "size", "k", F.explode(_tables(F.col("bits"))).alias("x"))
+        .select("doc_id", "size", F.xxhash64("k", "x.t", "x.key").alias("bucket"))
     )
-    bucket = ["k", "t", "key"]
-
-    def led(rest: DataFrame) -> DataFrame:
-        leaders = rest.groupBy(*bucket).agg(F.count("*").alias("size"), F.min("doc_id").alias("a"))
-        return rest.join(leaders.filter("size > 1").drop("size"), bucket).filter("doc_id <> a")
-
-    rest = materialize(led(keyed), "candidates")
-    pairs = rest.select("a", "doc_id").distinct()
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("doc_id")).distinct()
-    chosen = docs.withColumnRenamed(id_col, "doc_id").select("doc_id", F.col(f"`{text_col}`").alias(text_col)).join(wanted, "doc_id", "left_semi")
-    sets = materialize(_shingle_sets(chosen, "doc_id", text_col, shingle).dropDuplicates(["doc_id"]), "shingles")
-    links = []
-    while not rest.isEmpty():
-        a, b = (sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"{x}_set")) for x in "ab")
-        common = F.size(F.array_intersect("a_set", "b_set"))
-        similar = materialize(
-            rest.select("a", F.col("doc_id").alias("b")).distinct().join(a, "a").join(b, "b")
-            .filter(common >= similarity * (F.size("a_set") + F.size("b_set") - common)).select("a", "b"),
-            "similar",
-        )
-        links.append(similar)
-        left = rest.join(similar.withColumnRenamed("b", "doc_id"), ["a", "doc_id"], "left_anti").select("doc_id", *bucket)
-        rest = materialize(led(left), "candidates")
-    for more in links:
-        copies = copies.union(more)
-    return copies
+    crowded = keyed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    # Documents that haven't led their bucket yet; the open ones have no link to a smaller document.
+    pool = materialize(keyed.join(crowded, "bucket", "left_semi").withColumn("open", F.lit(True)), "pool")
+    a, b = (distinct.select(F.col("doc_id").alias(x), F.col("wide").alias(f"{x}_wide")) for x in "ab")
+    differ = F.aggregate(F.zip_with("a_wide", "b_wide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, m: n + m)
+    while True:
+        leaders = pool.groupBy("bucket").agg(F.min(F.struct("doc_id", "size")).alias("leader"))
+        led = materialize(pool.join(leaders, "bucket").filter("doc_id <> leader.doc_id"), "pool")
+        alike = F.least("size", "leader.size") >= similarity * F.greatest("size", "leader.size")
+        pairs = led.filter("open").filter(alike).select(F.col("leader.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
+        near = pairs.join(a, "a").join(b, "b").select("a", "b", differ.alias("differ")).filter(F.col("differ") <= MOST_DIFFERENT)
+        closest = materialize(near.groupBy("b").agg(F.min_by("a", F.struct("differ", "a")).alias("a")).select("a", "b"), "closest")
+        asked = closest.select(F.col("a").alias("doc_id")).union(closest.select(F.col("b").alias("doc_id"))).distinct()
+        fits = asked.limit(BROADCAST_LIMIT + 1).count() <= BROADCAST_LIMIT
+        chosen = docs.withColumnRenamed(id_col, "doc_id").select("doc_id", F.col(f"`{text_col}`").alias(text_col))
+        chosen = chosen.join(F.broadcast(asked) if fits else asked, "doc_id", "left_semi")
+        sets = materialize(_shingle_sets(chosen, "doc_id", text_col, shingle).dropDuplicates(["doc_id"]), "shingles")
+        similar = materialize(_similar(closest, sets, similarity), "similar")
+        if similar.isEmpty():
+            return links
+        links = links.union(similar)
+        linked = similar.select(F.col("b").alias("doc_id")).withColumn("linked", F.lit(True))
+        pool = led.join(linked, "doc_id", "left").select("doc_id", "size", "bucket", (F.col("open") & F.col("linked").isNull()).alias("open"))
+        # Buckets without an open document have nothing left to compare.
+        pool = materialize(pool.join(pool.filter("open").select("bucket").distinct(), "bucket", "left_semi"), "pool")
 
 
 def drop_near_duplicates(
