@@ -10,8 +10,10 @@ import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from streamlog.operators import delivery
 from streamlog.operators.offsets import EARLIEST, LATEST, starting_offsets_json
 
 # The default settings of a consumer, as property texts.
@@ -128,6 +130,12 @@ class DeliveryConf:
         }
         return replace(self, **{names[k]: int(v) for k, v in settings.items() if k in names})
 
+    def plan(self, deliveries: DataFrame, delay_ms: Column) -> DataFrame:
+        """The redelivery plan under these settings, with the longest wait before a poll."""
+        planned = delivery.redelivery_plan(deliveries, delay_ms, self.unconfirmed_timeout_ms, self.max_redeliveries)
+        longest = delivery.poll_interval_ms(F.col("sends") - 1, self.schedule_interval_ms)
+        return planned.withColumn("longest_poll_ms", longest)
+
 
 def _partitions_json(partitions: Iterable[tuple[str, int]]) -> str:
     nested: dict[str, list[int]] = {}
@@ -168,9 +176,21 @@ def seek_times(times_ms: Mapping[tuple[str, int], int], strategy: str = "error")
     }
 
 
+def batch_options(subscription: Mapping[str, str]) -> dict[str, str]:
+    """Subscription options for a bounded read, which can't begin at the end: nothing would be left to read."""
+    options = dict(subscription)
+    if options.get("startingOffsets") == "latest":
+        del options["startingOffsets"]
+    elif options.get("startingOffsets", "").startswith("{"):
+        given = json.loads(options["startingOffsets"])
+        if any(offset == LATEST for partitions in given.values() for offset in partitions.values()):
+            raise ValueError("a bounded read needs an offset for every partition, or the earliest")
+    return options
+
+
 def read(spark: SparkSession, conf: ConsumerConf, subscription: Mapping[str, str], **options) -> DataFrame:
     """Bounded read of what the topics hold now."""
-    settings = {**conf.source_options(), "startingOffsets": "earliest", **subscription, **_texts(options)}
+    settings = {**conf.source_options(), "startingOffsets": "earliest", **batch_options(subscription), **_texts(options)}
     return spark.read.format("kafka").options(**settings).load()
 
 

@@ -3,10 +3,13 @@
 import json
 
 import pytest
+from conftest import rows
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from streamlog.operators.delivery import MAX_REDELIVERIES, SCHEDULE_INTERVAL_MS, UNCONFIRMED_TIMEOUT_MS
 from streamlog.sources import kafka
+from streamlog.sources.subscriptions import AutoPartition
 
 
 def test_consumer_defaults_and_overrides():
@@ -74,6 +77,19 @@ def test_delivery_options():
     assert conf.with_conf({"unconfirmed.timeout": 5000, "other": 1}) == kafka.DeliveryConf(1000, 5000, 3)
 
 
+def test_delivery_options_make_a_plan(spark):
+    sent = spark.createDataFrame([(1, 100), (2, 9_001), (3, None)], "id long, delay long")
+    planned = kafka.DeliveryConf(500, 2_000, 2).plan(sent, F.col("delay")).select("id", "sends", "backoffs", "longest_poll_ms")
+    assert rows(planned) == [(1, 1, 0, 500), (2, 3, 2, 1500), (3, 3, None, 1500)]
+
+
+def test_bounded_reads_do_not_begin_at_the_end():
+    assert kafka.batch_options(AutoPartition(("a",)).kafka_options()) == {"subscribe": "a"}
+    assert kafka.batch_options(kafka.seek({("a", 0): 3})) == kafka.seek({("a", 0): 3})
+    with pytest.raises(ValueError, match="every partition"):
+        kafka.batch_options(kafka.subscribe_from_store([("a", 0), ("a", 1)], {("a", 0): 3}))
+
+
 def test_reads_and_writes_go_to_the_connector(spark):
     """Without the connector Spark names the missing source; nothing else can be seen here."""
     conf, out = kafka.ConsumerConf.create("g"), kafka.ProducerConf.create()
