@@ -1,10 +1,13 @@
 """Judge urls: host rules first, then words of host and path scored by naive Bayes.
 
 Concatenated names (``freebets``) are split by a unigram model: Viterbi over the
-word counts of the page texts. All substrings of a name that are words are
-found by one join with the counts, so the vocabulary is neither broadcast nor
-cut. A multinomial naive Bayes model is trained on the urls that the rules
-decide, over the segmented words of host and path, and judges the rest.
+word counts of the page texts, of the parts of hyphenated names, and the seed
+words. All substrings of a name that are words are found by one join with the
+counts, so the vocabulary is neither broadcast nor cut. A multinomial naive
+Bayes model over the segmented words of host and path is trained on all urls:
+those with a seed word are examples to block, all others to allow. It judges
+the urls that no rule fits, also those that have only words which stand beside
+seed words elsewhere.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z
 lower-cased; path: from there up to ``?``, ``#`` or the end. Null urls and urls
@@ -39,6 +42,9 @@ class Rule(NamedTuple):
 
 RULES = (Rule("net", "/", "block"), Rule("example.net", "/en/", "allow"), Rule("example.com", "/de/", "block"), Rule("org", "/fr/", "allow"))
 
+#: Words whose urls are examples to block.
+SEEDS = ("ads", "adult", "bet", "bets", "casino", "gambling", "jackpot", "loans", "pills", "poker", "porn", "sex", "spam", "viagra", "xxx")
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -134,7 +140,8 @@ def naive_bayes(counted: DataFrame) -> tuple[DataFrame, float]:
 
 
 def judge_urls(
-    pages: DataFrame, *, rules: Sequence[Rule] = RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+    pages: DataFrame, *, rules: Sequence[Rule] = RULES, seeds: Sequence[str] = SEEDS, id_col: str = "page_id",
+    url_col: str = "url", html_col: str = "html",
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict, score) of every page.
 
@@ -142,20 +149,22 @@ def judge_urls(
     scored once: a host that has a third of all pages isn't scored page by page.
     ``score`` is the log odds of block; null where a rule decides.
     """
-    counts = materialize(word_counts(pages, html_col), "word-counts")
     own = with_parts(pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("_url")), F.col("_url")).drop("_url")
     ruled = materialize(with_rule(own, rules).withColumn("names", _names(F.col("host"), F.col("path"))), "urls")
-    shapes = materialize(
-        ruled.groupBy("names").agg(*[F.count_if(F.col("rule_verdict") == x).alias(x) for x in ("block", "allow")]).withColumn("shape", F.monotonically_increasing_id()),
-        "shapes",
-    )
+    shapes = materialize(ruled.groupBy("names").agg(F.count("*").alias("n")).withColumn("shape", F.monotonically_increasing_id()), "shapes")
+    parts = ruled.select("host").distinct().select(F.explode(F.split("host", r"\.")).alias("label")).filter(F.contains("label", F.lit("-")))
+    parts = parts.select(F.explode(F.split("label", r"[^\p{L}]+")).alias("word")).filter(F.length("word").between(1, LONGEST))
+    known = word_counts(pages, html_col).union(parts.groupBy("word").agg(F.count("*").alias("n")))
+    known = known.union(pages.sparkSession.createDataFrame([(s, 1) for s in seeds], "word string, n long"))
+    counts = materialize(known.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     placed = shapes.select("shape", F.posexplode("names").alias("i", "name"))
     segments = materialize(segment(placed.select("name").distinct(), counts), "segments")
     worded = materialize(
         placed.join(segments, "name").groupBy("shape").agg(F.flatten(F.collect_list("words")).alias("words")), "words",
     )
-    labelled = shapes.select("shape", F.explode(F.array(*[F.struct(F.lit(x).alias("label"), F.col(x).alias("n")) for x in ("block", "allow")])).alias("x"))
-    weights, prior = naive_bayes(labelled.select("shape", "x.label", "x.n").filter("n > 0").join(worded, "shape"))
+    seeded = F.arrays_overlap("words", F.array(*[F.lit(s) for s in seeds])) if seeds else F.lit(False)
+    labelled = worded.withColumn("label", F.when(seeded, "block").otherwise("allow")).join(shapes.select("shape", "n"), "shape")
+    weights, prior = naive_bayes(labelled)
     scores = worded.select("shape", F.explode("words").alias("word")).join(weights, "word").groupBy("shape").agg(F.sum("weight").alias("score"))
     scored = shapes.join(scores, "shape").select("names", (F.col("score") + prior).alias("score"))
     method = F.when(F.coalesce(F.col("score"), F.lit(0.0)) > 0, "block").otherwise("allow")

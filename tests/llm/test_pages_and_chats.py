@@ -155,15 +155,16 @@ def test_names_are_split_into_the_likeliest_words(spark):
 
 
 def test_verdicts_of_held_out_urls(spark):
-    """Urls whose rules are hidden get the verdict of the words they share with others."""
+    """Urls without a seed word get the verdict of the words they share with others."""
     pick = random.Random(5)
-    bad, good = ["casino", "pills", "bets", "winner"], ["garden", "library", "recipe", "school"]
+    bad, good = ["casino", "pills", "cheapest", "winner"], ["garden", "library", "recipe", "school"]
     text = " ".join(w for w in bad + good for _ in range(50))
     pages = []
     for i in range(400):
-        words, host = (bad, "spam.net") if i % 2 else (good, "fine.org/fr")
-        name = "".join(pick.sample(words, 2))
-        pages.append((i, f"http://{name}.{host}/{i}" if i < 300 else f"http://{name}.com/{i}", text))
-    found = urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).filter("page_id >= 300").collect()
+        words = bad if i % 2 else good
+        words = pick.sample(words, 2) if i < 360 else pick.sample(words[2:], 2)
+        pages.append((i, f"http://{''.join(words)}.com/en/{i}", text))
+    found = urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).filter("page_id >= 360").collect()
+    assert not any("casino" in r.host or "pills" in r.host for r in found)
     right = sum((r.verdict == "block") == bool(r.page_id % 2) for r in found)
     assert right >= 0.95 * len(found)
