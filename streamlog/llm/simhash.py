@@ -35,6 +35,8 @@ SLICE = 2 << 20
 #: Fingerprints per document for near-duplicates, heaviest weight of a word in them, and most bits, of all together,
 #: in which two similar texts differ: those with a similarity of 0.8 differ in about 4 of 64.
 FINGERPRINTS, HEAVIEST, MOST_DIFFERENT = 6, 12, 48
+#: Leaders of a bucket in a round, and the share of all links found that a round must add for another to follow.
+LEADERS, LEAST_GAIN = 2, 0.01
 #: Ids that are broadcast at most.
 BROADCAST_LIMIT = 500_000
 
@@ -242,11 +244,12 @@ def near_duplicate_links(
 
     Texts with the same word sequence are linked to the smallest doc_id that has
     it, and only that one is compared further. In every bucket of the covering
-    tables the smallest document leads. Each document without a link takes, of
-    the leaders of its up to ``7 * FINGERPRINTS`` buckets that are near enough in
-    size and fingerprints, the nearest, and is compared with it on the full sets
-    of shingles. Then the next smallest lead, until a round finds no link. A
-    bucket of n documents costs n comparisons a round at most, not n squared.
+    tables ``LEADERS`` documents lead, each the smallest of its share. Each
+    document without a link takes, of the smaller leaders of its up to
+    ``7 * FINGERPRINTS`` buckets that are near enough in size and fingerprints,
+    the nearest, and is compared with it on the full sets of shingles. Then the
+    next smallest lead, until a round adds no more than ``LEAST_GAIN`` to the
+    links. A round costs one comparison for each document at most.
     """
     signed = materialize(_signatures(docs, id_col, text_col, shingle).filter("doc_id IS NOT NULL"), "signatures")
     distinct = materialize(
@@ -264,11 +267,15 @@ def near_duplicate_links(
     pool = materialize(keyed.join(crowded, "bucket", "left_semi").withColumn("open", F.lit(True)), "pool")
     a, b = (distinct.select(F.col("doc_id").alias(x), F.col("wide").alias(f"{x}_wide")) for x in "ab")
     differ = F.aggregate(F.zip_with("a_wide", "b_wide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, m: n + m)
+    found = 0
     while True:
-        leaders = pool.groupBy("bucket").agg(F.min(F.struct("doc_id", "size")).alias("leader"))
-        led = materialize(pool.join(leaders, "bucket").filter("doc_id <> leader.doc_id"), "pool")
+        leaders = materialize(
+            pool.groupBy("bucket", F.pmod(F.xxhash64("doc_id", "bucket"), F.lit(LEADERS)).alias("slot"))
+            .agg(F.min(F.struct("doc_id", "size")).alias("leader")), "leaders",
+        )
+        led = pool.filter("open").join(leaders.select("bucket", "leader"), "bucket").filter("leader.doc_id < doc_id")
         alike = F.least("size", "leader.size") >= similarity * F.greatest("size", "leader.size")
-        pairs = led.filter("open").filter(alike).select(F.col("leader.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
+        pairs = led.filter(alike).select(F.col("leader.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
         near = pairs.join(a, "a").join(b, "b").select("a", "b", differ.alias("differ")).filter(F.col("differ") <= MOST_DIFFERENT)
         closest = materialize(near.groupBy("b").agg(F.min_by("a", F.struct("differ", "a")).alias("a")).select("a", "b"), "closest")
         asked = closest.select(F.col("a").alias("doc_id")).union(closest.select(F.col("b").alias("doc_id"))).distinct()
@@ -277,13 +284,16 @@ def near_duplicate_links(
         chosen = chosen.join(F.broadcast(asked) if fits else asked, "doc_id", "left_semi")
         sets = materialize(_shingle_sets(chosen, "doc_id", text_col, shingle).dropDuplicates(["doc_id"]), "shingles")
         similar = materialize(_similar(closest, sets, similarity), "similar")
-        if similar.isEmpty():
+        links, new = links.union(similar), similar.count()
+        found += new
+        if new <= LEAST_GAIN * found:
             return links
-        links = links.union(similar)
         linked = similar.select(F.col("b").alias("doc_id")).withColumn("linked", F.lit(True))
-        pool = led.join(linked, "doc_id", "left").select("doc_id", "size", "bucket", (F.col("open") & F.col("linked").isNull()).alias("open"))
+        rest = pool.join(leaders.select("bucket", F.col("leader.doc_id").alias("doc_id")), ["bucket", "doc_id"], "left_anti")
+        rest = rest.join(linked, "doc_id", "left").select("doc_id", "size", "bucket", (F.col("open") & F.col("linked").isNull()).alias("open"))
+        rest = materialize(rest, "rest")
         # Buckets without an open document have nothing left to compare.
-        pool = materialize(pool.join(pool.filter("open").select("bucket").distinct(), "bucket", "left_semi"), "pool")
+        pool = materialize(rest.join(rest.filter("open").select("bucket").distinct(), "bucket", "left_semi"), "pool")
 
 
 def drop_near_duplicates(
