@@ -572,7 +572,7 @@ def carried_positions(spark, sf_dir):
         last.append(batch_id)
 
     begin = log.partitions().withColumn("offset", F.lit(0).cast("long"))
-    purchases = log.stream(max_files=1).filter("topic = 'purchase'")
+    purchases = log.stream(max_files=5).filter("topic = 'purchase'")
     consume.start_with_offsets(
         purchases, note, f"{path}/checkpoint", assigned=begin, positions_path=f"{path}/positions",
     ).awaitTermination()
