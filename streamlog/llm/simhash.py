@@ -36,7 +36,7 @@ SLICE = 2 << 20
 #: in which two similar texts differ: those with a similarity of 0.8 differ in about 4 of 64.
 FINGERPRINTS, HEAVIEST, MOST_DIFFERENT = 6, 12, 48
 #: Leaders of a bucket in a round, and the share of all links found that a round must add for another to follow.
-LEADERS, LEAST_GAIN = 2, 0.01
+LEADERS, LEAST_GAIN = 1, 0.01
 #: Ids that are broadcast at most.
 BROADCAST_LIMIT = 500_000
 
