@@ -8,13 +8,14 @@ two fingerprints that differ in at most RADIUS bits agree on that mask: every
 such pair collides in one of the ``2**(RADIUS + 1) - 1`` tables. None is missed.
 
 ``fingerprint_components`` links fingerprints that differ in at most two bits.
-``drop_near_duplicates`` uses the same tables over several wide fingerprints as
-candidates for texts whose five-word shingles have a Jaccard similarity of 0.8
-or more, and checks every candidate on the full sets of shingles.
+``drop_near_duplicates`` finds all texts whose five-word shingles have a Jaccard
+similarity of 0.8 or more by an exact prefix filter on the shingles themselves,
+and checks every candidate on the full sets.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +24,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streamlog.llm import blocks as bl
 from streamlog.llm import text as tx
-from streamlog.llm.blocks import pack_sorted, unpack_sorted
+from streamlog.llm.blocks import unpack_sorted
 from streamlog.llm.components import components
 from streamlog.session import materialize
 
@@ -32,13 +34,13 @@ RADIUS = 2
 SEED = 42
 #: Bytes of text worked on at a time in a task.
 SLICE = 2 << 20
-#: Fingerprints per document for near-duplicates, heaviest weight of a word in them, and most bits, of all together,
-#: in which two similar texts differ: those with a similarity of 0.8 differ in about 4 of 64.
-FINGERPRINTS, HEAVIEST, MOST_DIFFERENT = 6, 12, 48
-#: Leaders of a bucket in a round, and the share of all links found that a round must add for another to follow.
-LEADERS, LEAST_GAIN = 1, 0.01
-#: Ids that are broadcast at most.
-BROADCAST_LIMIT = 500_000
+#: Heaviest weight in ``_majority``.
+HEAVIEST = 12
+#: Slots that estimate how frequent a shingle is; one array of them is broadcast.
+SLOTS = 1 << 20
+#: Pairs of one bucket compared in a task.
+PAIRS_PER_TASK = 4_000_000
+
 
 
 def masks(radius: int = RADIUS) -> list[int]:
@@ -173,53 +175,127 @@ def _spans(doc: np.ndarray, n_docs: int) -> list[tuple[int, int]]:
     return list(zip(np.searchsorted(doc, docs).tolist(), np.searchsorted(doc, docs, "right").tolist(), strict=True))
 
 
-def _shingles(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray, n_docs: int, shingle: int) -> list[np.ndarray]:
-    """The distinct 32-bit hashes of each document's word shingles; fewer words have none."""
-    hashes = tx.rolling(tx.hash_words(data, starts, ends), shingle) >> np.uint64(32)
-    return [np.unique(hashes[i : max(i, j - shingle + 1)]) for i, j in _spans(doc, n_docs)]
+class _Shingles:
+    """Distinct shingles of one block: 48-bit hashes, ascending in each document, and the document of each."""
 
+    def __init__(self, block: bl.Block, shingle: int):
+        self.data, self.n_docs = tx.lower_ascii(block.data), len(block.ids)
+        self.starts, self.ends, self.doc = tx.words(self.data, block.bounds)
+        hashes = tx.mix(tx.rolling(tx.hash_words(self.data, self.starts, self.ends), shingle)) >> np.uint64(16)
+        n = len(hashes)
+        at = np.flatnonzero(self.doc[:n] == self.doc[shingle - 1 :][:n]) if n else np.zeros(0, np.int64)
+        hashes, owner = hashes[at], self.doc[at]
+        order = np.lexsort((hashes, owner))
+        hashes, owner = hashes[order], owner[order]
+        new = np.ones(len(hashes), dtype=bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+        self.tokens, self.owner = hashes[new], owner[new]
 
-def _signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(doc_id, whole: digest of the word sequence, size: distinct shingles, wide: fingerprints of the distinct words)."""
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = tx.mix(np.arange(1, FINGERPRINTS + 1, dtype=np.uint64))
-        for ids, data, starts, ends, doc in _lowered(batches):
-            body, place = tx.joined(data, starts, ends)
-            n_docs, view = len(ids), memoryview(body)
-            stop = place + (ends - starts)
-            whole = [xxhash.xxh3_128_digest(view[place[i] : stop[j - 1]] if j > i else b"") for i, j in _spans(doc, n_docs)]
-            size = [len(x) for x in _shingles(data, starts, ends, doc, n_docs, shingle)]
-            weight = np.minimum(ends - starts, HEAVIEST).astype(np.uint64)
-            hashes = tx.hash_words(data, starts, ends) >> np.uint64(24)
-            # Distinct words of each document: its number, 40 bits of hash, the weight.
-            wide = np.zeros((n_docs, FINGERPRINTS), dtype=np.uint64)
-            for low in range(0, n_docs, 1 << 20):
-                some = slice(np.searchsorted(doc, low), np.searchsorted(doc, low + (1 << 20)))
-                key = np.unique(((doc[some] - low).astype(np.uint64) << np.uint64(44)) | (hashes[some] << np.uint64(4)) | weight[some])
-                own = (key >> np.uint64(44)).astype(np.int64)
-                for k, seed in enumerate(seeds):
-                    words = tx.mix(((key >> np.uint64(4)) & np.uint64((1 << 40) - 1)) ^ seed)
-                    part = _majority(words, key & np.uint64(15), own, min(n_docs - low, 1 << 20))
-                    wide[low : low + len(part), k] = part
-            lists = pa.ListArray.from_arrays(np.arange(0, n_docs * FINGERPRINTS + 1, FINGERPRINTS, dtype=np.int32), wide.view(np.int64).ravel())
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(whole, pa.binary()), pa.array(size, pa.int32()), lists], names=["doc_id", "whole", "size", "wide"],
-            )
-
-    return _texts(docs, id_col, text_col).mapInArrow(sketch, f"doc_id {dict(docs.dtypes)[id_col]}, whole binary, size int, wide array<long>")
-
-
-def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(doc_id, size, packed): the distinct shingle hashes of a text, compressed."""
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, data, starts, ends, doc in _lowered(batches):
-            sets = _shingles(data, starts, ends, doc, len(ids), shingle)
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(x) for x in sets], pa.int64()), pa.array([pack_sorted(x) for x in sets], pa.binary())],
-                names=["doc_id", "size", "packed"],
-            )
+    def keys(self) -> np.ndarray:
+        return self.tokens << np.uint64(16)
+
+    def shared(self, bits: int, parts: list[dict]) -> np.ndarray:
+        """Which tokens another document of this block has, or another block may have."""
+        ordered = np.sort(self.tokens)
+        twice = ordered[1:][ordered[1:] == ordered[:-1]]
+        return bl.among(self.tokens, twice) | bl.shared_mask(self.keys(), bits, parts)
+
+    def digests(self) -> list[bytes]:
+        """Of the word sequence of each document."""
+        body, place = tx.joined(self.data, self.starts, self.ends)
+        stop, view = place + (self.ends - self.starts), memoryview(body)
+        return [xxhash.xxh3_128_digest(view[place[i] : stop[j - 1]] if j > i else b"") for i, j in _spans(self.doc, self.n_docs)]
+
+
+def _prefix_length(size: int, similarity: float) -> int:
+    """Two sets this similar share one of the first so many of their tokens in any common order of all tokens."""
+    return size - math.ceil(similarity * size - 1e-9) + 1
 
-    return _texts(docs, id_col, text_col).mapInArrow(sketch, f"doc_id {dict(docs.dtypes)[id_col]}, size long, packed binary")
+
+_CANDIDATE = "whole binary, size int, packed binary, shared binary"
+
+
+def _candidates(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """(doc_id, whole, size, packed, shared) of the documents that can have a near-duplicate.
+
+    Shingles of one document alone come first in the order of tokens. A document
+    whose prefix they fill shares no prefix token with any other and goes.
+    ``whole`` is the digest of the word sequence, ``packed`` the set of shingles,
+    ``shared`` the mask of those that others may have.
+    """
+    narrow = docs.select(
+        F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.lit(0).cast("long").alias("_rank0"),
+    ).filter("doc_id IS NOT NULL")
+    blocks = bl.write_blocks(narrow, id_col="_rank0", carry=True)
+    n_blocks, n_bytes = blocks.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    shared = materialize(bl.shared_keys(blocks, lambda block: _Shingles(block, shingle).keys(), max(2, n_bytes // 4), n_blocks), "shingles")
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in bl.rows(batches):
+            block = bl.Block(row)
+            own = _Shingles(block, shingle)
+            mask = own.shared(row["bits"], row["parts"])
+            size = np.bincount(own.owner, minlength=own.n_docs)
+            alone = size - np.bincount(own.owner[mask], minlength=own.n_docs)
+            keep = [d for d in range(own.n_docs) if alone[d] < _prefix_length(int(size[d]), similarity)]
+            whole, end = own.digests(), np.cumsum(size)
+            span = [slice(int(end[d] - size[d]), int(end[d])) for d in keep]
+            yield pa.RecordBatch.from_arrays([
+                block.doc_ids("doc_id").take(pa.array(keep, pa.int64())), pa.array([whole[d] for d in keep], pa.binary()),
+                pa.array([int(size[d]) for d in keep], pa.int32()), pa.array([bl.pack_sorted(own.tokens[x]) for x in span], pa.binary()),
+                pa.array([bl.pack_bits(mask[x]) for x in span], pa.binary()),
+            ], names=["doc_id", "whole", "size", "packed", "shared"])
+
+    return materialize(blocks.join(shared, "block").mapInArrow(choose, f"doc_id {dict(docs.dtypes)[id_col]}, {_CANDIDATE}"), "candidates")
+
+
+def _frequency(sets: DataFrame) -> np.ndarray:
+    """How many shared tokens of all sets fall into each of ``SLOTS`` slots."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, dtype=np.int64)
+        for batch in batches:
+            for r in batch.to_pylist():
+                tokens = unpack_sorted(r["packed"], r["size"])[bl.unpack_bits(r["shared"], r["size"])]
+                np.add.at(total, (tokens % np.uint64(SLOTS)).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        for a in range(0, len(at), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(at[a : a + (1 << 16)]), pa.array(total[at[a : a + (1 << 16)]])], names=["slot", "n"])
+
+    rows = sets.select("size", "packed", "shared").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(SLOTS, dtype=np.int64)
+    total[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
+    return total
+
+
+def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """(bucket, node, size, place): the shared tokens in the prefix of each set, and their place in its order.
+
+    Tokens of one document come first, then those of seldom used slots: any order
+    is right if it is the same for all sets, this one keeps the buckets small.
+    """
+    counts = sets.sparkSession.sparkContext.broadcast(_frequency(sets))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buckets, places, nodes, sizes = [], [], [], []
+            for r in batch.to_pylist():
+                n = r["size"]
+                tokens, mask = unpack_sorted(r["packed"], n), bl.unpack_bits(r["shared"], n)
+                alone, tokens = n - int(mask.sum()), tokens[mask]
+                order = np.lexsort((tokens, counts.value[(tokens % np.uint64(SLOTS)).astype(np.int64)]))
+                tokens = tokens[order[: max(0, _prefix_length(n, similarity) - alone)]]
+                buckets.append(tokens.astype(np.int64))
+                places.append(np.arange(alone, alone + len(tokens), dtype=np.int32))
+                nodes += [r["node"]] * len(tokens)
+                sizes += [n] * len(tokens)
+            if nodes:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate(buckets)), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()), pa.array(np.concatenate(places)),
+                ], names=["bucket", "node", "size", "place"])
+
+    keyed = materialize(sets.select("node", "size", "packed", "shared").mapInArrow(cut, "bucket long, node binary, size int, place int"), "prefixes")
+    crowded = keyed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    return materialize(keyed.join(crowded, "bucket", "left_semi"), "pool")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -233,67 +309,85 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
                 keep.append(bool(common) and common >= similarity * (len(a) + len(b) - common) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    a, b = (sets.select(F.col("doc_id").alias(x), F.col("size").alias(f"{x}_size"), F.col("packed").alias(f"{x}_packed")) for x in "ab")
-    return pairs.join(b, "b").join(a, "a").mapInArrow(check, pairs.schema)
+    a, b = (sets.select(F.col("node").alias(x), F.col("size").alias(f"{x}_size"), F.col("packed").alias(f"{x}_packed")) for x in "ab")
+    return materialize(pairs.join(b, "b").join(a, "a").mapInArrow(check, "a binary, b binary"), "similar")
+
+
+def _possible(similarity: float) -> Column:
+    """Whether the sizes, and the tokens from the places x and y on, leave room for this similarity.
+
+    At the first common token of two sets what follows holds all else they share,
+    so a similar pair passes in at least one of its buckets.
+    """
+    x, y = F.col("x.size"), F.col("y.size")
+    rest = F.least(x - F.col("x.place"), y - F.col("y.place"))
+    return (F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9) & (rest >= similarity * (x + y - rest) - 1e-9)
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def _rooted(pool: DataFrame, links: DataFrame) -> DataFrame:
+    """The pool with the component (root) of each node; buckets of a single component have nothing left to compare."""
+    labels = components(links)
+    rooted = pool.join(labels, "node", "left").select("bucket", "node", "size", "place", F.coalesce("root", "node").alias("root"))
+    rooted = materialize(rooted, "rooted")
+    several = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket")
+    return materialize(rooted.join(several, "bucket", "left_semi"), "open")
+
+
+def _crossing(rooted: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of one bucket and two components that are possible.
+
+    Members outside the largest component of a bucket meet all its members; a
+    bucket of more than ``PAIRS_PER_TASK`` pairs is dealt to several tasks.
+    """
+    parts = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    largest = materialize(
+        parts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("most"))
+        .select("bucket", "main", F.ceil((F.col("n") - F.col("most")) * F.col("n") / PAIRS_PER_TASK).cast("int").alias("shares")), "largest",
+    )
+    known = rooted.join(largest, "bucket")
+    side = F.struct("node", "size", "place", "root")
+    x = known.filter("root <> main").select("bucket", F.pmod(F.xxhash64("node"), F.col("shares")).cast("int").alias("share"), side.alias("x"))
+    y = known.select("bucket", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), side.alias("y"))
+    return _ordered(x.join(y, ["bucket", "share"]).filter(F.col("x.root") != F.col("y.root")).filter(_possible(similarity)))
 
 
 def near_duplicate_links(
     docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """Links (a, b) between documents with the same words or similar enough sets of shingles.
+    """Links (a, b) that connect all documents with the same words or similar enough sets of shingles.
 
     Texts with the same word sequence are linked to the smallest doc_id that has
-    it, and only that one is compared further. In every bucket of the covering
-    tables ``LEADERS`` documents lead, each the smallest of its share. Each
-    document without a link takes, of the smaller leaders of its up to
-    ``7 * FINGERPRINTS`` buckets that are near enough in size and fingerprints,
-    the nearest, and is compared with it on the full sets of shingles. Then the
-    next smallest lead, until a round adds no more than ``LEAST_GAIN`` to the
-    links. A round costs one comparison for each document at most.
+    it, and only one of them is compared further. Similar sets share a token of
+    their prefixes (see ``_prefix_length``), so the buckets of the prefix tokens
+    hold every similar pair. First all members of a bucket are compared with its
+    smallest, then with its largest; then all pairs that are not connected yet.
+    Every pair is checked on the full sets; none is left out but pairs that
+    other links connect.
     """
-    signed = materialize(_signatures(docs, id_col, text_col, shingle).filter("doc_id IS NOT NULL"), "signatures")
-    distinct = materialize(
-        signed.groupBy("whole").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("wide").alias("wide")), "distinct",
+    found = _candidates(docs, id_col, text_col, shingle, similarity)
+    sets = materialize(
+        found.groupBy("whole").agg(F.min("doc_id").alias("doc_id"), F.first(F.struct("size", "packed", "shared")).alias("s"))
+        .select(F.col("whole").alias("node"), "doc_id", "s.*"), "sets",
     )
-    links = signed.select("doc_id", "whole").join(distinct.select("whole", F.col("doc_id").alias("a")), "whole").filter("doc_id <> a").select("a", F.col("doc_id").alias("b"))
+    copies = found.select("doc_id", F.col("whole").alias("node")).join(sets.select("node", F.col("doc_id").alias("a")), "node")
+    copies = copies.filter("doc_id <> a").select("a", F.col("doc_id").alias("b"))
     # Texts shorter than a shingle are similar to nothing but their copies.
-    keyed = (
-        distinct.filter("size > 0").select("doc_id", "size", F.posexplode("wide").alias("k", "bits"))
-        .select("doc_id", "size", "k", F.explode(_tables(F.col("bits"))).alias("x"))
-        .select("doc_id", "size", F.xxhash64("k", "x.t", "x.key").alias("bucket"))
-    )
-    crowded = keyed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    # Documents that haven't led their bucket yet; the open ones have no link to a smaller document.
-    pool = materialize(keyed.join(crowded, "bucket", "left_semi").withColumn("open", F.lit(True)), "pool")
-    a, b = (distinct.select(F.col("doc_id").alias(x), F.col("wide").alias(f"{x}_wide")) for x in "ab")
-    differ = F.aggregate(F.zip_with("a_wide", "b_wide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, m: n + m)
-    found = 0
-    while True:
-        leaders = materialize(
-            pool.groupBy("bucket", F.pmod(F.xxhash64("doc_id", "bucket"), F.lit(LEADERS)).alias("slot"))
-            .agg(F.min(F.struct("doc_id", "size")).alias("leader")), "leaders",
-        )
-        led = pool.filter("open").join(leaders.select("bucket", "leader"), "bucket").filter("leader.doc_id < doc_id")
-        alike = F.least("size", "leader.size") >= similarity * F.greatest("size", "leader.size")
-        pairs = led.filter(alike).select(F.col("leader.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
-        near = pairs.join(a, "a").join(b, "b").select("a", "b", differ.alias("differ")).filter(F.col("differ") <= MOST_DIFFERENT)
-        closest = materialize(near.groupBy("b").agg(F.min_by("a", F.struct("differ", "a")).alias("a")).select("a", "b"), "closest")
-        asked = closest.select(F.col("a").alias("doc_id")).union(closest.select(F.col("b").alias("doc_id"))).distinct()
-        fits = asked.limit(BROADCAST_LIMIT + 1).count() <= BROADCAST_LIMIT
-        chosen = docs.withColumnRenamed(id_col, "doc_id").select("doc_id", F.col(f"`{text_col}`").alias(text_col))
-        chosen = chosen.join(F.broadcast(asked) if fits else asked, "doc_id", "left_semi")
-        sets = materialize(_shingle_sets(chosen, "doc_id", text_col, shingle).dropDuplicates(["doc_id"]), "shingles")
-        similar = materialize(_similar(closest, sets, similarity), "similar")
-        links, new = links.union(similar), similar.count()
-        found += new
-        if new <= LEAST_GAIN * found:
-            return links
-        linked = similar.select(F.col("b").alias("doc_id")).withColumn("linked", F.lit(True))
-        rest = pool.join(leaders.select("bucket", F.col("leader.doc_id").alias("doc_id")), ["bucket", "doc_id"], "left_anti")
-        rest = rest.join(linked, "doc_id", "left").select("doc_id", "size", "bucket", (F.col("open") & F.col("linked").isNull()).alias("open"))
-        rest = materialize(rest, "rest")
-        # Buckets without an open document have nothing left to compare.
-        pool = materialize(rest.join(rest.filter("open").select("bucket").distinct(), "bucket", "left_semi"), "pool")
+    pool = _prefixes(sets.filter("size > 0"), similarity)
+    links, left = None, pool
+    for leader in (F.min, F.max):
+        led = left.groupBy("bucket").agg(leader(F.struct("node", "size", "place")).alias("x"))
+        y = left.select("bucket", F.struct("node", "size", "place").alias("y"))
+        pairs = _ordered(led.join(y, "bucket").filter("x.node <> y.node").filter(_possible(similarity)))
+        similar = _similar(pairs, sets, similarity)
+        links = similar if links is None else links.union(similar)
+        left = _rooted(pool, links)
+    links = links.union(_similar(_crossing(left, similarity), sets, similarity))
+    a, b = (sets.select(F.col("node").alias(x), F.col("doc_id").alias(f"{x}_id")) for x in "ab")
+    return copies.union(links.join(a, "a").join(b, "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b")))
 
 
 def drop_near_duplicates(

@@ -140,3 +140,35 @@ def test_majority_over_many_hashes():
             mine, w = hashes[doc == d], (np.ones(20_000, np.uint64) if own is None else own)[doc == d]
             expected = sum(1 << b for b in range(64) if 2 * int((((mine >> np.uint64(b)) & np.uint64(1)) * w).sum()) > int(w.sum()))
             assert int(got[d]) == expected
+
+
+def kept_by_brute_force(texts):
+    number = linked(sorted(texts), lambda a, b: split(texts[a]) == split(texts[b]) or jaccard(texts[a], texts[b]) >= 0.8)
+    return {i for i, r in number.items() if i == r}
+
+
+def kept_by_stage(spark, texts):
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    return {r.doc_id for r in simhash.drop_near_duplicates(frame).collect()}
+
+
+def test_no_round_ends_the_search_early(spark):
+    # One hot group of copies brings nearly all links, a few far smaller groups the rest.
+    pick = random.Random(5)
+    words = [f"w{i}" for i in range(3000)]
+    hot = [pick.choice(words) for _ in range(200)]
+    texts = {}
+    for i in range(260):
+        copy = list(hot)
+        copy[pick.randrange(200)] = pick.choice(words)
+        copy[pick.randrange(200)] = pick.choice(words)
+        texts[i] = " ".join(copy)
+    for g in range(3):
+        base = [pick.choice(words) for _ in range(150)]
+        # The smallest member of the group is like the largest only.
+        for k in range(3):
+            copy = list(base)
+            for j in range(k * 2):
+                copy[10 + 12 * j] = f"x{g}"
+            texts[1000 + 10 * g + k] = " ".join(copy)
+    assert kept_by_stage(spark, texts) == kept_by_brute_force(texts)
