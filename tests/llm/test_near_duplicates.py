@@ -172,3 +172,18 @@ def test_no_round_ends_the_search_early(spark):
                 copy[10 + 12 * j] = f"x{g}"
             texts[1000 + 10 * g + k] = " ".join(copy)
     assert kept_by_stage(spark, texts) == kept_by_brute_force(texts)
+
+
+def test_a_bridge_joins_documents_that_are_unlike(spark):
+    pick = random.Random(6)
+    texts = {}
+    for g in range(12):
+        base = [f"g{g}w{pick.randrange(10**6)}" for _ in range(200)]
+        # 3 is similar to 1 and to 2, which differ from it at other places.
+        for k, places in ((1, (10, 40, 70)), (2, (110, 140, 170)), (3, ())):
+            copy = list(base)
+            for j in places:
+                copy[j] = f"c{k}"
+            texts[10 * g + k] = " ".join(copy)
+        assert jaccard(texts[10 * g + 1], texts[10 * g + 2]) < 0.8 <= min(jaccard(texts[10 * g + k], texts[10 * g + 3]) for k in (1, 2))
+    assert kept_by_stage(spark, texts) == {10 * g + 1 for g in range(12)}
