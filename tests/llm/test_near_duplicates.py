@@ -187,3 +187,15 @@ def test_a_bridge_joins_documents_that_are_unlike(spark):
             texts[10 * g + k] = " ".join(copy)
         assert jaccard(texts[10 * g + 1], texts[10 * g + 2]) < 0.8 <= min(jaccard(texts[10 * g + k], texts[10 * g + 3]) for k in (1, 2))
     assert kept_by_stage(spark, texts) == {10 * g + 1 for g in range(12)}
+
+
+def test_appended_and_truncated_copies_are_found(spark):
+    pick = random.Random(7)
+    words = [f"w{i}" for i in range(4000)]
+    texts = {}
+    for g in range(40):
+        base = [pick.choice(words) for _ in range(pick.randint(150, 300))]
+        texts[g] = " ".join(base)
+        texts[100 + g] = " ".join(base + [pick.choice(words) for _ in range(int(len(base) * 0.23))])
+        texts[200 + g] = " ".join(base[: int(len(base) * 0.82)])
+    assert kept_by_stage(spark, texts) == kept_by_brute_force(texts) == set(range(40))
