@@ -16,6 +16,9 @@ input.
    prefix polynomial hashes. Neighbours that agree on ``size`` bytes are then
    compared byte by byte, so a hash collision can't merge different strings.
    A string goes wherever its document isn't the first of its neighbours'.
+   Anchors of more than ``HOT_SEGMENTS`` segments (a phrase in ever different
+   surroundings) are not sorted in one group: their strings are aggregated by
+   all their bytes, once per block, to the smallest doc_id that has them.
 3. Each block merges what goes into maximal spans.
 
 Null or empty texts have no bytes. Rows that share a doc_id don't remove
@@ -42,6 +45,8 @@ SIZE = 50
 ANCHOR = 24
 #: Segments sorted at a time; bounds the arrays of a group.
 SORT_SEGMENTS = 1 << 13
+#: Segments of one anchor, equal ones of a block counted once, that meet in one group at most.
+HOT_SEGMENTS = 1 << 13
 _PLACE = np.uint64((1 << 21) - 1)
 _ANCHORS = np.uint64(0xA0761D6478BD642F)
 
@@ -254,8 +259,82 @@ def _judge(anchor, rank, strings, offset, data, size):
     return goes
 
 
-def repeated_strings(blocks: DataFrame, size: int) -> DataFrame:
-    """The blocks, each with what it needs to know its strings that smaller documents have."""
+def _hot_anchors(sent: DataFrame) -> np.ndarray:
+    """The anchors of more than ``HOT_SEGMENTS`` segments, ascending. All segments of an anchor are sent to one part."""
+    most = HOT_SEGMENTS
+
+    def count(table: pa.Table) -> pa.Table:
+        anchors, n = np.unique(np.concatenate([bl.unpack_sorted(m["anchor"], m["n"]) for m in table.to_pylist()]), return_counts=True)
+        return pa.table({"anchor": anchors[n > most].view(np.int64)})
+
+    found = sent.select("part", "n", "anchor").groupBy("part").applyInArrow(count, "anchor long").toArrow()
+    return np.sort(found.column("anchor").to_numpy().astype(np.int64).view(np.uint64))
+
+
+def _message(m: dict) -> tuple[np.ndarray, ...]:
+    """Anchor, rank, number of strings and anchor's place of each segment of a message, and their bytes."""
+    return (
+        bl.unpack_sorted(m["anchor"], m["n"]), *(bl.unpack(m[c], np.int64, m["n"]) for c in ("rank", "strings", "offset")),
+        np.frombuffer(zstandard.ZstdDecompressor().decompress(m["body"]), np.uint8),
+    )
+
+
+def _without(sent: DataFrame, hot: np.ndarray, size: int) -> DataFrame:
+    """The messages without the segments of hot anchors."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for m in bl.rows(batches):
+            out = bl.among(bl.unpack_sorted(m["anchor"], m["n"]), hot)
+            if out.any():
+                anchor, rank, strings, offset, data = _message(m)
+                starts = np.cumsum(strings + size - 1) - (strings + size - 1)
+                n = strings[~out]
+                m |= {
+                    "n": len(n), "anchor": bl.pack_sorted(anchor[~out]), "rank": bl.pack(rank[~out]), "strings": bl.pack(n),
+                    "offset": bl.pack(offset[~out]),
+                    "body": zstandard.ZstdCompressor(level=3).compress(_gather(data, starts[~out], n + size - 1).tobytes()),
+                }
+            yield pa.RecordBatch.from_pylist([m], schema=_SENT)
+
+    return sent.mapInArrow(cut, _SENT_DDL)
+
+
+def _strings(data: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """The strings at these places as values that compare by their bytes."""
+    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, size)[starts]).view(f"V{size}").ravel()
+
+
+def _hot_strings(sent: DataFrame, hot: np.ndarray, size: int) -> DataFrame:
+    """(block, hot): the strings of hot anchors that go from some document of the block, and the smallest rank of each."""
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for m in bl.rows(batches):
+            own = bl.among(bl.unpack_sorted(m["anchor"], m["n"]), hot)
+            if not own.any():
+                continue
+            _, rank, strings, _, data = _message(m)
+            at = np.flatnonzero(own)
+            first = (np.cumsum(strings + size - 1) - (strings + size - 1))[at]
+            for a in range(0, len(at), SORT_SEGMENTS):
+                n = strings[at[a : a + SORT_SEGMENTS]]
+                starts = np.repeat(first[a : a + SORT_SEGMENTS], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                values, number = np.unique(_strings(data, starts, size), return_inverse=True)
+                owner = np.repeat(rank[at[a : a + SORT_SEGMENTS]], n)
+                low = np.full(len(values), bl.NULL_RANK, dtype=np.int64)
+                high = np.full(len(values), np.iinfo(np.int64).min, dtype=np.int64)
+                np.minimum.at(low, number, owner)
+                np.maximum.at(high, number, owner)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(values), m["block"])), pa.array(values.tolist(), pa.binary()), pa.array(low), pa.array(high)],
+                    names=["block", "string", "low", "high"],
+                )
+
+    known = bl.materialize(sent.mapInArrow(single, "block long, string binary, low long, high long"), "hot-strings")
+    least = known.groupBy("string").agg(F.min("low").alias("least"), F.max("high").alias("last")).filter("least < last").drop("last")
+    goes = known.join(least, "string").filter("high > least").select("block", "string", "least").distinct()
+    return goes.groupBy("block").agg(F.collect_list(F.struct("string", "least")).alias("hot"))
+
+
+def repeated_strings(blocks: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
+    """The blocks, each with what it needs to know its strings that smaller documents have, and the hot anchors."""
     n_blocks, n_bytes = blocks.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
     parts = bl.n_parts(n_blocks)
     n_anchors = max(2, 2 * n_bytes // (size - min(ANCHOR, size) + 2))
@@ -297,21 +376,36 @@ def repeated_strings(blocks: DataFrame, size: int) -> DataFrame:
             for m, a, b in zip(messages, ends[:-1], ends[1:], strict=True)
         ], schema=bl._MASK_ARROW)
 
-    told = blocks.join(shared, "block").mapInArrow(send, _SENT_DDL).groupBy("part").applyInArrow(judge, "part int, block long, n long, mask binary")
+    sent = bl.materialize(blocks.join(shared, "block").mapInArrow(send, _SENT_DDL), "segments")
+    hot = _hot_anchors(sent)
+    told = (_without(sent, hot, size) if len(hot) else sent).groupBy("part").applyInArrow(judge, "part int, block long, n long, mask binary")
     later = told.groupBy("block").agg(F.collect_list(F.struct("part", "n", "mask")).alias("later"))
-    return blocks.join(shared.join(later, "block"), "block")
+    known = blocks.join(shared.join(later, "block"), "block")
+    return (known.join(_hot_strings(sent, hot, size), "block", "left") if len(hot) else known), hot
 
 
-def _removed(row: dict, size: int) -> tuple[bl.Block, np.ndarray]:
+def _removed(row: dict, size: int, hot: np.ndarray) -> tuple[bl.Block, np.ndarray]:
     """The block and which of its bytes go."""
     own = _Segments(bl.Block(row), size)
     at = own.candidates(row["bits"], row["parts"])
     head, number = own.distinct(at)
-    goes = bl.told_masks(row["later"])
+    # Of hot anchors nothing was sorted: their strings are looked up below.
+    sorted_ = ~bl.among(own.anchor[head], hot)
+    goes = np.zeros(int(own.strings[head].sum()), dtype=bool)
+    goes[np.repeat(sorted_, own.strings[head])] = bl.told_masks(row["later"])
     begin = np.cumsum(own.strings[head]) - own.strings[head]
     n = own.strings[at]
     within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     verdict = np.repeat(own.rank[at] > own.rank[head][number], n) | goes[np.repeat(begin[number], n) + within]
+    least = {x["string"]: x["least"] for x in row.get("hot") or ()}
+    if least:
+        some, ends = np.flatnonzero(bl.among(own.anchor[at], hot)), np.cumsum(n)
+        for a in range(0, len(some), SORT_SEGMENTS):
+            part = some[a : a + SORT_SEGMENTS]
+            place = np.repeat((ends - n)[part], n[part]) + np.arange(int(n[part].sum())) - np.repeat(np.cumsum(n[part]) - n[part], n[part])
+            strings = _strings(own.block.data, np.repeat(own.first[at[part]], n[part]) + within[place], size).tolist()
+            low = np.array([least.get(x, bl.NULL_RANK) for x in strings], dtype=np.int64)
+            verdict[place] |= np.repeat(own.rank[at[part]], n[part]) > low
     starts = (np.repeat(own.first[at], n) + within)[verdict]
     return own.block, tx.covered(starts, size, len(own.block.data))
 
@@ -322,12 +416,12 @@ def suffix_dedup(docs: DataFrame, *, size: int = SIZE, id_col: str = "doc_id", t
     ``kept`` has the remaining bytes, which may cut through a character;
     ``kept_sha256`` is its lower-case SHA-256 in hex.
     """
-    known = repeated_strings(bl.write_blocks(docs, id_col=id_col, text_col=text_col), size)
+    known, hot = repeated_strings(bl.write_blocks(docs, id_col=id_col, text_col=text_col), size)
     id_type = dict(docs.dtypes)[id_col]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in bl.rows(batches):
-            block, gone = _removed(row, size)
+            block, gone = _removed(row, size, hot)
             bounds = block.bounds
             begins = gone.copy()
             begins[1:] &= ~gone[:-1]
@@ -352,12 +446,12 @@ def cut_repeats(docs: DataFrame, *, size: int = SIZE, id_col: str = "doc_id", te
     """
     no_text = tx.fresh(docs.columns, "_no_text")
     marked = docs.withColumn(no_text, F.col(f"`{text_col}`").isNull())
-    known = repeated_strings(bl.write_blocks(marked, id_col=id_col, text_col=text_col, carry=True), size)
+    known, hot = repeated_strings(bl.write_blocks(marked, id_col=id_col, text_col=text_col, carry=True), size)
     names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in bl.rows(batches):
-            block, gone = _removed(row, size)
+            block, gone = _removed(row, size, hot)
             chars = np.flatnonzero((block.data & 0xC0) != 0x80)
             if len(chars):
                 gone = np.repeat(np.logical_and.reduceat(gone, chars), np.diff(chars, append=len(gone)))

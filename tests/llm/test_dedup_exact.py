@@ -136,3 +136,21 @@ def test_words_do_not_cross_texts():
     data, bounds = tx.buffers(pa.array(["ab c", None, "d", "", " e\x0bf "]))
     starts, ends, doc = tx.words(data, bounds)
     assert [(bytes(data[a:b]), int(d)) for a, b, d in zip(starts, ends, doc, strict=True)] == [(b"ab", 0), (b"c", 0), (b"d", 2), (b"e", 4), (b"f", 4)]
+
+
+def test_an_anchor_in_ever_different_surroundings_is_not_sorted_in_one_group(spark, monkeypatch):
+    # A phrase in other words each time: equal 50-byte strings are few, segments of one anchor many.
+    pick, rank = random.Random(8), list(range(90))
+    pick.shuffle(rank)
+    phrase = "the licence holds as is in all lands"
+    texts = [" ".join([str(pick.randrange(10**12)), phrase if i % 3 else phrase + " and seas", str(pick.randrange(10**12 if i % 2 else 3))]) for i in range(90)]
+    docs = [(r, t) for r, t in zip(rank, texts, strict=True)] + [(None, texts[0]), (5, texts[1])]
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 1000)
+    monkeypatch.setattr(suffixes, "HOT_SEGMENTS", 10)
+    most = []
+    judge = suffixes._hot_anchors
+    monkeypatch.setattr(suffixes, "_hot_anchors", lambda sent: most.append(judge(sent)) or most[-1])
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = suffixes.suffix_dedup(frame, size=40).drop("kept").collect()
+    assert sorted(map(tuple, found), key=key) == sorted(strings_by_hand(docs, 40), key=key)
+    assert len(most[0])
