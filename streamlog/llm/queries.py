@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlog.llm import chat, decontam, packing, quality, simhash, suffixes, tokens, urls, warc, windows
+from streamlog.llm import audit, chat, decontam, negatives, packing, quality, retrieval, simhash, suffixes, tokens, urls, warc, windows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,10 +68,26 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from each source in every order."""
+    return audit.audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector; every seventh label is moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
+def op13_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed with its lexical neighbours into windows of 2048 tokens."""
+    return retrieval.pack_with_neighbours(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chat_format, op2_warc, op3_packing, op4_url_filter, op5_repeated_windows, op6_decontamination, op7_quality,
-        op8_repeated_strings, op9_token_counts, op10_simhash,
+        op8_repeated_strings, op9_token_counts, op10_simhash, op11_filter_audit, op12_hard_negatives, op13_retrieval_packing,
     )
 }
 
@@ -137,4 +153,65 @@ SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words, CAST(coalesce(s.n_remo
 FROM w LEFT JOIN summed s ON w.doc_id = s.doc_id
 """
 
-SQL: dict[str, str] = {"op1_chat_format": _OP1_SQL, "op2_warc": _OP2_SQL, "op5_repeated_windows": _OP5_SQL}
+_OP11_SQL = r"""
+WITH read AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), told AS (
+    SELECT doc_id, max(CAST(coalesce(quality = 1, false) AS INT)) AS good, max(CAST(coalesce(toxic = 1, false) AS INT)) AS toxic
+    FROM labels GROUP BY doc_id
+), judged AS (
+    SELECT r.doc_id, part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           len(words) < 50 AS a, 100 * list_unique(words) < 65 * len(words) AS b,
+           100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text) AS c,
+           regexp_matches(text, '[#$%&*|]') AS d, min(r.doc_id) OVER (PARTITION BY text) < r.doc_id AS e
+    FROM read r LEFT JOIN told t ON r.doc_id = t.doc_id
+), weighed AS (
+    SELECT part, a, b, c, d, e, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY ALL
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x), orders AS (
+    SELECT v.x || w.x || y.x || z.x || u.x AS o FROM letters v, letters w, letters y, letters z, letters u
+    WHERE len(list_distinct([v.x, w.x, y.x, z.x, u.x])) = 5
+), ranked AS (
+    SELECT *, CAST(a AS INT) + CAST(b AS INT) + CAST(c AS INT) + CAST(d AS INT) + CAST(e AS INT) AS n_failed, least(
+        CASE WHEN a THEN strpos(o, 'A') ELSE 6 END, CASE WHEN b THEN strpos(o, 'B') ELSE 6 END, CASE WHEN c THEN strpos(o, 'C') ELSE 6 END,
+        CASE WHEN d THEN strpos(o, 'D') ELSE 6 END, CASE WHEN e THEN strpos(o, 'E') ELSE 6 END) AS gone
+    FROM weighed, orders
+), steps AS (SELECT CAST(unnest(range(1, 6)) AS INT) AS step), failing AS (
+    SELECT *, CASE substr(o, step, 1) WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END AS fails FROM ranked, steps
+), counted AS (
+    SELECT part, o, step, sum(CASE WHEN gone > step THEN n ELSE 0 END) AS kept, sum(CASE WHEN gone = step THEN n ELSE 0 END) AS removed,
+           sum(CASE WHEN fails AND gone < step THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails AND n_failed = 1 THEN n ELSE 0 END) AS unique_fails,
+           sum(CASE WHEN gone = step THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN gone = step THEN toxic ELSE 0 END) AS toxic_lost
+    FROM failing GROUP BY part, o, step
+)
+SELECT part, o AS filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, substr(o, step, 1)) AS BIGINT) AS shapley
+FROM counted
+"""
+
+_OP12_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS vec
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_dot_product(a.vec, r.vec) AS BIGINT) AS score
+    FROM v a, v r WHERE a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), found AS (
+    SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 3
+"""
+
+SQL: dict[str, str] = {
+    "op1_chat_format": _OP1_SQL, "op2_warc": _OP2_SQL, "op5_repeated_windows": _OP5_SQL, "op11_filter_audit": _OP11_SQL,
+    "op12_hard_negatives": _OP12_SQL,
+}
