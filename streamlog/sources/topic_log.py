@@ -4,17 +4,15 @@ Layout: ``<path>/data/topic=T/partition=P/segment=S/append_no=N``, where segment
 S holds the offsets from ``S * segment_rows`` on. Reads turn offsets into literal
 predicates on these folders, so a seek opens only the files it needs.
 
-``<path>/ledger`` is a small table with a row for each append and partition,
-written after the data: the commit point of the append. Ends, partitions and
-segments come from it, without a look at the data. ``<path>/aborted`` has the
-records of aborted transactions, in the same layout.
+``<path>/ledger`` says which appends count, see :mod:`streamlog.sources.ledger`:
+ends, partitions, segments and the latest time of each segment come from it,
+without a look at the data.
 """
 
 from __future__ import annotations
 
 import copy
 import json
-import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
@@ -22,24 +20,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamlog.functions.numbers import whole_div
+from streamlog.functions.numbers import epoch_micros, whole_div
 from streamlog.model import OFFSETS_SCHEMA, TOPIC_PARTITION, struct_of
 from streamlog.operators import offsets as off
 from streamlog.operators.records import expect_at_least
 from streamlog.session import read_or_empty
+from streamlog.sources.ledger import Ledger, State
+from streamlog.sources.ranges import LogStream
 
 SEGMENT_ROWS = 10_000_000
-# Names whose folder is called like the topic itself.
-PLAIN_NAME = re.compile(r"[A-Za-z0-9._-]+")
-META_SCHEMA = struct_of(segment_rows=T.LongType(), fields=T.StringType())
 
 FOLDER_FIELDS = struct_of(
     topic=T.StringType(), partition=T.IntegerType(), segment=T.LongType(), append_no=T.LongType()
 ).fields
 FOLDERS = [field.name for field in FOLDER_FIELDS]
-LEDGER_SCHEMA = struct_of(
-    append_no=T.LongType(), batch_id=T.StringType(), topic=T.StringType(), partition=T.IntegerType(),
-    begin=T.LongType(), end=T.LongType(), status=T.StringType(),
+_ENDS_SCHEMA = struct_of(
+    topic=T.StringType(), partition=T.IntegerType(), begin_offset=T.LongType(), end_offset=T.LongType()
 )
 
 
@@ -75,15 +71,19 @@ class TopicLog:
         self.schema = schema
         self.segment_rows = segment_rows
         self.isolation = "read_committed"
+        self.book = Ledger(spark, path)
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> "TopicLog":
-        meta = spark.read.schema(META_SCHEMA).json(f"{path}/meta").first()
-        return cls(spark, path, T.StructType.fromJson(json.loads(meta["fields"])), meta["segment_rows"])
+        text = Ledger(spark, path).store.read(f"{path}/meta")
+        if text is None:
+            raise FileNotFoundError(f"there is no log at {path}")
+        meta = json.loads(text)
+        return cls(spark, path, T.StructType.fromJson(meta["fields"]), meta["segment_rows"])
 
     def exists(self) -> bool:
         """Whether the log is still stored."""
-        return not read_or_empty(self.spark, f"{self.path}/meta", META_SCHEMA, "json").isEmpty()
+        return self.book.store.exists(f"{self.path}/meta")
 
     @property
     def data_path(self) -> str:
@@ -92,8 +92,10 @@ class TopicLog:
     def isolated(self, level: str) -> "TopicLog":
         """The same log read at an isolation level.
 
-        ``read_committed`` gives the records of committed appends,
-        ``read_uncommitted`` also those of aborted and unfinished ones.
+        ``read_committed`` gives the records of committed appends up to the
+        first transaction that is still open in their partition,
+        ``read_uncommitted`` also those of open and aborted ones. What a broken
+        append left is never read.
         """
         if level not in ("read_committed", "read_uncommitted"):
             raise ValueError(f"unknown isolation level {level!r}")
@@ -101,43 +103,65 @@ class TopicLog:
         log.isolation = level
         return log
 
-    def ledger(self) -> DataFrame:
-        """One row for each append and partition it wrote to."""
-        # A row may be there twice while the ledger is compacted.
-        return read_or_empty(self.spark, f"{self.path}/ledger", LEDGER_SCHEMA).select(*LEDGER_SCHEMA.names).distinct()
+    def _stored(self, topics: Iterable[str] | None = None) -> DataFrame:
+        """Stored rows; with ``topics`` only their folders are listed."""
+        return self._in_folders([""] if topics is None else [f"topic={self._folder(t)}" for t in sorted(set(topics))])
 
-    def last_append(self) -> int:
-        """Number of the last append that ended, -1 before the first."""
-        last = self.ledger().agg(F.max("append_no")).first()[0]
-        return -1 if last is None else last
+    def _folder(self, topic: str) -> str:
+        return self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(topic)
 
-    def _stored(self, topics: Iterable[str] | None = None, tree: str = "data") -> DataFrame:
-        """Stored rows; with ``topics`` only their folders are listed, if that is possible."""
+    def _in_folders(self, folders: list[str]) -> DataFrame:
+        """Stored rows of some folders; one that isn't there has none."""
         # Types are given: a topic named "007" must not be read as a number.
-        reader = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/{tree}")
-        names = None if topics is None else sorted(set(topics))
-        for folders in ([f"topic={n}" for n in names] if names and all(map(PLAIN_NAME.fullmatch, names)) else [], [""]):
-            try:
-                if folders:
-                    return reader.parquet(*[f"{self.path}/{tree}/{folder}".rstrip("/") for folder in folders])
-            except AnalysisException as problem:
-                # A topic without records has no folder, a log without aborted records no such tree.
-                if problem.getCondition() != "PATH_NOT_FOUND":
-                    raise
-        return self.spark.createDataFrame([], self.schema)
+        reader = self.spark.read.schema(self.schema).option("basePath", self.data_path)
+        try:
+            return reader.parquet(*[f"{self.data_path}/{folder}".rstrip("/") for folder in folders])
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+        there = [f for f in folders if self.book.store.exists(f"{self.data_path}/{f}".rstrip("/"))]
+        return self._in_folders(there) if there else self.spark.createDataFrame([], self.schema)
+
+    def _visible(self, stored: DataFrame) -> DataFrame:
+        """What the log's isolation level lets a reader see."""
+        state = self.book.state()
+        stored = stored.filter(F.col("append_no") <= state.version)
+        hidden = state.unread(self.isolation)
+        if hidden:
+            stored = stored.filter(~F.col("append_no").isin(hidden))
+        first = state.first_open() if self.isolation == "read_committed" else {}
+        if not first:
+            return stored
+        if len(first) <= off.LITERAL_LIMIT:
+            return stored.filter(~_any_of(f"{_is(t, p)} AND offset >= {o}" for (t, p), o in first.items()))
+        limits = off.of(self.spark, first).withColumnRenamed("offset", "_limit")
+        return off.join_small(stored, limits, "left").filter("_limit IS NULL OR offset < _limit").drop("_limit")
 
     def _source(self, topics: Iterable[str] | None = None) -> DataFrame:
         """What the subscriptions below read from."""
-        stored = self._stored(topics)
-        if self.isolation == "read_uncommitted":
-            return stored.unionByName(self._stored(topics, "aborted"))
-        # An append without its ledger rows is not finished, or was broken off.
-        return stored.filter(F.col("append_no") <= self.last_append())
+        return self._visible(self._stored(topics))
 
     def _table(self, topics: Iterable[str] | None = None) -> DataFrame:
         """The source as a table, also for a streamed log."""
         return TopicLog._source(self, topics)
 
+    def _segment_folders(self, rows: Iterable[tuple[str, int, int, int]]) -> list[str]:
+        """Folders that hold the offsets of ``topic, partition, begin, end``."""
+        return [
+            f"topic={self._folder(topic)}/partition={partition}/segment={segment}"
+            for topic, partition, begin, end in rows if end > begin
+            for segment in range(begin // self.segment_rows, (end - 1) // self.segment_rows + 1)
+        ]
+
+    def in_ranges(self, rows: list[tuple[str, int, int, int]]) -> DataFrame:
+        """Visible records of ``topic, partition, begin, end``, with their folders; only those folders are listed."""
+        folders = self._segment_folders(rows)
+        stored = TopicLog._visible(self, self._in_folders(folders) if folders else self.spark.createDataFrame([], self.schema))
+        if len(rows) <= off.LITERAL_LIMIT:
+            return stored.filter(_any_of(f"{_is(t, p)} AND {self._inside(b, e)}" for t, p, b, e in rows))
+        ranges = self.spark.createDataFrame(rows, "topic string, partition int, _begin long, _end long")
+        return off.join_small(stored, ranges).filter(_range_holds()).select(*self.schema.names)
+
     def _present(self, stored: DataFrame) -> DataFrame:
         columns = [c for c in self.schema.names if c not in FOLDERS]
         return stored.select(*TOPIC_PARTITION, *columns)
@@ -147,19 +171,28 @@ class TopicLog:
         return self._present(self._source())
 
     def is_empty(self) -> bool:
-        """Whether nothing was ever written."""
-        return self.last_append() < 0
+        """Whether no append has ended yet."""
+        return not self.book.state().ends
+
+    def _ends(self, state: State) -> dict[tuple[str, int], int]:
+        return state.stable_ends() if self.isolation == "read_committed" else state.ends
+
+    def _bounds(self, topic: str | None = None) -> DataFrame:
+        """``topic, partition, begin_offset, end_offset`` from the ledger."""
+        state = self.book.state()
+        rows = [(t, p, state.begins[t, p], end) for (t, p), end in self._ends(state).items() if topic in (None, t)]
+        return self.spark.createDataFrame(rows, _ENDS_SCHEMA)
 
     def segments(self) -> DataFrame:
         """``topic, partition, segment`` of all records, from the ledger."""
-        first, last = (whole_div(c, self.segment_rows) for c in (F.col("begin"), F.col("end") - 1))
-        return self.ledger().filter("end > begin").select(
+        first, last = (whole_div(c, self.segment_rows) for c in (F.col("begin_offset"), F.col("end_offset") - 1))
+        return self._bounds().filter("end_offset > begin_offset").select(
             *TOPIC_PARTITION, F.explode(F.sequence(first, last)).alias("segment")
-        ).distinct()
+        )
 
     def partitions(self) -> DataFrame:
         """The existing topic partitions; no record is read."""
-        return off.topic_partitions(self.ledger())
+        return self._bounds().select(*TOPIC_PARTITION)
 
     def assigned(self, topics: Iterable[str] | None = None) -> list[tuple[str, int]]:
         """Partitions as a list, as a consumer knows its assignment."""
@@ -171,25 +204,47 @@ class TopicLog:
     # -- where the log begins and ends ------------------------------------
 
     def end_offsets(self) -> DataFrame:
-        """End of every partition, from the ledger; what aborted transactions wrote counts."""
-        return self.ledger().groupBy(*TOPIC_PARTITION).agg(F.max("end").alias("offset"))
+        """End of every partition, from the ledger; what aborted transactions wrote counts.
+
+        Readers of committed records end where the first open transaction begins.
+        """
+        return self._bounds().select(*TOPIC_PARTITION, F.col("end_offset").alias("offset"))
 
     def partitions_for(self, topic: str) -> DataFrame:
         """Begin and end offset of each partition of a topic, from the ledger."""
-        return self.ledger().filter(F.col("topic") == topic).groupBy(*TOPIC_PARTITION).agg(
-            F.min("begin").alias("begin_offset"), F.max("end").alias("end_offset")
-        )
+        return self._bounds(topic)
+
+    def committed(self, group_id: str) -> DataFrame:
+        """Source offsets that a group has committed together with records of this log."""
+        return off.of(self.spark, self.book.state().groups.get(group_id, {}))
 
     def offsets_for_times(self, times: Column | DataFrame) -> DataFrame:
-        """First offset at or after a time per partition, NULL past the end."""
-        if not isinstance(times, DataFrame):
-            return off.offsets_for_times(self._present(self._table()), times, self.partitions())
-        asked = off.bounded_rows(times.select(*TOPIC_PARTITION), off.LITERAL_LIMIT)
-        stored = self._table()
-        if asked is not None:
-            stored = self._table([row["topic"] for row in asked])
-            stored = stored.filter(_any_of(_is(row["topic"], row["partition"]) for row in asked))
-        return off.offsets_for_times(self._present(stored), times)
+        """First offset at or after a time per partition, NULL past the end.
+
+        The ledger has the latest time of each segment, so the first segment
+        that is late enough is the only one of its partition to be opened.
+        """
+        if "timestamp" not in self.schema.names:
+            raise ValueError("the records have no timestamp")
+        kind = self.schema["timestamp"].dataType
+        if isinstance(times, DataFrame):
+            asked = times.select(*TOPIC_PARTITION, F.col("timestamp").cast(kind).alias("timestamp"))
+        else:
+            asked = self.partitions().withColumn("timestamp", times.cast(kind))
+        micros = epoch_micros("timestamp", kind)
+        wanted = asked.select(*TOPIC_PARTITION, micros.alias("at")).toLocalIterator()
+        state = self.book.state()
+        ends, rows = self._ends(state), []
+        known = state.times if self.isolation == "read_committed" else state.all_times
+        for topic, partition, at in wanted:
+            latest = known.get((topic, partition), {})
+            late = None if at is None else min((s for s, time in latest.items() if time >= at), default=None)
+            if late is not None:
+                begin = late * self.segment_rows
+                rows.append((topic, partition, begin, min(begin + self.segment_rows, ends[topic, partition])))
+        # A segment may be late enough only by records that are not stable yet.
+        rows = [r for r in rows if r[3] > r[2]]
+        return off.offsets_for_times(self._present(self.in_ranges(rows)), asked)
 
     # -- subscriptions ----------------------------------------------------
 
@@ -352,47 +407,47 @@ class TopicLog:
         """Bounded read of a topic as pairs; raises if it has fewer records than expected."""
         return expect_at_least(self.subscribe([topic]), expected).select("key", "value")
 
-    def as_stream(self, max_files: int | None = None, max_bytes: int | None = None) -> "StreamedLog":
+    def as_stream(self, max_records: int | None = None) -> "StreamedLog":
         """The same log to be read as streams, with the same subscriptions.
 
-        One micro-batch takes at most ``max_files`` files or ``max_bytes`` bytes.
+        One micro-batch takes at most ``max_records`` offsets of each partition.
         """
-        return StreamedLog(self, max_files, max_bytes)
+        return StreamedLog(self, max_records)
 
-    def stream(self, max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
-        """All records as a stream."""
-        return self.as_stream(max_files, max_bytes).records()
+    def stream(self, max_records: int | None = None) -> LogStream:
+        """All committed records as a stream."""
+        return self.as_stream(max_records).records()
 
 
 class StreamedLog(TopicLog):
-    """A log whose subscriptions give streaming DataFrames; offsets are still looked up in the table.
+    """A log whose subscriptions give streams; offsets are still looked up in the table.
 
     The start of a stream must not change when it is restarted from its
     checkpoint. ``reset="latest"`` would, so it is refused: fix the start once
     with :func:`streamlog.operators.offsets.start_offsets` and pass that table.
 
-    A stream sees new files when their write job has ended, just before the
-    ledger has them. If the writer dies in between and writes the append again,
-    the stream gets those records twice, with the same offsets.
+    A stream delivers each committed record once and in the order of offsets;
+    it stops before the first transaction that is open.
     """
 
-    def __init__(self, log: TopicLog, max_files: int | None, max_bytes: int | None):
+    def __init__(self, log: TopicLog, max_records: int | None):
         super().__init__(log.spark, log.path, log.schema, log.segment_rows)
         if log.isolation != "read_committed":
             raise ValueError("a stream reads committed records")
-        self.options = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
+        self.log, self.max_records = log, max_records
 
-    def _source(self, topics: Iterable[str] | None = None) -> DataFrame:
-        reader = self.spark.readStream.schema(self.schema)
-        for name, value in self.options.items():
-            if value is not None:
-                reader = reader.option(name, value)
-        return reader.parquet(self.data_path)
+    def _source(self, topics: Iterable[str] | None = None) -> LogStream:
+        return LogStream(self.log, None if topics is None else sorted(set(topics)), self.max_records)
 
-    def _joined(self, source: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
-        # Folders of later batches are not there yet, so the ranges are joined as they are.
+    def _joined(self, source: LogStream, ranges: DataFrame, how: str) -> LogStream:
         inside = F.col("_begin").isNull() | _range_holds()
-        return off.join_small(source, ranges, how).filter(inside)
+        return source.transform(lambda batch: off.join_small(batch, ranges, how).filter(inside))
+
+    def _literal_ranges(self, rows: Iterable[tuple[str, int, int, int | None]]) -> LogStream:
+        rows = list(rows)
+        stream = super()._literal_ranges(rows)
+        # Earlier offsets need no batches.
+        return stream.begin_at({(topic, partition): begin for topic, partition, begin, _ in rows})
 
     def seek_times(
         self, times: Column | DataFrame, strategy: str = "latest", start_path: str | None = None
@@ -407,9 +462,9 @@ class StreamedLog(TopicLog):
             raise ValueError("a stream needs a fixed start: give start_path, a folder to keep it in")
         stored = read_or_empty(self.spark, start_path, OFFSETS_SCHEMA)
         if stored.isEmpty():
-            found = self.offsets_for_times(times)
+            found = self.log.offsets_for_times(times)
             self._require_found(found, strategy)
-            ends = self.end_offsets().withColumnRenamed("offset", "_end")
+            ends = self.log.end_offsets().withColumnRenamed("offset", "_end")
             found = found.join(ends, TOPIC_PARTITION, "left")
             start = found.select(*TOPIC_PARTITION, F.coalesce("offset", "_end", F.lit(0)).alias("offset"))
             start.coalesce(1).write.mode("overwrite").parquet(start_path)

@@ -11,10 +11,11 @@ from streamlog.model import OFFSETS_SCHEMA
 from streamlog.operators.delivery import commit_upsert
 from streamlog.operators.offsets import positions
 from streamlog.session import read_or_empty, remove
+from streamlog.sources.ranges import LogStream
 
 
 def start(
-    stream: DataFrame,
+    stream: DataFrame | LogStream,
     handle: Callable[[DataFrame, int], None],
     checkpoint: str,
     interval: str | None = None,
@@ -26,13 +27,15 @@ def start(
     Without an ``interval`` the query reads what is there and ends. Stopping
     the query keeps the position: starting again on the same checkpoint goes on.
     """
+    if isinstance(stream, LogStream):
+        return stream.start(handle, checkpoint, interval)
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
 
 
 def start_with_offsets(
-    stream: DataFrame,
+    stream: DataFrame | LogStream,
     handle: Callable[[DataFrame, DataFrame, int], None],
     checkpoint: str,
     interval: str | None = None,

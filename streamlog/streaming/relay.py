@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from streamlog.model import ACKS_SCHEMA, TOPIC_PARTITION
-from streamlog.operators.offsets import positions
-from streamlog.sinks.log import append
+from streamlog.operators.offsets import join_small, positions
+from streamlog.sinks.log import LogTransaction, append
+from streamlog.sources.ranges import LogStream
 from streamlog.sources.topic_log import TopicLog
 from streamlog.session import read_or_empty
 from streamlog.streaming import consume
@@ -43,7 +44,15 @@ def relay_to_sink(
     options: dict[str, str],
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Forward to any streaming sink, such as ``kafka``; at least once if that sink is."""
+    """Forward to any streaming sink, such as ``kafka``; at least once if that sink is.
+
+    Batches of a log are written by the sink's batch writer.
+    """
+    if isinstance(stream, LogStream):
+        def write(batch: DataFrame, batch_id: int) -> None:
+            to_output(batch).write.format(sink_format).mode("append").options(**options).save()
+
+        return consume.start(stream, write, checkpoint, interval)
     writer = to_output(stream).writeStream.format(sink_format).options(**options)
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
@@ -70,6 +79,39 @@ def relay_to_log(
     return consume.start(stream, forward, checkpoint, interval)
 
 
+def relay_with_offsets(
+    stream: LogStream,
+    to_output: Callable[[DataFrame], DataFrame],
+    log: TopicLog,
+    order_by: list[str],
+    group_id: str,
+    checkpoint: str,
+    partitions: int = 1,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Forward records to a topic log; records and source offsets of a batch are one transaction of that log.
+
+    Where to go on is what the target log has committed for the group, so the
+    relay may be started with a new checkpoint, or elsewhere: the newer one
+    fences the older, and records that were forwarded before are passed over.
+    """
+    name = f"relay-{group_id}"
+    log.book.start_writer(name)
+
+    def forward(batch: DataFrame, batch_id: int) -> None:
+        reached = stream.log.offsets_table(log.committed(group_id)).withColumnRenamed("offset", "_done")
+        fresh = join_small(batch, reached, "left").filter("_done IS NULL OR offset >= _done").drop("_done")
+        offsets = positions(fresh)
+        if offsets.isEmpty():
+            return
+        unit = LogTransaction(log, order_by, f"{group_id}@{checkpoint}#{batch_id}", partitions, name)
+        unit.send(to_output(fresh))
+        unit.send_offsets(offsets, group_id)
+        unit.commit()
+
+    return consume.start(stream, forward, checkpoint, interval)
+
+
 def acknowledged_writer(
     write: Callable[[DataFrame, int], None],
     acks_path: str,

@@ -36,7 +36,7 @@ def test_batches_carry_positions_and_a_restart_goes_on(spark, log):
     def handle(batch, offsets, batch_id):
         seen.append((batch_id, batch.count(), rows(offsets)))
 
-    consume.start_with_offsets(log.stream(max_files=7), handle, checkpoint).awaitTermination()
+    consume.start_with_offsets(log.stream(max_records=15), handle, checkpoint).awaitTermination()
     assert sum(n for _, n, _ in seen) == 1000
     reached = {}
     for _, _, offsets in seen:
@@ -44,7 +44,7 @@ def test_batches_carry_positions_and_a_restart_goes_on(spark, log):
             reached[t, p] = max(o, reached.get((t, p), 0))
     assert rows(log.end_offsets()) == sorted((t, p, o) for (t, p), o in reached.items())
     before = len(seen)
-    consume.start_with_offsets(log.stream(max_files=7), handle, checkpoint).awaitTermination()
+    consume.start_with_offsets(log.stream(max_records=15), handle, checkpoint).awaitTermination()
     assert len(seen) == before
 
 
@@ -59,8 +59,8 @@ def test_a_failed_batch_is_delivered_again(spark, log):
         seen.append(batch.count())
 
     with pytest.raises(StreamingQueryException):
-        consume.start(log.stream(max_files=10), failing, checkpoint).awaitTermination()
-    consume.start(log.stream(max_files=10), failing, checkpoint).awaitTermination()
+        consume.start(log.stream(max_records=20), failing, checkpoint).awaitTermination()
+    consume.start(log.stream(max_records=20), failing, checkpoint).awaitTermination()
     assert sum(n for n in seen if n != "failed") == 1000
 
 
@@ -79,7 +79,7 @@ def test_relay_writes_every_record_once_despite_a_failure(spark, log, monkeypatc
         commit(self)
 
     monkeypatch.setattr(transactions.Transaction, "commit", breaking)
-    source = log.stream(max_files=12)
+    source = log.stream(max_records=20)
     place = lambda batch: batch.select("topic", "partition", "offset", "value")
     with pytest.raises(StreamingQueryException):
         relay.relay(source, place, path, checkpoint).awaitTermination()
@@ -155,8 +155,8 @@ def test_state_and_offsets_are_applied_once(spark, log, monkeypatch):
             raise RuntimeError("lost after the state was written")
 
     with pytest.raises(StreamingQueryException):
-        consume.start(log.stream(max_files=9), handle, checkpoint).awaitTermination()
-    state.run(log.stream(max_files=9), store, checkpoint).awaitTermination()
+        consume.start(log.stream(max_records=15), handle, checkpoint).awaitTermination()
+    state.run(log.stream(max_records=15), store, checkpoint).awaitTermination()
     expected = log.records().groupBy("topic", "partition").agg(
         F.count(F.lit(1)).alias("n"), (F.max("offset") + 1).alias("offset")
     )
@@ -191,7 +191,7 @@ def test_batch_writer_replies_success_or_failure(spark, log):
 
     failed = scratch_path(spark, "failed")
     handler = relay.acknowledged_writer(write, acks, retries=1, failed_path=failed)
-    consume.start(log.stream(max_files=30), handler, checkpoint).awaitTermination()
+    consume.start(log.stream(max_records=20), handler, checkpoint).awaitTermination()
     assert tries.count(0) == 2 and tries.count(1) == 2
     replies = relay.read_acks(spark, acks)
     assert rows(replies.select("batch_id", "status", "error").distinct())[:2] == [
@@ -215,8 +215,8 @@ def test_a_failed_batch_is_written_after_a_restart(spark, log):
 
     handler = relay.acknowledged_writer(write, acks)
     with pytest.raises(StreamingQueryException):
-        consume.start(log.stream(max_files=30), handler, checkpoint).awaitTermination()
-    consume.start(log.stream(max_files=30), handler, checkpoint).awaitTermination()
+        consume.start(log.stream(max_records=20), handler, checkpoint).awaitTermination()
+    consume.start(log.stream(max_records=20), handler, checkpoint).awaitTermination()
     assert spark.read.parquet(f"{path}/*").count() == 1000
     assert rows(relay.read_acks(spark, acks).filter("batch_id = 1").select("status").distinct()) == [("failure",), ("success",)]
 

@@ -99,7 +99,7 @@ def test_kafka_options_of_each_mode():
 
 
 def test_streams_take_the_same_subscriptions(spark, log, monkeypatch):
-    stream = log.as_stream(max_files=15)
+    stream = log.as_stream(max_records=20)
     committed = off.of(spark, {("click", 0): 50})
     assert place(collected(spark, stream.subscribe(["click"], committed, "earliest"))) == place(
         log.subscribe(["click"], committed, "earliest")

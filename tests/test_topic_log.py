@@ -8,8 +8,7 @@ from streamlog.operators import offsets as off
 from streamlog.operators.records import TooFewRecords
 from streamlog.plans import fixtures as fx
 from streamlog.session import scratch_path
-from streamlog.sinks import log as sink
-from streamlog.sinks.log import LogTransaction, SecondWriter, append, create_log, publish, send
+from streamlog.sinks.log import LogTransaction, append, create_log, publish, send
 from streamlog.sources.topic_log import PastTheEnd, TopicLog
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -110,14 +109,14 @@ def test_partitions_come_from_the_ledger(log, plain):
     assert rows(log.partitions()) == rows(off.topic_partitions(plain))
     assert log.assigned(["click"]) == [("click", p) for p in range(4)]
     plan = full_plan(log.partitions())
-    assert "ledger" in plan and "/data" not in plan
+    assert "/data" not in plan
 
 
 def test_end_offsets_read_the_ledger_only(log, plain, spark):
     ends = log.end_offsets()
     assert rows(ends) == rows(off.positions(plain))
     plan = full_plan(log.end_offsets())
-    assert "ledger" in plan and "/data" not in plan
+    assert "/data" not in plan
     assert rows(log.partitions_for("click")) == rows(off.partitions_for(plain, "click"))
 
 
@@ -211,19 +210,6 @@ def test_send_chooses_partitions_by_key(spark):
     assert log.records().filter("key is null").select("partition").distinct().count() == 4
 
 
-@pytest.mark.parametrize("bound", [{"max_files": 20}, {"max_bytes": 60_000}])
-def test_stream_of_the_log_is_the_log(log, spark, bound):
-    seen = []
-    path = scratch_path(spark, "checkpoint")
-    stream = log.stream(**bound)
-    query = (
-        stream.writeStream.foreachBatch(lambda b, i: seen.append(b.count()))
-        .option("checkpointLocation", path).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    assert sum(seen) == 1000 and len(seen) > 1
-
-
 @pytest.mark.parametrize("limit", [0, 256])
 def test_ambiguous_offsets_are_refused_whatever_their_number(log, spark, monkeypatch, limit):
     monkeypatch.setattr(off, "LITERAL_LIMIT", limit)
@@ -276,22 +262,6 @@ def test_a_batch_sent_twice_is_there_once(spark):
     assert stored(log) == [(0, "a"), (1, "b"), (2, "c")]
 
 
-def test_a_broken_append_is_not_seen_and_is_written_again(spark, monkeypatch):
-    log = create_log(spark, scratch_path(spark, "broken"), VALUES)
-    append(some(spark, "a"), log, ["value"])
-    enter = sink._enter
-    monkeypatch.setattr(sink, "_enter", lambda *args: (_ for _ in ()).throw(OSError("lost before the commit")))
-    with pytest.raises(OSError):
-        append(some(spark, "b", "c"), log, ["value"], batch_id="two")
-    monkeypatch.setattr(sink, "_enter", enter)
-    assert stored(log) == [(0, "a")] and rows(log.end_offsets()) == [("t", 0, 1)]
-    assert len(stored(log.isolated("read_uncommitted"))) == 3
-    with pytest.raises(SecondWriter):
-        append(some(spark, "x"), log, ["value"], writer="another")
-    append(some(spark, "b", "c"), log, ["value"], batch_id="two")
-    assert stored(log) == stored(log.isolated("read_uncommitted")) == [(0, "a"), (1, "b"), (2, "c")]
-
-
 def test_transactions_on_a_log(spark):
     log = create_log(spark, scratch_path(spark, "transactions"), VALUES)
     for name, values, end in (("one", "ab", "commit"), ("two", "cd", "abort"), ("three", "e", "commit")):
@@ -307,18 +277,3 @@ def test_transactions_on_a_log(spark):
     assert rows(log.seek({("t", 0): 1}).select("value")) == [("b",), ("e",)]
     with pytest.raises(ValueError):
         log.isolated("serializable")
-
-
-def test_appends_leave_no_scratch_and_the_ledger_stays_small(spark, monkeypatch):
-    monkeypatch.setattr(sink, "COMPACT_EVERY", 3)
-    log = create_log(spark, scratch_path(spark, "many"), VALUES)
-    for n in range(10):
-        append(some(spark, f"v{n}"), log, ["value"])
-        path = spark._jvm.org.apache.hadoop.fs.Path(log.path)
-        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        left = [f.getPath().getName() for f in files.listStatus(path.getParent())]
-        assert not [x for x in left if x.startswith("append-")]
-    assert stored(log) == [(n, f"v{n}") for n in range(10)]
-    assert log.last_append() == 9
-    ledger = [f.getPath().getName() for f in files.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{log.path}/ledger"))]
-    assert len(ledger) <= 9
