@@ -171,8 +171,8 @@ def test_a_crash_between_state_and_marker_leaves_the_old_state(spark, log):
     clicks, views = log.subscribe(["click"]), log.subscribe(["view"])
     store.apply(clicks, 0)
     before = rows(store.read())
-    # What a crash leaves: the snapshot is written, the marker is not.
-    spark.createDataFrame([], store.schema).write.mode("overwrite").parquet(f"{store.path}/state/1")
+    # What a crash leaves: the run is written, the marker is not.
+    spark.createDataFrame([], store.schema).write.mode("overwrite").parquet(store._run_path([0, 1, 1]))
     assert rows(store.read()) == before
     store.apply(views, 1)
     assert store.read().agg(F.sum("n")).first()[0] == clicks.count() + views.count()
@@ -263,7 +263,58 @@ def test_what_was_read_from_a_store_stays_readable(spark, log):
     store.keep = 2
     store.apply(clicks, 4)
     assert store.read().agg(F.sum("n")).first()[0] == 5 * clicks.count()
-    assert [r["batch_id"] for r in spark.read.parquet(f"{store.path}/current").orderBy("batch_id").collect()] == [3, 4]
+    assert sorted(store._files.names(f"{store.path}/current")) == ["3", "4"]
+
+
+def size(spark, path):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+
+
+def counted(spark, ids):
+    """A store that counts how often each id came, and its last batch's id."""
+    schema = struct_of(id=T.LongType(), n=T.LongType(), last=T.LongType())
+    return state.StateStore(spark, scratch_path(spark, "counted"), schema, ["id"], {
+        "n": (F.count(F.lit(1)), F.sum), "last": (F.max("at"), lambda name: F.max_by(name, state.FRESH)),
+    }, keep=ids)
+
+
+def test_a_batch_writes_its_keys_not_the_state(spark):
+    store = counted(spark, 16)
+    store.apply(spark.range(200_000).selectExpr("id", "id AS at"), 0)
+    before = size(spark, store.path)
+    for n in range(1, 6):
+        store.apply(spark.range(10).selectExpr(f"id * {n} AS id", f"{n}L AS at"), n)
+    assert size(spark, store.path) - before < before / 10
+    assert store.read().agg(F.sum("n"), F.count("*")).first()[:] == (200_050, 200_000)
+    assert rows(store.lookup(spark.createDataFrame([(0,), (4,), (-1,)], "id long"))) == [(0, 6, 5), (4, 4, 4)]
+
+
+def test_runs_are_merged_and_old_states_stay_readable(spark):
+    store, seen = counted(spark, 4), {}
+    for n in range(70):
+        store.apply(spark.createDataFrame([(n % 5, n), (n % 7, n)], "id long, at long").coalesce(1), n)
+        if n >= 66:
+            seen[n] = store.read()
+    for n, found in seen.items():
+        ids = [i for k in range(n + 1) for i in (k % 5, k % 7)]
+        last = {i: max(k for k in range(n + 1) if i in (k % 5, k % 7)) for i in set(ids)}
+        assert rows(found) == sorted((i, ids.count(i), last[i]) for i in set(ids))
+    runs = store._runs(69)
+    assert len(runs) <= 2 * 7 and runs[0][0] >= 1 and runs[0][1] == 0 and runs[-1][2] == 69
+
+
+def test_initial_state_is_taken_over_when_a_key_appears(spark, log):
+    counts = log.records().groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n"), (F.max("offset") + 1).alias("offset"))
+    initial = counts.withColumn("n", F.lit(1000).cast("long")).filter("partition < 2")
+    store = state.counts_store(spark, scratch_path(spark, "state"), initial)
+    store.apply(log.subscribe(["click"]), 0)
+    assert {r.topic for r in store.read().collect()} == {"click"}
+    store.apply(log.subscribe(["view", "click"]), 1)
+    expected = [
+        (t, p, n * (2 if t == "click" else 1) + (1000 if p < 2 else 0), o) for t, p, n, o in rows(counts) if t in ("click", "view")
+    ]
+    assert rows(store.read()) == expected
 
 
 def test_the_last_commit_wins_whatever_the_clock_says(spark):
