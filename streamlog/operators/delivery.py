@@ -43,6 +43,13 @@ def confirm_match(delivered: DataFrame, confirmed: DataFrame, batch: str = "batc
     )
 
 
+def outcomes(delivered: DataFrame, confirmed: DataFrame, batch: str = "batch_no") -> DataFrame:
+    """What became of each batch: it was ``delivered``, then ``confirmed`` if its own offsets came back, else ``ignored``."""
+    matched = confirm_match(delivered, confirmed, batch)
+    came_back = F.when(F.col("confirmed"), "confirmed").otherwise("ignored")
+    return matched.select(batch, F.explode(F.array(F.lit("delivered"), came_back)).alias("event"))
+
+
 def commit_clip(offsets: DataFrame, assigned: DataFrame) -> DataFrame:
     """Mark which offsets may be committed: those of currently assigned partitions."""
     mine = assigned.select(*TOPIC_PARTITION).distinct().withColumn("_mine", F.lit(True))

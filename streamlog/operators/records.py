@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 OUTPUT_COLUMNS = ["topic", "partition", "timestamp", "key", "value"]
 
@@ -129,6 +130,50 @@ def typed(records: DataFrame, key_type: str | None = None, value_type: str | Non
     return kept
 
 
+def _leaf(kind: T.DataType) -> str:
+    """Pattern of the types a JSON value may have for a column of this type."""
+    if isinstance(kind, T.IntegralType):
+        return "BIGINT"
+    if isinstance(kind, T.NumericType):
+        return "BIGINT|DOUBLE|DECIMAL.*"
+    if isinstance(kind, T.BooleanType):
+        return "BOOLEAN"
+    if isinstance(kind, T.StringType):
+        return "STRING"
+    raise TypeError(f"no JSON value has the type {kind.simpleString()}")
+
+
+def payload_matches(value: Column, kind: T.DataType, nullable: bool = True) -> Column:
+    """Whether a VARIANT has exactly this type: every field there, none more, each of its own type.
+
+    Null is allowed where the type says so; whole numbers also read as fractional ones.
+    """
+    shape = F.schema_of_variant(value)
+    if isinstance(kind, T.StructType):
+        fields = F.try_variant_get(value, "$", "map<string,variant>")
+        fits = F.sort_array(F.map_keys(fields)) == F.array(*[F.lit(name) for name in sorted(kind.names)])
+        for field in kind.fields:
+            fits = fits & payload_matches(F.element_at(fields, F.lit(field.name)), field.dataType, field.nullable)
+    elif isinstance(kind, T.ArrayType):
+        items = F.try_variant_get(value, "$", "array<variant>")
+        fits = F.forall(items, lambda item: payload_matches(item, kind.elementType, kind.containsNull))
+    else:
+        fits = shape.rlike(f"^({_leaf(kind)})$") & F.try_variant_get(value, "$", kind.simpleString()).isNotNull()
+    fits = F.coalesce(fits, F.lit(False))
+    return fits | F.coalesce(shape == "VOID", F.lit(False)) if nullable else fits
+
+
+def typed_payloads(records: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
+    """Keep the records whose JSON payload has exactly the type ``schema``, nested fields included, read as it.
+
+    Records of several kinds may share a topic: what is not JSON, lacks a
+    field, has one more or another type doesn't match.
+    """
+    parsed = records.withColumn("_payload", F.try_parse_json(F.col(column)))
+    kept = parsed.filter(payload_matches(F.col("_payload"), schema, nullable=False))
+    return kept.withColumn(column, F.try_variant_get("_payload", "$", schema.simpleString())).drop("_payload")
+
+
 def dedup(records: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
     """One copy per key, with all its columns; if copies differ the greatest value wins, then
     the other columns in their order, so a rerun agrees.

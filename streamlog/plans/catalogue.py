@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,8 @@ from streamlog.operators.numbering import with_next
 from streamlog.plans import fixtures as fx
 from streamlog.session import scratch_path
 from streamlog.sinks.log import LogTransaction, append, create_log, send
-from streamlog.streaming import commits, consume, state, tracker, transactions
+from streamlog.sources.kafka import DeliveryConf
+from streamlog.streaming import commits, consume, dedup, state, transactions
 from streamlog.streaming import relay as relays
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -246,6 +248,11 @@ def encode_failures(spark, sf_dir):
 
 @query
 def positions(spark, sf_dir):
+    return off.positions(fx.event_log(spark, sf_dir).records())
+
+
+@query
+def end_offsets(spark, sf_dir):
     return fx.event_log(spark, sf_dir).end_offsets()
 
 
@@ -301,15 +308,9 @@ def confirm_match(spark, sf_dir):
 @query
 def tracked_batches(spark, sf_dir):
     delivered = fx.deliveries(fx.event_log(spark, sf_dir).records())
-    messages = fx.as_messages(delivered, "deliver").unionByName(
-        fx.as_messages(fx.confirmations(delivered), "confirm")
+    return delivery.outcomes(delivered, fx.confirmations(delivered)).select(
+        F.lit("group-1").alias("group_id"), "batch_no", "event", F.lit(0).alias("redelivery_count")
     )
-    path = scratch_path(spark, "in-flight")
-    messages.write.parquet(f"{path}/messages")
-    events = tracker.track(spark.readStream.schema(messages.schema).parquet(f"{path}/messages"), timeout_ms=0)
-    writer = events.writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint")
-    writer.trigger(availableNow=True).start(f"{path}/events").awaitTermination()
-    return spark.read.schema(tracker.OUTPUT_SCHEMA).parquet(f"{path}/events")
 
 
 @query
@@ -332,14 +333,17 @@ def commit_confirmed(spark, sf_dir):
     return delivery.commit_confirmed(stored, delivered, fx.confirmations(delivered))
 
 
-def _redeliveries(spark, sf_dir):
-    """Every event as a delivery that the same user's next event confirms."""
+def _paired(spark, sf_dir):
+    """Every event as a delivery that the same user's next event confirms, and the delay in milliseconds."""
     sent = fx.events(spark, sf_dir).select("event_id", "user_id", "ts")
     paired = with_next(sent, ["user_id"], ["ts", "event_id"], F.col("ts"), "next_ts")
     millis = {name: whole_div(epoch_micros(name, sent.schema["ts"].dataType), 1_000) for name in ("ts", "next_ts")}
-    return delivery.redelivery_plan(
-        paired.select("event_id", "ts", "next_ts"), millis["next_ts"] - millis["ts"], REDELIVERY_TIMEOUT_MS
-    )
+    return paired.select("event_id", "ts", "next_ts"), millis["next_ts"] - millis["ts"]
+
+
+def _redeliveries(spark, sf_dir):
+    paired, delay = _paired(spark, sf_dir)
+    return delivery.redelivery_plan(paired, delay, REDELIVERY_TIMEOUT_MS)
 
 
 @query
@@ -400,6 +404,10 @@ def relay_log(spark, sf_dir):
     return target.records().select(*PLACE, "key", "value")
 
 
+def _topics(log):
+    return sorted({topic for topic, _ in log.assigned()})
+
+
 @query
 def send_acks(spark, sf_dir):
     source = fx.event_log(spark, sf_dir)
@@ -409,16 +417,16 @@ def send_acks(spark, sf_dir):
             source.subscribe([topic]).withColumn("topic", F.lit("out")).drop("offset"),
             target, ["timestamp", "event_id"], batch_id=batch_id,
         )
-        for batch_id, topic in enumerate(["click", "purchase"])
+        for batch_id, topic in enumerate(_topics(source))
     ]
-    return replies[0].unionByName(replies[1])
+    return reduce(DataFrame.unionByName, replies)
 
 
 @query
 def transactional_write(spark, sf_dir):
     path = scratch_path(spark, "transactions")
     log = fx.event_log(spark, sf_dir)
-    for batch_id, topic in enumerate(["click", "error", "purchase"]):
+    for batch_id, topic in enumerate(_topics(log)):
         records = log.subscribe([topic])
         unit = transactions.Transaction(spark, path, batch_id)
         unit.send(records.select("topic", "key", "value"))
@@ -430,25 +438,26 @@ def transactional_write(spark, sf_dir):
     return transactions.read(spark, path, OUTPUT_SCHEMA)
 
 
-def _purchases_and_errors(spark, sf_dir):
-    """A log with a committed batch, an aborted one and a committed one that is sent twice."""
+def _units(spark, sf_dir):
+    """A log with a transaction for each topic; that of the errors is aborted, the last one sent twice."""
     source = fx.event_log(spark, sf_dir)
     target = create_log(spark, scratch_path(spark, "units"), source.schema)
-    for topic, end in (("click", "commit"), ("error", "abort"), ("purchase", "commit"), ("purchase", "commit")):
+    topics = _topics(source)
+    for topic in [*topics, topics[-1]]:
         unit = LogTransaction(target, ["timestamp", "event_id"], topic)
         unit.send(source.subscribe([topic]).drop("offset").withColumn("topic", F.lit("out")))
-        getattr(unit, end)()
+        unit.abort() if topic == "error" else unit.commit()
     return target
 
 
 @query
 def isolated_committed(spark, sf_dir):
-    return _purchases_and_errors(spark, sf_dir).records().select(*PLACE, "key", "value")
+    return _units(spark, sf_dir).records().select(*PLACE, "key", "value")
 
 
 @query
 def isolated_uncommitted(spark, sf_dir):
-    return _purchases_and_errors(spark, sf_dir).isolated("read_uncommitted").records().select(*PLACE, "key", "value")
+    return _units(spark, sf_dir).isolated("read_uncommitted").records().select(*PLACE, "key", "value")
 
 
 @query
@@ -614,3 +623,157 @@ def partition_state(spark, sf_dir):
     log = fx.event_log(spark, sf_dir)
     counts = stateful_counts(spark, sf_dir)
     return state.load_for(counts, log.partitions().filter(F.col("partition") == 2))
+
+
+# -- isolation, bounds and times of a log that is written meanwhile --------
+
+
+@query
+def bounded_stream(spark, sf_dir):
+    """Batches of at most 500 offsets a partition, stopped once and started again: only what is committed."""
+    log, path, seen = fx.mixed_log(spark, sf_dir), scratch_path(spark, "bounded"), []
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 1 and not seen:
+            seen.append(batch_id)
+            raise InterruptedError("stopped")
+        batch.select(*PLACE, "event_id").write.mode("overwrite").parquet(f"{path}/data/batch_no={batch_id}")
+
+    for _ in range(2):
+        _until_broken(consume.start(log.stream(max_records=500), keep, f"{path}/checkpoint"))
+    return spark.read.parquet(f"{path}/data").select(*PLACE, "event_id", F.col("batch_no").cast("long"))
+
+
+@query
+def committed_of_mixed(spark, sf_dir):
+    return fx.mixed_log(spark, sf_dir).records().select(*PLACE, "event_id")
+
+
+@query
+def uncommitted_of_mixed(spark, sf_dir):
+    return fx.mixed_log(spark, sf_dir).isolated("read_uncommitted").records().select(*PLACE, "event_id")
+
+
+@query
+def open_transaction_committed(spark, sf_dir):
+    return fx.log_with_open_transaction(spark, sf_dir).records().select(*PLACE, "event_id")
+
+
+@query
+def open_transaction_uncommitted(spark, sf_dir):
+    return fx.log_with_open_transaction(spark, sf_dir).isolated("read_uncommitted").records().select(*PLACE, "event_id")
+
+
+@query
+def open_transaction_ends(spark, sf_dir):
+    """End offsets for readers of committed records stop before the open transaction."""
+    log = fx.log_with_open_transaction(spark, sf_dir)
+    ends = log.isolated("read_uncommitted").end_offsets().withColumnRenamed("offset", "log_end")
+    return log.end_offsets().withColumnRenamed("offset", "stable_end").join(ends, TOPIC_PARTITION)
+
+
+@query
+def times_out_of_order(spark, sf_dir):
+    """First committed offset at or after a time, in a log whose times go back with every append."""
+    return fx.mixed_log(spark, sf_dir).offsets_for_times(moment("2024-01-20 00:00:00"))
+
+
+@query
+def relay_offsets(spark, sf_dir):
+    """A relay that is started twice, each time with a new checkpoint; source offsets and records are one entry."""
+    source = fx.event_log(spark, sf_dir)
+    target = create_log(spark, scratch_path(spark, "relayed"), source.schema)
+    written = []
+
+    def to_output(batch: DataFrame) -> DataFrame:
+        written.append(batch)
+        if len(written) == 2:
+            raise OSError("lost before the second commit")
+        return batch.drop("offset")
+
+    for _ in range(2):
+        _until_broken(relays.relay_with_offsets(
+            source.stream(max_records=1000), to_output, target, ["timestamp", "event_id"], "group-1", scratch_path(spark, "checkpoint"),
+        ))
+    counts = target.records().groupBy(*TOPIC_PARTITION).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("n_events"))
+    return target.committed("group-1").join(counts, TOPIC_PARTITION)
+
+
+@query
+def stateful_counts_initial(spark, sf_dir):
+    """Counts go on from a user's store for the partitions it has."""
+    log, path = fx.event_log(spark, sf_dir), scratch_path(spark, "state")
+    initial = fx.user_store(log.end_offsets()).withColumn("n", F.lit(1000).cast("long"))
+    store = state.counts_store(spark, path, initial)
+    state.run(log.stream(max_records=1000), store, f"{path}/checkpoint").awaitTermination()
+    return store.read()
+
+
+@query
+def dedup_stream(spark, sf_dir):
+    """Every event once although half of them are sent again in later files."""
+    path = scratch_path(spark, "sent")
+    sent = fx.events(spark, sf_dir).select((F.col("user_id") % 8).alias("writer"), F.col("event_id").alias("sequence"), F.col("ts").cast("timestamp").alias("sent_at"))
+    again = sent.filter(F.col("sequence") % 2 == 0)
+    sent.write.parquet(f"{path}/in/1")
+    again.unionByName(sent.filter(F.col("sequence") % 5 == 0)).write.parquet(f"{path}/in/2")
+    stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in/*")
+    once = dedup.sent_once(stream, ["writer", "sequence"], "sent_at", "60 days")
+    writer = once.select("writer", "sequence").writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint")
+    writer.trigger(availableNow=True).start(f"{path}/out").awaitTermination()
+    return spark.read.parquet(f"{path}/out")
+
+
+PAYLOAD = T.StructType([
+    T.StructField("user", T.StructType([
+        T.StructField("id", T.LongType(), False), T.StructField("tags", T.ArrayType(T.StringType(), False), False),
+    ]), False),
+    T.StructField("k", T.DoubleType(), True),
+])
+
+
+@query
+def typed_payloads(spark, sf_dir):
+    """Nested payloads of exactly the wanted type; others are of a wrong type, lack a field, have one more or are not JSON."""
+    user, tags, k = F.col("key").cast("string"), F.lit('["a","b"]'), F.lit("1.5")
+    kind = F.col("event_id") % 7
+    user = F.when(kind == 1, F.concat(F.lit('"'), F.col("event_id"), F.lit('"'))).otherwise(F.col("event_id").cast("string"))
+    tags = F.when(kind == 2, F.lit('["a",2]')).when(kind == 3, F.lit("[]")).otherwise(tags)
+    k = F.when(kind == 3, F.lit("null")).otherwise(k)
+    last = F.when(kind == 4, F.lit("")).when(kind == 5, F.concat(F.lit(',"k":'), k, F.lit(',"more":{}'))).otherwise(F.concat(F.lit(',"k":'), k))
+    text = F.concat(F.lit('{"user":{"id":'), user, F.lit(',"tags":'), tags, F.lit("}"), last, F.when(kind == 6, F.lit("")).otherwise(F.lit("}")))
+    records = fx.event_log(spark, sf_dir).records().withColumn("value", text)
+    return rec.typed_payloads(records, PAYLOAD).select(
+        *PLACE, F.col("value.user.id").alias("id"), F.size("value.user.tags").cast("long").alias("n_tags"), F.col("value.k").isNull().alias("no_k")
+    )
+
+
+@query
+def consume_until(spark, sf_dir):
+    """A bounded read of a stream that ends with the batch that reaches the number."""
+    stream = fx.event_log(spark, sf_dir).as_stream().subscribe(["click"])
+    return consume.read_until(stream, 1, 60, scratch_path(spark, "until")).select("key", "value")
+
+
+@query
+def retried_write(spark, sf_dir):
+    """A write that fails once and succeeds when it is tried again in the same batch."""
+    path, attempts = scratch_path(spark, "retried"), []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        attempts.append(batch_id)
+        if len(attempts) == 1:
+            raise OSError("receiver is gone")
+        rec.to_producer_records(batch, "copy").write.mode("overwrite").parquet(f"{path}/data/batch_id={batch_id}")
+
+    handler = relays.acknowledged_writer(write, f"{path}/acks", retries=1)
+    consume.start(fx.event_log(spark, sf_dir).stream(), handler, f"{path}/checkpoint").awaitTermination()
+    return relays.read_acks(spark, f"{path}/acks")
+
+
+@query
+def delivery_settings(spark, sf_dir):
+    """Sends and longest wait of every delivery under given settings."""
+    conf = DeliveryConf().with_conf({"unconfirmed.timeout": REDELIVERY_TIMEOUT_MS, "max.redeliveries": 2, "schedule.interval": 500})
+    paired, delay = _paired(spark, sf_dir)
+    return conf.plan(paired, delay).select("event_id", "sends", "longest_poll_ms")

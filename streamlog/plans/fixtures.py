@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlog.functions.numbers import whole_div
 from streamlog.model import TOPIC_PARTITION
+from streamlog.operators.numbering import assign_offsets
 from streamlog.session import materialize, scratch_path
-from streamlog.sinks.log import publish
+from streamlog.sinks.log import LogTransaction, append, create_log, publish, write_numbered
 from streamlog.sources.topic_log import TopicLog
 
 BATCH_EVENTS = 500
@@ -38,21 +41,26 @@ def publish_events(spark: SparkSession, sf_dir: str) -> TopicLog:
     return publish(event_records(spark, sf_dir), scratch_path(spark, "events"), ["timestamp", "event_id"])
 
 
-def event_log(spark: SparkSession, sf_dir: str) -> TopicLog:
-    """The topic log of the events, written once per application and input.
-
-    Records are produced once and then read by many subscribers, so the queries
-    share the stored log.
-    """
+def _shared(name: str, make: Callable[[SparkSession, str], TopicLog], spark: SparkSession, sf_dir: str) -> TopicLog:
+    """A log that is written once per application and input, and read by many queries."""
     # Files are known by name, size and time of change: another input under the same names is published anew.
     found = spark.read.format("binaryFile").load(f"{sf_dir}/events.parquet").select("path", "length", "modificationTime")
     files = tuple(sorted(tuple(row) for row in found.collect()))
-    owner = (spark.sparkContext.applicationId, files)
+    owner = (name, spark.sparkContext.applicationId, files)
     if owner not in _published or not _published[owner].exists():
-        _published[owner] = publish_events(spark, sf_dir)
+        _published[owner] = make(spark, sf_dir)
     return _published[owner]
 
 
+def event_log(spark: SparkSession, sf_dir: str) -> TopicLog:
+    """The topic log of the events.
+
+    Records are produced once and then read by many subscribers, so the queries
+    share the stored log.
+    """
+    return _shared("events", publish_events, spark, sf_dir)
+
+
 def publish_lines(spark: SparkSession, sf_dir: str) -> TopicLog:
     """Order lines as records of 1,007 bytes: the row as JSON, padded, 16 partitions by order."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
@@ -106,9 +114,42 @@ def asked_positions(log: TopicLog, changes: DataFrame) -> DataFrame:
     return log.partitions().select(F.explode(batches).alias("batch_no"), *TOPIC_PARTITION)
 
 
-def as_messages(offsets: DataFrame, kind: str) -> DataFrame:
-    """One ``deliver`` or ``confirm`` message per batch; a batch has one offset per assigned partition."""
-    listed = F.array_sort(F.collect_list(F.struct(*TOPIC_PARTITION, "offset")))
-    return offsets.groupBy("batch_no").agg(F.to_json(listed).alias("offsets")).select(
-        F.lit("group-1").alias("group_id"), "batch_no", F.lit(kind).alias("kind"), "offsets"
-    )
+def third(spark: SparkSession, sf_dir: str, *kinds: int) -> DataFrame:
+    """The events whose number leaves one of these rests by three."""
+    return event_records(spark, sf_dir).filter((F.col("event_id") % 3).isin(*kinds))
+
+
+ORDER = ["timestamp", "event_id"]
+
+
+def mixed_log(spark: SparkSession, sf_dir: str) -> TopicLog:
+    """The log of :func:`write_mixed`."""
+    return _shared("mixed", write_mixed, spark, sf_dir)
+
+
+def write_mixed(spark: SparkSession, sf_dir: str) -> TopicLog:
+    """A log with a committed append, a broken one, an aborted transaction and a committed append."""
+    log = create_log(spark, scratch_path(spark, "mixed"), event_log(spark, sf_dir).schema)
+    append(third(spark, sf_dir, 0), log, ORDER)
+    # Broken: the records are written, then their writer is gone.
+    write_numbered(assign_offsets(third(spark, sf_dir, 2), ORDER, log.end_offsets()), log, log.book.begin())
+    aborted = LogTransaction(log, ORDER, "aborted")
+    aborted.send(third(spark, sf_dir, 1))
+    aborted.abort()
+    append(third(spark, sf_dir, 1, 2), log, ORDER)
+    return log
+
+
+def log_with_open_transaction(spark: SparkSession, sf_dir: str) -> TopicLog:
+    """The log of :func:`write_with_open_transaction`."""
+    return _shared("open", write_with_open_transaction, spark, sf_dir)
+
+
+def write_with_open_transaction(spark: SparkSession, sf_dir: str) -> TopicLog:
+    """A committed append, a transaction on two topics that doesn't end, and a further committed append."""
+    log = create_log(spark, scratch_path(spark, "open"), event_log(spark, sf_dir).schema)
+    append(third(spark, sf_dir, 0), log, ORDER)
+    unit = LogTransaction(log, ORDER, "open")
+    unit.send(third(spark, sf_dir, 1).filter(F.col("topic").isin("click", "view")))
+    append(third(spark, sf_dir, 2), log, ORDER)
+    return log

@@ -17,8 +17,15 @@ SHARED = {
     FROM d WHERE NOT (batch_no % 5 = 1 AND "partition" = 3)),
   ok AS (SELECT d.batch_no, count(*) = count(c."offset") AND bool_and(coalesce(d."offset" = c."offset", false)) AS confirmed
     FROM d LEFT JOIN c ON d.batch_no = c.batch_no AND d.topic = c.topic AND d."partition" = c."partition" GROUP BY d.batch_no)""",
-    "UNITS": """u AS (SELECT CASE topic WHEN 'click' THEN 0 WHEN 'error' THEN 1 ELSE 2 END AS unit, * FROM log WHERE topic IN ('click', 'error', 'purchase')),
-  units AS (SELECT unit, 'out' AS topic, "partition", row_number() OVER (PARTITION BY "partition" ORDER BY unit, "offset") - 1 AS "offset", "key", "value" FROM u)""",
+    "UNITS": """units AS (SELECT topic AS unit, dense_rank() OVER (ORDER BY topic) - 1 AS no, 'out' AS topic, "partition",
+    row_number() OVER (PARTITION BY "partition" ORDER BY topic, "offset") - 1 AS "offset", "key", "value" FROM log)""",
+    "MIXED": """parts AS (SELECT *, 0 AS unit FROM log WHERE event_id % 3 = 0 UNION ALL SELECT *, 1 FROM log WHERE event_id % 3 = 1
+    UNION ALL SELECT *, 2 FROM log WHERE event_id % 3 <> 0),
+  mixed AS (SELECT unit, topic, "partition", row_number() OVER (PARTITION BY topic, "partition" ORDER BY unit, "timestamp", event_id) - 1 AS "offset",
+    event_id, "timestamp" FROM parts)""",
+    "HELD": """parts AS (SELECT *, event_id % 3 AS unit FROM log WHERE event_id % 3 <> 1 OR topic IN ('click', 'view')),
+  units AS (SELECT unit, topic, "partition", row_number() OVER (PARTITION BY topic, "partition" ORDER BY unit, "timestamp", event_id) - 1 AS "offset", event_id FROM parts),
+  held AS (SELECT *, min("offset") FILTER (WHERE unit = 1) OVER (PARTITION BY topic, "partition") AS first_open FROM units)""",
     "PLAN": """dl AS (SELECT event_id, date_diff('millisecond', date_trunc('millisecond', ts), date_trunc('millisecond', nx)) AS delay_ms
     FROM (SELECT event_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nx FROM events) t),
   fd AS (SELECT event_id, delay_ms, CASE WHEN delay_ms IS NULL THEN NULL WHEN delay_ms <= 0 THEN 0 ELSE (delay_ms - 1) // 10000000 END AS fired FROM dl),
@@ -67,6 +74,7 @@ STATEMENTS = {
     "encode_failures": """WITH $LOG SELECT topic, "partition", "offset", CASE WHEN event_id % 7 <> 0 THEN event_id END AS "value",
   CASE WHEN event_id % 7 = 0 THEN 'not a bigint: x' || event_id END AS error FROM log""",
     "positions": """WITH $LOG, $OFFS SELECT topic, "partition", "offset" FROM pos""",
+    "end_offsets": """WITH $LOG, $OFFS SELECT topic, "partition", "offset" FROM pos""",
     "offsets_text": """WITH $LOG, $OFFS SELECT topic || '-' || "partition" || ' = ' || "offset" AS text FROM pos""",
     "offsets_keep_only": """WITH $LOG, $OFFS, $STORE SELECT topic, "partition", "offset" FROM pos
   WHERE EXISTS (SELECT 1 FROM store s WHERE s.topic = pos.topic AND s."partition" = pos."partition")""",
@@ -108,12 +116,27 @@ STATEMENTS = {
     "relay": """WITH $LOG SELECT 'topic2' AS topic, "key", "value" || '.' AS "value" FROM log""",
     "relay_stream": """WITH $LOG SELECT 'topic2' AS topic, "key", "value" || '.' AS "value" FROM log""",
     "relay_log": """WITH $LOG SELECT topic || '2' AS topic, "partition", "offset", "key", "value" || '.' AS "value" FROM log""",
-    "send_acks": """WITH $LOG, $OFFS SELECT CAST(CASE WHEN l.topic = 'click' THEN 0 ELSE 1 END AS BIGINT) AS batch_id, 'out' AS topic, l."partition",
-  l."offset" + CASE WHEN l.topic = 'click' THEN 0 ELSE coalesce(p."offset", 0) END AS "offset", 'success' AS status, CAST(NULL AS STRING) AS error
-  FROM log l LEFT JOIN pos p ON p.topic = 'click' AND p."partition" = l."partition" WHERE l.topic IN ('click', 'purchase')""",
-    "transactional_write": """WITH $LOG SELECT topic, "key", "value" FROM log WHERE topic IN ('click', 'purchase')""",
-    "isolated_committed": """WITH $LOG, $UNITS SELECT topic, "partition", "offset", "key", "value" FROM units WHERE unit <> 1""",
+    "send_acks": """WITH $LOG, $UNITS SELECT no AS batch_id, topic, "partition", "offset", 'success' AS status, CAST(NULL AS STRING) AS error FROM units""",
+    "transactional_write": """WITH $LOG SELECT topic, "key", "value" FROM log WHERE topic <> 'error'""",
+    "isolated_committed": """WITH $LOG, $UNITS SELECT topic, "partition", "offset", "key", "value" FROM units WHERE unit <> 'error'""",
     "isolated_uncommitted": """WITH $LOG, $UNITS SELECT topic, "partition", "offset", "key", "value" FROM units""",
+    "bounded_stream": """WITH $LOG, $MIXED SELECT topic, "partition", "offset", event_id, "offset" // 500 AS batch_no FROM mixed WHERE unit <> 1""",
+    "committed_of_mixed": """WITH $LOG, $MIXED SELECT topic, "partition", "offset", event_id FROM mixed WHERE unit <> 1""",
+    "uncommitted_of_mixed": """WITH $LOG, $MIXED SELECT topic, "partition", "offset", event_id FROM mixed""",
+    "open_transaction_committed": """WITH $LOG, $HELD SELECT topic, "partition", "offset", event_id FROM held WHERE unit <> 1 AND (first_open IS NULL OR "offset" < first_open)""",
+    "open_transaction_uncommitted": """WITH $LOG, $HELD SELECT topic, "partition", "offset", event_id FROM held""",
+    "open_transaction_ends": """WITH $LOG, $HELD SELECT topic, "partition", coalesce(min(first_open), max("offset") + 1) AS stable_end, max("offset") + 1 AS log_end
+  FROM held GROUP BY topic, "partition" """,
+    "times_out_of_order": """WITH $LOG, $MIXED SELECT topic, "partition", min("offset") FILTER (WHERE unit <> 1 AND "timestamp" >= TIMESTAMP '2024-01-20 00:00:00') AS "offset"
+  FROM mixed GROUP BY topic, "partition" """,
+    "relay_offsets": """WITH $LOG SELECT topic, "partition", max("offset") + 1 AS "offset", count(*) AS n, count(DISTINCT event_id) AS n_events FROM log GROUP BY topic, "partition" """,
+    "stateful_counts_initial": """WITH $LOG SELECT topic, "partition", count(*) + CASE WHEN "partition" < 3 THEN 1000 ELSE 0 END AS n, max("offset") + 1 AS "offset" FROM log GROUP BY topic, "partition" """,
+    "dedup_stream": """SELECT user_id % 8 AS writer, event_id AS sequence FROM events""",
+    "typed_payloads": """WITH $LOG SELECT topic, "partition", "offset", event_id AS id, CAST(CASE WHEN event_id % 7 = 3 THEN 0 ELSE 2 END AS BIGINT) AS n_tags, event_id % 7 = 3 AS no_k
+  FROM log WHERE event_id % 7 IN (0, 3)""",
+    "consume_until": """WITH $LOG SELECT "key", "value" FROM log WHERE topic = 'click'""",
+    "retried_write": """WITH $LOG, $OFFS SELECT CAST(0 AS BIGINT) AS batch_id, topic, "partition", "offset", 'success' AS status, CAST(NULL AS STRING) AS error FROM pos""",
+    "delivery_settings": """WITH $PLAN SELECT event_id, 1 + least(fired, 2) AS sends, (1 + least(fired, 2)) * 500 AS longest_poll_ms FROM fd""",
     "relay_log_restarted": """WITH $LOG SELECT topic, "partition", "offset", "key", "value" FROM log""",
     "dedup_records": """WITH $LOG SELECT DISTINCT topic, "partition", "offset", "timestamp", "key", "value", event_id
   FROM (SELECT * FROM log UNION ALL SELECT * FROM log WHERE "partition" = 1) u""",

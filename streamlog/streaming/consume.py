@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from streamlog.model import OFFSETS_SCHEMA
 from streamlog.operators.delivery import commit_upsert
 from streamlog.operators.offsets import positions
+from streamlog.operators.records import TooFewRecords
 from streamlog.session import read_or_empty, remove
 from streamlog.sources.ranges import LogStream
 
@@ -34,6 +38,40 @@ def start(
     return writer.start()
 
 
+def read_until(stream: DataFrame | LogStream, expected: int, seconds: float, path: str) -> DataFrame:
+    """Read a stream until there are ``expected`` records or the time is up; fewer are an error.
+
+    The batch that reaches the number is kept whole. Batches are counted while
+    they are written to ``path``, so nothing is read twice.
+    """
+    spark, done, written, total = stream.sparkSession, threading.Event(), [], [0]
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        if done.is_set():
+            return
+        seen = Observation()
+        counted = batch.observe(seen, F.count(F.lit(1)).alias("n"))
+        counted.write.mode("overwrite").parquet(f"{path}/data/{batch_id}")
+        written.append(f"{path}/data/{batch_id}")
+        total[0] += seen.get["n"]
+        if total[0] >= expected:
+            done.set()
+
+    query = start(stream, keep, f"{path}/checkpoint", interval="100 milliseconds")
+    try:
+        end = time.monotonic() + seconds
+        while not done.wait(0.05) and time.monotonic() < end and query.isActive:
+            pass
+        failed = query.exception()
+    finally:
+        query.stop()
+    if failed is not None:
+        raise failed
+    if not done.is_set():
+        raise TooFewRecords(f"expected {expected} records but got {total[0]}")
+    return spark.read.parquet(*written)
+
+
 def start_with_offsets(
     stream: DataFrame | LogStream,
     handle: Callable[[DataFrame, DataFrame, int], None],

@@ -1,5 +1,3 @@
-import time
-
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -12,7 +10,7 @@ from streamlog.operators import records as rec
 from streamlog.plans import fixtures as fx
 from streamlog.session import scratch_path
 from streamlog.sinks.log import append, publish
-from streamlog.streaming import commits, consume, relay, state, tracker, transactions
+from streamlog.streaming import commits, consume, relay, state, transactions
 
 SF_DIR = "/root/testdata/sf0.001"
 OUT = struct_of(topic=T.StringType(), key=T.StringType(), value=T.StringType())
@@ -331,43 +329,3 @@ def test_relay_to_any_sink(spark, log):
     )
     query.awaitTermination()
     assert spark.read.parquet(path).count() == 1000
-
-
-def wait_for(condition, seconds=90):
-    end = time.time() + seconds
-    while time.time() < end and not condition():
-        time.sleep(0.5)
-    assert condition()
-
-
-def test_tracker_redelivers_backs_off_and_confirms(spark):
-    folder = scratch_path(spark, "in-flight")
-    schema = "group_id string, batch_no long, kind string, offsets string"
-
-    def feed(*events):
-        spark.createDataFrame(list(events), schema).coalesce(1).write.mode("append").parquet(folder)
-
-    feed(("g", 1, "deliver", "t-0=1"), ("g", 2, "deliver", "t-0=2"), ("g", 2, "confirm", "t-0=2"), ("g", 3, "confirm", "t-0=3"))
-    events = spark.readStream.schema(schema).parquet(folder)
-    query = (
-        tracker.track(events, timeout_ms=1500, max_redeliveries=2)
-        .writeStream.format("memory").queryName("in_flight").outputMode("append")
-        .trigger(processingTime="500 milliseconds").option("checkpointLocation", f"{folder}-checkpoint").start()
-    )
-
-    def seen(batch):
-        return [(r["event"], r["redelivery_count"]) for r in spark.table("in_flight").collect() if r["batch_no"] == batch]
-
-    try:
-        wait_for(lambda: ("backing_off", 3) in seen(1))
-        feed(("g", 1, "confirm", "t-0=9"))
-        wait_for(lambda: any(event == "ignored" for event, _ in seen(1)))
-        feed(("g", 1, "confirm", "t-0=1"))
-        wait_for(lambda: any(event == "confirmed" for event, _ in seen(1)))
-    finally:
-        query.stop()
-    assert seen(1)[:5] == [
-        ("delivered", 0), ("redelivered", 0), ("redelivered", 1), ("backing_off", 2), ("backing_off", 3),
-    ]
-    assert seen(2) == [("delivered", 0), ("confirmed", 0)]
-    assert seen(3) == [("ignored", 0)]
