@@ -21,7 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamlog.llm import text as tx
@@ -30,8 +30,8 @@ from streamlog.session import materialize
 MIN_WORDS_KEPT, MAX_REPEATED_PERCENT, REPEAT_WORDS = 10, 20, 5
 MIN_CHARS, MIN_WORDS = 200, 40
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.3, 0.55
-#: Common words compared per language, and the most languages with a reference of their own.
-COMMON_WORDS, MAX_LANGUAGES = 64, 1024
+#: Common words compared per language.
+COMMON_WORDS = 64
 SLICE = 2 << 20
 SYMBOLS = b"#*$%&|<>"
 
@@ -51,6 +51,15 @@ class Reference(NamedTuple):
     words: np.ndarray
     word_shares: np.ndarray
 
+    def pack(self) -> bytes:
+        return b"".join(x.tobytes() for x in self)
+
+    @classmethod
+    def unpack(cls, blob: bytes) -> "Reference":
+        n = (len(blob) // 8 - N_CLASSES - 1) // 2
+        words = np.frombuffer(blob, np.int64, n, 8 * N_CLASSES)
+        return cls(np.frombuffer(blob, np.float64, N_CLASSES), words, np.frombuffer(blob, np.float64, n + 1, 8 * (N_CLASSES + n)))
+
 
 def _per_doc(mask: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate(([0], np.cumsum(mask, dtype=np.int64)))[bounds])
@@ -105,38 +114,33 @@ def _measure(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def _languages(batch: pa.RecordBatch) -> np.ndarray:
-    return np.array(["" if x is None else x for x in batch.column(1).to_pylist()], dtype=object)
-
-
-def _narrow(docs: DataFrame, text_col: str, lang_col: str | None) -> list:
-    """Text and language, the first two columns that the functions below read."""
+def _narrow(docs: DataFrame, text_col: str, lang_col: str | None) -> tuple[Column, Column]:
+    """Text and language."""
     lang = F.col(f"`{lang_col}`").cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
-    return [F.col(f"`{text_col}`").cast("string").alias(tx.fresh(docs.columns, "_text")), lang.alias(tx.fresh(docs.columns, "_lang"))]
+    return F.col(f"`{text_col}`").cast("string"), F.coalesce(lang, F.lit(""))
 
 
-def references(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> dict[str, Reference]:
-    """Histograms of every language over all its texts.
+def references(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, reference): histograms of every language over all its texts, a row of about a kilobyte for each.
 
     Classes and words are counted in each task first; word counts are summed
-    in Spark and the ``COMMON_WORDS`` most frequent of each language (ties: the
-    smaller hash) kept. At most ``MAX_LANGUAGES`` languages, the ones with most
-    words, have a reference; texts of the others aren't compared. What reaches
-    the driver is bounded by these two numbers.
+    and the ``COMMON_WORDS`` most frequent of each language (ties: the smaller
+    hash) kept. A language without a word has no reference.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = tx.buffers(batch.column(0))
-            langs = _languages(batch)
-            names, number = np.unique(langs.astype(str), return_inverse=True)
+            names, number = np.unique(np.array(batch.column(1).to_pylist(), dtype=str), return_inverse=True)
             for a, b in tx.slices(bounds, SLICE):
                 part, edge = data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
                 starts, ends, doc = tx.words(part, edge)
                 own = number[a:b]
                 classes = _class_counts(part, edge)
                 hashes = tx.hash_words(tx.lower_ascii(part), starts, ends).view(np.int64)
+                order = np.argsort(own[doc], kind="stable")
+                cuts = np.searchsorted(own[doc][order], np.arange(len(names) + 1))
                 for k in np.unique(own):
-                    values, counts = np.unique(hashes[own[doc] == k], return_counts=True)
+                    values, counts = np.unique(hashes[order[cuts[k] : cuts[k + 1]]], return_counts=True)
                     sums = classes[own == k].sum(axis=0)
                     n = len(values) + N_CLASSES
                     yield pa.RecordBatch.from_arrays([
@@ -144,27 +148,32 @@ def references(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang
                         pa.array(np.concatenate((np.arange(N_CLASSES), values))), pa.array(np.concatenate((sums, counts))),
                     ], names=["lang", "is_class", "item", "n"])
 
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blobs = []
+            for row in batch.to_pylist():
+                top = sorted((x["item"], x["n"]) for x in row["top"])
+                by_class = np.zeros(N_CLASSES)
+                for x in row["classes"]:
+                    by_class[x["item"]] = x["n"]
+                by_word = np.array([n for _, n in top] + [row["total"] - sum(n for _, n in top)], dtype=float)
+                words = np.array([w for w, _ in top], dtype=np.int64)
+                blobs.append(Reference(by_class / by_class.sum(), words, by_word / by_word.sum()).pack())
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(blobs, pa.binary())], names=["lang", "reference"])
+
+    text, lang = _narrow(docs, text_col, lang_col)
     counted = materialize(
-        docs.select(*_narrow(docs, text_col, lang_col)).mapInArrow(count, "lang string, is_class boolean, item long, n long")
+        docs.select(text.alias("text"), lang.alias("lang")).mapInArrow(count, "lang string, is_class boolean, item long, n long")
         .groupBy("lang", "is_class", "item").agg(F.sum("n").alias("n")),
         "histograms",
     )
+    listed = F.collect_list(F.struct("item", "n"))
     words = counted.filter("NOT is_class")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "lang").limit(MAX_LANGUAGES).collect()
-    names = [r["lang"] for r in totals]
+    totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     place = Window.partitionBy("lang").orderBy(F.desc("n"), "item")
-    common = words.filter(F.col("lang").isin(names)).withColumn("place", F.row_number().over(place)).filter(F.col("place") <= COMMON_WORDS).collect()
-    classes = counted.filter("is_class").filter(F.col("lang").isin(names)).collect()
-    found = {}
-    for name, total in totals:
-        top = sorted((r["item"], r["n"]) for r in common if r["lang"] == name)
-        by_class = np.zeros(N_CLASSES)
-        for r in classes:
-            if r["lang"] == name:
-                by_class[r["item"]] = r["n"]
-        by_word = np.array([n for _, n in top] + [total - sum(n for _, n in top)], dtype=float)
-        found[name] = Reference(by_class / by_class.sum(), np.array([w for w, _ in top], dtype=np.int64), by_word / by_word.sum())
-    return found
+    top = words.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= COMMON_WORDS).groupBy("lang").agg(listed.alias("top"))
+    classes = counted.filter("is_class").groupBy("lang").agg(listed.alias("classes"))
+    return materialize(totals.join(top, "lang").join(classes, "lang").mapInArrow(build, "lang string, reference binary"), "references")
 
 
 def distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
@@ -178,17 +187,22 @@ def distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.where(total[:, 0] > 0, np.sqrt(np.clip((left + right) / 2, 0, 1)), 0)
 
 
-def _distances(measured: dict, langs: np.ndarray, refs: dict[str, Reference]) -> tuple[np.ndarray, np.ndarray]:
-    n = len(langs)
+def _distances(measured: dict, number: np.ndarray, refs: list[Reference | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text from the reference that its number names."""
+    n = len(number)
     hashes, doc = measured["words"]
     hashes = hashes.view(np.int64)
     of_classes, of_words = np.zeros(n), np.zeros(n)
-    for name in set(langs.tolist()) & set(refs):
-        own, ref = np.flatnonzero(langs == name), refs[name]
+    order = np.argsort(number[doc], kind="stable")
+    cuts = np.searchsorted(number[doc][order], np.arange(len(refs) + 1))
+    for k in np.unique(number).tolist():
+        own, ref = np.flatnonzero(number == k), refs[k]
+        if ref is None:
+            continue
         of_classes[own] = distance(measured["classes"][own], ref.classes)
         row = np.full(n, -1)
         row[own] = np.arange(len(own))
-        mine = row[doc] >= 0
+        mine = order[cuts[k] : cuts[k + 1]]
         at = np.searchsorted(ref.words, hashes[mine])
         at[at == len(ref.words)] = 0
         at = np.where(ref.words[at] == hashes[mine], at, len(ref.words))
@@ -204,42 +218,56 @@ _JUDGED = {
 }
 
 
-def _judge(batch: pa.RecordBatch, refs: dict[str, Reference]) -> Iterator[tuple[int, int, dict[str, np.ndarray]]]:
-    """Rows [a, b) of the batch with their counts and verdicts."""
+def _judge(batch: pa.RecordBatch) -> Iterator[tuple[int, int, dict[str, np.ndarray]]]:
+    """Rows [a, b) of the batch, whose first columns are text and reference, with their counts and verdicts."""
     data, bounds = tx.buffers(batch.column(0))
-    langs = _languages(batch)
+    coded = batch.column(1).dictionary_encode()
+    refs: list[Reference | None] = [Reference.unpack(x) for x in coded.dictionary.to_pylist()]
+    number = coded.indices.fill_null(len(refs)).to_numpy()
+    refs.append(None)
     for a, b in tx.slices(bounds, SLICE):
         found = _measure(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
-        found["class_distance"], found["word_distance"] = _distances(found, langs[a:b], refs)
+        found["class_distance"], found["word_distance"] = _distances(found, number[a:b], refs)
         far = (found["n_chars"] >= MIN_CHARS) & (found["class_distance"] > MAX_CLASS_DISTANCE)
         far |= (found["n_words"] >= MIN_WORDS) & (found["word_distance"] > MAX_WORD_DISTANCE)
         found["kept"] = ~found["base_failed"] & ~far
         yield a, b, found
 
 
-def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept)."""
+def _referenced(docs: DataFrame, columns: list[Column], text_col: str, lang_col: str) -> DataFrame:
+    """Text, reference of its language and the given columns.
+
+    The references are stored, so Spark knows their size: it broadcasts them
+    only if they are small.
+    """
     refs = references(docs, text_col=text_col, lang_col=lang_col)
+    text, lang = _narrow(docs, text_col, lang_col)
+    own_text, own_lang, own_ref = (tx.fresh(docs.columns, x) for x in ("_text", "_lang", "_reference"))
+    narrow = docs.select(text.alias(own_text), lang.alias(own_lang), *columns)
+    names = [c for c in narrow.columns if c not in (own_text, own_lang)]
+    joined = narrow.join(refs.select(F.col("lang").alias(own_lang), F.col("reference").alias(own_ref)), own_lang, "left")
+    return joined.select(*[F.col(f"`{c}`") for c in (own_text, own_ref, *names)])
 
+
+def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept)."""
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, found in _judge(batch, refs):
+            for a, b, found in _judge(batch):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(2).slice(a, b - a), *(pa.array(found[c]) for c in _JUDGED)], names=["doc_id", *_JUDGED],
                 )
 
-    narrow = docs.select(*_narrow(docs, text_col, lang_col), F.col(f"`{id_col}`").alias("doc_id"))
+    narrow = _referenced(docs, [F.col(f"`{id_col}`").alias("doc_id")], text_col, lang_col)
     return narrow.mapInArrow(judge, f"doc_id {dict(docs.dtypes)[id_col]}, " + ", ".join(f"{c} {t}" for c, t in _JUDGED.items()))
 
 
 def keep_good(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The documents that pass, with all their columns."""
-    refs = references(docs, text_col=text_col, lang_col=lang_col)
-
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [found["kept"] for _, _, found in _judge(batch, refs)]
+            kept = [found["kept"] for _, _, found in _judge(batch)]
             if kept:
                 yield batch.select(range(2, batch.num_columns)).filter(pa.array(np.concatenate(kept)))
 
-    return docs.select(*_narrow(docs, text_col, lang_col), *[F.col(f"`{c}`") for c in docs.columns]).mapInArrow(keep, docs.schema)
+    return _referenced(docs, [F.col(f"`{c}`") for c in docs.columns], text_col, lang_col).mapInArrow(keep, docs.schema)

@@ -1,6 +1,7 @@
 """Quality rules, token counts, packing and decontamination."""
 
 import collections
+import math
 import random
 import re
 
@@ -53,6 +54,85 @@ def test_quality_parts_prose_from_noise(spark):
     assert {r.doc_id for r in quality.keep_good(frame.drop("lang")).collect()} == kept
 
 
+def byte_class(c):
+    if c in (9, 10, 11, 12, 13, 32):
+        return "separator"
+    if c < 32 or c == 127:
+        return "control"
+    if c >= 128:
+        return "beyond"
+    if chr(c).isalpha():
+        return "lower" if chr(c).islower() else "upper"
+    if chr(c).isdigit():
+        return "digit"
+    return "sentence" if chr(c) in ".,;:!?'\"()-" else "mark"
+
+
+def js_distance(p, q):
+    keys, total_p, total_q = set(p) | set(q), sum(p.values()), sum(q.values())
+    if not total_p:
+        return 0
+    out = 0
+    for k in keys:
+        a, b = p.get(k, 0) / total_p, q.get(k, 0) / total_q
+        out += sum(x * math.log2(x / ((a + b) / 2)) for x in (a, b) if x) / 2
+    return math.sqrt(max(0, min(1, out)))
+
+
+def judged_by_hand(docs):
+    """(class distance, word distance, kept) of each (text, lang), without any vectors."""
+    classes, words = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
+
+    def of(text):
+        return collections.Counter(map(byte_class, text.encode())), collections.Counter(lowered(w) for w in re.findall(WORD, text))
+
+    def lowered(w):
+        return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w)
+
+    for text, lang in docs:
+        a, b = of(text)
+        classes[lang] += a
+        words[lang] += b
+    common = {lang: dict(words[lang].most_common(quality.COMMON_WORDS)) for lang in words}
+    out = []
+    for text, lang in docs:
+        a, b = of(text)
+        top = common.get(lang)
+        if not top:
+            out.append((0, 0, not counts_by_hand(text)[-1]))
+            continue
+        own = collections.Counter({None: 0})
+        for w, n in b.items():
+            own[w if w in top else None] += n
+        reference = top | {None: sum(words[lang].values()) - sum(top.values())}
+        dc, dw = js_distance(a, classes[lang]), js_distance(own, reference)
+        far = len(text) >= quality.MIN_CHARS and dc > quality.MAX_CLASS_DISTANCE
+        far |= sum(b.values()) >= quality.MIN_WORDS and dw > quality.MAX_WORD_DISTANCE
+        out.append((dc, dw, not counts_by_hand(text)[-1] and not far))
+    return out
+
+
+@pytest.mark.parametrize("n_langs", [3, 1100])
+def test_quality_verdicts_by_hand(spark, n_langs):
+    """Also with more languages than anyone would keep in one place."""
+    pick, docs = random.Random(3), []
+    # Fewer than 64 words a language: no ties at the end of the common ones.
+    weights = [1 / (k + 1) ** 1.3 for k in range(40)]
+    for i in range(max(120, n_langs)):
+        lang = f"l{i % n_langs}"
+        vocabulary = [f"{lang}{'abcdefgh'[k % 8]}{k}é" for k in range(40)]
+        text = " ".join(pick.choices(vocabulary, weights, k=pick.randint(5, 120)))
+        if i % 7 == 0:
+            text = " ".join(pick.choice("#$%&*") * pick.randint(1, 4) for _ in range(60))
+        docs.append((text, lang))
+    frame = spark.createDataFrame([(i, *d) for i, d in enumerate(docs)], "doc_id long, text string, lang string").repartition(4)
+    found = sorted(quality.quality(frame).select("doc_id", "class_distance", "word_distance", "kept").collect())
+    expected = judged_by_hand(docs)
+    for r, (dc, dw, kept) in zip(found, expected, strict=True):
+        assert (r.class_distance, r.word_distance) == (pytest.approx(dc, abs=1e-9), pytest.approx(dw, abs=1e-9)) and r.kept == kept
+    assert {e[2] for e in expected} == {True, False}
+
+
 def test_distance_is_a_distance():
     reference = np.array([0.5, 0.25, 0.25])
     got = quality.distance(np.array([[2, 1, 1], [0, 0, 0], [4, 0, 0]]), reference)
