@@ -199,24 +199,66 @@ def test_packing(spark, no_docs, monkeypatch):
     assert packing.pack_documents(no_docs).count() == 0
 
 
+def plainly_packed(pieces, lengths, overhead, span):
+    """The same by looking through all pieces: sizes of each bin and its length."""
+    left, out = sorted(pieces, reverse=True), []
+    while left:
+        first, tried = left[0], []
+        for c in lengths:
+            if c >= first:
+                rest, room, own = left[1:], c - first, [first]
+                while any(n <= room for n in rest):
+                    n = max(n for n in rest if n <= room)
+                    rest.remove(n)
+                    own.append(n)
+                    room -= n
+                length = min(x for x in lengths if x >= sum(own))
+                tried.append(((overhead + length + length**2 / span) / sum(own), len(tried), length, own, rest))
+        _, _, length, own, left = min(tried)
+        out.append((length, own))
+    return out
+
+
 def test_best_fit_is_what_a_search_finds():
-    """Every piece goes into the open bin with the least room that takes it."""
     pick = random.Random(8)
-    pieces = sorted((pick.randint(1, 60) for _ in range(300)), reverse=True)
-    bins, places, capacity = packing.pack(pieces, (16, 32, 64), 4)
-    room, todo = {}, sum(pieces)
-    for n, b, place in zip(pieces, bins, places, strict=True):
-        fitting = {k: r for k, r in room.items() if r >= n}
-        if fitting:
-            assert room[b] == min(fitting.values())
-        else:
-            assert b == len(room) and place == 0
-            room[b] = min((c for c in (16, 32, 64) if c >= n), key=lambda c: (c + 4) / min(c, todo))
-        room[b] -= n
-        todo -= n
+    for lengths, overhead, span in (((16, 32, 64), 4, 200), ((64,), 0, 10**9), ((10, 64), 30, 50)):
+        pieces = sorted((pick.randint(1, 60) for _ in range(200)), reverse=True)
+        bins, places, opened = packing.pack(pieces, lengths, overhead, span)
+        expected = plainly_packed(pieces, lengths, overhead, span)
+        assert opened == [length for length, _ in expected]
+        for k, (_, own) in enumerate(expected):
+            mine = sorted((places[i], n) for i, n in enumerate(pieces) if bins[i] == k)
+            assert [n for _, n in mine] == own and [at for at, _ in mine] == [sum(own[:j]) for j in range(len(own))]
     assert packing.pack([], (16,), 1) == ([], [], [])
 
 
+def test_several_lengths_cost_less_than_any_single_one():
+    pick = random.Random(9)
+    pieces = sorted((min(4096, int(pick.lognormvariate(5.8, 1.1)) + 1) for _ in range(3000)), reverse=True)
+
+    def price(lengths):
+        return sum(packing.cost(c) for c in packing.pack(pieces, lengths)[2])
+
+    opened = collections.Counter(packing.pack(pieces)[2])
+    assert set(opened) == set(packing.LENGTHS) and sorted(opened.values())[1] > 100
+    joint = price(packing.LENGTHS)
+    assert joint < 0.95 * price((4096,))
+    for longest in (512, 1024, 2048):
+        # One shorter length needs all longer pieces cut.
+        cut = sorted((n for p in pieces for n in [longest] * (p // longest) + ([p % longest] if p % longest else [])), reverse=True)
+        single = sum(packing.cost(c) for c in packing.pack(cut, (longest,))[2])
+        several = sum(packing.cost(c) for c in packing.pack(cut, [c for c in packing.LENGTHS if c <= longest])[2])
+        assert several <= single
+
+
+def test_rows_without_id_are_dealt_to_groups_too(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_DOCS", 100)
+    frame = spark.range(1000).selectExpr("CAST(NULL AS long) doc_id", "id % 700 n_tokens").repartition(4)
+    packed = packing.pack_documents(frame).filter("bin_id IS NOT NULL")
+    assert packed.selectExpr("bin_id >> 32").distinct().count() > 5
+    assert packed.count() == frame.filter("n_tokens > 0").count()
+
+
 def test_byte_pair_counts(odd_docs):
     import base64
 
