@@ -13,7 +13,7 @@ Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z
 lower-cased; path: from there up to ``?``, ``#`` or the end. Null urls and urls
 without ``://`` have neither and are allowed: without words there is no
 evidence. Every row is judged; rows with one url get one verdict. Null ids and
-repeated rows are kept, other columns are not looked at.
+repeated rows are kept, other columns are not looked at. No pages give no rows.
 """
 
 from __future__ import annotations
@@ -45,6 +45,11 @@ RULES = (Rule("net", "/", "block"), Rule("example.net", "/en/", "allow"), Rule("
 #: Words whose urls are examples to block.
 SEEDS = ("ads", "adult", "bet", "bets", "casino", "gambling", "jackpot", "loans", "pills", "poker", "porn", "sex", "spam", "viagra", "xxx")
 
+#: Log odds of block before a word is seen.
+PRIOR = -1.0
+#: Words of all urls that each class is given besides its own.
+BACKGROUND = 200
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -126,22 +131,28 @@ def _names(host: Column, path: Column) -> Column:
     return F.transform(F.filter(tokens, lambda t: t != ""), lambda t: F.when(t.rlike(r"^\p{N}+$"), F.lit("0")).otherwise(t))
 
 
-def naive_bayes(counted: DataFrame) -> tuple[DataFrame, float]:
-    """(word, weight) and prior: log odds of block against allow, from rows (words, label, n), add-one smoothed."""
-    sums = {r["label"]: r["n"] for r in counted.groupBy("label").agg(F.sum("n").alias("n")).collect()}
-    prior = math.log((sums.get("block", 0) + 1) / (sums.get("allow", 0) + 1))
+def naive_bayes(counted: DataFrame, background: int = BACKGROUND) -> DataFrame:
+    """(word, weight): log odds of block against allow, from rows (words, label, n).
+
+    Each class is smoothed by ``background`` words that have their shares in all
+    urls: little evidence moves a verdict little. A class without words says nothing.
+    """
     by_word = counted.select(F.explode("words").alias("word"), "label", "n").groupBy("word").agg(
         *[F.sum(F.when(F.col("label") == x, F.col("n")).otherwise(0)).alias(x) for x in ("block", "allow")],
     )
     by_word = materialize(by_word, "word-labels")
-    block, allow, size = by_word.agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in ("block", "allow")], F.count("*")).first()
-    weight = F.log((F.col("block") + 1) / (F.col("allow") + 1)) - math.log((block + size + 1) / (allow + size + 1))
-    return by_word.select("word", weight.alias("weight")), prior
+    block, allow = by_word.agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in ("block", "allow")]).first()
+    every = (F.col("block") + F.col("allow")) / F.lit(float(max(1, block + allow)))
+
+    def share(name: str, total: int) -> Column:
+        return (F.col(name) + F.lit(float(background)) * every) / F.lit(float(total + background))
+
+    return by_word.select("word", F.log(share("block", block) / share("allow", allow)).alias("weight"))
 
 
 def judge_urls(
     pages: DataFrame, *, rules: Sequence[Rule] = RULES, seeds: Sequence[str] = SEEDS, id_col: str = "page_id",
-    url_col: str = "url", html_col: str = "html",
+    url_col: str = "url", html_col: str = "html", prior: float = PRIOR,
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict, score) of every page.
 
@@ -164,7 +175,7 @@ def judge_urls(
     )
     seeded = F.arrays_overlap("words", F.array(*[F.lit(s) for s in seeds])) if seeds else F.lit(False)
     labelled = worded.withColumn("label", F.when(seeded, "block").otherwise("allow")).join(shapes.select("shape", "n"), "shape")
-    weights, prior = naive_bayes(labelled)
+    weights = naive_bayes(labelled)
     scores = worded.select("shape", F.explode("words").alias("word")).join(weights, "word").groupBy("shape").agg(F.sum("weight").alias("score"))
     scored = shapes.join(scores, "shape").select("names", (F.col("score") + prior).alias("score"))
     method = F.when(F.coalesce(F.col("score"), F.lit(0.0)) > 0, "block").otherwise("allow")

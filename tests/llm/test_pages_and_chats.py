@@ -2,6 +2,9 @@
 
 import base64
 import hashlib
+import collections
+import itertools
+import math
 import random
 
 import pytest
@@ -168,3 +171,55 @@ def test_verdicts_of_held_out_urls(spark):
     assert not any("casino" in r.host or "pills" in r.host for r in found)
     right = sum((r.verdict == "block") == bool(r.page_id % 2) for r in found)
     assert right >= 0.95 * len(found)
+
+
+def likeliest(name, counts):
+    """All splits of a name, scored one by one."""
+    total = sum(counts.values()) + 1
+
+    def price(word):
+        return math.log(counts[word] / total) if word in counts else (-math.log(total) - math.log(10)) * len(word)
+
+    splits = [[name[a:b] for a, b in zip((0, *cut), (*cut, len(name)), strict=True)] for k in range(len(name)) for cut in itertools.combinations(range(1, len(name)), k)]
+    return max(splits, key=lambda words: (round(sum(map(price, words)), 9), -len(words)))
+
+
+def test_segments_are_those_of_all_splits(spark):
+    pick = random.Random(11)
+    counts = {"".join(pick.choice("abc") for _ in range(pick.randint(1, 4))): pick.randint(1, 90) for _ in range(25)}
+    names = sorted({"".join(pick.choice("abcx") for _ in range(pick.randint(1, 9))) for _ in range(60)})
+    table = spark.createDataFrame(list(counts.items()), "word string, n long")
+    found = dict(rows(urls.segment(spark.createDataFrame([(n,) for n in names], "name string"), table)))
+    total = sum(counts.values()) + 1
+    for name in names:
+        best, own = ([sum(math.log(counts[w] / total) if w in counts else (-math.log(total) - math.log(10)) * len(w) for w in x) for x in (likeliest(name, counts), found[name])])
+        assert "".join(found[name]) == name and abs(best - own) < 1e-9
+
+
+def test_weights_are_those_of_naive_bayes(spark):
+    pick = random.Random(12)
+    urls_ = [(pick.sample("abcdef", 3) + (["x"] if i % 9 == 0 else []), "block" if i % 9 == 0 or i % 10 == 0 else "allow", pick.randint(1, 5)) for i in range(60)]
+    found = dict(rows(urls.naive_bayes(spark.createDataFrame(urls_, "words array<string>, label string, n long"))))
+    count = {label: collections.Counter() for label in ("block", "allow")}
+    for words, label, n in urls_:
+        for w in words:
+            count[label][w] += n
+    total = {label: sum(c.values()) for label, c in count.items()}
+    for w in "abcdefx":
+        every = sum(c[w] for c in count.values()) / sum(total.values())
+        block, allow = ((count[x][w] + 200 * every) / (total[x] + 200) for x in ("block", "allow"))
+        assert found[w] == pytest.approx(math.log(block / allow))
+    assert set(found) == set("abcdefx")
+
+
+@pytest.mark.parametrize("n", [400, 40_000])
+def test_few_urls_to_block_are_blocked_in_a_table_of_any_size(spark, n):
+    """Also those that only have the words beside a seed word; the others stay."""
+    pick = random.Random(13)
+    words = [f"{a}{b}" for a in ("gar", "lib", "rec", "sch", "tra", "mus") for b in ("den", "rary", "ipe", "ool", "vel", "ic")]
+    pages = [(i, f"http://{pick.choice(words)}-{pick.choice(words)}.com/{pick.choice(words)}/{i}", "") for i in range(n)]
+    pages += [(n + i, f"http://casino-lucky.com/{pick.choice(words)}/{i}", "") for i in range(30)]
+    pages += [(n + 30 + i, f"http://lucky-{pick.choice(words)}.com/{pick.choice(words)}/{i}", "") for i in range(10)]
+    found = {r.page_id: r.verdict for r in urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(found[n + i] == "block" for i in range(40))
+    assert sum(found[i] == "block" for i in range(n)) <= 0.01 * n
