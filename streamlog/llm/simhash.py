@@ -8,9 +8,15 @@ two fingerprints that differ in at most RADIUS bits agree on that mask: every
 such pair collides in one of the ``2**(RADIUS + 1) - 1`` tables. None is missed.
 
 ``fingerprint_components`` links fingerprints that differ in at most two bits.
-``drop_near_duplicates`` finds all texts whose five-word shingles have a Jaccard
-similarity of 0.8 or more by an exact prefix filter on the shingles themselves,
-and checks every candidate on the full sets.
+``drop_near_duplicates`` makes groups of texts whose five-word shingles have a
+Jaccard similarity of 0.8 or more. Fingerprints within two bits, from the
+covering tables, make first groups. Texts at a similarity of 0.8 differ in about
+ten bits of 64, far more than covering masks can serve, so further groups come
+from shingles: two similar sets share one of the first fifth of their shingles
+in any common order. A member of a group is compared with the representatives of
+that group only, on the full sets: no pairs are made within a group, and the
+comparisons grow with the memberships. Representatives are central members:
+those with the smallest share of shingles that nobody else has.
 """
 
 from __future__ import annotations
@@ -34,13 +40,10 @@ RADIUS = 2
 SEED = 42
 #: Bytes of text worked on at a time in a task.
 SLICE = 2 << 20
-#: Heaviest weight in ``_majority``.
-HEAVIEST = 12
 #: Slots that estimate how frequent a shingle is; one array of them is broadcast.
 SLOTS = 1 << 20
-#: Pairs of one bucket compared in a task.
-PAIRS_PER_TASK = 4_000_000
-
+#: Representatives of each group: the most central member and others by chance.
+REPRESENTATIVES = 3
 
 
 def masks(radius: int = RADIUS) -> list[int]:
@@ -53,26 +56,22 @@ def masks(radius: int = RADIUS) -> list[int]:
     return found
 
 
-def _majority(hashes: np.ndarray, weights: np.ndarray | None, doc: np.ndarray, n_docs: int) -> np.ndarray:
-    """For each document the bits that hashes of more than half the weight have set. ``doc`` ascends.
+def _majority(hashes: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
+    """For each document the bits that more than half of its hashes have set. ``doc`` ascends.
 
     Four 16-bit counters are added in one 64-bit lane, over runs short enough not to overflow.
     """
     if not len(hashes):
         return np.zeros(n_docs, dtype=np.uint64)
-    run = 65535 // HEAVIEST
+    run = 65535
     first = np.searchsorted(doc, np.arange(n_docs))
-    count = np.bincount(doc, minlength=n_docs)
+    total = np.bincount(doc, minlength=n_docs)
     within = np.arange(len(doc)) - first[doc]
     cuts = np.flatnonzero(within % run == 0)
     owner = doc[cuts]
-    total = np.bincount(doc, weights, n_docs).astype(np.int64) if weights is not None else count
     result = np.zeros(n_docs, dtype=np.uint64)
     for shift in range(16):
-        lane = (hashes >> np.uint64(shift)) & np.uint64(0x0001000100010001)
-        if weights is not None:
-            lane *= weights
-        sums = np.add.reduceat(lane, cuts)
+        sums = np.add.reduceat((hashes >> np.uint64(shift)) & np.uint64(0x0001000100010001), cuts)
         for k in range(4):
             part = ((sums >> np.uint64(16 * k)) & np.uint64(0xFFFF)).astype(np.float64)
             more = 2 * np.bincount(owner, part, n_docs).astype(np.int64) > total
@@ -114,7 +113,7 @@ def fingerprints(docs: DataFrame, *, shingle: int = 3, id_col: str = "doc_id", t
             order = np.argsort(begin, kind="stable")
             begin, last = begin[order], last[order]
             hashes = np.array([digest(view[a:b], SEED) for a, b in zip(place[begin].tolist(), stop[last].tolist(), strict=True)], dtype=np.uint64)
-            bits = _majority(hashes, None, doc[begin], len(ids))
+            bits = _majority(hashes, doc[begin], len(ids))
             yield pa.RecordBatch.from_arrays([ids, pa.array(bits.view(np.int64))], names=["doc_id", "bits"])
 
     return _texts(docs, id_col, text_col).mapInArrow(sketch, f"doc_id {dict(docs.dtypes)[id_col]}, bits long")
@@ -212,16 +211,20 @@ def _prefix_length(size: int, similarity: float) -> int:
     return size - math.ceil(similarity * size - 1e-9) + 1
 
 
-_CANDIDATE = "whole binary, size int, packed binary, shared binary"
+_CANDIDATE = "whole binary, bits long, size int, packed binary, shared binary"
+
+
+#: An odd multiplier that spreads 48-bit shingle hashes over 64 bits.
+_SPREAD = 0x9E3779B97F4A7C15
 
 
 def _candidates(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
-    """(doc_id, whole, size, packed, shared) of the documents that can have a near-duplicate.
+    """(doc_id, whole, bits, size, packed, shared) of the documents that can have a near-duplicate.
 
     Shingles of one document alone come first in the order of tokens. A document
     whose prefix they fill shares no prefix token with any other and goes.
-    ``whole`` is the digest of the word sequence, ``packed`` the set of shingles,
-    ``shared`` the mask of those that others may have.
+    ``whole`` is the digest of the word sequence, ``bits`` the fingerprint of the
+    shingles, ``packed`` their set, ``shared`` the mask of those that others may have.
     """
     narrow = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.lit(0).cast("long").alias("_rank0"),
@@ -239,12 +242,13 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str, shingle: int, simil
             alone = size - np.bincount(own.owner[mask], minlength=own.n_docs)
             keep = [d for d in range(own.n_docs) if alone[d] < _prefix_length(int(size[d]), similarity)]
             whole, end = own.digests(), np.cumsum(size)
+            bits = _majority(tx.mix(own.tokens * np.uint64(_SPREAD)), own.owner, own.n_docs).view(np.int64)
             span = [slice(int(end[d] - size[d]), int(end[d])) for d in keep]
             yield pa.RecordBatch.from_arrays([
                 block.doc_ids("doc_id").take(pa.array(keep, pa.int64())), pa.array([whole[d] for d in keep], pa.binary()),
-                pa.array([int(size[d]) for d in keep], pa.int32()), pa.array([bl.pack_sorted(own.tokens[x]) for x in span], pa.binary()),
+                pa.array(bits[keep], pa.int64()), pa.array([int(size[d]) for d in keep], pa.int32()), pa.array([bl.pack_sorted(own.tokens[x]) for x in span], pa.binary()),
                 pa.array([bl.pack_bits(mask[x]) for x in span], pa.binary()),
-            ], names=["doc_id", "whole", "size", "packed", "shared"])
+            ], names=["doc_id", "whole", "bits", "size", "packed", "shared"])
 
     return materialize(blocks.join(shared, "block").mapInArrow(choose, f"doc_id {dict(docs.dtypes)[id_col]}, {_CANDIDATE}"), "candidates")
 
@@ -268,7 +272,7 @@ def _frequency(sets: DataFrame) -> np.ndarray:
 
 
 def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
-    """(bucket, node, size, place): the shared tokens in the prefix of each set, and their place in its order.
+    """(bucket, node, own, size, place): the shared tokens in the prefix of each set, and their place in its order.
 
     Tokens of one document come first, then those of seldom used slots: any order
     is right if it is the same for all sets, this one keeps the buckets small.
@@ -277,7 +281,7 @@ def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buckets, places, nodes, sizes = [], [], [], []
+            buckets, places, nodes, sizes, owns = [], [], [], [], []
             for r in batch.to_pylist():
                 n = r["size"]
                 tokens, mask = unpack_sorted(r["packed"], n), bl.unpack_bits(r["shared"], n)
@@ -288,12 +292,14 @@ def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
                 places.append(np.arange(alone, alone + len(tokens), dtype=np.int32))
                 nodes += [r["node"]] * len(tokens)
                 sizes += [n] * len(tokens)
+                owns += [1000 * alone // n] * len(tokens)
             if nodes:
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate(buckets)), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()), pa.array(np.concatenate(places)),
-                ], names=["bucket", "node", "size", "place"])
+                    pa.array(np.concatenate(buckets)), pa.array(nodes, pa.binary()), pa.array(owns, pa.int32()), pa.array(sizes, pa.int32()),
+                    pa.array(np.concatenate(places)),
+                ], names=["bucket", "node", "own", "size", "place"])
 
-    keyed = materialize(sets.select("node", "size", "packed", "shared").mapInArrow(cut, "bucket long, node binary, size int, place int"), "prefixes")
+    keyed = materialize(sets.select("node", "size", "packed", "shared").mapInArrow(cut, "bucket long, node binary, own int, size int, place int"), "prefixes")
     crowded = keyed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     return materialize(keyed.join(crowded, "bucket", "left_semi"), "pool")
 
@@ -328,64 +334,63 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def _rooted(pool: DataFrame, links: DataFrame) -> DataFrame:
-    """The pool with the component (root) of each node; buckets of a single component have nothing left to compare."""
+def _several(pool: DataFrame, links: DataFrame) -> DataFrame:
+    """The buckets of the pool that hold more than one component; the others have nothing left to compare."""
     labels = components(links)
-    rooted = pool.join(labels, "node", "left").select("bucket", "node", "size", "place", F.coalesce("root", "node").alias("root"))
-    rooted = materialize(rooted, "rooted")
-    several = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket")
-    return materialize(rooted.join(several, "bucket", "left_semi"), "open")
+    rooted = pool.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket")
+    return materialize(pool.join(open_, "bucket", "left_semi"), "open")
 
 
-def _crossing(rooted: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of one bucket and two components that are possible.
+def _leader(k: int) -> Column:
+    """What the k-th representative of a bucket is least in: its share of shingles of its own, then a hash."""
+    first = F.col("own") if k == 0 else F.xxhash64("node", F.lit(k))
+    return F.struct(first.alias("by"), "node", "size", "place")
 
-    Members outside the largest component of a bucket meet all its members; a
-    bucket of more than ``PAIRS_PER_TASK`` pairs is dealt to several tasks.
-    """
-    parts = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    largest = materialize(
-        parts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("most"))
-        .select("bucket", "main", F.ceil((F.col("n") - F.col("most")) * F.col("n") / PAIRS_PER_TASK).cast("int").alias("shares")), "largest",
+
+def _fingerprint_pairs(sets: DataFrame) -> DataFrame:
+    """(a, b): each text of a group of close fingerprints with the smallest one of the group."""
+    distinct = sets.select("bits").distinct()
+    labels = components(fingerprint_links(distinct))
+    rooted = materialize(
+        sets.join(labels, sets["bits"] == labels["node"], "left").select(sets["node"], F.coalesce("root", "bits").alias("root")), "close",
     )
-    known = rooted.join(largest, "bucket")
-    side = F.struct("node", "size", "place", "root")
-    x = known.filter("root <> main").select("bucket", F.pmod(F.xxhash64("node"), F.col("shares")).cast("int").alias("share"), side.alias("x"))
-    y = known.select("bucket", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), side.alias("y"))
-    return _ordered(x.join(y, ["bucket", "share"]).filter(F.col("x.root") != F.col("y.root")).filter(_possible(similarity)))
+    least = rooted.groupBy("root").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").select("root", "a")
+    return rooted.join(least, "root").filter("node <> a").select("a", F.col("node").alias("b"))
 
 
 def near_duplicate_links(
     docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """Links (a, b) that connect all documents with the same words or similar enough sets of shingles.
+    """Links (a, b) between documents with the same words or similar enough sets of shingles.
 
     Texts with the same word sequence are linked to the smallest doc_id that has
-    it, and only one of them is compared further. Similar sets share a token of
-    their prefixes (see ``_prefix_length``), so the buckets of the prefix tokens
-    hold every similar pair. First all members of a bucket are compared with its
-    smallest, then with its largest; then all pairs that are not connected yet.
-    Every pair is checked on the full sets; none is left out but pairs that
-    other links connect.
+    it, and only one of them is compared further. Groups are those of close
+    fingerprints and, for each token of a prefix (see ``_prefix_length``), the sets
+    that share it. Every member of a group is compared with its representatives:
+    one for the fingerprints, ``REPRESENTATIVES`` for a token, unless earlier links
+    connect the group already. Similar sets share many tokens of their prefixes,
+    hence are compared with many representatives; links join them over these.
     """
     found = _candidates(docs, id_col, text_col, shingle, similarity)
     sets = materialize(
-        found.groupBy("whole").agg(F.min("doc_id").alias("doc_id"), F.first(F.struct("size", "packed", "shared")).alias("s"))
+        found.groupBy("whole").agg(F.min("doc_id").alias("doc_id"), F.first(F.struct("bits", "size", "packed", "shared")).alias("s"))
         .select(F.col("whole").alias("node"), "doc_id", "s.*"), "sets",
     )
     copies = found.select("doc_id", F.col("whole").alias("node")).join(sets.select("node", F.col("doc_id").alias("a")), "node")
     copies = copies.filter("doc_id <> a").select("a", F.col("doc_id").alias("b"))
     # Texts shorter than a shingle are similar to nothing but their copies.
-    pool = _prefixes(sets.filter("size > 0"), similarity)
-    links, left = None, pool
-    for leader in (F.min, F.max):
-        led = left.groupBy("bucket").agg(leader(F.struct("node", "size", "place")).alias("x"))
+    full = sets.filter("size > 0")
+    links = _similar(_fingerprint_pairs(full), sets, similarity)
+    pool = _prefixes(full, similarity)
+    left = _several(pool, links)
+    for k in range(REPRESENTATIVES):
+        led = left.groupBy("bucket").agg(F.min(_leader(k)).alias("x"))
         y = left.select("bucket", F.struct("node", "size", "place").alias("y"))
         pairs = _ordered(led.join(y, "bucket").filter("x.node <> y.node").filter(_possible(similarity)))
-        similar = _similar(pairs, sets, similarity)
-        links = similar if links is None else links.union(similar)
-        left = _rooted(pool, links)
-    links = links.union(_similar(_crossing(left, similarity), sets, similarity))
+        links = links.union(_similar(pairs, sets, similarity))
+        if k < REPRESENTATIVES - 1:
+            left = _several(left, links)
     a, b = (sets.select(F.col("node").alias(x), F.col("doc_id").alias(f"{x}_id")) for x in "ab")
     return copies.union(links.join(a, "a").join(b, "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b")))
 

@@ -133,13 +133,10 @@ def test_majority_over_many_hashes():
     pick = np.random.default_rng(1)
     hashes = pick.integers(0, 2**64, 20_000, dtype=np.uint64)
     doc = np.sort(pick.integers(0, 5, 20_000))
-    weights = pick.integers(1, 13, 20_000).astype(np.uint64)
-    for own in (None, weights):
-        got = simhash._majority(hashes, own, doc, 6)
-        for d in range(6):
-            mine, w = hashes[doc == d], (np.ones(20_000, np.uint64) if own is None else own)[doc == d]
-            expected = sum(1 << b for b in range(64) if 2 * int((((mine >> np.uint64(b)) & np.uint64(1)) * w).sum()) > int(w.sum()))
-            assert int(got[d]) == expected
+    got = simhash._majority(hashes, doc, 6)
+    for d in range(6):
+        mine = hashes[doc == d]
+        assert int(got[d]) == sum(1 << b for b in range(64) if 2 * int(((mine >> np.uint64(b)) & np.uint64(1)).sum()) > len(mine))
 
 
 def kept_by_brute_force(texts):
@@ -199,3 +196,58 @@ def test_appended_and_truncated_copies_are_found(spark):
         texts[100 + g] = " ".join(base + [pick.choice(words) for _ in range(int(len(base) * 0.23))])
         texts[200 + g] = " ".join(base[: int(len(base) * 0.82)])
     assert kept_by_stage(spark, texts) == kept_by_brute_force(texts) == set(range(40))
+
+
+def near_copies(pick, n, original):
+    words = [f"w{i}" for i in range(5000)]
+    base = [pick.choice(words) for _ in range(200)]
+    texts = {i: list(base) for i in range(n)}
+    for i in texts if not original else list(texts)[: n // 2] + list(texts)[n // 2 + 1 :]:
+        for place in pick.sample(range(200), 3):
+            texts[i][place] = pick.choice(words)
+    return {i: " ".join(w) for i, w in texts.items()}
+
+
+@pytest.mark.parametrize("original", [False, True])
+def test_comparisons_grow_in_proportion_to_a_group(spark, monkeypatch, original):
+    """Copies that differ from their original, if there is one, and more from each other."""
+    compared, similar = [], simhash._similar
+
+    def counting(pairs, sets, similarity):
+        compared[-1] += pairs.count()
+        return similar(pairs, sets, similarity)
+
+    monkeypatch.setattr(simhash, "_similar", counting)
+    for n in (100, 200, 400):
+        texts = near_copies(random.Random(n), n, original)
+        compared.append(0)
+        kept = kept_by_stage(spark, texts)
+        if original:
+            assert kept == {0}
+    assert max(compared) <= 400 * 60 and compared[2] <= 2.5 * compared[1] <= 6.25 * compared[0]
+
+
+@pytest.mark.parametrize("kind", ["scattered", "appended", "truncated"])
+def test_recall_of_each_kind_of_copy(spark, kind):
+    """Of pairs with a similarity of 0.8 or more, 95 in 100 are connected."""
+    pick = random.Random(kind)
+    words = [f"w{int(pick.paretovariate(0.7))}" for _ in range(20_000)]
+    texts = {}
+    for g in range(60):
+        base = [pick.choice(words) for _ in range(pick.randint(80, 300))]
+        for k in range(pick.choice([2, 3, 6])):
+            copy, share = list(base), pick.uniform(0, 0.16)
+            if kind == "scattered":
+                for place in pick.sample(range(len(base)), int(len(base) * share / 7)):
+                    copy[place] = pick.choice(words)
+            elif kind == "appended":
+                copy += [pick.choice(words) for _ in range(int(len(base) * share))]
+            else:
+                copy = copy[: int(len(base) * (1 - share))]
+            texts[10 * g + k] = " ".join(copy)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    root = {r.node: r.root for r in components.components(simhash.near_duplicate_links(frame)).collect()}
+    near = [(a, b) for a in texts for b in texts if a < b and a // 10 == b // 10 and jaccard(texts[a], texts[b]) >= 0.8]
+    assert len(near) > 100
+    joined = sum(root.get(a, a) == root.get(b, b) for a, b in near)
+    assert joined >= 0.95 * len(near)
