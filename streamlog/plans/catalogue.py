@@ -655,17 +655,17 @@ def uncommitted_of_mixed(spark, sf_dir):
 
 
 @query
-def open_transaction_committed(spark, sf_dir):
+def pending_unit_committed(spark, sf_dir):
     return fx.log_with_open_transaction(spark, sf_dir).records().select(*PLACE, "event_id")
 
 
 @query
-def open_transaction_uncommitted(spark, sf_dir):
+def pending_unit_uncommitted(spark, sf_dir):
     return fx.log_with_open_transaction(spark, sf_dir).isolated("read_uncommitted").records().select(*PLACE, "event_id")
 
 
 @query
-def open_transaction_ends(spark, sf_dir):
+def pending_unit_ends(spark, sf_dir):
     """End offsets for readers of committed records stop before the open transaction."""
     log = fx.log_with_open_transaction(spark, sf_dir)
     ends = log.isolated("read_uncommitted").end_offsets().withColumnRenamed("offset", "log_end")

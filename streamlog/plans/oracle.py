@@ -123,9 +123,9 @@ STATEMENTS = {
     "bounded_stream": """WITH $LOG, $MIXED SELECT topic, "partition", "offset", event_id, "offset" // 500 AS batch_no FROM mixed WHERE unit <> 1""",
     "committed_of_mixed": """WITH $LOG, $MIXED SELECT topic, "partition", "offset", event_id FROM mixed WHERE unit <> 1""",
     "uncommitted_of_mixed": """WITH $LOG, $MIXED SELECT topic, "partition", "offset", event_id FROM mixed""",
-    "open_transaction_committed": """WITH $LOG, $HELD SELECT topic, "partition", "offset", event_id FROM held WHERE unit <> 1 AND (first_open IS NULL OR "offset" < first_open)""",
-    "open_transaction_uncommitted": """WITH $LOG, $HELD SELECT topic, "partition", "offset", event_id FROM held""",
-    "open_transaction_ends": """WITH $LOG, $HELD SELECT topic, "partition", coalesce(min(first_open), max("offset") + 1) AS stable_end, max("offset") + 1 AS log_end
+    "pending_unit_committed": """WITH $LOG, $HELD SELECT topic, "partition", "offset", event_id FROM held WHERE unit <> 1 AND (first_open IS NULL OR "offset" < first_open)""",
+    "pending_unit_uncommitted": """WITH $LOG, $HELD SELECT topic, "partition", "offset", event_id FROM held""",
+    "pending_unit_ends": """WITH $LOG, $HELD SELECT topic, "partition", coalesce(min(first_open), max("offset") + 1) AS stable_end, max("offset") + 1 AS log_end
   FROM held GROUP BY topic, "partition" """,
     "times_out_of_order": """WITH $LOG, $MIXED SELECT topic, "partition", min("offset") FILTER (WHERE unit <> 1 AND "timestamp" >= TIMESTAMP '2024-01-20 00:00:00') AS "offset"
   FROM mixed GROUP BY topic, "partition" """,
