@@ -48,7 +48,7 @@ SORT_SEGMENTS = 1 << 13
 #: Segments of one anchor, equal ones of a block counted once, that meet in one group at most.
 HOT_SEGMENTS = 1 << 13
 _PLACE = np.uint64((1 << 21) - 1)
-_ANCHORS = np.uint64(0xA0761D6478BD642F)
+_ANCHORS, _CONTENTS = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
 def _lowest(values: np.ndarray, width: int) -> np.ndarray:
@@ -95,12 +95,12 @@ class _Segments:
 
     def candidates(self, bits: int, parts: list[dict]) -> np.ndarray:
         """Segments whose anchor another block may have, or another document of this block has."""
-        order = np.lexsort((self.rank, self.anchor))
+        order = np.argsort(self.anchor)
         hashes, rank = self.anchor[order], self.rank[order]
         new = np.ones(len(order), dtype=bool)
         new[1:] = hashes[1:] != hashes[:-1]
         head = np.flatnonzero(new)
-        several = rank[head] != rank[np.append(head[1:], len(order)) - 1] if len(head) else np.zeros(0, bool)
+        several = np.minimum.reduceat(rank, head) != np.maximum.reduceat(rank, head) if len(head) else np.zeros(0, bool)
         mine = np.empty(len(order), dtype=bool)
         mine[order] = several[np.cumsum(new) - 1] if len(head) else False
         return np.flatnonzero(mine | bl.shared_mask(self.anchor, bits, parts))
@@ -111,12 +111,23 @@ class _Segments:
         view, digest, reach = memoryview(self.block.data), xxhash.xxh3_128_digest, self.size - 1
         raw = b"".join([digest(view[a:b]) for a, b in zip(self.first[at].tolist(), (self.first[at] + self.strings[at] + reach).tolist(), strict=True)])
         pair = np.frombuffer(raw, dtype=">u8").astype(np.uint64).reshape(-1, 2)
-        order = np.lexsort((at, self.rank[at], pair[:, 1], pair[:, 0], self.offset[at], self.anchor[at]))
+        # Equal contents have equal anchors and digests; one key brings them together, all of them tell them apart.
+        anchor = self.anchor[at]
+        order = np.argsort(tx.mix(anchor ^ _CONTENTS) ^ pair[:, 0])
         new = np.ones(len(order), dtype=bool)
-        new[1:] = (pair[order[1:]] != pair[order[:-1]]).any(axis=1)
+        new[1:] = (pair[order[1:]] != pair[order[:-1]]).any(axis=1) | (anchor[order[1:]] != anchor[order[:-1]])
+        group, begin = np.cumsum(new) - 1, np.flatnonzero(new)
+        if not len(begin):
+            return at, np.zeros(0, dtype=np.int64)
+        rank = self.rank[at][order]
+        first = rank == np.minimum.reduceat(rank, begin)[group]
+        head = np.minimum.reduceat(np.where(first, at[order], np.iinfo(np.int64).max), begin)
+        by_anchor = np.lexsort((head, self.anchor[head]))
+        place = np.empty(len(head), dtype=np.int64)
+        place[by_anchor] = np.arange(len(head))
         number = np.empty(len(at), dtype=np.int64)
-        number[order] = np.cumsum(new) - 1
-        return at[order[new]], number
+        number[order] = place[group]
+        return head[by_anchor], number
 
 
 class Suffixes:
