@@ -495,7 +495,7 @@ def stateful_counts(spark, sf_dir):
 def stateful_counts_stream(spark, sf_dir):
     path = scratch_path(spark, "state")
     store = state.counts_store(spark, path)
-    state.run(fx.event_log(spark, sf_dir).stream(max_records=200), store, f"{path}/checkpoint").awaitTermination()
+    state.run(fx.event_log(spark, sf_dir).stream(max_records=1000), store, f"{path}/checkpoint").awaitTermination()
     return store.read()
 
 
@@ -564,7 +564,7 @@ def stopped_stream(spark, sf_dir):
     begin = log.partitions().withColumn("offset", F.lit(0).cast("long"))
     for _ in range(2):
         _until_broken(consume.start_with_offsets(
-            log.stream(max_records=200), keep, f"{path}/checkpoint", assigned=begin, positions_path=f"{path}/positions",
+            log.stream(max_records=400), keep, f"{path}/checkpoint", assigned=begin, positions_path=f"{path}/positions",
         ))
     return spark.read.parquet(f"{path}/data").select(*PLACE, "covered")
 
@@ -581,7 +581,7 @@ def carried_positions(spark, sf_dir):
         last.append(batch_id)
 
     begin = log.partitions().withColumn("offset", F.lit(0).cast("long"))
-    purchases = log.stream(max_records=100).filter("topic = 'purchase'")
+    purchases = log.stream(max_records=1000).filter("topic = 'purchase'")
     consume.start_with_offsets(
         purchases, note, f"{path}/checkpoint", assigned=begin, positions_path=f"{path}/positions",
     ).awaitTermination()
