@@ -7,9 +7,11 @@ inside a text get a backslash behind their first character, one more if they
 have some already, so the text can be restored exactly and no text can forge a
 mark. Everything is DataFrame functions.
 
-Rows of a conversation are ordered by turn (null first), ties by role and text.
-Null roles and texts are empty. A null conversation id is a conversation.
-Repeated rows are turns of their own; other columns are not looked at.
+Rows of a conversation are ordered by turn (null first), ties by role, text,
+order of the parts and attachments. Null roles and texts are empty. A null
+conversation id is a conversation. Repeated rows are turns of their own; other
+columns are not looked at. A conversation becomes one row, so it has to fit a
+string; texts may be as long as that. No messages give no rows.
 """
 
 from __future__ import annotations
@@ -54,6 +56,12 @@ def flatten(parts: Column) -> Column:
     return F.array_join(F.transform(F.coalesce(parts, F.array().cast(f"array<{PART}>")), visit), "")
 
 
+def plain(parts: Column) -> Column:
+    """The text of a message without its attachments, as it was given."""
+    texts = F.filter(F.coalesce(parts, F.array().cast(f"array<{PART}>")), lambda part: ~_is_attachment(part))
+    return F.array_join(F.transform(texts, lambda part: F.coalesce(part["text"], F.lit(""))), "")
+
+
 def attachments(parts: Column) -> Column:
     """(kind, ref, tokens) of the placeholders of a message, in order."""
     def describe(part: Column) -> Column:
@@ -72,10 +80,11 @@ def format_chats(messages: DataFrame) -> DataFrame:
     """
     role = F.coalesce("role", F.lit(""))
     turns = messages.select(
-        "conv_id", "turn", role.alias("role"), flatten(F.col("parts")).alias("body"), attachments(F.col("parts")).alias("own"),
+        "conv_id", "turn", role.alias("role"), plain(F.col("parts")).alias("plain"), flatten(F.col("parts")).alias("body"),
+        attachments(F.col("parts")).alias("own"),
     ).withColumn("head", F.concat(F.lit(START), escape(F.col("role")), F.lit(BODY)))
     turns = turns.withColumn("size", F.char_length("head") + F.char_length("body") + len(END))
-    before = Window.partitionBy("conv_id").orderBy("turn", "role", "body").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("conv_id").orderBy("turn", "role", "plain", "body", "own").rowsBetween(Window.unboundedPreceding, -1)
     turns = turns.withColumn("at", F.coalesce(F.sum("size").over(before), F.lit(0)))
     whole = turns.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("at", "head", "body", "role", "own"))).alias("turns"),

@@ -17,6 +17,9 @@ in any common order. A member of a group is compared with the representatives of
 that group only, on the full sets: no pairs are made within a group, and the
 comparisons grow with the memberships. Representatives are central members:
 those with the smallest share of shingles that nobody else has.
+
+A text is worked on as a whole, however long. Columns other than the id and the
+text may have any name. No documents give no rows.
 """
 
 from __future__ import annotations

@@ -22,8 +22,9 @@ input.
 3. Each block merges what goes into maximal spans.
 
 Null or empty texts have no bytes. Rows that share a doc_id don't remove
-anything from each other. A null doc_id ranks last. Columns other than doc_id
-and text may have any name.
+anything from each other. A null doc_id ranks last; ids are numbers, a text id
+that is none ends the job with an error. Columns other than doc_id and text may
+have any name. No documents give no rows.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ Of records with equal payloads of at least ``min_bytes`` bytes, the one with the
 smallest page_id is a response, the others revisit it; rows that repeat its
 page_id are responses as well. Smaller payloads are all responses. Null html is
 an empty payload, a null url an empty one. A null page_id is never the one that
-others revisit, unless no other has the payload.
+others revisit, unless no other has the payload. A payload is one value, however
+long. No pages give empty tables. Other columns may have any name.
 """
 
 from __future__ import annotations

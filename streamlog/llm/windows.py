@@ -15,8 +15,10 @@ same document. Windows are judged on the input.
    and cuts them out.
 
 Null or empty texts have no words. Rows that share a doc_id count as one
-document whose windows are ordered by their start. A null doc_id ranks last.
-Columns other than doc_id and text may have any name.
+document whose windows are ordered by their start. A null doc_id ranks last; ids
+are numbers, a text id that is none ends the job with an error. Windows are told
+apart by a 128-bit digest that isn't cryptographic. Columns other than doc_id and
+text may have any name. No documents give no rows.
 """
 
 from __future__ import annotations

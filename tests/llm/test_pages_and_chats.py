@@ -51,6 +51,23 @@ def test_ties_and_repeated_turns(spark):
     assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == digests(order)
 
 
+def test_ties_are_by_text_not_by_its_escaped_form(spark):
+    turns = [(1, "user", "<|end|>"), (1, "user", "<a"), (1, "user", "<\\|end|>")]
+    frame = spark.createDataFrame([(7, *t) for t in turns], "conv_id long, turn long, role string, text string")
+    (r,) = chat.digest_chats(frame.withColumn("parts", chat.text_parts(F.col("text")))).collect()
+    assert r.turns_sha256 == digests(sorted(turns))[1]
+
+
+def test_ties_of_equal_texts_are_by_attachments(spark):
+    def message(ref):
+        return [("text", "see", None, None), ("image", None, ref, 1)]
+
+    schema = f"conv_id long, turn long, role string, parts array<{chat.PART}>"
+    for order in ("ab", "ba"):
+        (r,) = chat.format_chats(spark.createDataFrame([(1, 1, "user", message(x)) for x in order], schema)).collect()
+        assert [a.ref for a in r.attachments] == ["a", "b"]
+
+
 def test_typed_parts(spark):
     parts = f"array<{chat.PART}>"
     message = [("text", "see <|image|>", None, None), ("image", None, "a.png", 4), ("document", None, "b.pdf", None), ("odd", "as text", None, None), ("audio", None, "c.wav", 10), None]
