@@ -125,6 +125,7 @@ def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for i in range(batch.num_rows):
             yield batch.slice(i, 1).to_pylist()[0]
+            tx.give_back()
 
 
 def ranges(values: np.ndarray, bits: int, parts: int) -> np.ndarray:

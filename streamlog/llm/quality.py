@@ -129,6 +129,7 @@ def references(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            tx.give_back()
             data, bounds = tx.buffers(batch.column(0))
             names, number = np.unique(np.array(batch.column(1).to_pylist(), dtype=str), return_inverse=True)
             for a, b in tx.slices(bounds, SLICE):
@@ -232,6 +233,7 @@ def _judge(batch: pa.RecordBatch) -> Iterator[tuple[int, int, dict[str, np.ndarr
         far |= (found["n_words"] >= MIN_WORDS) & (found["word_distance"] > MAX_WORD_DISTANCE)
         found["kept"] = ~found["base_failed"] & ~far
         yield a, b, found
+    tx.give_back()
 
 
 def _referenced(docs: DataFrame, columns: list[Column], text_col: str, lang_col: str) -> DataFrame:

@@ -372,6 +372,7 @@ def repeated_strings(blocks: DataFrame, size: int) -> tuple[DataFrame, np.ndarra
             yield pa.RecordBatch.from_pylist(sent, schema=_SENT)
 
     def judge(table: pa.Table) -> pa.Table:
+        tx.give_back()
         unzip = zstandard.ZstdDecompressor().decompress
         messages = table.drop_columns(["body"]).to_pylist()
         columns = [

@@ -8,9 +8,14 @@ on the bytes themselves.
 
 from __future__ import annotations
 
+import ctypes
+import sys
+
 import numpy as np
 import pyarrow as pa
 
+_libc = ctypes.CDLL("libc.so.6") if sys.platform == "linux" else None
+
 #: Word separators: space and \t \n \v \f \r.
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -78,6 +83,13 @@ def rolling(values: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def give_back() -> None:
+    """Return memory that was freed to the system; Python workers live on over many tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts one after the other and their bounds (n + 1); null is empty."""
     if isinstance(texts, pa.ChunkedArray):
