@@ -14,7 +14,17 @@ import sys
 import numpy as np
 import pyarrow as pa
 
-_libc = ctypes.CDLL("libc.so.6") if sys.platform == "linux" else None
+
+def _c_library():
+    """The C library if it can give memory back, else None."""
+    try:
+        library = ctypes.CDLL("libc.so.6") if sys.platform == "linux" else None
+    except OSError:
+        return None
+    return library if hasattr(library, "malloc_trim") else None
+
+
+_libc = _c_library()
 
 #: Word separators: space and \t \n \v \f \r.
 SPACE = np.zeros(256, dtype=bool)
