@@ -21,6 +21,7 @@ from streamlog.plans import fixtures as fx
 from streamlog.session import scratch_path
 from streamlog.sinks.log import LogTransaction, append, create_log, send
 from streamlog.sources.kafka import DeliveryConf
+from streamlog.sources.ranges import BATCH
 from streamlog.streaming import commits, consume, dedup, state, transactions
 from streamlog.streaming import relay as relays
 
@@ -552,19 +553,18 @@ def stopped_stream(spark, sf_dir):
     log = fx.event_log(spark, sf_dir)
     seen = []
 
-    def keep(batch: DataFrame, offsets: DataFrame, batch_id: int) -> None:
-        if len(seen) == 1:
-            seen.append(batch_id)
+    def keep(batches: DataFrame, offsets: DataFrame, numbers: range) -> None:
+        seen.append(numbers)
+        if len(seen) == 2:
             raise InterruptedError("stopped")
-        batch.join(offsets.withColumnRenamed("offset", "next_offset"), TOPIC_PARTITION).select(
-            *PLACE, (F.col("next_offset") > F.col("offset")).alias("covered")
-        ).write.mode("overwrite").parquet(f"{path}/data/batch={batch_id}")
-        seen.append(batch_id)
+        batches.join(offsets.withColumnRenamed("offset", "next_offset"), [BATCH, *TOPIC_PARTITION]).select(
+            *PLACE, BATCH, (F.col("next_offset") > F.col("offset")).alias("covered")
+        ).write.mode("overwrite").parquet(f"{path}/data/last={numbers[-1]}")
 
     begin = log.partitions().withColumn("offset", F.lit(0).cast("long"))
     for _ in range(2):
         _until_broken(consume.start_with_offsets(
-            log.stream(max_records=400), keep, f"{path}/checkpoint", assigned=begin, positions_path=f"{path}/positions",
+            log.stream(max_records=400).together(), keep, f"{path}/checkpoint", assigned=begin, positions_path=f"{path}/positions",
         ))
     return spark.read.parquet(f"{path}/data").select(*PLACE, "covered")
 
@@ -576,16 +576,17 @@ def carried_positions(spark, sf_dir):
     log = fx.event_log(spark, sf_dir)
     last = []
 
-    def note(batch: DataFrame, offsets: DataFrame, batch_id: int) -> None:
-        offsets.write.mode("overwrite").parquet(f"{path}/last/{batch_id}")
-        last.append(batch_id)
+    def note(batches: DataFrame, offsets: DataFrame, numbers: range) -> None:
+        offsets.write.mode("overwrite").parquet(f"{path}/last/{numbers[-1]}")
+        last.append(numbers[-1])
 
     begin = log.partitions().withColumn("offset", F.lit(0).cast("long"))
-    purchases = log.stream(max_records=1000).filter("topic = 'purchase'")
+    purchases = log.stream(max_records=1000).filter("topic = 'purchase'").together()
     consume.start_with_offsets(
         purchases, note, f"{path}/checkpoint", assigned=begin, positions_path=f"{path}/positions",
     ).awaitTermination()
-    return spark.read.schema(OFFSETS_SCHEMA).parquet(f"{path}/last/{max(last)}")
+    found = spark.read.schema(T.StructType([T.StructField(BATCH, T.LongType()), *OFFSETS_SCHEMA.fields]))
+    return found.parquet(f"{path}/last/{max(last)}").filter(F.col(BATCH) == max(last)).select(*OFFSETS_SCHEMA.names)
 
 
 @query
@@ -633,15 +634,15 @@ def bounded_stream(spark, sf_dir):
     """Batches of at most 500 offsets a partition, stopped once and started again: only what is committed."""
     log, path, seen = fx.mixed_log(spark, sf_dir), scratch_path(spark, "bounded"), []
 
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        if batch_id == 1 and not seen:
-            seen.append(batch_id)
+    def keep(batches: DataFrame, numbers: range) -> None:
+        if 1 in numbers and not seen:
+            seen.append(numbers)
             raise InterruptedError("stopped")
-        batch.select(*PLACE, "event_id").write.mode("overwrite").parquet(f"{path}/data/batch_no={batch_id}")
+        batches.select(*PLACE, "event_id", F.col(BATCH).alias("batch_no")).write.mode("overwrite").parquet(f"{path}/data/last={numbers[-1]}")
 
     for _ in range(2):
-        _until_broken(consume.start(log.stream(max_records=500), keep, f"{path}/checkpoint"))
-    return spark.read.parquet(f"{path}/data").select(*PLACE, "event_id", F.col("batch_no").cast("long"))
+        _until_broken(consume.start(log.stream(max_records=500).together(), keep, f"{path}/checkpoint"))
+    return spark.read.parquet(f"{path}/data").select(*PLACE, "event_id", "batch_no")
 
 
 @query
@@ -693,7 +694,7 @@ def relay_offsets(spark, sf_dir):
 
     for _ in range(2):
         _until_broken(relays.relay_with_offsets(
-            source.stream(max_records=1000), to_output, target, ["timestamp", "event_id"], "group-1", scratch_path(spark, "checkpoint"),
+            source.stream(max_records=1000).together(), to_output, target, ["timestamp", "event_id"], "group-1", scratch_path(spark, "checkpoint"),
         ))
     counts = target.records().groupBy(*TOPIC_PARTITION).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("n_events"))
     return target.committed("group-1").join(counts, TOPIC_PARTITION)

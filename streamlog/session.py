@@ -58,6 +58,12 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [f.getPath().getName() for f in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place) if f.isDirectory()]
+
+
 def drop_named(spark: SparkSession, name: str) -> None:
     """Remove all scratch tables of this name."""
     root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/streamlog/{spark.sparkContext.applicationId}")

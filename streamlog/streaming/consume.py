@@ -5,17 +5,18 @@ from __future__ import annotations
 import threading
 import time
 from collections.abc import Callable
+from functools import partial
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from streamlog.model import OFFSETS_SCHEMA
+from streamlog.model import OFFSETS_SCHEMA, TOPIC_PARTITION
 from streamlog.operators.delivery import commit_upsert
-from streamlog.operators.offsets import positions
+from streamlog.operators.offsets import position_changes, positions
 from streamlog.operators.records import TooFewRecords
-from streamlog.session import read_or_empty, remove
-from streamlog.sources.ranges import LogStream
+from streamlog.session import folders, read_or_empty, remove
+from streamlog.sources.ranges import BATCH, LogStream
 
 
 def start(
@@ -30,6 +31,9 @@ def start(
     ``handle`` returns; if it raises, a restart delivers the batch again.
     Without an ``interval`` the query reads what is there and ends. Stopping
     the query keeps the position: starting again on the same checkpoint goes on.
+
+    A :class:`LogStream` that takes several batches ``together`` calls
+    ``handle(batches, numbers)`` instead, with the range of their numbers.
     """
     if isinstance(stream, LogStream):
         return stream.start(handle, checkpoint, interval)
@@ -87,11 +91,14 @@ def start_with_offsets(
     begins, each batch carries the positions of all of them: the last ones, moved
     on by the batch. They are kept at ``positions_path``, one small table per
     batch, so a batch that is delivered again gets the same ones.
+
+    For several batches ``together`` the table has the positions of each, with
+    its number in ``_batch``.
     """
+    several = isinstance(stream, LogStream) and stream.several is not None
     if assigned is None:
-        return start(
-            stream, lambda batch, batch_id: handle(batch, positions(batch), batch_id), checkpoint, interval
-        )
+        reached = partial(position_changes, batch=BATCH) if several else positions
+        return start(stream, lambda batch, number: handle(batch, reached(batch), number), checkpoint, interval)
     if positions_path is None:
         raise ValueError("give positions_path, a folder to keep the positions in")
     spark = stream.sparkSession
@@ -105,4 +112,34 @@ def start_with_offsets(
         if batch_id > 1:
             remove(spark, f"{positions_path}/{batch_id - 2}")
 
-    return start(stream, carry, checkpoint, interval)
+    def carry_several(batches: DataFrame, numbers: range) -> None:
+        first, last = numbers[0], numbers[-1]
+        before = assigned if first == 0 else read_or_empty(spark, f"{positions_path}/{first - 1}", OFFSETS_SCHEMA)
+        each = _carried(before, position_changes(batches, BATCH), numbers)
+        each.coalesce(1).write.mode("overwrite").parquet(f"{positions_path}/each-{last}")
+        each = read_or_empty(spark, f"{positions_path}/each-{last}", each.schema)
+        each.filter(F.col(BATCH) == last).select(*OFFSETS_SCHEMA.names).coalesce(1).write.mode("overwrite").parquet(f"{positions_path}/{last}")
+        handle(batches, each, numbers)
+        for name in folders(spark, positions_path):
+            if name not in (f"each-{last}", str(last), str(first - 1)):
+                remove(spark, f"{positions_path}/{name}")
+
+    return start(stream, carry_several if several else carry, checkpoint, interval)
+
+
+def _carried(before: DataFrame, changes: DataFrame, numbers: range) -> DataFrame:
+    """Positions after each batch: what it reached, else what was reached last.
+
+    A partition that isn't in ``before`` begins with its first records.
+    """
+    known = before.select(F.lit(numbers[0] - 1).cast("long").alias(BATCH), *TOPIC_PARTITION, "offset")
+    known = known.unionByName(changes.select(BATCH, *TOPIC_PARTITION, "offset"))
+    each = F.explode(F.sequence(F.lit(numbers[0] - 1).cast("long"), F.lit(numbers[-1]).cast("long"))).alias(BATCH)
+    asked = known.select(*TOPIC_PARTITION).distinct().select(*TOPIC_PARTITION, each)
+    so_far = Window.partitionBy(*TOPIC_PARTITION).orderBy(BATCH)
+    return (
+        asked.join(known, [BATCH, *TOPIC_PARTITION], "left")
+        .withColumn("offset", F.last("offset", ignorenulls=True).over(so_far))
+        .filter((F.col(BATCH) >= numbers[0]) & F.col("offset").isNotNull())
+        .select(BATCH, *OFFSETS_SCHEMA.names)
+    )

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from streamlog.model import ACKS_SCHEMA, TOPIC_PARTITION
 from streamlog.operators.offsets import join_small, positions
 from streamlog.sinks.log import LogTransaction, append
-from streamlog.sources.ranges import LogStream
+from streamlog.sources.ranges import BATCH, LogStream
 from streamlog.sources.topic_log import TopicLog
 from streamlog.session import read_or_empty
 from streamlog.streaming import consume
@@ -94,18 +94,26 @@ def relay_with_offsets(
     Where to go on is what the target log has committed for the group, so the
     relay may be started with a new checkpoint, or elsewhere: the newer one
     fences the older, and records that were forwarded before are passed over.
+
+    Several batches ``together`` are one transaction, and get the offsets they
+    would get one by one; ``to_output`` then has to keep ``_batch``.
     """
     name = f"relay-{group_id}"
     log.book.start_writer(name)
 
-    def forward(batch: DataFrame, batch_id: int) -> None:
+    def forward(batch: DataFrame, number: int | range) -> None:
         reached = stream.log.offsets_table(log.committed(group_id)).withColumnRenamed("offset", "_done")
         fresh = join_small(batch, reached, "left").filter("_done IS NULL OR offset >= _done").drop("_done")
         offsets = positions(fresh)
         if offsets.isEmpty():
             return
-        unit = LogTransaction(log, order_by, f"{group_id}@{checkpoint}#{batch_id}", partitions, name)
-        unit.send(to_output(fresh))
+        output, order, last = to_output(fresh), order_by, number
+        if isinstance(number, range):
+            if BATCH not in output.columns:
+                raise ValueError(f"to_output has to keep the column {BATCH}: the batches are written one after the other")
+            order, last = [BATCH, *order_by], number[-1]
+        unit = LogTransaction(log, order, f"{group_id}@{checkpoint}#{last}", partitions, name)
+        unit.send(output)
         unit.send_offsets(offsets, group_id)
         unit.commit()
 

@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from streamlog.model import TOPIC_PARTITION, struct_of
 from streamlog.session import remove
 from streamlog.sources.ledger import Store
-from streamlog.sources.ranges import LogStream
+from streamlog.sources.ranges import BATCH, LogStream
 from streamlog.streaming import consume
 from streamlog.streaming.transactions import claim
 
@@ -118,14 +118,21 @@ class StateStore:
         """Merge one batch into the state; False if it had been applied before.
 
         Batch numbers grow, and there is one writer, so the markers are listed
-        only at its start and after a failure.
+        only at its start and after a failure. Records of several batches, told
+        apart by ``_batch``, are applied as if one by one; ``batch_id`` is the
+        number of the last.
         """
         last = self._known = self._current() if self._known is None else self._known
         if batch_id <= last:
             return False
         runs = self._runs(last)
-        fresh = records.groupBy(*self.keys).agg(*[aggregate.alias(name) for name, (aggregate, _) in self.update.items()])
-        fresh = fresh.select(*self.schema.names, F.lit(batch_id).cast("long").alias(FRESH), self._bucket().alias(BUCKET))
+        several = BATCH in records.columns
+        if not several:
+            records = records.withColumn(BATCH, F.lit(batch_id).cast("long"))
+        fresh = records.groupBy(BATCH, *self.keys).agg(*[aggregate.alias(name) for name, (aggregate, _) in self.update.items()])
+        fresh = fresh.select(*self.schema.names, F.col(BATCH).alias(FRESH), self._bucket().alias(BUCKET))
+        if several:
+            fresh = self._merged(fresh).select(*self.schema.names, FRESH, BUCKET)
         self._known = None
         if self.initial is not None:
             fresh = self._with_initial(fresh, runs)
@@ -135,7 +142,7 @@ class StateStore:
             runs = self._write(self._merged(self._rows(old)), [old[0][0] + 1, old[0][1], old[-1][2]], runs[:-FAN_IN])
         self._files.put(f"{self.path}/current/{batch_id}", json.dumps(runs))
         self._known = batch_id
-        if batch_id % self.keep == 0:
+        if batch_id // self.keep > last // self.keep:
             self._forget()
         return True
 
@@ -173,12 +180,14 @@ def counts_store(spark: SparkSession, path: str, initial: DataFrame | None = Non
 
 
 def run(stream: DataFrame | LogStream, store: StateStore, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Apply every micro-batch of a stream to the store."""
+    """Apply every micro-batch of a stream to the store; those of a log several at a time."""
 
     claim(stream.sparkSession, store.path, checkpoint)
+    if isinstance(stream, LogStream) and BATCH not in stream.log.schema.names:
+        stream = stream.together()
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        store.apply(batch, batch_id)
+    def handle(batch: DataFrame, number: int | range) -> None:
+        store.apply(batch, number[-1] if isinstance(number, range) else number)
 
     return consume.start(stream, handle, checkpoint, interval)
 
