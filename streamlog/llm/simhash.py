@@ -14,9 +14,10 @@ covering tables, make first groups. Texts at a similarity of 0.8 differ in about
 ten bits of 64, far more than covering masks can serve, so further groups come
 from shingles: two similar sets share one of the first fifth of their shingles
 in any common order. A member of a group is compared with the representatives of
-that group only, on the full sets: no pairs are made within a group, and the
-comparisons grow with the memberships. Representatives are central members:
-those with the smallest share of shingles that nobody else has.
+that group first, on the full sets; these comparisons grow with the memberships.
+Representatives are central members: those with the smallest share of shingles
+that nobody else has. Members of a group that links don't connect by then are
+compared with each other, so that no similar pair is left unconnected.
 
 A text is worked on as a whole, however long. Columns other than the id and the
 text may have any name. No documents give no rows.
@@ -47,6 +48,10 @@ SLICE = 2 << 20
 SLOTS = 1 << 20
 #: Representatives of each group: the most central member and others by chance.
 REPRESENTATIVES = 3
+#: Members of a group that meet as many others in one task.
+CHUNK = 2000
+#: Longs of the sketch that rules pairs out before their sets are compared.
+SKETCH = 32
 
 
 def masks(radius: int = RADIUS) -> list[int]:
@@ -340,9 +345,44 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _several(pool: DataFrame, links: DataFrame) -> DataFrame:
     """The buckets of the pool that hold more than one component; the others have nothing left to compare."""
     labels = components(links)
-    rooted = pool.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = pool.drop("root").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket")
-    return materialize(pool.join(open_, "bucket", "left_semi"), "open")
+    return materialize(rooted.join(open_, "bucket", "left_semi"), "open")
+
+
+def _sketches(sets: DataFrame) -> DataFrame:
+    """(node, sketch): for each of the slots whether an odd number of the set's tokens falls into it."""
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for r in batch.select(["size", "packed"]).to_pylist():
+                slot = tx.mix(unpack_sorted(r["packed"], r["size"]) * np.uint64(_SPREAD)) % np.uint64(64 * SKETCH)
+                odd = np.bincount(slot.astype(np.int64), minlength=64 * SKETCH) & 1
+                found.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "sketch"])
+
+    return sets.select("node", "size", "packed").mapInArrow(fold, "node binary, sketch array<long>")
+
+
+def _rest(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): members of one bucket that links don't connect and whose sizes, places and sketches allow this similarity.
+
+    Two sets differ in at least as many tokens as their sketches in slots. The
+    members of a bucket are dealt to chunks; a task gets two chunks of a bucket.
+    """
+    chunks = left.groupBy("bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    sketches = materialize(_sketches(sets.join(left.select("node").distinct(), "node", "left_semi")), "sketches")
+    dealt = materialize(
+        left.join(chunks, "bucket").join(sketches, "node")
+        .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+        .select("bucket", "chunk", "chunks", F.struct("node", "root", "size", "place", "sketch").alias("x")), "dealt",
+    )
+    x = dealt.select("bucket", F.col("chunk").alias("i"), F.explode(F.sequence("chunk", F.col("chunks") - 1)).alias("j"), "x")
+    y = dealt.select("bucket", F.explode(F.sequence(F.lit(0), "chunk")).alias("i"), F.col("chunk").alias("j"), F.col("x").alias("y"))
+    apart = sum((F.bit_count(F.col("x.sketch")[n].bitwiseXOR(F.col("y.sketch")[n])) for n in range(1, SKETCH)), F.bit_count(F.col("x.sketch")[0].bitwiseXOR(F.col("y.sketch")[0])))
+    most = (F.col("x.size") + F.col("y.size")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    once = (F.col("i") < F.col("j")) | (F.col("x.node") < F.col("y.node"))
+    return _ordered(x.join(y, ["bucket", "i", "j"]).filter(once & (F.col("x.root") != F.col("y.root")) & _possible(similarity)).filter(apart <= most))
 
 
 def _leader(k: int) -> Column:
@@ -372,8 +412,8 @@ def near_duplicate_links(
     fingerprints and, for each token of a prefix (see ``_prefix_length``), the sets
     that share it. Every member of a group is compared with its representatives:
     one for the fingerprints, ``REPRESENTATIVES`` for a token, unless earlier links
-    connect the group already. Similar sets share many tokens of their prefixes,
-    hence are compared with many representatives; links join them over these.
+    connect the group already. What these links leave apart in the group of a
+    token is compared pair by pair, see ``_rest``: every similar pair is connected.
     """
     found = _candidates(docs, id_col, text_col, shingle, similarity)
     sets = materialize(
@@ -392,8 +432,8 @@ def near_duplicate_links(
         y = left.select("bucket", F.struct("node", "size", "place").alias("y"))
         pairs = _ordered(led.join(y, "bucket").filter("x.node <> y.node").filter(_possible(similarity)))
         links = links.union(_similar(pairs, sets, similarity))
-        if k < REPRESENTATIVES - 1:
-            left = _several(left, links)
+        left = _several(left, links)
+    links = links.union(_similar(_rest(left, sets, similarity), sets, similarity))
     a, b = (sets.select(F.col("node").alias(x), F.col("doc_id").alias(f"{x}_id")) for x in "ab")
     return copies.union(links.join(a, "a").join(b, "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b")))
 

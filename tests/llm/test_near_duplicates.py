@@ -251,3 +251,17 @@ def test_recall_of_each_kind_of_copy(spark, kind):
     assert len(near) > 100
     joined = sum(root.get(a, a) == root.get(b, b) for a, b in near)
     assert joined >= 0.95 * len(near)
+
+
+def test_pairs_that_no_representative_has_are_found(spark):
+    """Texts of common passages, each with one near copy: many share every group, few are representatives."""
+    pick = random.Random(5)
+    passages = [" ".join(f"p{u}w{i}" for i in range(40)) for u in range(24)]
+    texts = []
+    for _ in range(40):
+        units = sorted(pick.sample(range(24), 12))
+        other = list(units)
+        other[pick.randrange(12)] = pick.choice([u for u in range(24) if u not in units])
+        texts += [" ".join(passages[u] for u in chosen) for chosen in (units, other)]
+    texts = dict(enumerate(texts))
+    assert kept_by_stage(spark, texts) == kept_by_brute_force(texts)
