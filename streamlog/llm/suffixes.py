@@ -48,8 +48,10 @@ ANCHOR = 24
 SORT_SEGMENTS = 1 << 13
 #: Segments of one anchor, equal ones of a block counted once, that meet in one group at most.
 HOT_SEGMENTS = 1 << 13
+#: Strings whose anchors are found at a time: the arrays of a piece stay in a processor's cache.
+PIECE = 1 << 16
 _PLACE = np.uint64((1 << 21) - 1)
-_ANCHORS, _CONTENTS = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
+_ANCHORS, _CONTENTS, _RUNS = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)
 
 
 def _lowest(values: np.ndarray, width: int) -> np.ndarray:
@@ -62,6 +64,12 @@ def _lowest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
 
 
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of all ranges, one range after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
 class _Segments:
     """Segments of one block: first string, number of strings, anchor's place, its hash, document."""
 
@@ -71,49 +79,63 @@ class _Segments:
         anchor = min(ANCHOR, size)
         width = size - anchor + 1
         total = max(0, len(data) - size + 1)
-        step = np.zeros(len(data) + 1, dtype=np.int8)
         long_enough = bounds[1:] - bounds[:-1] >= size
-        np.add.at(step, bounds[:-1][long_enough], 1)
-        np.add.at(step, bounds[1:][long_enough] - size + 1, -1)
-        whole = np.cumsum(step[:total], dtype=np.int8).astype(bool)
+        begins, ends = bounds[:-1][long_enough], bounds[1:][long_enough] - size + 1
+        edges = np.sort(np.concatenate((begins, ends)))
         found = []
-        for a in range(0, total, tx.SEGMENT):
-            b = min(total, a + tx.SEGMENT)
+        for a in range(0, total, PIECE):
+            b = min(total, a + PIECE)
             hashes = tx.rolling(tx.BYTE_VALUES[data[a : b + size - 1]], anchor)
-            low = _lowest((hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64), width)
-            at = np.flatnonzero(whole[a:b])
-            place = (low[at] & _PLACE).astype(np.int64)
-            new = np.ones(len(at), dtype=bool)
-            new[1:] = (np.diff(at) != 1) | (np.diff(place) != 0)
+            low = hashes & ~_PLACE
+            low |= np.arange(len(hashes), dtype=np.uint64)
+            low = _lowest(low, width)
+            new = np.ones(b - a, dtype=bool)
+            np.not_equal(low[1:], low[:-1], out=new[1:])
+            new[edges[np.searchsorted(edges, a) : np.searchsorted(edges, b)] - a] = True
             head = np.flatnonzero(new)
+            place = (low[head] & _PLACE).astype(np.int64)
             # The lowest hashes crowd at the low end; mixed again they deal out evenly.
-            anchors = tx.mix(hashes[place[head]] ^ _ANCHORS)
-            found.append((at[head] + a, np.diff(head, append=len(at)), place[head] - at[head], anchors))
-        self.first, self.strings, self.offset, self.anchor = (
+            found.append((head + a, np.diff(head, append=b - a), place - head, tx.mix(hashes[place] ^ _ANCHORS)))
+        first, strings, offset, hashed = (
             (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
         )
-        self.rank = block.ids[np.searchsorted(bounds, self.first, "right") - 1]
+        # Strings that cross documents lie behind the end of one and before the begin of the next.
+        low, high = np.searchsorted(first, begins), np.searchsorted(first, ends)
+        inside = _spread(low, high - low)
+        self.first, self.strings, self.offset, self.anchor = first[inside], strings[inside], offset[inside], hashed[inside]
+        self.rank = np.repeat(block.ids[long_enough], high - low)
 
     def candidates(self, bits: int, parts: list[dict]) -> np.ndarray:
         """Segments whose anchor another block may have, or another document of this block has."""
         order = np.argsort(self.anchor)
         hashes, rank = self.anchor[order], self.rank[order]
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = hashes[1:] != hashes[:-1]
+        found = np.zeros(len(order), dtype=bool)
+        if not len(order):
+            return np.flatnonzero(found)
+        new = bl.changes(hashes)
         head = np.flatnonzero(new)
-        several = np.minimum.reduceat(rank, head) != np.maximum.reduceat(rank, head) if len(head) else np.zeros(0, bool)
-        mine = np.empty(len(order), dtype=bool)
-        mine[order] = several[np.cumsum(new) - 1] if len(head) else False
-        return np.flatnonzero(mine | bl.shared_mask(self.anchor, bits, parts))
+        several = np.minimum.reduceat(rank, head) != np.maximum.reduceat(rank, head)
+        # In this order the filter keys ascend too, as they were sent.
+        key = np.cumsum(bl.changes(hashes[head] >> np.uint64(64 - bits))) - 1
+        found[order] = np.repeat(several | bl.told_masks(parts)[key], np.diff(head, append=len(order)))
+        return np.flatnonzero(found)
 
     def distinct(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One segment, of the smallest rank, for each content among ``at``, ordered by anchor; and
         for each of ``at`` the number of its content."""
         view, digest, reach = memoryview(self.block.data), xxhash.xxh3_128_digest, self.size - 1
-        raw = b"".join([digest(view[a:b]) for a, b in zip(self.first[at].tolist(), (self.first[at] + self.strings[at] + reach).tolist(), strict=True)])
-        pair = np.frombuffer(raw, dtype=">u8").astype(np.uint64).reshape(-1, 2)
-        # Equal contents have equal anchors and digests; one key brings them together, all of them tell them apart.
         anchor = self.anchor[at]
+        by = np.argsort(anchor)
+        ordered = anchor[by]
+        # An anchor that comes once tells its content; of the others the digest does.
+        again = np.zeros(len(at), dtype=bool)
+        same = ordered[1:] == ordered[:-1]
+        again[by[1:][same]] = again[by[:-1][same]] = True
+        some = at[again]
+        raw = b"".join([digest(view[a:b]) for a, b in zip(self.first[some].tolist(), (self.first[some] + self.strings[some] + reach).tolist(), strict=True)])
+        pair = np.zeros((len(at), 2), dtype=np.uint64)
+        pair[again] = np.frombuffer(raw, dtype=">u8").reshape(-1, 2)
+        # Equal contents have equal anchors and digests; one key brings them together, all of them tell them apart.
         order = np.argsort(tx.mix(anchor ^ _CONTENTS) ^ pair[:, 0])
         new = np.ones(len(order), dtype=bool)
         new[1:] = (pair[order[1:]] != pair[order[:-1]]).any(axis=1) | (anchor[order[1:]] != anchor[order[:-1]])
@@ -169,16 +191,21 @@ class Suffixes:
         """
         order = np.arange(len(starts))
         size = np.diff(runs)
-        begin, end = np.repeat(runs[:-1], size), np.repeat(runs[1:], size)
-        local = np.arange(len(starts)) - begin
-        width, longest = 1, int(size.max(initial=0))
-        while width < longest:
-            left = begin + local // (2 * width) * (2 * width)
+        place, begin, end = order, np.repeat(runs[:-1], size), np.repeat(runs[1:], size)
+        width = 1
+        while True:
+            # Runs of no more than this are sorted.
+            open_ = end - begin > width
+            place, begin, end = place[open_], begin[open_], end[open_]
+            if not len(place):
+                return order
+            left = begin + (place - begin) // (2 * width) * (2 * width)
             middle, stop = np.minimum(left + width, end), np.minimum(left + 2 * width, end)
-            at = np.flatnonzero(middle < stop)
-            right = at >= middle[at]
-            low = np.where(right, left[at], middle[at])
-            high = np.where(right, middle[at], stop[at])
+            both = np.flatnonzero(middle < stop)
+            at, left, middle, stop = place[both], left[both], middle[both], stop[both]
+            right = at >= middle
+            low = np.where(right, left, middle)
+            high = np.where(right, middle, stop)
             base, suffix = low.copy(), starts[order[at]]
             open_ = np.arange(len(at))
             while len(open_):
@@ -187,40 +214,41 @@ class Suffixes:
                 low[open_[go]] = probe[go] + 1
                 high[open_[~go]] = probe[~go]
                 open_ = open_[low[open_] < high[open_]]
-            own = at - np.where(right, middle[at], left[at])
-            moved = order.copy()
-            moved[left[at] + own + low - base] = order[at]
-            order = moved
+            own = at - np.where(right, middle, left)
+            order[left + own + low - base] = order[at]
             width *= 2
-        return order
 
     def groups(self, starts: np.ndarray, runs: np.ndarray) -> np.ndarray:
         """A number for each start: equal exactly if two of one run agree on ``limit`` bytes."""
-        order = self.merge_sort(starts, runs)
-        ordered = starts[order]
-        new = np.ones(len(starts), dtype=bool)
-        inner = np.ones(len(starts), dtype=bool)
-        inner[runs[:-1][np.diff(runs) > 0]] = False
-        at = np.flatnonzero(inner)
-        new[at] = self.common(ordered[at - 1], ordered[at]) < self.limit
-        number = np.empty(len(starts), dtype=np.int64)
-        if self._collides(ordered, np.flatnonzero(~new)):
-            seen: dict[tuple, int] = {}
-            run = np.repeat(np.arange(len(runs) - 1), np.diff(runs))
+        run = np.repeat(np.arange(len(runs) - 1), np.diff(runs))
+        # Suffixes of a run whose hashes agree on the limit are sorted once, by the first of them.
+        hashes = self.whole[starts]
+        by = np.argsort(tx.mix(run.astype(np.uint64) ^ _RUNS) ^ hashes)
+        new = bl.changes(hashes[by]) | bl.changes(run[by])
+        single = np.zeros(len(starts), dtype=bool)
+        single[by[new]] = True
+        heads = np.flatnonzero(single)
+        copy = np.empty(len(starts), dtype=np.int64)
+        copy[by] = (np.cumsum(single) - 1)[by[new]][np.cumsum(new) - 1]
+        order = self.merge_sort(starts[heads], np.searchsorted(heads, runs))
+        ordered = heads[order]
+        new = bl.changes(run[ordered])
+        at = np.flatnonzero(~new)
+        new[at] = self.common(starts[ordered[at - 1]], starts[ordered[at]]) < self.limit
+        same, others = np.flatnonzero(~new), np.flatnonzero(~single)
+        if self._differ(starts[ordered[same - 1]], starts[ordered[same]]) or self._differ(starts[heads[copy[others]]], starts[others]):
+            number, seen = np.empty(len(starts), dtype=np.int64), {}
             for n, (r, s) in enumerate(zip(run.tolist(), starts.tolist(), strict=True)):
                 number[n] = seen.setdefault((r, self.data[s : s + self.limit].tobytes()), len(seen))
             return number
+        number = np.empty(len(heads), dtype=np.int64)
         number[order] = np.cumsum(new) - 1
-        return number
+        return number[copy]
 
-    def _collides(self, ordered: np.ndarray, same: np.ndarray) -> bool:
-        """Whether some neighbours with equal hashes differ in their bytes."""
+    def _differ(self, one: np.ndarray, other: np.ndarray) -> bool:
+        """Whether some of the pairs of suffixes, equal by their hashes, differ in their bytes."""
         strings = np.lib.stride_tricks.sliding_window_view(self.data, self.limit)
-        for a in range(0, len(same), 1 << 17):
-            b = same[a : a + (1 << 17)]
-            if (strings[ordered[b - 1]] != strings[ordered[b]]).any():
-                return True
-        return False
+        return any((strings[one[a : a + (1 << 17)]] != strings[other[a : a + (1 << 17)]]).any() for a in range(0, len(one), 1 << 17))
 
 
 _SENT = pa.schema([
@@ -231,8 +259,7 @@ _SENT_DDL = "part int, block long, n long, anchor binary, rank binary, strings b
 
 
 def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    ends = np.cumsum(lengths)
-    return data[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)]
+    return data[_spread(starts, lengths)]
 
 
 def _judge(anchor, rank, strings, offset, data, size):
@@ -408,19 +435,18 @@ def _removed(row: dict, size: int, hot: np.ndarray) -> tuple[bl.Block, np.ndarra
     goes[np.repeat(sorted_, own.strings[head])] = bl.told_masks(row["later"])
     begin = np.cumsum(own.strings[head]) - own.strings[head]
     n = own.strings[at]
-    within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    verdict = np.repeat(own.rank[at] > own.rank[head][number], n) | goes[np.repeat(begin[number], n) + within]
+    verdict = goes[_spread(begin[number], n)]
+    verdict |= np.repeat(own.rank[at] > own.rank[head][number], n)
     least = {x["string"]: x["least"] for x in row.get("hot") or ()}
     if least:
         some, ends = np.flatnonzero(bl.among(own.anchor[at], hot)), np.cumsum(n)
         for a in range(0, len(some), SORT_SEGMENTS):
             part = some[a : a + SORT_SEGMENTS]
-            place = np.repeat((ends - n)[part], n[part]) + np.arange(int(n[part].sum())) - np.repeat(np.cumsum(n[part]) - n[part], n[part])
-            strings = _strings(own.block.data, np.repeat(own.first[at[part]], n[part]) + within[place], size).tolist()
+            place = _spread((ends - n)[part], n[part])
+            strings = _strings(own.block.data, _spread(own.first[at[part]], n[part]), size).tolist()
             low = np.array([least.get(x, bl.NULL_RANK) for x in strings], dtype=np.int64)
             verdict[place] |= np.repeat(own.rank[at[part]], n[part]) > low
-    starts = (np.repeat(own.first[at], n) + within)[verdict]
-    return own.block, tx.covered(starts, size, len(own.block.data))
+    return own.block, tx.covered(_spread(own.first[at], n)[verdict], size, len(own.block.data))
 
 
 def suffix_dedup(docs: DataFrame, *, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -440,8 +466,7 @@ def suffix_dedup(docs: DataFrame, *, size: int = SIZE, id_col: str = "doc_id", t
             begins[1:] &= ~gone[:-1]
             edge = bounds[:-1][bounds[:-1] < bounds[1:]]
             begins[edge] = gone[edge]
-            count = np.concatenate(([0], np.cumsum(gone)))[bounds]
-            spans = np.concatenate(([0], np.cumsum(begins)))[bounds]
+            count, spans = (np.searchsorted(np.flatnonzero(x), bounds) for x in (gone, begins))
             body, at = block.data[~gone].tobytes(), bounds - count
             kept = [body[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([
@@ -468,7 +493,7 @@ def cut_repeats(docs: DataFrame, *, size: int = SIZE, id_col: str = "doc_id", te
             chars = np.flatnonzero((block.data & 0xC0) != 0x80)
             if len(chars):
                 gone = np.repeat(np.logical_and.reduceat(gone, chars), np.diff(chars, append=len(gone)))
-            count = np.concatenate(([0], np.cumsum(gone)))[block.bounds]
+            count = np.searchsorted(np.flatnonzero(gone), block.bounds)
             body, at = block.data[~gone].tobytes(), block.bounds - count
             rest = block.rest()
             empty = rest.column(no_text).to_pylist()

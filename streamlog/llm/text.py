@@ -189,7 +189,12 @@ def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[byte
 
 def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     """Which of ``n`` places lie in a run of ``length`` from one of ``starts``."""
-    diff = np.zeros(n + 1, dtype=np.int32)
-    np.add.at(diff, starts, 1)
-    np.add.at(diff, np.minimum(starts + length, n), -1)
-    return np.cumsum(diff[:-1]) > 0
+    mark = np.zeros(n + 1, dtype=bool)
+    mark[starts] = True
+    at = np.flatnonzero(mark)
+    apart = np.diff(at) > length
+    step = np.zeros(n + 1, dtype=np.int8)
+    if len(at):
+        step[at[np.append(True, apart)]] = 1
+        step[np.minimum(at[np.append(apart, True)] + length, n)] -= 1
+    return np.cumsum(step[:-1], dtype=np.int8).view(bool)

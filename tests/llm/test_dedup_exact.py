@@ -154,3 +154,72 @@ def test_an_anchor_in_ever_different_surroundings_is_not_sorted_in_one_group(spa
     found = suffixes.suffix_dedup(frame, size=40).drop("kept").collect()
     assert sorted(map(tuple, found), key=key) == sorted(strings_by_hand(docs, 40), key=key)
     assert len(most[0])
+
+
+def test_equal_suffixes_are_sorted_once(monkeypatch):
+    pick, sorted_ = random.Random(6), []
+    texts = [bytes(pick.choice(b"ab") for _ in range(70)) for _ in range(3)]
+    data = np.frombuffer(b"".join(pick.choice(texts) for _ in range(60)), dtype=np.uint8)
+    own, sort = suffixes.Suffixes(data, 50), suffixes.Suffixes.merge_sort
+    monkeypatch.setattr(own, "merge_sort", lambda starts, runs: sorted_.append(len(starts)) or sort(own, starts, runs))
+    starts, runs = np.arange(0, 60 * 70, 70), np.array([0, 0, 20, 21, 60])
+    group = own.groups(starts, runs)
+    run = np.repeat(np.arange(4), np.diff(runs))
+    told = {}
+    for r, s, g in zip(run.tolist(), starts.tolist(), group.tolist(), strict=True):
+        told.setdefault((r, data[s : s + 50].tobytes()), set()).add(g)
+    assert all(len(g) == 1 for g in told.values()) and len(set.union(*told.values())) == len(told)
+    assert sorted_ == [len(told)]
+
+
+def test_digests_are_of_segments_whose_anchor_comes_again(monkeypatch):
+    pick, digested = random.Random(7), []
+    shared = bytes(pick.randrange(97, 123) for _ in range(90))
+    texts = [bytes(pick.randrange(97, 123) for _ in range(200)) + shared for _ in range(3)]
+    own = suffixes._Segments(a_block(texts, [3, 1, 2]), 50)
+    digest = suffixes.xxhash.xxh3_128_digest
+    monkeypatch.setattr(suffixes.xxhash, "xxh3_128_digest", lambda data: digested.append(bytes(data)) or digest(data))
+    at = np.arange(len(own.first))
+    head, number = own.distinct(at)
+    body = [own.block.data[a : a + n + 49].tobytes() for a, n in zip(own.first, own.strings, strict=True)]
+    assert [body[h] for h in head[number]] == body and len(head) == len(set(body))
+    assert (own.rank[head][number] <= own.rank).all()
+    assert 0 < len(digested) < len(body) / 2
+
+
+def a_block(texts, ids):
+    bounds = np.cumsum([0, *map(len, texts)])
+    return blocks.Block({
+        "block": 0, "n_rows": len(texts), "ids": blocks.pack(np.array(ids)), "bounds": blocks.pack(bounds), "rest": b"",
+        "body": blocks.zstandard.ZstdCompressor().compress(b"".join(texts)),
+    })
+
+
+@pytest.mark.parametrize("piece", [7, 64, 1 << 16])
+@pytest.mark.parametrize("size", [1, 12, 50])
+def test_segments_have_every_string_once(monkeypatch, piece, size):
+    monkeypatch.setattr(suffixes, "PIECE", piece)
+    pick = random.Random(9)
+    texts = [b"", b"x" * 120, b"short", *(bytes(pick.choice(b"ab") for _ in range(pick.choice([0, 1, size - 1, size, 300]))) for _ in range(12)), b""]
+    own = suffixes._Segments(a_block(texts, list(range(40, 40 + len(texts)))), size)
+    bounds, found, anchor = np.cumsum([0, *map(len, texts)]), [], {}
+    for first, n, offset, hashed, rank in zip(own.first, own.strings, own.offset, own.anchor, own.rank, strict=True):
+        for k in range(n):
+            found.append((int(rank), int(first) + k))
+            assert 0 <= offset - k <= size - min(24, size)
+            string = own.block.data[first + k : first + k + size].tobytes()
+            assert anchor.setdefault(string, (int(hashed), int(offset - k))) == (int(hashed), int(offset - k))
+    assert found == [(40 + d, int(bounds[d]) + j) for d, t in enumerate(texts) for j in range(len(t) - size + 1)]
+
+
+def test_covered_places():
+    pick = random.Random(10)
+    for n, length in ((0, 3), (1, 1), (40, 1), (40, 5), (60, 20)):
+        starts = np.array([pick.randint(0, n) for _ in range(pick.randint(0, 9))] * 2, dtype=np.int64)
+        assert tx.covered(starts, length, n).tolist() == [any(s <= i < s + length for s in starts) for i in range(n)]
+
+
+def test_filter_keys_ascend_once_each():
+    keys = np.array([2**63 + 5, 7, 2**63, 7, 2**62], dtype=np.uint64)
+    assert blocks.filter_keys(keys, 64).tolist() == [7, 2**62, 2**63, 2**63 + 5]
+    assert blocks.filter_keys(keys, 2).tolist() == [0, 1, 2] and not len(blocks.filter_keys(keys[:0], 9))
